@@ -1,9 +1,9 @@
 """Toxicity by multiple-instance learning.
 
 Sentences are the instances: a sentence's chance is the logistic of the summed weights of its words,
-a word's weight the sum of the weights of its features (the word and its character n-grams), and a
-document's chance is the noisy-or of its sentences. Weights are learnt from document labels
-alone; the learnt sentence chances then locate the offending sentences.
+a word's weight the sum of the weights of its features (the word and its first letters), and a
+document's chance is the noisy-or of its sentences. Weights are not negative, so that no number of
+harmless words hides an offending one, and are learnt from document labels alone; the learnt sentence chances then locate the offending sentences.
 """
 
 from __future__ import annotations
@@ -21,26 +21,26 @@ from pyspark.sql import functions as F
 
 from colloquy.llm.common import labelled_sample, slices
 
-BUCKETS = 1 << 17
+BUCKETS = 1 << 18
+PREFIXES = (3, 4, 5, 6, 7, 8)
+SEEN_IN = 4
 TEXTS_A_CLASS = 3000
 ROUNDS = 120
+PENALTY = 1e-5
 CACHED = 200_000
 OFFENDS = 0.5
+DECISION = 0.7
 
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _PUNCTUATION = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»“”„‘’…"
 
 
 def word_features(word: str) -> list[int]:
-    """Buckets of a word and of its edge n-grams."""
+    """Buckets of a word and of its first letters."""
     w = word.strip(_PUNCTUATION)
     if not w:
         return []
-    names = {f"w{w}"}
-    for n in (4, 5):
-        if len(w) > n:
-            names.add(f"p{w[:n]}")
-            names.add(f"s{w[-n:]}")
+    names = [w, *(f"{w[:n]}-" for n in PREFIXES if len(w) >= n)]
     return [zlib.crc32(x.encode("utf-8", "replace")) % BUCKETS for x in names]
 
 
@@ -120,16 +120,25 @@ def train_toxicity(
 
     Without labelled texts every document scores 0.5; with one class the model leans to it.
     """
-    bags = _bags(labelled_sample(documents, labels, label, train, per_class))
+    rows = _bags(labelled_sample(documents, labels, label, train, per_class)).toLocalIterator()
+    return fit_bags(sorted(rows, key=lambda r: r["doc_id"]), rounds)
+
+
+def fit_bags(rows: list, rounds: int = ROUNDS) -> ToxicityModel:
+    """Full-batch descent on the noisy-or likelihood of the documents; see _bags() for rows.
+
+    A feature is learnt from only if at least SEEN_IN different texts have it.
+    """
     index: dict[str, int] = {}
     word_ids, sentence_ids, owners, ys, sizes = [], [], [], [], {}
     n_sentences = 0
-    for row in sorted(bags.toLocalIterator(), key=lambda r: r["doc_id"]):
-        if not row["words"]:
+    seen: set[int] = set()
+    for row in rows:
+        if not row["words"] or (key := hash(tuple(row["words"]))) in seen:
             continue
+        seen.add(key)
         word_ids.append(np.fromiter((index.setdefault(w, len(index)) for w in row["words"]), np.int32, len(row["words"])))
-        own = np.asarray(row["sentence"], np.int32)
-        kinds, own = np.unique(own, return_inverse=True)
+        kinds, own = np.unique(np.asarray(row["sentence"], np.int32), return_inverse=True)
         sentence_ids.append((own + n_sentences).astype(np.int32))
         owners.append(np.full(len(kinds), len(ys), np.int32))
         n_sentences += len(kinds)
@@ -137,54 +146,72 @@ def train_toxicity(
         sizes[row["y"]] = row["class_rows"]
     if not ys:
         return ToxicityModel(np.zeros(BUCKETS, np.float32), 0.0, 0.0, 0.0)
-    word_ids, sentence_ids, owners, y = map(np.concatenate, (word_ids, sentence_ids, owners, [np.array(ys, float)]))
     features = [word_features(w) for w in index]
     feature_word = np.repeat(np.arange(len(index)), [len(f) for f in features]).astype(np.int32)
     feature_ids = np.array([f for x in features for f in x], np.int32)
+    first = np.concatenate([[0], np.cumsum([len(f) for f in features])])
+    texts = np.zeros(BUCKETS, np.int32)
+    for words in word_ids:
+        own = np.unique(words)
+        texts[np.unique(np.concatenate([feature_ids[first[w] : first[w + 1]] for w in own]))] += 1
+    known = texts[feature_ids] >= SEEN_IN
+    feature_word, feature_ids = feature_word[known], feature_ids[known]
+    n_words = len(index)
     del index, features
+    word_ids, sentence_ids, owners, y = map(np.concatenate, (word_ids, sentence_ids, owners, [np.array(ys, float)]))
 
+    # Every fourth text only calibrates: its logit is not one that the weights were fitted to.
+    fitted = np.arange(len(y)) % 4 != 3
+    if len(set(y[~fitted])) < 2:
+        fitted[:] = True
+    share = fitted / fitted.sum()
     prior = {c: sizes[c] / (y == c).sum() for c in sizes}
     weight = np.array([prior[int(c)] for c in y])
     weight /= weight.mean()
     w, bias = np.zeros(BUCKETS), -5.0
     mean, square, mean_b, square_b = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
-    rate, penalty = 0.15, 2e-6
+    rate, penalty = 0.15, PENALTY
 
     def chances() -> np.ndarray:
-        of_word = np.bincount(feature_word, weights=w[feature_ids], minlength=int(word_ids.max()) + 1)
+        of_word = np.bincount(feature_word, weights=w[feature_ids], minlength=n_words)
         return _logistic(np.bincount(sentence_ids, weights=of_word[word_ids], minlength=n_sentences) + bias)
 
     for t in range(1, rounds + 1):
         p = chances()
         none = np.exp(np.bincount(owners, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y)))
         some = np.maximum(1 - none, 1e-9)
-        slope = np.where(y > 0, -none / some, 1.0)[owners] * p / len(y)
-        of_word = np.bincount(word_ids, weights=slope[sentence_ids], minlength=int(feature_word.max()) + 1)
+        slope = (np.where(y > 0, -none / some, 1.0) * share)[owners] * p
+        of_word = np.bincount(word_ids, weights=slope[sentence_ids], minlength=n_words)
         grad = np.bincount(feature_ids, weights=of_word[feature_word], minlength=BUCKETS) + penalty * w
         grad_b = slope.sum()
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
         mean_b, square_b = 0.9 * mean_b + 0.1 * grad_b, 0.99 * square_b + 0.01 * grad_b**2
         m, v = 1 - 0.9**t, 1 - 0.99**t
-        w -= rate * (mean / m) / (np.sqrt(square / v) + 1e-6)
+        w = np.maximum(w - rate * (mean / m) / (np.sqrt(square / v) + 1e-6), 0)
         bias -= rate * (mean_b / m) / (np.sqrt(square_b / v) + 1e-6)
     p = chances()
     none = np.bincount(owners, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y))
     logit = np.log(np.maximum(-np.expm1(none), 1e-12)) - none
-    return ToxicityModel(w.astype(np.float32), float(bias), *_calibrate(logit, y, weight))
+    held = ~fitted if not fitted.all() else fitted
+    return ToxicityModel(w.astype(np.float32), float(bias), *_calibrate(logit[held], y[held], weight[held]))
 
 
 def _calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic fit on the training documents, classes weighted as in the labelled rows."""
-    a, b = 1.0, 0.0
-    target = np.where(y > 0, 0.98, 0.02)
-    for _ in range(40):
-        q = _logistic(a * logit + b)
-        r, h = weight * (q - target), weight * q * (1 - q) + 1e-9
-        g = np.array([(r * logit).sum() + 0.01 * (a - 1), r.sum()])
-        m = np.array([[(h * logit * logit).sum() + 0.01, (h * logit).sum()], [(h * logit).sum(), h.sum()]])
-        step = np.linalg.solve(m + 1e-6 * np.eye(2), g)
-        a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -2, 2)
-    return float(a), float(b)
+    """Slope and offset that put the best F1's logit at a chance of DECISION.
+
+    The slope spreads the logits of the calibration documents; the cut is the middle of the
+    widest run of equally good cuts, classes weighted as in the labelled rows.
+    """
+    order = np.argsort(logit, kind="stable")
+    z, w, positive = logit[order], weight[order], y[order] > 0
+    hits = np.cumsum((w * positive)[::-1])[::-1]
+    false = np.cumsum((w * ~positive)[::-1])[::-1]
+    f1 = 2 * hits / np.maximum(hits + false + (w * positive).sum(), 1e-12)
+    best = int(f1.argmax())
+    below = z[best - 1] if best else z[best] - 2.0
+    cut = (z[best] + below) / 2
+    slope = 4.0 / max(2.0, float(np.median(np.abs(z - cut))))
+    return slope, float(np.log(DECISION / (1 - DECISION)) - slope * cut)
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
