@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import archive, html_text, language, packing, quality, toxicity
+from colloquy.llm import archive, decontaminate, html_text, language, packing, quality, toxicity
 from colloquy.llm.common import id_remainder
 from colloquy.tables import table
 
@@ -41,6 +41,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_contamination(documents, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -51,10 +56,32 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op9_html_extraction, op10_warc_archive,
+    op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op8_decontamination, op9_html_extraction, op10_warc_archive,
 )}
 
 ORACLES: dict[str, str] = {
+    "op8_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        b AS (
+            SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        bw AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS n, list_aggregate(w[i : i + least(len(w), 10) - 1], 'string_agg', ' ') AS win
+            FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0)),
+        dw AS (
+            SELECT doc_id, n, i, list_aggregate(w[i : i + n - 1], 'string_agg', ' ') AS win
+            FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+                  FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+        occ AS (SELECT doc_id, item_id, i, n FROM dw JOIN bw USING (n, win)),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM occ) GROUP BY 1),
+        its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY 1)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
     "op10_warc_archive": """
         WITH p AS (
             SELECT page_id, sha1(encode(coalesce(html, ''))) AS payload_digest, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes
