@@ -20,30 +20,36 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _records(pages: DataFrame, revisit_from: int) -> DataFrame:
-    """(page_id, url, payload, strong, record_type, refers_to) of every row."""
+    """(page_id, url, strong, weak, size, record_type, refers_to) of every row; the payload is not carried along."""
+    payload = _payload()
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.coalesce(F.col("url"), F.lit("")).alias("url"),
-        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
+        F.sha2(payload, 256).alias("strong"),
+        F.sha1(payload).alias("weak"),
+        F.octet_length(payload).cast("long").alias("size"),
     )
-    rows = rows.withColumn("strong", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload").cast("long"))
     first = (
         rows.where(F.col("size") >= revisit_from)
-        .groupBy("strong", "size")
+        .groupBy("strong")
         .agg(F.max("page_id").alias("first_id"), F.count("*").alias("copies"))
         .where("copies > 1")
         .drop("copies")
     )
-    # Only payloads with copies are looked up; one row a payload, so a hot one can be split.
-    rows = rows.join(first, ["strong", "size"], "left")
+    # One row a repeated payload on the right, so a hot payload's rows on the left can be split.
+    rows = rows.join(first, "strong", "left")
     again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return rows.select(
-        "page_id", "url", "payload", "strong", "size",
+        "page_id", "url", "strong", "weak", "size",
         F.when(again, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
         F.when(again, F.col("first_id")).alias("refers_to"),
     )
 
 
+def _payload() -> Column:
+    return F.coalesce(F.col("html"), F.lit("")).cast("binary")
+
+
 def _header(date: str) -> Column:
     """The WARC/1.1 header block of a record."""
 
@@ -61,7 +67,7 @@ def _header(date: str) -> Column:
         line("WARC-Record-ID", name(F.col("page_id"), F.col("strong"))),
         line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", no_break),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.sha1("payload"))),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("weak"))),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", name(F.col("refers_to"), F.col("strong"))))).otherwise(""),
         F.when(F.col("page_id").isNull(), F.lit("")).otherwise(line("X-Page-ID", F.col("page_id").cast("string"))),
         F.when(revisit, line("X-Refers-To-Page-ID", F.col("refers_to").cast("string"))).otherwise(""),
@@ -86,8 +92,8 @@ def write_archive(
     """
     path = path or f"{scratch_root(spark)}/warc-{uuid.uuid4().hex}"
     records = _records(pages, revisit_from)
-    # A response's payload is stored by the row itself; rows whose payload has copies meet in one aggregate.
-    payloads = records.where("record_type = 'response'").groupBy("strong").agg(F.first("payload").alias("payload"))
+    strong = F.sha2(_payload(), 256).alias("strong")
+    payloads = pages.select(strong, _payload().alias("payload")).groupBy("strong").agg(F.first("payload").alias("payload"))
     payloads.write.option("compression", "zstd").parquet(f"{path}/payloads")
     records.select("url", "strong", _header(date).alias("header")).write.option("compression", "zstd").parquet(f"{path}/headers")
     return path
