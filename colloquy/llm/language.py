@@ -19,6 +19,7 @@ from colloquy.llm.common import share_below, slices
 
 PROFILE = 300
 TEXTS_A_LANGUAGE = 4000
+MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
 
 _table: np.ndarray | None = None
@@ -74,6 +75,8 @@ def language_profiles(
     """
     known = documents.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     sizes = known.groupBy("lang").agg(F.count("*").alias("rows"))
+    if sizes.count() <= MOST_LANGUAGES:  # one row a language; a join by language would gather the hot one's texts
+        sizes = F.broadcast(sizes)
     sample = known.join(sizes, "lang").where(
         share_below(F.col("doc_id"), F.least(F.lit(1.0), F.lit(float(texts_a_language)) / F.col("rows")))
     )
