@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import archive, decontaminate, html_text, language, packing, quality, toxicity
+from colloquy.llm import archive, decontaminate, html_text, language, neardup, packing, quality, toxicity
 from colloquy.llm.common import id_remainder
 from colloquy.tables import table
 
@@ -41,6 +41,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, threshold=80)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find_contamination(documents, table(spark, sf_dir, "benchmark")).drop("text")
@@ -56,10 +60,28 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op8_decontamination, op9_html_extraction, op10_warc_archive,
+    op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op5_minhash_near_dedup, op8_decontamination, op9_html_extraction, op10_warc_archive,
 )}
 
 ORACLES: dict[str, str] = {
+    "op5_minhash_near_dedup": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, list_aggregate(w[i : i + least(len(w), 2) - 1], 'string_agg', ' ') AS g
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 1, 1))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 80 * (a.n + b.n - k)),
+        r AS (
+            SELECT doc_id, doc_id AS seen FROM documents
+            UNION
+            SELECT r.doc_id, CASE WHEN e.x = r.seen THEN e.y ELSE e.x END FROM r JOIN e ON e.x = r.seen OR e.y = r.seen),
+        c AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY 1)
+        SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept
+        FROM c LEFT JOIN n USING (doc_id)""",
     "op8_decontamination": r"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
