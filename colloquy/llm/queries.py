@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import archive, decontaminate, html_text, language, neardup, packing, quality, toxicity
+from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, toxicity
 from colloquy.llm.common import id_remainder
 from colloquy.tables import table
 
@@ -45,6 +45,13 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, threshold=80)
 
 
+def op6_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.train_lm(documents, id_remainder("doc_id", 10) != 0)
+    scored = lm.score_lm(documents, model)
+    return scored.withColumn("held_out", id_remainder("doc_id", 10) == 0)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find_contamination(documents, table(spark, sf_dir, "benchmark")).drop("text")
@@ -60,7 +67,7 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op5_minhash_near_dedup, op8_decontamination, op9_html_extraction, op10_warc_archive,
+    op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op5_minhash_near_dedup, op6_pitman_yor_lm, op8_decontamination, op9_html_extraction, op10_warc_archive,
 )}
 
 ORACLES: dict[str, str] = {
