@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, toxicity
+from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, search, toxicity
 from colloquy.llm.common import id_remainder
 from colloquy.tables import table
 
@@ -52,6 +52,13 @@ def op6_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", id_remainder("doc_id", 10) == 0)
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query set is every benchmark row whose id is divisible by 20, searched in all documents."""
+    index = search.build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    asked = table(spark, sf_dir, "benchmark").where(F.col("item_id") % 20 == 0).select(F.col("item_id").alias("query_id"), "text")
+    return search.search(index, asked, k=10).withColumn("score", F.round("score", 6))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find_contamination(documents, table(spark, sf_dir, "benchmark")).drop("text")
@@ -67,7 +74,7 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op5_minhash_near_dedup, op6_pitman_yor_lm, op8_decontamination, op9_html_extraction, op10_warc_archive,
+    op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op5_minhash_near_dedup, op6_pitman_yor_lm, op7_topk_search, op8_decontamination, op9_html_extraction, op10_warc_archive,
 )}
 
 ORACLES: dict[str, str] = {
@@ -89,6 +96,26 @@ ORACLES: dict[str, str] = {
         c AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY 1)
         SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept
         FROM c LEFT JOIN n USING (doc_id)""",
+    "op7_topk_search": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        q AS (
+            SELECT query_id, t, count(*) AS times FROM (
+                SELECT item_id AS query_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t
+                FROM benchmark WHERE item_id % 20 = 0) GROUP BY 1, 2),
+        n AS (SELECT count(*) AS n, avg(len(w)) AS mean_len FROM d),
+        p AS (SELECT doc_id, t, count(*) AS tf, any_value(dl) AS dl
+              FROM (SELECT doc_id, len(w) AS dl, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY 1, 2),
+        f AS (SELECT t, count(*) AS df FROM p GROUP BY 1),
+        s AS (
+            SELECT query_id, doc_id, sum(times * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / mean_len))) AS score
+            FROM q JOIN p USING (t) JOIN f USING (t), n GROUP BY 1, 2),
+        r AS (SELECT query_id, doc_id, round(score, 6) AS score,
+                     row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s)
+        SELECT query_id, rank, doc_id, score FROM r WHERE rank <= 10""",
     "op8_decontamination": r"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
