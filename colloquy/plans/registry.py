@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from colloquy.plans import turns  # noqa: F401
+from colloquy.plans.base import ORACLES, QUERIES  # noqa: F401
