@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from colloquy.plans import turns, windows  # noqa: F401
+from colloquy.plans import joins, turns, windows  # noqa: F401
 from colloquy.plans.base import ORACLES, QUERIES  # noqa: F401
