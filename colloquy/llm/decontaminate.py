@@ -2,13 +2,14 @@
 
 A benchmark item is cut into windows of ten consecutive words. A window can occur in a document only
 if all its word shingles do, so one necessary shingle is enough to find every occurrence: the
-rarest, by its count in the documents. Documents' shingles that the benchmark has at all are found
-once; windows with a shingle that no document has fall away; the prefix join takes each
-remaining window's rarest shingle; length and position bounds drop places where the window cannot
-stand; and the survivors are compared word by word with the text.
-
-Shingles of the benchmark, and candidate places, are broadcast only after their size is checked;
-beyond that both joins are shuffled.
+rarest, by its count in the documents. The documents are read once, for the places of those of their
+shingles that the benchmark has at all. Windows with a shingle that no document has fall away; the
+prefix join takes each remaining window's rarest shingle; length and position bounds drop places
+where the window cannot stand; and a place is an occurrence if all the window's shingles, compared
+as text, follow one another from it.
+
+The benchmark's shingles are broadcast only after their number is checked, and joined in a shuffle
+beyond that; all else is joined by shuffles of the found places at every size.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from colloquy.session import Scratch
 WINDOW = 10
 SHINGLE = 3
 BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 32 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -29,17 +29,18 @@ BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def words(text: Column) -> Column:
     """Words of a text after lower-casing A-Z; none for null."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.filter(F.split(lowered, BETWEEN_WORDS), lambda w: w != "")
-
-
-def _shingle_at(tokens: Column, at: Column, size: int) -> Column:
-    return F.xxhash64(*[F.get(tokens, at + k) for k in range(size)])
+    return F.array_remove(F.split(lowered, BETWEEN_WORDS), "")
 
 
 def _shingles(tokens: Column, size: int) -> Column:
+    """Runs of size tokens joined by spaces, which no token holds; none if there are fewer tokens."""
     last = F.size(tokens) - size
     at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda k: _shingle_at(tokens, k, size))
+    return F.transform(at, lambda k: F.concat_ws(" ", *[F.get(tokens, k + j) for j in range(size)]))
+
+
+def _placed_shingles(tokens: Column, size: int) -> Column:
+    return F.transform(_shingles(tokens, size), lambda h, k: F.struct(F.lit(size).alias("size"), k.alias("pos"), h.alias("h")))
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -61,64 +62,88 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """documents' columns with n_words, n_hit, n_items, items_sha256 and contaminated added.
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, k1, k2) of every row of documents.
 
     A word is hit if it stands in an occurrence of any window. A null or wordless text has 0 words
-    and no hits; rows with equal texts, and so repeated rows, get equal results; with an empty
-    benchmark nothing is hit. Added columns replace documents' own of those names.
+    and no hits; repeated rows come out as often as they are; a null doc_id stays null; with an empty
+    benchmark nothing is hit. Extra columns are not read. k1 and k2 are hashes of the text.
     """
     scratch = Scratch(documents.sparkSession, "decontaminate")
     windows = scratch.save(item_windows(benchmark, window))
     sizes = sorted(r[0] for r in windows.select(F.least("n", F.lit(shingle))).distinct().collect())
-    added = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    rest = [c for c in documents.columns if c not in added]
-
-    of_window = None  # (window_id, n, k, h): shingle h at place k of a window
+    wanted = scratch.save(_all_shingles(windows, sizes, shingle))
+    asked = wanted.select("size", "h").distinct().unionAll(wanted.sparkSession.createDataFrame([(0, "")], "size int, h string"))
+    if asked.count() <= BROADCAST_ROWS:
+        asked = F.broadcast(asked)
+
+    # One row at place -1 for each document, whatever it holds, and one for each of its places with a shingle of the benchmark.
+    row = F.monotonically_increasing_id().alias("row")  # stays, because the found places are written
+    texts = documents.select(row, "doc_id", *text_key(), words(F.col("text")).alias("w"))
+    none = F.struct(F.lit(0).alias("size"), F.lit(-1).alias("pos"), F.lit("").alias("h"))
+    parts = [F.array(none)]
     for size in sizes:
-        part = windows.where(F.least("n", F.lit(shingle)) == size).select(
-            "window_id", "n", F.posexplode(_shingles(F.col("tokens"), size)).alias("k", "h")
-        )
-        of_window = part if of_window is None else of_window.unionAll(part)
-    key = [F.xxhash64("text").alias("k1"), F.hash("text").alias("k2")]
-    candidates = None
-    if of_window is not None:
-        of_window = scratch.save(of_window)
-        wanted = of_window.select("h").distinct()
-        if wanted.count() <= BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)
-        tokens = documents.where(F.col("text").isNotNull()).select(*key, words(F.col("text")).alias("w"))
-        found = None
-        for size in sizes:
-            places = tokens.select("k1", "k2", F.size("w").alias("n_words"), F.posexplode(_shingles(F.col("w"), size)).alias("pos", "h"))
-            hits = places.join(wanted, "h")
-            found = hits if found is None else found.unionAll(hits)
-        found = scratch.save(found)
-        counts = found.groupBy("h").agg(F.count("*").alias("seen"))
-        ranked = of_window.join(counts, "h", "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
-        prefix = ranked.groupBy("window_id", "n").agg(F.min(F.struct("seen", "k", "h")).alias("p"))
-        prefix = prefix.where("p.seen > 0").select("window_id", "n", F.col("p.k").alias("k"), F.col("p.h").alias("h"))
-        start = F.col("pos") - F.col("k")
-        within = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
-        placed = found.join(prefix, "h").where(within).select("k1", "k2", start.alias("start"), "window_id").distinct()
-        full = placed.join(windows, "window_id").select("k1", "k2", F.struct("start", "n", "tokens", "items").alias("c"))
-        candidates = scratch.save(full.groupBy("k1", "k2").agg(F.collect_list("c").alias("places")))
-        size_of = "aggregate(places, 64L, (a, c) -> a + 64L + 16L * c.n + 24L * size(c.items))"
-        total = candidates.agg(F.sum(F.expr(size_of))).first()[0] or 0
-        if total <= BROADCAST_BYTES:
-            candidates = F.broadcast(candidates)
-
-    out = documents.select(*rest, *key, words(F.col("text")).alias("w"))
-    if candidates is None:
-        out = out.withColumn("places", F.lit(None).cast("array<struct<start:int,n:int,tokens:array<string>,items:array<string>>>"))
-    else:
-        # Texts without candidates are most; the join keeps every row.
-        out = out.join(candidates, ["k1", "k2"], "left")
-    true = F.filter("places", lambda c: F.slice("w", c["start"] + 1, c["n"]) == c["tokens"])
-    out = out.select(*rest, F.size("w").cast("long").alias("n_words"), F.coalesce(true, F.array()).alias("true"))
-    hit = F.array_distinct(F.flatten(F.transform("true", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1))))
-    items = F.array_sort(F.array_distinct(F.flatten(F.transform("true", lambda c: c["items"]))))
-    out = out.select(*rest, "n_words", F.size(hit).cast("long").alias("n_hit"), items.alias("items"))
+        parts.append(_placed_shingles(F.col("w"), size))
+    places = texts.select("row", "doc_id", "k1", "k2", F.size("w").alias("n_words"), F.inline(F.concat(*parts)))
+    found = scratch.save(places.join(asked, ["size", "h"]))
+
+    hits = found.where("pos >= 0").select("row", "size", "pos", "h", "n_words")
+    counts = hits.groupBy("size", "h").agg(F.count("*").alias("seen"))
+    ranked = wanted.join(counts, ["size", "h"], "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
+    prefix = ranked.groupBy("window_id", "n", "size").agg(F.min(F.struct("seen", "k", "h")).alias("p")).where("p.seen > 0")
+    prefix = prefix.join(windows, ["window_id", "n"]).select(
+        "n", "size", F.col("p.k").alias("k"), F.col("p.h").alias("h"), _sized(F.col("tokens"), sizes, shingle).alias("run"), "items"
+    )
+    start = F.col("pos") - F.col("k")
+    within = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
+    placed = hits.join(prefix, ["size", "h"]).where(within).select("row", "size", F.struct(start.alias("start"), "n", "run", "items").alias("c"))
+    placed = placed.groupBy("row", "size").agg(F.collect_list("c").alias("cs"))
+    # A document's places in order: no more than it has words.
+    lined = hits.groupBy("row", "size").agg(F.array_sort(F.collect_list(F.struct("pos", "h"))).alias("ps"))
+    met = placed.join(lined.withColumn("at", F.transform("ps", lambda x: x["pos"])).withColumn("hs", F.transform("ps", lambda x: x["h"])), ["row", "size"])
+    # Places are consecutive where the hashes of a run are; the run's own places must be, too.
+    first = lambda c: F.array_position("at", c["start"]).cast("int")
+    stands = lambda c: (
+        (first(c) > 0)
+        & (F.slice("hs", F.greatest(first(c), F.lit(1)), F.size(c["run"])) == c["run"])
+        & F.get("at", first(c) + F.size(c["run"]) - 2).eqNullSafe(c["start"] + F.size(c["run"]) - 1)
+    )
+    true = met.select("row", F.explode(F.filter("cs", stands)).alias("c"))
+    of_row = true.groupBy("row").agg(F.collect_list(F.struct("c.start", "c.n")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("c.items"))).alias("items"))
+    covered = F.flatten(F.transform("spans", lambda x: F.sequence(x["start"], x["start"] + x["n"] - 1)))
+    of_row = of_row.select("row", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), F.array_sort("items").alias("items"))
+
+    out = found.where("pos < 0").join(of_row, "row", "left")
+    n_hit, items = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
-        *rest, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "k1", "k2",
     )
+
+
+def text_key() -> list[Column]:
+    """Two hashes that stand for a text where rows are found again; together 96 bits."""
+    return [F.xxhash64("text").alias("k1"), F.hash("text").alias("k2")]
+
+
+def _sized(tokens: Column, sizes: list[int], shingle: int) -> Column:
+    """A window's shingles: of the usual size, or one of all its words if it has fewer."""
+    out = F.array().cast("array<string>")
+    for size in sizes:
+        fits = F.size(tokens) >= size if size == shingle else F.size(tokens) == size
+        out = F.when(fits, _shingles(tokens, size)).otherwise(out)
+    return out
+
+
+def _all_shingles(windows: DataFrame, sizes: list[int], shingle: int) -> DataFrame:
+    """(window_id, n, size, k, h): shingle h at place k of every window."""
+    return windows.select(
+        "window_id", "n", F.least("n", F.lit(shingle)).alias("size"), F.posexplode(_sized(F.col("tokens"), sizes, shingle)).alias("k", "h")
+    )
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """documents without the rows whose text holds a window of the benchmark."""
+    gone = find_contamination(documents, benchmark).where("contaminated").select("k1", "k2").distinct()
+    keyed = documents.select("*", *[c.alias(f"_{k}") for c, k in zip(text_key(), ("k1", "k2"), strict=True)])
+    left = keyed.join(gone.hint("merge"), (keyed["_k1"] == gone["k1"]) & (keyed["_k2"] == gone["k2"]), "left_anti")
+    return left.select(*documents.columns)

@@ -61,7 +61,7 @@ def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontaminate.find_contamination(documents, table(spark, sf_dir, "benchmark")).drop("text")
+    return decontaminate.find_contamination(documents, table(spark, sf_dir, "benchmark")).drop("k1", "k2")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

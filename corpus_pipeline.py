@@ -39,8 +39,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten consecutive words of a benchmark item."""
-    marked = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return marked.where(~F.col("contaminated")).select(*docs.columns)
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
