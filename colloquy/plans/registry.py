@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from colloquy.plans import aggregates, dedup, joins, texts, turns, windows  # noqa: F401
+from colloquy.plans import aggregates, dedup, joins, texts, turns, vectors, windows  # noqa: F401
 from colloquy.plans.base import ORACLES, QUERIES  # noqa: F401
