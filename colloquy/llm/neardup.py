@@ -4,13 +4,13 @@
    id stands for it from then on, so exact copies are never compared.
 2. Each class gets one minimum for each of BANDS * ROWS hash functions. The minima of a band make its
    key; the low BITS of all of them, packed into longs, make the signature.
-3. Within a band, every class is paired with the smallest class of its key (a star, so that a key
-   shared by n classes makes n - 1 pairs, not n squared). The similarity estimated from equal bits,
-   corrected for chance collisions, drops pairs that cannot be links; the rest are confirmed on
-   their full sets.
-4. Components of the confirmed links are formed. Pairs of classes that share a key but stand in
-   different components are then compared in full, so that the star loses no link: inside one
-   component a further link would change nothing.
+3. Within a band, every class is paired with one pivot of its key, chosen by hash (a star, so that a
+   key shared by n classes makes n - 1 pairs, not n squared). The similarity estimated from equal
+   bits, corrected for chance collisions, drops pairs that cannot be links; the rest are confirmed
+   on their full sets, and the links' components are formed.
+4. Keys whose classes still stand in several components are gone through in full, so that the stars
+   lose no link: classes that such keys connect are dealt into blocks, and every pair of blocks is
+   compared in a task of its own, which gives back only confirmed links between components.
 
 With 32 bands of 5 rows a pair of similarity 0.8 meets in no band once in 300,000 times, one of 0.85
 once in 30 million times.
@@ -34,6 +34,8 @@ from colloquy.session import Scratch
 SHINGLE = 5
 THRESHOLD = 80
 BANDS, ROWS, BITS = 32, 5, 2
+#: Classes in a block of step 4; a task holds two blocks of sets.
+BLOCK = 512
 #: A pair whose estimate lies this far below the threshold is no link: 6 standard deviations at 0.8.
 SLACK = 0.24
 
@@ -128,6 +130,74 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return met.where(100 * F.col("both") >= threshold * (F.size("a") + F.size("b") - F.col("both"))).select("src", "dst")
 
 
+def _across(located: DataFrame, bits: DataFrame, sets_of, least: float, threshold: int) -> DataFrame:
+    """Links (src, dst) between components, among classes that keys connect.
+
+    located: (rep, low, component), low being the pivot of one of rep's keys. A cluster of n classes
+    makes ceil(n / BLOCK) blocks and a task for each pair of them; every class goes to as many tasks as
+    there are blocks. Within a task, pairs come in order of their estimate, and pairs whose
+    components have met there need no comparison.
+    """
+    clusters = connected_components(located.select(F.col("rep").alias("src"), F.col("low").alias("dst")))
+    members = located.groupBy("rep").agg(F.first("component").alias("component")).join(clusters.withColumnRenamed("node", "rep").withColumnRenamed("component", "cluster"), "rep")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    members = members.join(sizes.select("cluster", blocks.alias("m")), "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
+    full = members.join(bits, "rep").join(sets_of(members.select("rep", F.col("rep").alias("src"), F.col("rep").alias("dst"))), "rep")
+    other = F.explode(F.sequence(F.lit(0), F.col("m") - 1))
+    dealt = full.withColumn("other", other).select(
+        "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "bits", "hashes"
+    )
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        block, rep = rows["block"].to_numpy(), rows["rep"].to_numpy()
+        component = rows["component"].to_numpy()
+        packed = np.stack(rows["bits"].to_numpy(zero_copy_only=False)).view(np.uint64)
+        hashes = rows["hashes"].combine_chunks()
+        sizes = np.diff(hashes.offsets.to_numpy())
+        sets: dict[int, set] = {}
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        def full_set(k: int) -> set:
+            if k not in sets:
+                sets[k] = set(hashes[k].values.to_numpy().tolist())
+            return sets[k]
+
+        a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        pairs = []
+        ones = np.uint64(int("01" * (64 // BITS), 2))
+        chance = 1.0 / (1 << BITS)
+        for k in a:
+            x = packed[b] ^ packed[k]
+            different = np.bitwise_count((x | (x >> np.uint64(1))) & ones).sum(axis=1)
+            estimate = (1 - different / _HASHES - chance) / (1 - chance)
+            near = (estimate >= least) & (component[b] != component[k]) & (100 * np.minimum(sizes[b], sizes[k]) >= threshold * np.maximum(sizes[b], sizes[k]))
+            if i == j:
+                near &= b > k
+            at = np.flatnonzero(near)
+            pairs.append(np.stack([estimate[at], np.full(len(at), k), b[at]], axis=1))
+        found = []
+        table = np.concatenate(pairs) if pairs else np.empty((0, 3))
+        for _, x, y in table[np.argsort(-table[:, 0], kind="stable")]:
+            x, y = int(x), int(y)
+            p, q = find(int(component[x])), find(int(component[y]))
+            if p != q:
+                both = len(full_set(x) & full_set(y))
+                if 100 * both >= threshold * (int(sizes[x]) + int(sizes[y]) - both):
+                    root[p] = q
+                    found.append((int(rep[x]), int(rep[y])))
+        return pa.table([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], schema=schema)
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(run, "src long, dst long")
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of documents (doc_id, text).
 
@@ -149,7 +219,8 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int
 
     bits = classes.select("rep", "bits")
     banded = classes.select("rep", F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("rep").alias("low"), F.count("*").alias("n")).where("n > 1")
+    pivot = F.min(F.struct(F.xxhash64("rep", "key"), "rep"))["rep"]
+    shared = banded.groupBy("key").agg(pivot.alias("low"), F.count("*").alias("n")).where("n > 1")
     members = scratch.save(banded.join(shared.select("key", "low"), "key").select("key", "low", "rep"))
     stars = members.where("rep <> low").select("rep", "low").distinct()
     heads = bits.select(F.col("rep").alias("low"), F.col("bits").alias("low_bits"))
@@ -179,17 +250,12 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int
     links = scratch.save(_confirmed(pairs, scratch.save(sets_of(pairs)), threshold))
     joined = connected_components(links)
     located = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    # Keys whose members stand in several components, and there all pairs across them that the bits allow.
     mixed = located.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n"))
-    located = scratch.save(located.join(mixed.where("c0 <> c1 and n > 2").select("key"), "key").join(bits, "rep").select("key", "rep", "low", "component", "bits"))
-    a, b = located.alias("a"), located.alias("b")
-    across = a.join(
-        b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") > F.col("b.rep")) & (F.col("a.component") != F.col("b.component"))
-        & (F.col("b.rep") != F.col("b.low")) & (_estimate(F.col("a.bits"), F.col("b.bits")) >= least),
-    ).select(F.col("a.rep").alias("src"), F.col("b.rep").alias("dst")).distinct()
-    across = scratch.save(across)
-    if not across.isEmpty():
-        more = scratch.save(_confirmed(across, scratch.save(sets_of(across)), threshold))
+    # A key of two classes is settled: its pair was a star.
+    open_keys = located.join(mixed.where("c0 <> c1 and n > 2").select("key"), "key").select("rep", "low", "component")
+    open_keys = scratch.save(open_keys.distinct())
+    if not open_keys.isEmpty():
+        more = scratch.save(_across(open_keys, bits, sets_of, least, threshold))
         joined = connected_components(links.unionAll(more))
     repeated = usable.groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x <> y")
     if not repeated.isEmpty():  # an id with several texts ties their classes together
