@@ -221,17 +221,17 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int
     banded = classes.select("rep", F.explode("keys").alias("key"))
     pivot = F.min(F.struct(F.xxhash64("rep", "key"), "rep"))["rep"]
     shared = banded.groupBy("key").agg(pivot.alias("low"), F.count("*").alias("n")).where("n > 1")
-    members = scratch.save(banded.join(shared.select("key", "low"), "key").select("key", "low", "rep"))
+    members = scratch.save(banded.join(shared.select("key", "low").hint("shuffle_hash"), "key").select("key", "low", "rep"))
     stars = members.where("rep <> low").select("rep", "low").distinct()
     heads = bits.select(F.col("rep").alias("low"), F.col("bits").alias("low_bits"))
     least = threshold / 100 - SLACK
-    pairs = stars.join(bits, "rep").join(heads, "low").where(_estimate(F.col("bits"), F.col("low_bits")) >= least)
+    pairs = stars.join(bits.hint("shuffle_hash"), "rep").join(heads.hint("shuffle_hash"), "low").where(_estimate(F.col("bits"), F.col("low_bits")) >= least)
     pairs = scratch.save(pairs.select(F.col("rep").alias("src"), F.col("low").alias("dst")))
 
     def sets_of(found: DataFrame) -> DataFrame:
         """Full sets of the classes that stand in found pairs, from their texts."""
         needed = found.select(F.explode(F.array("src", "dst")).alias("rep")).distinct().join(classes.select("rep", "set_key"), "rep")
-        texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(needed, "rep")
+        texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(needed.hint("shuffle_hash"), "rep")
         schema = pa.schema([("rep", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,10 +249,10 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int
 
     links = scratch.save(_confirmed(pairs, scratch.save(sets_of(pairs)), threshold))
     joined = connected_components(links)
-    located = members.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    located = members.join(joined.withColumnRenamed("node", "rep").hint("shuffle_hash"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = located.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n"))
     # A key of two classes is settled: its pair was a star.
-    open_keys = located.join(mixed.where("c0 <> c1 and n > 2").select("key"), "key").select("rep", "low", "component")
+    open_keys = located.join(mixed.where("c0 <> c1 and n > 2").select("key").hint("shuffle_hash"), "key").select("rep", "low", "component")
     open_keys = scratch.save(open_keys.distinct())
     if not open_keys.isEmpty():
         more = scratch.save(_across(open_keys, bits, sets_of, least, threshold))
