@@ -36,10 +36,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         both = current.unionAll(current.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         low = both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("low"))
-        large = both.where("dst > src").join(low, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+        large = both.where("dst > src").join(low.hint("shuffle_hash"), "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
         large = large.where("src <> dst").distinct()
         low = large.groupBy("src").agg(F.min("dst").alias("low"))
-        joined = large.join(low, "src")
+        joined = large.join(low.hint("shuffle_hash"), "src")
         small = (
             joined.select(F.col("dst").alias("src"), F.col("low").alias("dst"))
             .unionAll(joined.select("src", F.col("low").alias("dst")))
