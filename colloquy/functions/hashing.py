@@ -33,14 +33,17 @@ def hash_shard(key: Column, shards: int) -> Column:
     return F.conv(F.substring(F.sha2(key.cast("string"), 256), 57, 8), 16, 10).cast("long") % shards
 
 
-@F.pandas_udf("string")
-def canonical_json_sha256(value: pd.Series) -> pd.Series:
-    """SHA-256 of JSON text with sorted keys and no spaces; null for what is no JSON."""
+def _canonical_digest(text: str | None) -> str | None:
+    try:
+        return hashlib.sha256(json.dumps(json.loads(text), ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    except (TypeError, ValueError):
+        return None
+
 
-    def digest(text: str | None) -> str | None:
-        try:
-            return hashlib.sha256(json.dumps(json.loads(text), ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
-        except (TypeError, ValueError):
-            return None
+def _digests(values: pd.Series) -> pd.Series:
+    return values.map(_canonical_digest)
 
-    return value.map(digest)
+
+def canonical_json_sha256(value: Column) -> Column:
+    """SHA-256 of JSON text with sorted keys and no spaces; null for what is no JSON."""
+    return F.pandas_udf(_digests, "string")(value)

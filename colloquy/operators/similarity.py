@@ -5,24 +5,30 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-@F.pandas_udf("double")
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio of two token lists; two empty lists are equal."""
+def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, list(x), list(y), autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("long")
-def longest_run(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Length of the longest run of tokens that two lists share."""
+def _longest(a: pd.Series, b: pd.Series) -> pd.Series:
     matches = (difflib.SequenceMatcher(None, list(x), list(y), autojunk=False).find_longest_match() for x, y in zip(a, b, strict=True))
     return pd.Series([m.size for m in matches], dtype="int64")
 
 
+def sequence_ratio(a: Column, b: Column) -> Column:
+    """Ratcliff-Obershelp ratio of two token lists; two empty lists are equal."""
+    return F.pandas_udf(_ratio, "double")(a, b)
+
+
+def longest_run(a: Column, b: Column) -> Column:
+    """Length of the longest run of tokens that two lists share."""
+    return F.pandas_udf(_longest, "long")(a, b)
+
+
 def jaccard_join(rows: DataFrame, ident: str, tokens: str, threshold: float) -> DataFrame:
     """(a, b, jaccard): pairs a < b of rows whose token sets reach the threshold.
 

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from colloquy.functions import text as T
@@ -21,7 +22,9 @@ FLAGS = ("uncertain_transcription", "suspicious_transcription", "overlap", "malf
 TERMINAL = r"([.!?…]|\[[^\]]*\])$"
 FRAGMENT = r"^(and|but|or|so|because|then|which|that|to|of|a|the)\b"
 
-BY_TURN = W.partitionBy("source_id").orderBy("idx")
+def by_turn() -> WindowSpec:
+    """Turns of a source in their order."""
+    return W.partitionBy("source_id").orderBy("idx")
 
 
 def timeline(conversations: DataFrame) -> DataFrame:
@@ -59,7 +62,7 @@ def bad_boundary(turns: DataFrame) -> Column:
 
 def annotate(turns: DataFrame) -> DataFrame:
     """turns with text_qa, bad and gap_ms (time since the previous turn, 0 at the start and never negative)."""
-    gap = F.greatest(F.lit(0), F.coalesce(F.col("start_ms") - F.lag("end_ms").over(BY_TURN), F.lit(0)))
+    gap = F.greatest(F.lit(0), F.coalesce(F.col("start_ms") - F.lag("end_ms").over(by_turn()), F.lit(0)))
     return turns.withColumn("text_qa", T.text_qa(F.col("text"))).withColumn("bad", bad_boundary(turns)).withColumn("gap_ms", gap)
 
 
@@ -86,16 +89,16 @@ def context_size(most: int = 3, max_gap_ms: int = 10_000) -> Column:
     max_gap_ms stands between it and the turn after it; those two are not asked of the nearest turn.
     """
     clean = lambda k: (
-        F.coalesce(~F.lag("identity", k).over(BY_TURN).isin(TARGETS), F.lit(False))
-        & ~F.coalesce(F.lag("bad", k).over(BY_TURN), F.lit(True))
-        & F.coalesce(F.lag("text_qa", k).over(BY_TURN) == "PASS", F.lit(False))
-        & F.coalesce(F.lag("asr_quality", k).over(BY_TURN) != "REVIEW", F.lit(False))
+        F.coalesce(~F.lag("identity", k).over(by_turn()).isin(TARGETS), F.lit(False))
+        & ~F.coalesce(F.lag("bad", k).over(by_turn()), F.lit(True))
+        & F.coalesce(F.lag("text_qa", k).over(by_turn()) == "PASS", F.lit(False))
+        & F.coalesce(F.lag("asr_quality", k).over(by_turn()) != "REVIEW", F.lit(False))
     )
-    quiet = lambda k: ~F.coalesce(F.lag("event_boundary", k).over(BY_TURN), F.lit(False))
+    quiet = lambda k: ~F.coalesce(F.lag("event_boundary", k).over(by_turn()), F.lit(False))
     holds, size = clean(1), F.lit(0)
     for k in range(1, most + 1):
         if k > 1:
-            near = F.coalesce(F.lag("gap_ms", k - 1).over(BY_TURN) <= max_gap_ms, F.lit(False))
+            near = F.coalesce(F.lag("gap_ms", k - 1).over(by_turn()) <= max_gap_ms, F.lit(False))
             holds = holds & clean(k) & quiet(k) & quiet(k - 1) & near
         size = size + holds.cast("int")
     return size
@@ -103,7 +106,7 @@ def context_size(most: int = 3, max_gap_ms: int = 10_000) -> Column:
 
 def continuation_reason(max_gap_ms: int = 1_500) -> Column:
     """Why an annotated turn continues the one before it (MERGE_...) or does not (SPLIT_..., UNCLEAR)."""
-    before = lambda c: F.lag(c).over(BY_TURN)
+    before = lambda c: F.lag(c).over(by_turn())
     previous, current = T.collapse(before("text")), T.collapse(F.col("text"))
     first = T.first_word(F.col("text"))
     event = F.coalesce(before("event_boundary"), F.lit(False)) | F.coalesce("event_boundary", F.lit(False))
@@ -127,9 +130,9 @@ def offered_continuations(most: int = 3) -> Column:
     """
     holds, offered = F.lit(True), F.lit(0)
     for k in range(1, most + 1):
-        holds = holds & F.coalesce(F.lead("identity", k).over(BY_TURN).isin(TARGETS), F.lit(False))
+        holds = holds & F.coalesce(F.lead("identity", k).over(by_turn()).isin(TARGETS), F.lit(False))
         offered = offered + holds.cast("int")
-        holds = holds & F.coalesce(F.lead("continuation", k).over(BY_TURN).startswith("MERGE"), F.lit(False))
+        holds = holds & F.coalesce(F.lead("continuation", k).over(by_turn()).startswith("MERGE"), F.lit(False))
     return offered
 
 
@@ -143,7 +146,7 @@ def seeds(turns: DataFrame, max_context: int = 3, max_gap_ms: int = 10_000, trig
         noted.withColumn("n_context", context_size(max_context, max_gap_ms))
         .withColumn("offered", offered_continuations())
         .withColumn("eligibility", target_eligibility())
-        .withColumn("before", F.collect_list(F.struct("idx", "turn_id", "text")).over(BY_TURN.rowsBetween(-max_context, -1)))
+        .withColumn("before", F.collect_list(F.struct("idx", "turn_id", "text")).over(by_turn().rowsBetween(-max_context, -1)))
     )
     kept = sized.where((F.col("eligibility") == "ELIGIBLE") & (F.col("n_context") > 0) & (F.col("gap_ms") <= trigger_gap_ms))
     context = F.slice("before", -F.col("n_context"), F.col("n_context"))
@@ -157,7 +160,7 @@ def seeds(turns: DataFrame, max_context: int = 3, max_gap_ms: int = 10_000, trig
 
 def merge_reason(max_ms: int = 45_000, tight_ms: int = 800, pause_ms: int = 2_500) -> Column:
     """Why a segment joins the one before it, seen from their times and texts alone."""
-    before = lambda c: F.lag(c).over(BY_TURN)
+    before = lambda c: F.lag(c).over(by_turn())
     gap = F.greatest(F.lit(0), F.col("start_ms") - before("end_ms"))
     words = F.size(F.filter(F.split(F.col("text"), r"\s+"), lambda w: w != ""))
     fragment = F.lower("text").rlike(FRAGMENT) | (words <= 3)
@@ -173,7 +176,7 @@ def merge_reason(max_ms: int = 45_000, tight_ms: int = 800, pause_ms: int = 2_50
 
 def islands(segments: DataFrame, starts: Column) -> DataFrame:
     """One row a run of segments; starts marks the first of each run."""
-    numbered = segments.withColumn("turn", F.sum(starts.cast("long")).over(BY_TURN) - 1)
+    numbered = segments.withColumn("turn", F.sum(starts.cast("long")).over(by_turn()) - 1)
     return numbered.groupBy("source_id", "turn").agg(
         F.min("idx").alias("first_idx"), F.count("*").alias("segments"), F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"),
         F.min_by("speaker", "idx").alias("speaker"), F.min_by("reason", "idx").alias("turn_boundary"),

@@ -82,13 +82,13 @@ def asof_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {SPANS}, p AS (SELECT * FROM spans WHERE event_type = 'purchase'), v AS (SELECT user_id, s AS seen_ms, max(event_id) AS seen FROM spans WHERE event_type = 'view' GROUP BY 1, 2)
-SELECT p.event_id, v.seen, v.seen_ms FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.s >= v.seen_ms""")
+SELECT p.event_id, v.seen, v.seen_ms FROM p ASOF JOIN v ON p.user_id = v.user_id AND p.s >= v.seen_ms""")
 def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last view before each purchase."""
+    """The last view before each purchase that has one."""
     rows = spans(spark, sf_dir)
     bought = rows.where("event_type = 'purchase'").select("user_id", "event_id", "s")
     seen = rows.where("event_type = 'view'").select("user_id", F.col("s").alias("seen_ms"), F.col("event_id").alias("seen"))
-    return O.asof_join(bought, seen, ["user_id"], "s", "seen_ms", ["seen"]).select("event_id", "seen", "seen_ms")
+    return O.asof_join(bought, seen, ["user_id"], "s", "seen_ms", ["seen"]).where("seen is not null").select("event_id", "seen", "seen_ms")
 
 
 @query(f"""WITH {SPANS}, e AS (SELECT * FROM spans WHERE event_type = 'error'), r AS (SELECT e.event_id, v.event_id AS nearest, v.s AS nearest_ms, row_number() OVER (PARTITION BY e.event_id ORDER BY abs(e.s - v.s), v.s) AS rn
@@ -202,7 +202,7 @@ SELECT conv_id, turn, round(CASE WHEN len(list_distinct(list_concat(w, b))) = 0
 FROM p WHERE b IS NOT NULL""")
 def disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each turn's words differ from the turn before."""
-    turns = _turns(spark, sf_dir).withColumn("old", F.lag("text").over(turn_ops.BY_TURN)).where("old is not null")
+    turns = _turns(spark, sf_dir).withColumn("old", F.lag("text").over(turn_ops.by_turn())).where("old is not null")
     sets = T.jaccard(F.array_distinct(T.tokens(F.col("text"))), F.array_distinct(T.tokens(F.col("old"))))
     return turns.select(
         F.col("source_id").cast("long").alias("conv_id"), F.col("idx").alias("turn"), F.round(sets, 6).alias("similarity"), T.disagreement(F.col("old"), F.col("text")).alias("class")

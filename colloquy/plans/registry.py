@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-from colloquy.plans import aggregates, dedup, joins, texts, turns, vectors, windows  # noqa: F401
+from colloquy.plans import (  # noqa: F401
+    aggregates, dedup, graphs, joins, samples, scans, states, streams, texts, turns, vectors, windows,
+)
 from colloquy.plans.base import ORACLES, QUERIES  # noqa: F401

@@ -164,8 +164,8 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def difflib_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence similarity of each turn's words to the turn before, and the longest common run."""
     from colloquy.operators.similarity import longest_run, sequence_ratio
-    from colloquy.operators.turns import BY_TURN
+    from colloquy.operators.turns import by_turn
 
-    rows = _turns(spark, sf_dir).withColumn("old", F.lag("text").over(BY_TURN)).where("old is not null")
+    rows = _turns(spark, sf_dir).withColumn("old", F.lag("text").over(by_turn())).where("old is not null")
     a, b = T.tokens(F.col("old")), T.tokens(F.col("text"))
     return rows.select("turn_id", F.round(sequence_ratio(a, b), 6).alias("ratio"), longest_run(a, b).alias("longest"))

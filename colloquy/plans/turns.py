@@ -109,7 +109,7 @@ FROM sized, generate_series(1, 3) AS g(k) WHERE k <= n_context""")
 def context_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All contiguous context suffixes of every turn, shortest first."""
     noted = O.annotate(_turns(spark, sf_dir)).withColumn("n", O.context_size())
-    ids = F.collect_list("turn_id").over(O.BY_TURN.rowsBetween(-3, -1))
+    ids = F.collect_list("turn_id").over(O.by_turn().rowsBetween(-3, -1))
     sized = noted.withColumn("ids", ids).where("n > 0").select("turn_id", "ids", F.explode(F.sequence(F.lit(1), "n")).alias("size"))
     return sized.select("turn_id", F.col("size").cast("long").alias("size"), F.array_join(F.slice("ids", -F.col("size"), F.col("size")), ",").alias("suffix"))
 
@@ -157,7 +157,7 @@ SELECT turn_id, array_to_string(list_sort(list_filter([
     CASE WHEN NOT regexp_matches(ctx, '{T.TRIGGER}') THEN 'NO_QUESTION_OR_EXPLICIT_TRIGGER_PATTERN' END], lambda x: x IS NOT NULL)), ',') AS flags
 FROM p WHERE ctx IS NOT NULL""")
 def risk_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _turns(spark, sf_dir).withColumn("ctx", F.lag("text").over(O.BY_TURN)).where("ctx is not null")
+    turns = _turns(spark, sf_dir).withColumn("ctx", F.lag("text").over(O.by_turn())).where("ctx is not null")
     return turns.select("turn_id", F.array_join(T.risk_flags(F.col("ctx"), F.col("text")), ",").alias("flags"))
 
 
@@ -168,8 +168,8 @@ SELECT source_id, message::BIGINT AS message, arg_min(speaker, idx) AS role, str
 def merged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbouring turns of one role as one message, joined by line ends; blank turns are left out."""
     turns = _turns(spark, sf_dir).withColumn("v", T.collapse(F.col("text"))).where("v <> ''")
-    change = ~F.col("speaker").eqNullSafe(F.lag("speaker").over(O.BY_TURN))
-    runs = turns.withColumn("message", F.sum(change.cast("long")).over(O.BY_TURN) - 1)
+    change = ~F.col("speaker").eqNullSafe(F.lag("speaker").over(O.by_turn()))
+    runs = turns.withColumn("message", F.sum(change.cast("long")).over(O.by_turn()) - 1)
     content = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "v"))), lambda x: x["v"]), "\n")
     return runs.groupBy("source_id", "message").agg(F.min_by("speaker", "idx").alias("role"), content.alias("content"))
 
@@ -190,7 +190,7 @@ SELECT turn_id, CASE WHEN pv IS NULL THEN 'REJECT' WHEN gap_ms > 10000 THEN 'REJ
 FROM w WHERE identity = 'TARGET_HIGH'""")
 def structural_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule judge of each target turn against the turn before it."""
-    noted = O.annotate(_turns(spark, sf_dir)).withColumn("pv", F.lag(T.collapse(F.col("text"))).over(O.BY_TURN)).where("identity = 'TARGET_HIGH'")
+    noted = O.annotate(_turns(spark, sf_dir)).withColumn("pv", F.lag(T.collapse(F.col("text"))).over(O.by_turn())).where("identity = 'TARGET_HIGH'")
     reject = F.col("pv").isNull() | (F.col("gap_ms") > 10_000) | (F.col("text_qa") != "PASS") | F.col("bad")
     label = (
         F.when(F.col("pv").isNull(), "UNCLEAR").when(F.col("gap_ms") > 10_000, "HIDDEN_TRIGGER_SUSPECTED").when(F.col("text_qa") != "PASS", "ASR_GARBAGE")

@@ -123,9 +123,9 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT source_id, count(*) AS turns, sum((v = pv AND length(v) >= 12)::INT)::BIGINT AS repeats FROM l GROUP BY 1""")
 def consecutive_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from colloquy.functions.text import norm
-    from colloquy.operators.turns import BY_TURN
+    from colloquy.operators.turns import by_turn
 
-    rows = _turns(spark, sf_dir).withColumn("v", norm(F.col("text"))).withColumn("pv", F.lag("v").over(BY_TURN))
+    rows = _turns(spark, sf_dir).withColumn("v", norm(F.col("text"))).withColumn("pv", F.lag("v").over(by_turn()))
     repeats = F.coalesce((F.col("v") == F.col("pv")) & (F.length("v") >= 12), F.lit(False))
     return rows.groupBy("source_id").agg(F.count("*").alias("turns"), F.sum(repeats.cast("long")).alias("repeats"))
 
