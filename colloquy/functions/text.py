@@ -216,3 +216,24 @@ def error_category(message: Column) -> Column:
         .when(m.rlike("forbidden|blocked|captcha"), "blocked")
         .otherwise("other")
     )
+
+
+def within_one_edit(a: Column, b: Column) -> Column:
+    """Whether one insertion, deletion or substitution at most turns a into b."""
+    return F.levenshtein(a, b, 1) >= 0
+
+
+def normalised_id(selected: Column, offered: Column) -> Column:
+    """The offered id that a selected one means, or null: itself; the only one equal but for case; the only one of equal ending within one edit."""
+    exact = F.array_contains(offered, selected)
+    folded = F.filter(offered, lambda x: F.lower(x) == F.lower(selected))
+    tail = F.substring(selected, -6, 6)
+    typo = F.filter(offered, lambda x: (F.substring(x, -6, 6) == tail) & within_one_edit(F.lower(x), F.lower(selected)))
+    return F.when(exact, selected).when(F.size(folded) == 1, F.get(folded, F.lit(0))).when(F.size(typo) == 1, F.get(typo, F.lit(0)))
+
+
+def boundary_echo(previous: Column, current: Column, most: int = 8, tail: int = 12) -> Column:
+    """Whether a turn's tokens, at most most, only repeat a run within the last tail tokens of the turn before."""
+    end = F.slice(previous, -F.least(F.size(previous), F.lit(tail)), F.lit(tail))
+    fits = F.size(current).between(1, most) & (F.size(previous) > 0)
+    return F.when(fits, contains_run(end, current)).otherwise(False)

@@ -169,3 +169,29 @@ def difflib_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _turns(spark, sf_dir).withColumn("old", F.lag("text").over(by_turn())).where("old is not null")
     a, b = T.tokens(F.col("old")), T.tokens(F.col("text"))
     return rows.select("turn_id", F.round(sequence_ratio(a, b), 6).alias("ratio"), longest_run(a, b).alias("longest"))
+
+
+@query("""WITH p AS (SELECT s_suppkey, s_name, lead(s_name) OVER (ORDER BY s_suppkey) AS following FROM supplier) SELECT s_suppkey, levenshtein(s_name, following) <= 1 AS near FROM p WHERE following IS NOT NULL""")
+def edit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each supplier's name is one edit from the name with the next key."""
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    following = rows.select((F.col("s_suppkey") - 1).alias("s_suppkey"), F.col("s_name").alias("following"))
+    return rows.join(following, "s_suppkey").select("s_suppkey", T.within_one_edit(F.col("s_name"), F.col("following")).alias("near"))
+
+
+@query("""SELECT c_custkey, CASE (c_custkey % 4)::INT WHEN 0 THEN c_name WHEN 1 THEN c_name WHEN 2 THEN c_name END AS resolved FROM customer""")
+def id_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names given exactly, in another case, with a typo or wrongly, resolved against three offers."""
+    name = F.col("c_name")
+    given = F.when(F.col("c_custkey") % 4 == 0, name).when(F.col("c_custkey") % 4 == 1, F.lower(name)).when(F.col("c_custkey") % 4 == 2, F.concat(F.lit("x"), name)).otherwise("nobody")
+    return table(spark, sf_dir, "customer").select("c_custkey", T.normalised_id(given, F.array(name, F.lit("Other 1"), F.lit("Other 2"))).alias("resolved"))
+
+
+@query(f"""WITH {TURNS}, t AS (SELECT *, regexp_extract_all(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), '[a-z0-9'']+') AS w FROM turns), p AS (SELECT *, lag(w) OVER (PARTITION BY source_id ORDER BY idx) AS b FROM t)
+SELECT turn_id, len(w) BETWEEN 1 AND 8 AND len(b) > 0 AND contains(' ' || array_to_string(b[-12:], ' ') || ' ', ' ' || array_to_string(w, ' ') || ' ') AS echo FROM p WHERE b IS NOT NULL""")
+def boundary_echoes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns that only repeat the end of the turn before."""
+    from colloquy.operators.turns import by_turn
+
+    rows = _turns(spark, sf_dir).withColumn("w", T.tokens(F.col("text"))).withColumn("b", F.lag("w").over(by_turn())).where("b is not null")
+    return rows.select("turn_id", T.boundary_echo(F.col("b"), F.col("w")).alias("echo"))
