@@ -235,6 +235,23 @@ def test_search_against_all_scores(spark, words):
         assert np.allclose([m[2] for m in mine], [w[1] for w in want])
 
 
+def test_search_takes_any_number_of_words_and_of_queries(spark, words, monkeypatch):
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.choices(words, k=rng.randrange(1, 40)))) for k in range(120)]
+    docs = documents(spark, rows)
+    asked = docs.where("doc_id % 2 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    index = search.build_index(docs, shard_postings=400)
+    run = lambda queries: {(r["query_id"], r["rank"]): (r["doc_id"], round(r["score"], 9)) for r in search.search(index, queries, k=3).collect()}
+    whole = run(asked)
+    assert len({q for q, _ in whole}) == 60
+    monkeypatch.setattr(search, "BLOCK_TERMS", 100)  # many blocks
+    assert run(asked) == whole
+    monkeypatch.undo()
+    strange = spark.createDataFrame([(1000, rows[5][1] + " " + " ".join(f"zz{j}" for j in range(200_500)))], "query_id long, text string")
+    one = spark.createDataFrame([(1000, rows[5][1])], "query_id long, text string")
+    assert run(strange) == run(one) != {}
+
+
 # Decontamination
 
 
