@@ -14,8 +14,10 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Up to so many customers the law is exact; beyond, later customers open tables at the Poisson rate of their order.
+#: Up to so many customers the law is taken from the Stirling numbers; beyond, from their large-c form (see tables).
 EXACT = 1024
+#: Up to this ratio of weight and discount the tables of many customers are few enough to continue the law from EXACT.
+FEW = 40
 _NARROW = 48
 
 
@@ -41,18 +43,56 @@ def uniforms(keys: np.ndarray, sweep: int) -> np.ndarray:
     return ((z >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
-def _beyond(c: np.ndarray, a: np.ndarray, u: np.ndarray) -> np.ndarray:
-    """Tables opened by the customers after the first EXACT ones: a normal draw at the Poisson rate."""
-    mean = a * np.log1p((c - EXACT) / (EXACT + a))
-    spread = np.sqrt(mean) * np.sqrt(3) / np.pi * np.log(u / (1 - u))
-    return np.clip(np.rint(mean + spread), 0, c - EXACT)
+def _shrink(c: np.ndarray, discount: float) -> np.ndarray:
+    """The factor on the weight of the law at EXACT customers that gives the law at c: about (EXACT / c) ** discount."""
+    shift = 1.5 * discount + 0.5
+    return ((EXACT - shift) / (np.maximum(c, EXACT) - shift)) ** discount
+
+
+def _poisson(mean: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Poisson draws by inversion; the means are at most FEW."""
+    out = np.zeros(len(mean))
+    p = np.exp(-mean)
+    below = p.copy()
+    for k in range(1, 4 * FEW):
+        more = u > below
+        if not more.any():
+            break
+        out += more
+        p = p * mean / k
+        below += p
+    return out
+
+
+def _many(c: np.ndarray, a: np.ndarray, u: np.ndarray, discount: float) -> np.ndarray:
+    """A normal draw at the saddle point of exp(a / d * (1 - (1 - x) ** d)), whose coefficients sum S(c, t) a**t / c!.
+
+    Tables are then Poisson and their sizes independent, given that these sum to c.
+    """
+    low, high = np.full(len(c), -80.0), np.zeros(len(c))
+    for _ in range(70):  # log(1 - x), of which a x (1 - x) ** (d - 1) falls
+        q = (low + high) / 2
+        above = np.log(a) + np.log(-np.expm1(q)) + (discount - 1) * q > np.log(c)
+        low, high = np.where(above, q, low), np.where(above, high, q)
+    q = (low + high) / 2
+    mean = a / discount * -np.expm1(discount * q)
+    x = -np.expm1(q)
+    sizes = c * (1 + (1 - discount) * x / np.exp(q))
+    spread = np.sqrt(np.maximum(mean - c**2 / sizes, 0)) * np.sqrt(3) / np.pi * np.log(u / (1 - u))
+    return np.clip(np.rint(mean + spread), 1, c)
 
 
 def tables(c: np.ndarray, a: np.ndarray, u: np.ndarray, discount: float) -> np.ndarray:
-    """One draw of the number of tables for each dish: customers c, weights a, uniform numbers u."""
+    """One draw of the number of tables for each dish: customers c, weights a, uniform numbers u.
+
+    With r(c, t) = S(c, t) / S(c, 1) the recursion is r(c + 1, t) - r(c, t) = (r(c, t - 1) - (t - 1) d r(c, t)) / (c - d).
+    For many customers it solves to this: t at c is t at EXACT with weight a s, s = (EXACT / c) ** d, plus
+    Poisson(a (1 - s) / d) more. Where tables are many (a > FEW d), they are drawn at the saddle point instead.
+    """
     stirling = log_stirling(discount)
     out = np.minimum(c, 1).astype(np.float64)
-    log_a = np.log(np.maximum(a, 1e-300))
+    shrink = _shrink(c, discount)
+    log_a = np.log(np.maximum(a * shrink, 1e-300))
     for low, high, step in ((2, _NARROW, 8192), (_NARROW + 1, EXACT, 512), (EXACT + 1, None, 512)):
         rows = np.flatnonzero((c >= low) if high is None else (c >= low) & (c <= high))
         width = min(high or EXACT, EXACT)
@@ -62,9 +102,11 @@ def tables(c: np.ndarray, a: np.ndarray, u: np.ndarray, discount: float) -> np.n
             law = stirling[np.minimum(c[at], EXACT), 1 : width + 1] + t * log_a[at, None]
             law = np.exp(law - law.max(axis=1, keepdims=True)).cumsum(axis=1)
             out[at] = 1 + (law < (u[at] * law[:, -1])[:, None]).sum(axis=1)
-    over = np.flatnonzero(c > EXACT)
-    if len(over):
-        out[over] += _beyond(c[over].astype(float), a[over], uniforms((u[over] * (1 << 62)).astype(np.int64), 7))
+    second = lambda at: uniforms((u[at] * (1 << 62)).astype(np.int64), 7)
+    few = np.flatnonzero((c > EXACT) & (a <= FEW * discount))
+    out[few] += _poisson(a[few] * (1 - shrink[few]) / discount, second(few))
+    many = np.flatnonzero((c > EXACT) & (a > FEW * discount))
+    out[many] = _many(c[many].astype(float), a[many], second(many), discount)
     return out
 
 
@@ -84,5 +126,5 @@ def tables_alike(c: np.ndarray, a: float, u: np.ndarray, discount: float) -> np.
             out[at] = 1 + np.searchsorted(law, u[at] * law[-1])
     over = np.flatnonzero(c > EXACT)
     if len(over):
-        out[over] += _beyond(c[over].astype(float), np.full(len(over), a), uniforms((u[over] * (1 << 62)).astype(np.int64), 7))
+        out[over] = tables(c[over], np.full(len(over), float(a)), u[over], discount)
     return out

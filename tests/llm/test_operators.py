@@ -183,6 +183,22 @@ def test_seating_law():
     assert 1 <= big[0] <= 5000
 
 
+@pytest.mark.parametrize("d", [0.1, 0.5])
+def test_tables_of_many_customers_follow_the_recursion(d):
+    t = np.arange(401)
+    log_s = np.where(t == 1, 0.0, -np.inf)
+    for c in range(1, 20_000):  # log S(c, t) - log c!, up to what does not depend on t
+        stay = log_s + np.log(np.maximum(c - t * d, 1e-300) / c)
+        log_s = np.concatenate([[-np.inf], np.logaddexp(stay[1:], log_s[:-1] - np.log(c))])
+        if c + 1 in (5_000, 20_000):
+            for a in (1.0, 10.0, 50.0):
+                law = np.exp(log_s + t * np.log(a) - (log_s + t * np.log(a)).max())
+                u = uniforms(np.arange(4000, dtype=np.int64), 1)
+                got = tables(np.full(4000, c + 1), np.full(4000, a), u, d)
+                assert abs(got.mean() / (law @ t / law.sum()) - 1) < 0.04
+                assert (tables_alike(np.full(4000, c + 1), a, u, d) == got).all()
+
+
 def test_lm_is_a_distribution_and_base_is_exact(spark, words):
     rng = random.Random(6)
     rows = [(k, " ".join(rng.choice(words[:60] if rng.random() < 0.8 else words) for _ in range(40))) for k in range(60)] + [(100, None), (101, "Unseen x"), (101, "Unseen x")]
