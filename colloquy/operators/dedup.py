@@ -30,6 +30,24 @@ def duplicate_groups(rows: DataFrame, key: Column, ident: str) -> DataFrame:
     return out.where("n > 1")
 
 
+def contained_runs(texts: DataFrame, group: list[str], n: int) -> DataFrame:
+    """(*group, short_id, short, long_id, long) of rows (*group, id, t), t being different tokens within a group: short stands in long.
+
+    A run stands in another only if each of its n-grams does, so each row meets those that hold its rarest n-gram in the group.
+    Rows have at least n tokens.
+    """
+    cut = F.transform(F.sequence(F.lit(1), F.size("t") - n + 1), lambda i: F.xxhash64(F.slice("t", i, n)))
+    grams = texts.select(*group, "id", F.size("t").alias("len"), F.explode(F.array_distinct(cut)).alias("g"))
+    often = grams.groupBy(*group, "g").agg(F.count("*").alias("rows"))
+    rarest = grams.join(often, [*group, "g"]).groupBy(*group, "id", "len").agg(F.min(F.struct("rows", "g")).alias("x"))
+    short = rarest.select(*group, F.col("x.g").alias("g"), F.col("id").alias("short_id"), F.col("len").alias("short_len"))
+    long = grams.select(*group, "g", F.col("id").alias("long_id"), "len")
+    pairs = short.join(long, [*group, "g"]).where("short_len < len").select(*group, "short_id", "long_id")
+    pairs = pairs.join(texts.select(*group, F.col("id").alias("short_id"), F.col("t").alias("short")), [*group, "short_id"])
+    pairs = pairs.join(texts.select(*group, F.col("id").alias("long_id"), F.col("t").alias("long")), [*group, "long_id"])
+    return pairs.where(T.contains_run(F.col("long"), F.col("short")))
+
+
 def contained_rows(rows: DataFrame, group: list[str], ident: str, tokens: str) -> DataFrame:
     """(removed_id, kept_id): rows whose tokens hold, or stand in, those of an earlier row of the group, kept or not.
 

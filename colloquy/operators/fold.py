@@ -11,6 +11,9 @@ from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from colloquy.operators.dedup import contained_runs
 
 
 def ordered_fold(rows: DataFrame, group: list[str], order: list[str], step: Callable[[pd.DataFrame], Iterable[tuple]], schema: str) -> DataFrame:
@@ -31,24 +34,26 @@ def _holds(longer: tuple, shorter: tuple) -> bool:
 def containment_fold(rows: DataFrame, least: int = 5) -> DataFrame:
     """(grp, id, kept_id): rows (grp, id, tokens) taken short first, then by id; kept_id is the kept row that stands in a removed one, null if kept.
 
-    Rows of fewer than least tokens are kept and remove nothing. Kept rows are found by their first three tokens.
-    """
+    Rows of fewer than least tokens (three at least) are kept and remove nothing. Of several kept rows that stand in a removed one, that counts
+    whose first three tokens come first in it, then the shorter, then the smaller id.
 
-    def step(part: pd.DataFrame) -> Iterable[tuple]:
-        part = part.assign(n=part["tokens"].map(len)).sort_values(["n", "id"], kind="stable")
-        starts: dict[tuple, list[tuple]] = {}
-        for grp, ident, tokens in zip(part["grp"], part["id"], part["tokens"], strict=True):
-            tokens = tuple(tokens)
-            found = None
-            if len(tokens) >= least:
-                grams = dict.fromkeys(tokens[k : k + 3] for k in range(len(tokens) - 2))
-                near = (x for g in grams for x in starts.get(g, ()))
-                found = next((other for other, kept in near if _holds(tokens, kept)), None)
-                if found is None:
-                    starts.setdefault(tokens[:3], []).append((ident, tokens))
-            yield grp, ident, found
-
-    return ordered_fold(rows, ["grp"], ["id"], step, "grp string, id long, kept_id long")
+    The fold needs no order of work: what stands in a removed row holds, or is, a kept one that stands in it too. So a row
+    is removed if any other stands in it, and of equal rows all but the one with the smallest id.
+    """
+    if least < 3:
+        raise ValueError("least must be 3 or more")
+    used = rows.where(F.size("tokens") >= least).select("grp", "id", F.col("tokens").alias("t"))
+    firsts = used.groupBy("grp", "t").agg(F.min("id").alias("first"))
+    held = contained_runs(firsts.select("grp", F.col("first").alias("id"), "t"), ["grp"], 3)
+    bare = held.select("grp", F.col("long_id").alias("short_id")).distinct()
+    starts = F.transform(F.sequence(F.lit(1), F.size("long") - 2), lambda i: F.slice("long", i, 3))
+    place = F.array_position(starts, F.slice("short", 1, 3))
+    best = held.join(bare, ["grp", "short_id"], "left_anti").groupBy("grp", F.col("long_id").alias("first"))
+    best = best.agg(F.min(F.struct(place.alias("place"), F.size("short").alias("n"), F.col("short_id").alias("id"))).alias("best"))
+    classes = firsts.join(best, ["grp", "first"], "left").select("grp", "t", "first", F.col("best.id").alias("by"))
+    found = used.join(classes, ["grp", "t"]).select("grp", "id", F.coalesce("by", F.when(F.col("id") != F.col("first"), F.col("first"))).alias("kept_id"))
+    rest = rows.where(F.coalesce(F.size("tokens"), F.lit(0)) < least).select("grp", "id", F.lit(None).cast("long").alias("kept_id"))
+    return found.unionByName(rest)
 
 
 def provenance_fold(rows: DataFrame, least: int = 8) -> DataFrame:

@@ -98,7 +98,7 @@ def first_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ordered_fold_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy containment dedup against kept rows, short ones first, in each source and language."""
-    rows = _documents(spark, sf_dir).select(F.concat_ws("|", "source", "lang", F.substring(F.md5(F.substring(T.norm(F.col("text")), 1, 20).cast("binary")), 1, 2)).alias("grp"), F.col("doc_id").alias("id"), T.tokens(F.col("text")).alias("tokens"))
+    rows = _documents(spark, sf_dir).select(F.concat_ws("|", "source", "lang").alias("grp"), F.col("doc_id").alias("id"), T.tokens(F.col("text")).alias("tokens"))
     return fold.containment_fold(rows)
 
 

@@ -10,6 +10,7 @@ from colloquy.functions import text as T
 from colloquy.operators import dedup, fold, joins, splits, turns, windows
 from colloquy.operators.families import capped_merge
 from colloquy.operators.graph import connected_components
+from colloquy.plans import registry
 from colloquy.sources import artifacts
 
 
@@ -100,6 +101,26 @@ def test_containment_fold_is_idempotent_and_ignores_order(spark):
     assert set(run([f for f in frame if got[f[1]] is None]).values()) == {None}
 
 
+def test_containment_fold_against_the_fold_in_order(spark):
+    rng = random.Random(2)
+    frame = [(rng.choice("gh"), k, [rng.choice("ab") for _ in range(rng.randrange(2, 14))]) for k in range(150)]
+    want, kept = {}, []
+    for grp, ident, tokens in sorted(frame, key=lambda r: (len(r[2]), r[1])):
+        holds = [(next(i for i in range(len(tokens)) if tokens[i : i + 3] == t[:3]), len(t), k) for g, k, t in kept if g == grp and f" {' '.join(t)} " in f" {' '.join(tokens)} "]
+        want[ident] = min(holds)[2] if holds and len(tokens) >= 5 else None
+        if len(tokens) >= 5 and not holds:
+            kept.append((grp, ident, tokens))
+    got = fold.containment_fold(spark.createDataFrame(frame, "grp string, id long, tokens array<string>")).collect()
+    assert {r["id"]: r["kept_id"] for r in got} == want and len(got) == 150
+
+
+def test_ordered_fold_dedup_compares_all_of_a_source_and_language(spark, tmp_path):
+    texts = [(1, "one two three four five", "en"), (2, "a text that opens otherwise: one two three four five", "en"), (3, "other words: one two three four five", "fr")]
+    rows = spark.createDataFrame([(k, t, lang, "s", len(t)) for k, t, lang in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["id"]: r["kept_id"] for r in registry.QUERIES["ordered_fold_dedup"](spark, str(tmp_path)).collect()} == {1: None, 2: 1, 3: None}
+
+
 def test_capped_merge_leaves_a_bridge(spark):
     edges = spark.createDataFrame([(1, 2, 5, 90.0), (2, 3, 4, 90.0), (8, 9, 1, 10.0)], "a long, b long, pairs long, overlap double")
     assert {(r["a"], r["b"]): r["state"] for r in capped_merge(edges, 2).collect()} == {(1, 2): "MERGED", (2, 3): "BRIDGE", (8, 9): "MERGED"}
