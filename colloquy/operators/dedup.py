@@ -37,12 +37,12 @@ def contained_runs(texts: DataFrame, group: list[str], n: int) -> DataFrame:
     Rows have at least n tokens.
     """
     cut = F.transform(F.sequence(F.lit(1), F.size("t") - n + 1), lambda i: F.xxhash64(F.slice("t", i, n)))
-    grams = texts.select(*group, "id", F.size("t").alias("len"), F.explode(F.array_distinct(cut)).alias("g"))
-    often = grams.groupBy(*group, "g").agg(F.count("*").alias("rows"))
-    rarest = grams.join(often, [*group, "g"]).groupBy(*group, "id", "len").agg(F.min(F.struct("rows", "g")).alias("x"))
-    short = rarest.select(*group, F.col("x.g").alias("g"), F.col("id").alias("short_id"), F.col("len").alias("short_len"))
-    long = grams.select(*group, "g", F.col("id").alias("long_id"), "len")
-    pairs = short.join(long, [*group, "g"]).where("short_len < len").select(*group, "short_id", "long_id")
+    grams = texts.select(*group, "id", F.size("t").alias("len"), F.explode(F.array_distinct(cut)).alias("_gram"))
+    often = grams.groupBy(*group, "_gram").agg(F.count("*").alias("_rows"))
+    rarest = grams.join(often, [*group, "_gram"]).groupBy(*group, "id", "len").agg(F.min(F.struct("_rows", "_gram")).alias("x"))
+    short = rarest.select(*group, F.col("x._gram").alias("_gram"), F.col("id").alias("short_id"), F.col("len").alias("short_len"))
+    long = grams.select(*group, "_gram", F.col("id").alias("long_id"), "len")
+    pairs = short.join(long, [*group, "_gram"]).where("short_len < len").select(*group, "short_id", "long_id")
     pairs = pairs.join(texts.select(*group, F.col("id").alias("short_id"), F.col("t").alias("short")), [*group, "short_id"])
     pairs = pairs.join(texts.select(*group, F.col("id").alias("long_id"), F.col("t").alias("long")), [*group, "long_id"])
     return pairs.where(T.contains_run(F.col("long"), F.col("short")))
@@ -51,16 +51,17 @@ def contained_runs(texts: DataFrame, group: list[str], n: int) -> DataFrame:
 def contained_rows(rows: DataFrame, group: list[str], ident: str, tokens: str) -> DataFrame:
     """(removed_id, kept_id): rows whose tokens hold, or stand in, those of an earlier row of the group, kept or not.
 
-    Pairs are made only of rows that share their rarest possible meeting point: a shorter run stands in
-    a longer one only if the longer has the shorter's first token, so candidates are joined on it.
+    Rows of equal tokens are one text in the comparison, and a text meets only those that hold its rarest token.
     """
     base = rows.where(F.size(tokens) > 0).select(*group, F.col(ident).alias("id"), F.col(tokens).alias("t"))
-    heads = base.select(*group, F.element_at("t", 1).alias("tok"), F.col("id").alias("short_id"), F.col("t").alias("short"))
-    every = base.select(*group, F.explode(F.array_distinct("t")).alias("tok"), F.col("id").alias("long_id"), F.col("t").alias("long"))
-    pairs = heads.join(every, [*group, "tok"]).where((F.col("short_id") != F.col("long_id")) & (F.size("short") <= F.size("long")))
-    held = pairs.where(T.contains_run(F.col("long"), F.col("short")))
-    both = held.select(F.greatest("short_id", "long_id").alias("removed_id"), F.least("short_id", "long_id").alias("kept_id"))
-    return both.groupBy("removed_id").agg(F.min("kept_id").alias("kept_id"))
+    firsts = base.groupBy(*group, "t").agg(F.min("id").alias("first"))
+    held = contained_runs(firsts.select(*group, F.col("first").alias("id"), "t"), group, 1)
+    near = held.select(*group, F.col("short_id").alias("first"), F.col("long_id").alias("near"))
+    near = near.unionByName(held.select(*group, F.col("long_id").alias("first"), F.col("short_id").alias("near")))
+    near = firsts.join(near.groupBy(*group, "first").agg(F.min("near").alias("near")), [*group, "first"], "left")
+    earliest = near.select(*group, "t", F.least("first", "near").alias("kept_id"))
+    both = base.join(earliest, [*group, "t"]).where(F.col("kept_id") < F.col("id"))
+    return both.groupBy(F.col("id").alias("removed_id")).agg(F.min("kept_id").alias("kept_id"))
 
 
 def prefix_pairs(rows: DataFrame, group: list[str], ident: str, text: str) -> DataFrame:

@@ -92,6 +92,31 @@ def test_containment_keeps_the_earlier(spark):
     assert [tuple(r) for r in dedup.contained_rows(rows, ["g"], "id", "t").collect()] == [(2, 1)]
 
 
+def test_containment_against_all_pairs_and_meets_on_rare_tokens(spark, monkeypatch):
+    rng = random.Random(3)
+    frame = [(rng.choice("gh"), k, [rng.choice("abc") for _ in range(rng.randrange(0, 9))]) for k in range(120)]
+    pad = lambda t: f" {' '.join(t)} "
+    want = {}
+    for (g, x, a), (h, y, b) in itertools.combinations(frame, 2):
+        if g == h and a and b and (pad(a) in pad(b) or pad(b) in pad(a)):
+            want[y] = min(x, want.get(y, x))
+    schema = "g string, id long, t array<string>"
+    assert {r["removed_id"]: r["kept_id"] for r in dedup.contained_rows(spark.createDataFrame(frame, schema), ["g"], "id", "t").collect()} == want
+    compared = spark.sparkContext.accumulator(0)
+
+    def hold(long, short):
+        @F.udf("boolean")
+        def f(a, b):
+            compared.add(1)
+            return pad(b) in pad(a)
+
+        return f(long, short)
+
+    monkeypatch.setattr(dedup.T, "contains_run", hold)
+    same_start = spark.createDataFrame([("g", k, ["the", f"w{k}", *["x"] * (k % 7)]) for k in range(60)], schema)
+    assert dedup.contained_rows(same_start, ["g"], "id", "t").count() == 0 and compared.value == 0
+
+
 def test_containment_fold_is_idempotent_and_ignores_order(spark):
     texts = ["one two three four five", "zero one two three four five six", "a b c d e f", "b c d e f", "short"]
     frame = [("g", k, t.split()) for k, t in enumerate(texts)]
