@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from colloquy.functions import text as T
 from colloquy.operators.windows import first_by
 
+HEAD = 8
+
 
 def exact_dedup(rows: DataFrame, key: list[Column], order: str) -> DataFrame:
     """rows with kept_id: the smallest order value of rows that share the key."""
@@ -65,14 +67,25 @@ def contained_rows(rows: DataFrame, group: list[str], ident: str, tokens: str) -
 
 
 def prefix_pairs(rows: DataFrame, group: list[str], ident: str, text: str) -> DataFrame:
-    """(shorter_id, longer_id): within a group, texts that begin another's.
+    """(shorter_id, longer_id): within a group, each text with the longest other that it begins with.
 
-    In text order all texts that a text begins stand right behind it; so the nearest text
-    before a row that begins it is found in one sorted pass, and chains are followed by later passes.
+    Equal texts form a chain by id; the first of them follows the last of the shorter text. Each text's beginnings are joined
+    by hash to whole texts: of the lengths that texts of its group have which share its first HEAD characters, and of all below HEAD.
     """
-    w = W.partitionBy(*group).orderBy(text, ident)
-    seen = rows.where(F.length(text) > 0).withColumn("_p", F.lag(text).over(w)).withColumn("_i", F.lag(ident).over(w))
-    return seen.where(F.startswith(F.col(text), F.col("_p"))).select(F.col("_i").alias("shorter_id"), F.col(ident).alias("longer_id"))
+    seen = rows.where(F.length(text) > 0).select(F.to_json(F.struct(*group)).alias("_g"), F.col(ident).alias("id"), F.col(text).alias("v"))
+    texts = seen.groupBy("_g", "v").agg(F.min("id").alias("first"), F.max("id").alias("last")).withColumn("n", F.length("v"))
+    head = F.substring("v", 1, HEAD)
+    sizes = texts.where(F.col("n") >= HEAD).groupBy("_g", head.alias("head")).agg(F.collect_set("n").alias("sizes"))
+    every = F.concat(F.array(*map(F.lit, range(1, HEAD))), F.coalesce("sizes", F.array().cast("array<int>")))
+    begun = texts.withColumn("head", head).join(sizes, ["_g", "head"], "left")
+    begun = begun.select("_g", "first", "v", F.explode(F.filter(every, lambda k: k < F.col("n"))).alias("n"))
+    begun = begun.withColumn("h", F.xxhash64(F.substring("v", F.lit(1), F.col("n"))))
+    whole = texts.select("_g", "n", F.xxhash64("v").alias("h"), F.col("v").alias("p"), "last")
+    nearest = begun.join(whole, ["_g", "n", "h"]).where(F.startswith("v", "p")).groupBy("_g", "first").agg(F.max(F.struct("n", "last")).alias("x"))
+    pairs = nearest.select(F.col("x.last").alias("shorter_id"), F.col("first").alias("longer_id"))
+    w = W.partitionBy("_g", "v").orderBy("id")
+    copies = seen.withColumn("shorter_id", F.lag("id").over(w)).where("shorter_id is not null")
+    return pairs.unionByName(copies.select("shorter_id", F.col("id").alias("longer_id")))
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, key: list[str], values: list[str]) -> DataFrame:

@@ -117,6 +117,13 @@ def test_containment_against_all_pairs_and_meets_on_rare_tokens(spark, monkeypat
     assert dedup.contained_rows(same_start, ["g"], "id", "t").count() == 0 and compared.value == 0
 
 
+@pytest.mark.parametrize("long", ["", "a common beginning "])
+def test_prefix_pairs_past_a_sibling(spark, long):
+    rows = [("g", 1, long + "A"), ("g", 2, long + "A b"), ("g", 3, long + "A c"), ("g", 4, long + "A c d"), ("g", 5, long + "A"), ("h", 6, long + "A b c"), (None, 7, long + "A"), (None, 8, long + "A c"), ("g", 9, "")]
+    got = dedup.prefix_pairs(spark.createDataFrame(rows, "g string, id long, v string"), ["g"], "id", "v").collect()
+    assert sorted(map(tuple, got)) == [(1, 5), (3, 4), (5, 2), (5, 3), (7, 8)]
+
+
 def test_containment_fold_is_idempotent_and_ignores_order(spark):
     texts = ["one two three four five", "zero one two three four five six", "a b c d e f", "b c d e f", "short"]
     frame = [("g", k, t.split()) for k, t in enumerate(texts)]
