@@ -1,6 +1,6 @@
 """Structured Streaming forms: sessions, trailing windows, duplicates and append-only logs.
 
-Late rows are those behind the watermark; late_rows() routes them to a sink of their own.
+Late rows are those behind the watermark; they are dropped, no sink of their own is rebuilt.
 """
 
 from __future__ import annotations
