@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.llm.common import slices
@@ -274,7 +275,17 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int
 
 
 def drop_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """documents without the rows that near_duplicates() does not keep; one row remains of rows that repeat a kept id."""
+    """documents without the rows that near_duplicates() does not keep; one row remains of rows that repeat a kept id.
+
+    Of such rows the first text remains. Rows without an id all remain.
+    """
     gone = near_duplicates(documents, shingle, threshold).where(~F.col("kept")).select("doc_id").distinct()
     left = documents.join(gone, documents["doc_id"].cast("long") == gone["doc_id"], "left_anti")
-    return left
+    ids = documents.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
+    repeated = ids.where("_rows > 1").select("_id")
+    if repeated.isEmpty():
+        return left
+    met = left["doc_id"] == repeated["_id"]
+    first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
+    one = left.join(repeated, met, "left_semi").withColumn("_place", first).where("_place = 1").drop("_place")
+    return left.join(repeated, met, "left_anti").unionByName(one)

@@ -116,6 +116,11 @@ def test_near_duplicates_of_odd_rows(spark, odd):
     assert neardup.drop_near_duplicates(odd).columns == odd.columns
 
 
+def test_one_row_remains_of_a_repeated_id(spark, odd):
+    left = neardup.drop_near_duplicates(odd)
+    assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 1, 2, 3, 4, 5, 7, 8] and left.columns == odd.columns
+
+
 # Language, quality, toxicity
 
 
