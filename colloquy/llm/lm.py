@@ -1,19 +1,26 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-Words, and an end token a document, are counted over all training documents. The model has
-
-* a restaurant for each of the most frequent words as context, and one for the start of a text;
-* their shared parent, which also seats the words that follow any other context;
-* one more restaurant for all words that are not among the most frequent: they are one dish of the
-  others, and which of them it is, is drawn here. Its base gives UNKNOWN_SHARE to any word that training
-  does not have and the rest evenly to those that it has.
-
-Numbers of tables are sampled by Gibbs sweeps that Spark runs over the tables of customers; after
-burn-in, predictive probabilities are averaged over the sweeps. Everything is a distribution over
-the training words and one unknown word, as the smoothed unigram base is.
-
-Sizes: what is broadcast is bounded by CONTEXTS, DISHES and LOOKED_UP. Every other word's count
-stays in a table that is joined to the documents' words.
+Every word that training has, and the start of a text, is a context with a restaurant of its own; all
+restaurants share one parent, whose dishes are the training words. The parent's base has no atoms: a word that
+training lacks is one more event, which gets all the mass that is left for new words. No context, word or
+pair of words is left out, however rare.
+
+The seating is sampled by a blocked Gibbs sampler whose blocks are independent, so that Spark can draw them in parallel:
+
+* the parent's masses given its customers (one for each table of the contexts): a Dirichlet draw with
+  parameters customers - discount for each word and strength + discount * words for new ones;
+* for each context an auxiliary x ~ Gamma(strength / discount + tables), which stands for the rising product
+  of the strength in the restaurant's probability (as in Teh's sampler of the strength);
+* given both, the pairs (context, word) are independent: c customers sit at t tables with probability in
+  proportion to S(c, t) * (discount * x * mass of the word) ** t.
+
+A sweep is one pass over the pairs that occur twice or more (one customer sits at one table) and gives back
+sums of tables by context and by word. After burn-in, predictive probabilities are averaged over the sweeps.
+Discounts come from the numbers of pairs (for the parent: of words) seen once and twice; strengths are STRENGTH.
+
+Sizes: broadcast are the most frequent words (at most top_words, in both roles) and the most frequent pairs
+of them (at most top_pairs). They only spare shuffles: all other words and pairs are tables, joined by
+key, and being rarer than these none of them is hot. The draws do not depend on either bound.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ import pickle
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +39,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.common import slices
-from colloquy.llm.seating import tables, tables_alike, uniforms
+from colloquy.llm.seating import gammas, mixed, tables, uniforms
 from colloquy.session import Scratch
 
-CONTEXTS, DISHES, LOOKED_UP = 256, 2048, 1 << 18
-BURN_IN, SAMPLES = 4, 4
+TOP_WORDS, TOP_PAIRS = 1 << 18, 1 << 19
+BURN_IN, SAMPLES = 3, 3
 STRENGTH = 1.0
-UNKNOWN_SHARE = 0.9
 CACHED = 300_000
+HELD = 2_000_000
 END = b"\n"  # no word can hold it
+START = 0  # as a context; the most frequent words are numbered from 1, all others are negative hashes
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -47,10 +56,12 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "replace").lower().split(), END]
 
 
-def _key(word: bytes) -> int:
-    """64 bits of a word's hash, as a signed number."""
-    x = xxhash.xxh3_64_intdigest(word)
-    return x - (1 << 64) if x >> 63 else x
+def word_hash(word: bytes) -> int:
+    """63 bits of a word's hash, as a negative number."""
+    return (xxhash.xxh3_64_intdigest(word) | 1 << 63) - (1 << 64)
+
+
+START_HASH = word_hash(b"\n\n")
 
 
 def count_words(documents: DataFrame) -> DataFrame:
@@ -60,7 +71,7 @@ def count_words(documents: DataFrame) -> DataFrame:
     def batch(counts: Counter) -> pa.RecordBatch:
         n = len(counts)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.fromiter(map(_key, counts), np.int64, n)), pa.array(np.fromiter(counts.values(), np.int64, n))], schema=schema
+            [pa.array(np.fromiter(map(word_hash, counts), np.int64, n)), pa.array(np.fromiter(counts.values(), np.int64, n))], schema=schema
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,59 +88,129 @@ def count_words(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-class _Codes(dict):
-    """word -> place among the most frequent words, or -1; worked out once a word."""
+def _most_frequent(counts: DataFrame, c: str, most: int) -> DataFrame:
+    """The rows with the largest c: as many whole classes of equal c as have at most most rows together.
+
+    The bound comes from the numbers of rows by c, so that nothing is sorted.
+    """
+    histogram = counts.groupBy(c).agg(F.count("*").alias("rows")).orderBy(F.desc(c)).limit(most + 1).toArrow()
+    values, rows = histogram[c].to_numpy(), histogram["rows"].to_numpy()
+    fits = int((np.cumsum(rows) <= most).sum())
+    return counts.where(F.col(c) > (int(values[fits]) if fits < len(values) else 0))
+
+
+class _Values(dict):
+    """word -> its number, or its hash if it is not among the most frequent; worked out once a word."""
 
     def __init__(self, hashes: np.ndarray):
         super().__init__()
-        self.places = {int(h): k for k, h in enumerate(hashes)}
+        self.numbers = {int(h): k + 1 for k, h in enumerate(hashes)}
 
     def __missing__(self, word: bytes) -> int:
-        code = self.places.get(_key(word), -1)
+        h = word_hash(word)
+        value = self.numbers.get(h, h)
         if len(self) >= CACHED:
             self.clear()
-        self[word] = code
-        return code
+        self[word] = value
+        return value
+
+    def pairs(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts, words and the number of tokens of each text, one text after the other."""
+        all_words = [tokens(x) for x in texts]
+        sizes = np.fromiter(map(len, all_words), np.int64, len(all_words))
+        w = np.fromiter(map(self.__getitem__, chain.from_iterable(all_words)), np.int64, int(sizes.sum()))
+        u = np.empty_like(w)
+        u[1:] = w[:-1]
+        u[np.cumsum(sizes) - sizes] = START
+        return u, w, sizes
+
+
+def _alike(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows with equal keys: the place of one of them, and how many they are."""
+    _, first, count = np.unique(keys[0] if len(keys) == 1 else mixed(*keys), return_index=True, return_counts=True)
+    return first, count
+
+
+def count_pairs(documents: DataFrame, top: np.ndarray) -> DataFrame:
+    """(u, w, c): customers of word w in the restaurant of context u; counted within tasks first."""
+    schema = pa.schema([("u", pa.int64()), ("w", pa.int64()), ("c", pa.int64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values = _Values(top)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            u, w = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            at, c = _alike(u, w)
+            for k in range(0, len(at), 50_000):
+                x = at[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(u[x]), pa.array(w[x]), pa.array(c[k : k + 50_000])], schema=schema)
+
+        n = 0
+        for part in slices(batches):
+            u, w, _ = values.pairs(part.column(0).to_pylist())
+            held.append((u, w))
+            n += len(u)
+            if n > HELD:
+                yield from flush()
+                n = 0
+        if held:
+            yield from flush()
+
+    pairs = documents.select("text").mapInArrow(run, "u long, w long, c long")
+    return pairs.groupBy("u", "w").agg(F.sum("c").alias("c"))
 
 
 @dataclass
 class PitmanYorModel:
-    """What scoring broadcasts, and the table of all counts.
+    """Everything learnt. Arrays have a row for each kept sweep and a column for each of the most frequent words (0: start).
 
-    top: hashes of the most frequent words; top_c their counts. log_p: log10 probabilities of the dishes
-    (the last is "another word") after each context, the start (row -2) and any other context (row -1).
-    rare_*: the restaurant of the other words, with the weight of each kept sweep.
+    x, mass: the draws that a sweep was seated with; t, n: the tables of each context and the parent's customers of each
+    word that it gave; totals: all customers of the parent. pair_*: the most frequent pairs and what
+    they add to the score over a pair that training lacks. contexts and words hold the same for the rest, pairs all pairs.
     """
 
-    counts: DataFrame = field(repr=False)
-    n: int
-    v: int
-    dishes: int
-    contexts: int
+    pairs: DataFrame = field(repr=False)
+    contexts: DataFrame = field(repr=False)
+    words: DataFrame = field(repr=False)
+    tokens: int
+    vocabulary: int
+    discount: float
+    parent_discount: float
     top: np.ndarray
     top_c: np.ndarray
-    log_p: np.ndarray
-    rare_n: float
-    rare_v: int
-    rare_discount: float
-    rare_weights: list[float]
-    rare_tables: list[float]
-
-    def base_known(self) -> float:
-        return (1 - UNKNOWN_SHARE) / self.rare_v if self.rare_v else 0.0
-
-    def rare_probability(self, h: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """Averaged probability of words given that they are none of the dishes; c = 0 is the unknown word."""
-        d, total = self.rare_discount, STRENGTH + self.rare_n
-        base = np.where(c > 0, self.base_known(), UNKNOWN_SHARE if self.rare_v else 1.0)
-        out = np.zeros(len(c))
-        for k, (a, t_all) in enumerate(zip(self.rare_weights, self.rare_tables, strict=True)):
-            t = tables_alike(c, a, uniforms(h, BURN_IN + k), d)
-            out += (c - d * t + (STRENGTH + d * t_all) * base) / total
-        return out / len(self.rare_weights)
+    customers: np.ndarray
+    x: np.ndarray
+    t: np.ndarray
+    mass: np.ndarray
+    n: np.ndarray
+    totals: np.ndarray
+    pair_keys: np.ndarray
+    pair_gains: np.ndarray
+    least_top: int
 
     def base_log(self, c: np.ndarray) -> np.ndarray:
-        return np.log10((c + 0.1) / (self.n + 0.1 * (self.v + 1)))
+        return np.log10((c + 0.1) / (self.tokens + 0.1 * (self.vocabulary + 1)))
+
+    def parent(self, n: np.ndarray) -> np.ndarray:
+        """The parent's probability of words, a row a sweep; n = 0 is a word that training lacks."""
+        fresh = STRENGTH + self.parent_discount * self.vocabulary
+        return np.where(n > 0, n - self.parent_discount, fresh) / (STRENGTH + self.totals[:, None])
+
+    def probability(self, c, seats, customers, t, parent) -> np.ndarray:
+        """Averaged over the sweeps: c customers of the word at seats tables in a restaurant of so many customers at t tables."""
+        own = np.maximum(c - self.discount * seats, 0)
+        return ((own + (STRENGTH + self.discount * t) * parent) / (STRENGTH + customers)).mean(axis=0)
+
+    def seats(self, c, hashes, x, mass) -> np.ndarray:
+        """The kept sweeps' tables of pairs, drawn again as they were."""
+        return np.stack([
+            tables(c, self.discount * x[k] * mass[k], uniforms(hashes, BURN_IN + k), self.discount) for k in range(SAMPLES)
+        ])
+
+    def context_hashes(self) -> np.ndarray:
+        return np.concatenate([[START_HASH], self.top]).astype(np.int64)
 
 
 def _discount(once: int | None, twice: int | None) -> float:
@@ -138,205 +219,322 @@ def _discount(once: int | None, twice: int | None) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
 
-def _restaurants(documents: DataFrame, top: np.ndarray, contexts: int, dishes: int) -> DataFrame:
-    """(u, w, c): customers of dish w in the restaurant of context u (contexts: start, contexts + 1: any other)."""
-    schema = pa.schema([("u", pa.int32()), ("w", pa.int32()), ("c", pa.int64())])
+def _drawn(shape: Column, key: str, stream: int) -> Column:
+    """Gamma draws for the rows of a table, by their key."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _Codes(top[:dishes])
-        cells = np.zeros((contexts + 2) * (dishes + 1), np.int64)
-        for part in slices(batches):
-            for text in part.column(0).to_pylist():
-                words = tokens(text)
-                w = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-                u = np.concatenate([[contexts], np.where((w[:-1] >= 0) & (w[:-1] < contexts), w[:-1], contexts + 1)])
-                np.add.at(cells, u * (dishes + 1) + np.where(w < 0, dishes, w), 1)
-        at = np.flatnonzero(cells)
-        for start in range(0, len(at), 50_000):
-            x = at[start : start + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((x // (dishes + 1)).astype(np.int32)), pa.array((x % (dishes + 1)).astype(np.int32)), pa.array(cells[x])], schema=schema
-            )
+    def draw(shape: pa.Array, key: pa.Array) -> pa.Array:
+        return pa.array(gammas(shape.to_numpy(), key.to_numpy(), stream))
+
+    return F.arrow_udf(draw, "double")(shape, F.col(key))
+
+
+def _twice(c: str, value: int) -> Column:
+    return F.sum((F.col(c) == value).cast("long"))
 
-    cells = documents.select("text").mapInArrow(run, "u int, w int, c long")
-    return cells.groupBy("u", "w").agg(F.sum("c").alias("c"))
 
+def _named(name: str) -> list[str]:
+    return [f"{name}{k}" for k in range(SAMPLES)]
 
-def train_lm(
-    documents: DataFrame, train: Column, contexts: int = CONTEXTS, dishes: int = DISHES, looked_up: int = LOOKED_UP
-) -> PitmanYorModel:
+
+def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, top_pairs: int = TOP_PAIRS) -> PitmanYorModel:
     """Learn from all rows of documents (doc_id, text) that satisfy train; a null text counts as empty.
 
-    Without training rows every token is the unknown word, of probability 1.
+    Repeated rows count as often as they are. Without training rows every token is a word that training lacks, of probability 1.
     """
-    spark = documents.sparkSession
-    scratch = Scratch(spark, "lm")
+    scratch = Scratch(documents.sparkSession, "lm")
     learnt = documents.where(train)
     counts = scratch.save(count_words(learnt))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top, top_c = _most_frequent(counts, looked_up)
-    dishes = min(dishes, len(top))
-    contexts = min(contexts, dishes)
-
-    # Restaurants of the contexts and their parent.
-    cells = scratch.save(_restaurants(learnt, top, contexts, dishes))
-    n1, n2 = cells.where(F.col("u") <= contexts).agg(F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))).first()
-    d = _discount(n1, n2)
-    log_p = _seat_contexts(cells, contexts, dishes, d)
-
-    # The restaurant of all other words.
-    other = counts
-    if dishes:
-        h, c = int(top[dishes - 1]), int(top_c[dishes - 1])
-        other = counts.where((F.col("c") < c) | ((F.col("c") == c) & (F.col("h") > h)))
-    rare_n, rare_v, n1, n2 = other.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.sum((F.col("c") == 1).cast("long")), F.sum((F.col("c") == 2).cast("long"))
-    ).first()
-    rare_d = _discount(n1, n2)
-    share = (1 - UNKNOWN_SHARE) / rare_v if rare_v else 0.0
-    t_all, weights, kept = float(rare_v), [], []
+    frequent = _most_frequent(counts, "c", top_words).toArrow()
+    h, c = frequent["h"].to_numpy(), frequent["c"].to_numpy()
+    order = np.lexsort((h, -c))
+    top, top_c = h[order], c[order]
+    pairs = scratch.save(count_pairs(learnt, top))
+    scratch.drop(counts)
+    again = (F.col("c") > 1).cast("long")
+    sides = [F.sum("c").alias("c"), F.count("*").alias("kinds"), F.sum(again).alias("again")]
+    by_context = scratch.save(pairs.groupBy("u").agg(*sides))
+    by_word = scratch.save(pairs.groupBy("w").agg(*sides))
+    d = _discount(*pairs.agg(_twice("c", 1), _twice("c", 2)).first())
+    d0 = _discount(*by_word.agg(_twice("kinds", 1), _twice("kinds", 2)).first())
+
+    # The most frequent words, as arrays; place 0 is the start of a text.
+    size = len(top) + 1
+    dense = {}
+    for side, table in (("u", by_context), ("w", by_word)):
+        rows = table.where(F.col(side) >= 0).toArrow()  # at most top_words + 1
+        for name in ("c", "kinds", "again"):
+            dense[side, name] = np.zeros(size)
+            dense[side, name][rows[side].to_numpy()] = rows[name].to_numpy()
+    hashes = np.concatenate([[START_HASH], top]).astype(np.int64)
+    t_u, n_w = dense["u", "kinds"], dense["w", "kinds"]
+    sat_u, sat_w = dense["u", "again"] > 0, dense["w", "again"] > 0
+
+    # The rest, as tables; those without a repeated pair never change.
+    rest_u = scratch.save(by_context.where("u < 0 and again > 0").select("u", (F.col("kinds") - F.col("again")).alias("once")))
+    rest_w = scratch.save(by_word.where("w < 0 and again > 0").select("w", (F.col("kinds") - F.col("again")).alias("once")))
+    state_u = rest_u.join(by_context.select("u", F.col("kinds").cast("double").alias("t")), "u")
+    state_w = rest_w.join(by_word.select("w", F.col("kinds").cast("double").alias("n")), "w")
+    settled = by_word.where("again = 0").agg(F.coalesce(F.sum(F.col("kinds") - d0), F.lit(0.0))).first()[0]
+    settled_n = by_word.where("again = 0").agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    repeated = pairs.where("c > 1")
+    kept: list[dict] = []
     for sweep in range(BURN_IN + SAMPLES):
-        a = (STRENGTH + rare_d * t_all) * share
+        x = gammas(STRENGTH / d + t_u, hashes, 3 * sweep)
+        mass = np.where(sat_w, gammas(np.where(sat_w, n_w - d0, 1.0), hashes, 3 * sweep + 1), 0.0)
+        state_u = scratch.save(state_u.withColumn("x", _drawn(F.lit(STRENGTH / d) + F.col("t"), "u", 3 * sweep)))
+        state_w = scratch.save(state_w.withColumn("mass", _drawn(F.col("n") - d0, "w", 3 * sweep + 1)))
+        lump = gammas(np.array([max(settled, 1e-9), STRENGTH + d0 * v]), np.array([1, 2]), 3 * sweep + 2)
+        total = mass.sum() + (state_w.agg(F.sum("mass")).first()[0] or 0.0) + (lump[0] if settled > 0 else 0.0) + lump[1]
+        mass /= total
+        sums = scratch.save(_sweep(repeated, state_u, state_w, hashes, d, x, mass, total, sweep))
+        rows = sums.where("key >= 0").toArrow()
+        side, key, t = rows["side"].to_numpy(), rows["key"].to_numpy(), rows["t"].to_numpy()
+        t_u, n_w = dense["u", "kinds"] - dense["u", "again"], dense["w", "kinds"] - dense["w", "again"]
+        t_u[key[side == 0]] += t[side == 0]
+        n_w[key[side == 1]] += t[side == 1]
+        of = {s: sums.where(f"side = {s} and key < 0") for s in (0, 1)}
+        after_u = rest_u.join(of[0].select(F.col("key").alias("u"), "t"), "u").select("u", "once", (F.col("once") + F.col("t")).alias("t"))
+        after_w = rest_w.join(of[1].select(F.col("key").alias("w"), "t"), "w").select("w", "once", (F.col("once") + F.col("t")).alias("n"))
+        if sweep >= BURN_IN:
+            seated = n_w[sat_w].sum() + (after_w.agg(F.sum("n")).first()[0] or 0.0)
+            kept.append({"x": x, "mass": mass, "t": t_u, "n": n_w, "total": seated + settled_n,
+                         "u": state_u.select("u", "x").join(after_u, "u"), "w": state_w.select("w", F.col("mass") / total).toDF("w", "mass").join(after_w, "w")})
+        state_u, state_w = after_u, after_w
+
+    contexts, words = by_context.where("u < 0"), by_word.where("w < 0")
+    for k, s in enumerate(kept):
+        contexts = contexts.join(s["u"].select("u", F.col("t").alias(f"t{k}"), F.col("x").alias(f"x{k}")), "u", "left")
+        words = words.join(s["w"].select("w", F.col("n").alias(f"n{k}"), F.col("mass").alias(f"mass{k}")), "w", "left")
+    own = F.col("kinds").cast("double")
+    contexts = contexts.select("u", F.col("c").alias("customers"), *[F.coalesce(x, own).alias(x) for x in _named("t")], *_named("x"))
+    words = words.select("w", F.col("c").alias("cw"), *[F.coalesce(x, own).alias(x) for x in _named("n")], *_named("mass"))
+    stack = {name: np.stack([s[name] for s in kept]).astype(np.float64) for name in ("x", "mass", "t", "n")}
+    model = PitmanYorModel(
+        pairs, scratch.save(contexts), scratch.save(words), n, v, d, d0, top, top_c, dense["u", "c"],
+        **stack, totals=np.array([s["total"] for s in kept]), pair_keys=np.empty(0, np.int64), pair_gains=np.empty(0), least_top=0,
+    )
+    both = pairs.where("u >= 0 and w >= 0")
+    rows = _most_frequent(both, "c", top_pairs).toArrow()
+    if rows.num_rows:
+        u, w, c = (rows[x].to_numpy() for x in ("u", "w", "c"))
+        keys = (u << 20) | w
+        order = np.argsort(keys)
+        model.pair_keys, model.pair_gains, model.least_top = keys[order], _gains(model, u[order], w[order], c[order]), int(c.min())
+    else:
+        model.least_top = 1 << 62
+    return model
+
+
+def _sweep(repeated: DataFrame, state_u: DataFrame, state_w: DataFrame, hashes: np.ndarray, d: float, x: np.ndarray, mass: np.ndarray, total: float, sweep: int) -> DataFrame:
+    """(side, key, t): summed tables of each context (side 0) and of each word (side 1) after one sweep."""
+    shared = repeated.sparkSession.sparkContext.broadcast(pickle.dumps((hashes, x, mass)))
+    schema = pa.schema([("side", pa.int32()), ("key", pa.int64()), ("t", pa.float64())])
 
-        def seat(batches: Iterable[pa.RecordBatch], a: float = a, sweep: int = sweep) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                h, c = b.column(0).to_numpy(), b.column(1).to_numpy()
-                t = tables_alike(c, a, uniforms(h, sweep), rare_d).sum() if len(c) else 0.0
-                yield pa.RecordBatch.from_arrays([pa.array([float(t)])], names=["t"])
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, x, mass = pickle.loads(shared.value)
+        sums = np.zeros((2, len(hashes)))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            u, w, c = (b.column(k).to_numpy() for k in range(3))
+            keys = mixed(np.where(u < 0, u, hashes[np.maximum(u, 0)]), np.where(w < 0, w, hashes[np.maximum(w, 0)]))
+            of_u, of_w = x[np.maximum(u, 0)], mass[np.maximum(w, 0)]
+            if b.num_columns > 3:
+                rare_x, rare_mass = (b.column(k).to_numpy(zero_copy_only=False) for k in (3, 4))
+                of_u, of_w = np.where(u < 0, rare_x, of_u), np.where(w < 0, rare_mass / total, of_w)
+            t = tables(c, d * of_u * of_w, uniforms(keys, sweep), d)
+            for side, own in enumerate((u, w)):
+                known = own >= 0
+                sums[side] += np.bincount(own[known], weights=t[known], minlength=len(hashes))
+                if not known.all():
+                    rare, at = np.unique(own[~known], return_inverse=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(rare), side, np.int32)), pa.array(rare), pa.array(np.bincount(at, weights=t[~known]))], schema=schema
+                    )
+        for side in (0, 1):
+            key = np.flatnonzero(sums[side])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), side, np.int32)), pa.array(key), pa.array(sums[side][key])], schema=schema)
+
+    ddl = "side int, key long, t double"
+    known = repeated.where("u >= 0 and w >= 0").mapInArrow(run, ddl)
+    others = _with_both(repeated, state_u.select("u", "x"), state_w.select("w", "mass"))
+    return known.unionAll(others.select("u", "w", "c", "x", "mass").mapInArrow(run, ddl)).groupBy("side", "key").agg(F.sum("t").alias("t"))
+
+
+def _with_both(pairs: DataFrame, contexts: DataFrame, words: DataFrame) -> DataFrame:
+    """Pairs with a word that is not among the most frequent, with its row of contexts or words; what is frequent is not shuffled by."""
+    rare_u, rare_w = F.col("u") < 0, F.col("w") < 0
+    return (
+        pairs.where(rare_u & ~rare_w).join(contexts, "u")
+        .unionByName(pairs.where(~rare_u & rare_w).join(words, "w"), allowMissingColumns=True)
+        .unionByName(pairs.where(rare_u & rare_w).join(words, "w").join(contexts, "u"), allowMissingColumns=True)
+    )
 
-        t_all = other.select("h", "c").mapInArrow(seat, "t double").agg(F.coalesce(F.sum("t"), F.lit(0.0))).first()[0]
-        if sweep >= BURN_IN:
-            weights.append(a)
-            kept.append(float(t_all))
-    return PitmanYorModel(counts, n, v, dishes, contexts, top, top_c, log_p, float(rare_n), rare_v, rare_d, weights, kept)
 
+def _gains(m: PitmanYorModel, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """log10 of what the pairs of frequent words, of c customers, have over pairs without customers."""
+    hashes = m.context_hashes()
+    parent, out = m.parent(m.n), np.empty(len(u))
+    for k in range(0, len(u), 100_000):
+        at = slice(k, k + 100_000)
+        a, b = u[at], w[at]
+        seats = m.seats(c[at], mixed(hashes[a], hashes[b]), m.x[:, a], m.mass[:, b])
+        with_it = m.probability(c[at], seats, m.customers[a], m.t[:, a], parent[:, b])
+        out[at] = np.log10(with_it / m.probability(0, 0, m.customers[a], m.t[:, a], parent[:, b]))
+    return out
 
-def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of the most frequent words, at most most of them: all that are more frequent than a bound.
 
-    The bound comes from the numbers of words by count, so that no sort of the vocabulary is needed.
-    """
-    histogram = counts.groupBy("c").agg(F.count("*").alias("words")).orderBy(F.desc("c")).limit(most).toArrow()
-    c, words = histogram["c"].to_numpy(), histogram["words"].to_numpy()
-    fits = int((np.cumsum(words) <= most).sum())
-    least = int(c[fits]) if fits < len(c) else 0
-    rows = counts.where(F.col("c") > least).toArrow()
-    h, c = rows["h"].to_numpy(), rows["c"].to_numpy()
-    order = np.lexsort((h, -c))
-    return h[order], c[order]
+def _light(model: PitmanYorModel) -> bytes:
+    return pickle.dumps({k: v for k, v in model.__dict__.items() if k not in ("pairs", "contexts", "words")})
+
+
+def _loaded(shared) -> PitmanYorModel:
+    return PitmanYorModel(None, None, None, **pickle.loads(shared.value))
+
+
+def _rare(b: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    return np.stack([b.column(b.schema.get_field_index(x)).to_numpy(zero_copy_only=False).astype(np.float64) for x in names])
 
 
-def _seat_contexts(cells: DataFrame, contexts: int, dishes: int, d: float) -> np.ndarray:
-    """log10 of the averaged predictive probabilities, a row a restaurant; see PitmanYorModel.log_p.
+def _priced(model: PitmanYorModel, shared) -> DataFrame:
+    """(k, gain, cw): for every pair but the most frequent its key and what it adds to the score; cw: the count of a word that is not frequent.
 
-    A sweep is a Spark job over the cells: given the parent's probabilities and each restaurant's tables,
-    every cell is reseated; the sums of tables by restaurant and by dish come back.
+    A pair of frequent words adds its gain over a pair that training lacks, any other the logarithm of its probability.
     """
-    rows, columns = contexts + 2, dishes + 1
-    c_u = np.zeros(rows)
-    for r in cells.groupBy("u").agg(F.sum("c").alias("c")).collect():
-        c_u[r["u"]] = r["c"]
-    direct = np.zeros(columns)
-    for r in cells.where(F.col("u") == contexts + 1).select("w", "c").collect():  # a row a dish
-        direct[r["w"]] = r["c"]
-    inner = cells.where(F.col("u") <= contexts)
-    t_u, parent = np.zeros(rows), np.full(columns, 1.0 / columns)
-    for r in inner.groupBy("u").agg(F.count("*").alias("t")).collect():
-        t_u[r["u"]] = r["t"]
-    key = np.arange(columns, dtype=np.int64) * 7919
-    t_p, mean = float((direct > 0).sum()), np.zeros((rows, columns))
-    for sweep in range(BURN_IN + SAMPLES):
-        keep = sweep >= BURN_IN
-        weight = np.outer(STRENGTH + d * t_u, parent)
-
-        def seat(batches: Iterable[pa.RecordBatch], weight: np.ndarray = weight, sweep: int = sweep) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                u, w, c = (b.column(k).to_numpy() for k in range(3))
-                cell = u.astype(np.int64) * 1_000_003 + w
-                t = tables(c, weight[u, w], uniforms(cell, sweep), d)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(t)], names=["u", "w", "c", "t"])
-
-        seated = inner.mapInArrow(seat, "u int, w int, c long, t double").toArrow()  # bounded by contexts x dishes
-        u, w = seated["u"].to_numpy(), seated["w"].to_numpy()
-        c, t = seated["c"].to_numpy(), seated["t"].to_numpy()
-        t_u = np.bincount(u, weights=t, minlength=rows)
-        customers = direct + np.bincount(w, weights=t, minlength=columns)
-        t_dish = tables(customers.astype(np.int64), np.full(columns, (STRENGTH + d * t_p) / columns), uniforms(key, sweep + 100), d)
-        t_p = float(t_dish.sum())
-        parent = (np.maximum(customers - d * t_dish, 0) + (STRENGTH + d * t_p) / columns) / (STRENGTH + customers.sum())
-        if keep:
-            total = STRENGTH + c_u
-            now = np.outer((STRENGTH + d * t_u) / total, parent)
-            now[u, w] += np.maximum(c - d * t, 0) / total[u]
-            now[contexts + 1] = parent
-            mean += now / SAMPLES
-    return np.log10(mean).astype(np.float32)
+    schema = pa.schema([("k", pa.int64()), ("gain", pa.float32()), ("cw", pa.int64())])
+
+    def frequent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _loaded(shared)
+        for b in batches:
+            u, w, c = (b.column(k).to_numpy() for k in range(3))
+            if len(u):
+                gain = _gains(m, u, w, c).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array((u << 20) | w), pa.array(gain), pa.nulls(len(u), pa.int64())], schema=schema)
+
+    def others(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _loaded(shared)
+        hashes, parent = m.context_hashes(), m.parent(m.n)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            u, w, c = (b.column(b.schema.get_field_index(x)).to_numpy() for x in ("u", "w", "c"))
+            fu, fw = np.maximum(u, 0), np.maximum(w, 0)
+            with np.errstate(invalid="ignore"):
+                customers = np.where(u < 0, _rare(b, ["customers"])[0], m.customers[fu])
+                t = np.where(u < 0, _rare(b, _named("t")), m.t[:, fu])
+                x = np.where(u < 0, _rare(b, _named("x")), m.x[:, fu])
+                n, mass = _rare(b, _named("n")), np.where(w < 0, _rare(b, _named("mass")), m.mass[:, fw])
+                of_w = np.where(w < 0, m.parent(n), parent[:, fw])
+            keys = mixed(np.where(u < 0, u, hashes[fu]), np.where(w < 0, w, hashes[fw]))
+            seats = m.seats(c, keys, np.where(c > 1, x, 1.0), np.where(c > 1, mass, 1.0))
+            gain = np.log10(m.probability(c, seats, customers, t, of_w)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(mixed(u, w) | np.int64(-1 << 63)), pa.array(gain), b.column(b.schema.get_field_index("cw"))], schema=schema)
+
+    ddl = "k long, gain float, cw long"
+    left = model.pairs.where(F.col("c") < model.least_top)
+    first = left.where("u >= 0 and w >= 0").mapInArrow(frequent, ddl)
+    rest = _with_both(model.pairs, model.contexts, model.words)
+    columns = ["u", "w", "c", "customers", *_named("t"), *_named("x"), "cw", *_named("n"), *_named("mass")]
+    return first.unionAll(rest.select(*columns).mapInArrow(others, ddl))
 
 
 def score_lm(documents: DataFrame, model: PitmanYorModel) -> DataFrame:
     """doc_id with n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Repeated rows are kept and score alike; a null doc_id stays null; a null text is the end token
-    alone. Perplexity is 10 ** (-score / n_tokens).
+    alone; an empty table gives an empty table; other columns are not read. Perplexity is 10 ** (-score / n_tokens).
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "lm-score")
-    light = {k: v for k, v in model.__dict__.items() if k != "counts"}
-    shared = spark.sparkContext.broadcast(pickle.dumps(light))
-    out = pa.schema(
-        [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
-         ("score", pa.float64()), ("h", pa.list_(pa.int64())), ("m", pa.list_(pa.int32()))]
-    )
+    shared = spark.sparkContext.broadcast(_light(model))
+    # A row for each text, and one for each different pair of it that is not among the most frequent.
+    fields = [("row", pa.int64()), ("k", pa.int64()), ("m", pa.int32()), ("u", pa.int64()), ("w", pa.int64()), ("doc_id", pa.int64()),
+              ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+    schema = pa.schema(fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = PitmanYorModel(counts=None, **pickle.loads(shared.value))
-        codes = _Codes(m.top)
-        base = m.base_log(m.top_c)
-        log_rare = np.zeros(len(m.top))
-        if len(m.top) > m.dishes:
-            log_rare[m.dishes :] = np.log10(m.rare_probability(m.top[m.dishes :], m.top_c[m.dishes :]))
+        m = _loaded(shared)
+        values, base = _Values(m.top), np.concatenate([[0.0], m.base_log(m.top_c)])
+        room, parent = (STRENGTH + m.discount * m.t) / (STRENGTH + m.customers), m.parent(m.n)
         row = TaskContext.get().partitionId() << 40
         for part in slices(batches):
-            rows = []
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                words = tokens(text)
-                w = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-                known = w[w >= 0]
-                dish = np.where((w < 0) | (w >= m.dishes), m.dishes, w)
-                u = np.concatenate([[m.contexts], np.where((w[:-1] >= 0) & (w[:-1] < m.contexts), w[:-1], m.contexts + 1)])
-                score = m.log_p[u, dish].sum(dtype=np.float64) + log_rare[known].sum()
-                tail = Counter(words[k] for k in np.flatnonzero(w < 0))
-                rows.append((row, doc_id, len(words), len(known), base[known].sum(), score, list(map(_key, tail)), list(tail.values())))
-                row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), out.types, strict=True)], schema=out)
-
-    schema = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, h array<long>, m array<int>"
+            u, w, sizes = values.pairs(part.column(1).to_pylist())
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            both = (u >= 0) & (w >= 0)
+            fu, fw, own = u[both], w[both], doc[both]
+            score = np.bincount(own, np.log10((room[:, fu] * parent[:, fw]).mean(axis=0)), len(sizes))
+            keys = (fu << 20) | fw
+            at = np.minimum(np.searchsorted(m.pair_keys, keys), max(len(m.pair_keys) - 1, 0))
+            there = m.pair_keys[at] == keys if len(m.pair_keys) else np.zeros(len(keys), bool)
+            score += np.bincount(own[there], m.pair_gains[at[there]] if len(m.pair_keys) else None, len(sizes))
+            known = w > 0
+            rows = row + np.arange(len(sizes))
+            blank = pa.nulls(len(sizes), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows), pa.array(rows), pa.array(np.zeros(len(rows), np.int32)), blank, blank, part.column(0), pa.array(sizes),
+                 pa.array(np.bincount(doc[known], minlength=len(sizes))), pa.array(np.bincount(doc[known], base[w[known]], len(sizes))), pa.array(score)],
+                schema=schema,
+            )
+            k = np.where(both, 0, mixed(u, w) | np.int64(-1 << 63))
+            k[both] = keys
+            open_ = ~both
+            open_[np.flatnonzero(both)[~there]] = True
+            k, doc, u, w, both = k[open_], doc[open_], u[open_], w[open_], both[open_]
+            first, times = _alike(k, doc)
+            for s in range(0, len(first), 50_000):
+                x = first[s : s + 50_000]
+                n, plain = len(x), both[x]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[doc[x]]), pa.array(k[x]), pa.array(times[s : s + 50_000].astype(np.int32)), pa.array(u[x], mask=plain), pa.array(w[x], mask=plain),
+                     *[pa.nulls(n, t) for _, t in fields[5:]]],
+                    schema=schema,
+                )
+            row += len(sizes)
+
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = scratch.save(source.mapInArrow(run, schema))
-
-    # Words beyond the broadcast ones: none is frequent, so none is a hot key.
-    tail = scored.select("row", F.explode(F.arrays_zip("h", "m")).alias("x")).select("row", "x.h", "x.m")
-    tail = tail.join(model.counts, "h", "left")
-    tail = tail.select("row", "h", "m", F.coalesce("c", F.lit(0)).alias("c"))
-    logs = pa.schema([("row", pa.int64()), ("k", pa.int64()), ("b", pa.float64()), ("s", pa.float64())])
-
-    def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = PitmanYorModel(counts=None, **pickle.loads(shared.value))
-        for x in batches:
-            if not x.num_rows:
+    asked = source.mapInArrow(run, "row long, k long, m int, u long, w long, doc_id long, n_tokens long, n_known long, base double, score double")
+    met = asked.join(_priced(model, shared), "k", "left")
+    zero, m, smooth = F.lit(0.0), F.col("m"), model.tokens + 0.1 * (model.vocabulary + 1)
+    base_of = lambda c: F.log10((c + 0.1) / F.lit(smooth))
+    lacks = F.col("gain").isNull()
+    found = met.select(
+        "row", F.when(lacks, F.col("u")).alias("u"), F.when(lacks, F.col("w")).alias("w"), "m", "doc_id", "n_tokens",
+        (F.coalesce("n_known", F.lit(0)) + F.when(F.col("cw").isNotNull(), m).otherwise(0)).alias("n_known"),
+        (F.coalesce("base", zero) + F.coalesce(m * base_of(F.col("cw")), zero)).alias("base"),
+        (F.coalesce("score", zero) + F.coalesce(m * F.col("gain"), zero)).alias("score"),
+    )
+    sums = [F.sum(x).alias(x) for x in ("m", "n_known", "base", "score")]
+    whole = scratch.save(found.groupBy("row", "u", "w").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *sums))
+
+    # Pairs that training lacks, with a word that is not among the most frequent; keys that cannot match are spread by row.
+    lacking = whole.where("u is not null").select("row", "u", "w", "m")
+    spread = lambda x: F.when(F.col(x) < 0, F.col(x)).otherwise(F.col("row"))
+    joined = lacking.withColumn("ku", spread("u")).withColumn("kw", spread("w"))
+    joined = joined.join(model.contexts.withColumnRenamed("u", "ku"), "ku", "left").join(model.words.withColumnRenamed("w", "kw"), "kw", "left")
+    out = pa.schema([("row", pa.int64()), ("k2", pa.int64()), ("b2", pa.float64()), ("s2", pa.float64())])
+
+    def price(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _loaded(shared)
+        parent = m.parent(m.n)
+        for b in batches:
+            if not b.num_rows:
                 continue
-            h, times, c = x.column(1).to_numpy(), x.column(2).to_numpy(), x.column(3).to_numpy()
-            rare = np.log10(fitted.rare_probability(h, c))
-            rows, at = np.unique(x.column(0).to_numpy(), return_inverse=True)
-            sums = [np.bincount(at, weights=times * v) for v in (c > 0, fitted.base_log(c), rare)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.rint(sums[0]).astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], schema=logs)
-
-    added = tail.mapInArrow(weigh, "row long, k long, b double, s double").groupBy("row").agg(
-        F.sum("k").alias("k"), F.sum("b").alias("b"), F.sum("s").alias("s")
-    )
-    both = scored.drop("h", "m").join(added, "row", "left")
-    zero = F.lit(0)
+            row, u, w, times = (b.column(k).to_numpy() for k in range(4))
+            fu, fw = np.maximum(u, 0), np.maximum(w, 0)
+            customers, cw, t, n = _rare(b, ["customers"])[0], _rare(b, ["cw"])[0], _rare(b, _named("t")), _rare(b, _named("n"))
+            customers = np.where(u < 0, np.nan_to_num(customers), m.customers[fu])
+            t = np.where(u < 0, np.nan_to_num(t), m.t[:, fu])
+            of_w = np.where(w < 0, m.parent(np.nan_to_num(n)), parent[:, fw])
+            score = np.where(customers > 0, np.log10(m.probability(0, 0, customers, t, of_w)), np.log10(of_w.mean(axis=0)))
+            seen = (w < 0) & ~np.isnan(cw)
+            base = np.where(w < 0, m.base_log(np.nan_to_num(cw)), 0.0)
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.where(seen, times, 0).astype(np.int64)), pa.array(times * base), pa.array(times * score)], schema=out)
+
+    priced = joined.select("row", "u", "w", "m", "customers", *_named("t"), "cw", *_named("n")).mapInArrow(price, "row long, k2 long, b2 double, s2 double")
+    added = priced.groupBy("row").agg(*[F.sum(x).alias(x) for x in ("k2", "b2", "s2")])
+    both = whole.where("u is null").join(added, "row", "left")
     return both.select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("k", zero)).alias("n_known"), F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("b", zero)).alias("base_score"), (F.col("score") + F.coalesce("s", zero)).alias("score"),
+        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("k2", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("b2", zero)).alias("base_score"), (F.col("score") + F.coalesce("s2", zero)).alias("score"),
     )

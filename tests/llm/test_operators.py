@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, search, toxicity
 from colloquy.llm.common import id_remainder
-from colloquy.llm.seating import log_stirling, tables, tables_alike, uniforms
+from colloquy.llm.seating import gammas, log_stirling, mixed, tables, uniforms
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -179,56 +179,126 @@ def test_seating_law():
     assert abs(np.exp(s[3, 2]) - (1 - 0.5 + 2 - 2 * 0.5)) < 1e-9  # S(3, 2) = (1 - d) + (2 - 2d)
     u = uniforms(np.arange(20_000, dtype=np.int64), 1)
     assert abs(u.mean() - 0.5) < 0.01
-    c = np.full(20_000, 3)
-    got = np.bincount(tables(c, np.full(20_000, 0.7), u, 0.5).astype(int), minlength=4)[1:]
+    got = np.bincount(tables(np.full(20_000, 3), np.full(20_000, 0.7), u, 0.5).astype(int), minlength=4)[1:]
     law = np.exp([s[3, t] + t * np.log(0.7) for t in (1, 2, 3)])
     assert np.abs(got / got.sum() - law / law.sum()).max() < 0.02
-    assert (tables_alike(c, 0.7, u, 0.5) == tables(c, np.full(20_000, 0.7), u, 0.5)).all()
-    big = tables(np.array([5000]), np.array([2.0]), np.array([0.5]), 0.5)
-    assert 1 <= big[0] <= 5000
+    for shape in (0.2, 3.5, 900.0):
+        g = gammas(np.full(20_000, shape), np.arange(20_000, dtype=np.int64), 2)
+        assert abs(g.mean() / shape - 1) < 0.05 and abs(g.var() / shape - 1) < 0.1
 
 
-@pytest.mark.parametrize("d", [0.1, 0.5])
+@pytest.mark.parametrize("d", [0.1, 0.5, 0.9])
 def test_tables_of_many_customers_follow_the_recursion(d):
-    t = np.arange(401)
+    t = np.arange(1501)
     log_s = np.where(t == 1, 0.0, -np.inf)
-    for c in range(1, 20_000):  # log S(c, t) - log c!, up to what does not depend on t
+    for c in range(1, 5_000):  # log S(c, t) - log c!, up to what does not depend on t
         stay = log_s + np.log(np.maximum(c - t * d, 1e-300) / c)
         log_s = np.concatenate([[-np.inf], np.logaddexp(stay[1:], log_s[:-1] - np.log(c))])
-        if c + 1 in (5_000, 20_000):
-            for a in (1.0, 10.0, 50.0):
+        if c + 1 in (1_100, 5_000):
+            for a in (0.01, 1.0, 10.0, 50.0, 300.0):
                 law = np.exp(log_s + t * np.log(a) - (log_s + t * np.log(a)).max())
-                u = uniforms(np.arange(4000, dtype=np.int64), 1)
-                got = tables(np.full(4000, c + 1), np.full(4000, a), u, d)
-                assert abs(got.mean() / (law @ t / law.sum()) - 1) < 0.04
-                assert (tables_alike(np.full(4000, c + 1), a, u, d) == got).all()
-
-
-def test_lm_is_a_distribution_and_base_is_exact(spark, words):
+                got = tables(np.full(2000, c + 1), np.full(2000, a), (np.arange(2000) + 0.5) / 2000, d)
+                share = np.bincount(got.astype(int), minlength=len(t)) / len(got)
+                assert np.abs(share.cumsum() - law.cumsum() / law.sum()).max() < 0.045  # 2000 draws of the Poisson part
+
+
+def test_blocked_gibbs_samples_the_restaurants_joint_law():
+    """Two dishes of one restaurant under fixed masses: the sweeps' tables against the enumerated joint."""
+    c, mass, d, strength = np.array([3, 4]), np.array([0.3, 0.1]), 0.5, 1.0
+    s = log_stirling(d, 8)
+    joint = {}
+    for i in range(1, 4):
+        for j in range(1, 5):
+            rising = np.prod([strength + d * k for k in range(i + j)])
+            joint[i, j] = np.exp(s[3, i] + s[4, j]) * rising * mass[0] ** i * mass[1] ** j
+    n, total = 40_000, sum(joint.values())
+    keys, t = np.arange(n, dtype=np.int64), np.full((2, n), 1.0)
+    for sweep in range(12):  # n chains side by side
+        x = gammas(strength / d + t.sum(axis=0), keys, 3 * sweep)
+        t = np.stack([tables(np.full(n, c[k]), d * x * mass[k], uniforms(mixed(keys, np.full(n, k)), sweep), d) for k in (0, 1)])
+    for (i, j), p in joint.items():
+        assert abs(((t[0] == i) & (t[1] == j)).mean() - p / total) < 0.01
+
+
+def plain_lm(train, scored):
+    """The model in dictionaries, with the same keyed draws: {text: (n_tokens, n_known, base, score)}, and the sum of each context's chances."""
+    cells = collections.Counter()
+    for text in train:
+        last = None
+        for w in lm.tokens(text):
+            cells[last, w] += 1
+            last = w
+    count, customers, kinds = collections.Counter(), collections.Counter(), collections.Counter()
+    for (u, w), c in cells.items():
+        count[w] += c
+        customers[u] += c
+        kinds[w] += 1
+    total, v = sum(count.values()), len(count)
+    d = lm._discount(sum(c == 1 for c in cells.values()), sum(c == 2 for c in cells.values()))
+    d0 = lm._discount(sum(c == 1 for c in kinds.values()), sum(c == 2 for c in kinds.values()))
+    h = lambda w: lm.START_HASH if w is None else lm.word_hash(w)
+    one = lambda *a: np.array(a, np.int64)
+    again_w, again_u = {w for (_, w), c in cells.items() if c > 1}, {u for (u, _), c in cells.items() if c > 1}
+    t = dict.fromkeys(cells, 1.0)
+    kept = []
+    for sweep in range(lm.BURN_IN + lm.SAMPLES):
+        of_u, of_w = collections.Counter(), collections.Counter()
+        for (u, w), k in t.items():
+            of_u[u] += k
+            of_w[w] += k
+        x = {u: gammas(np.array([lm.STRENGTH / d + of_u[u]]), one(h(u)), 3 * sweep)[0] for u in again_u}
+        mass = {w: gammas(np.array([of_w[w] - d0]), one(h(w)), 3 * sweep + 1)[0] for w in again_w}
+        rest = sum(kinds[w] - d0 for w in kinds if w not in again_w)
+        lump = gammas(np.array([max(rest, 1e-9), lm.STRENGTH + d0 * v]), one(1, 2), 3 * sweep + 2)
+        everything = sum(mass.values()) + (lump[0] if rest > 0 else 0) + lump[1]
+        for (u, w), c in cells.items():
+            if c > 1:
+                t[u, w] = tables(one(c), np.array([d * x[u] * mass[w] / everything]), uniforms(mixed(one(h(u)), one(h(w))), sweep), d)[0]
+        if sweep >= lm.BURN_IN:
+            kept.append(dict(t))
+
+    def chances(u, w):
+        out = []
+        for seats in kept:
+            of_u, of_w = sum(k for (a, _), k in seats.items() if a == u), sum(k for (_, b), k in seats.items() if b == w)
+            fresh = lm.STRENGTH + d0 * v
+            p = (of_w - d0 if of_w else fresh) / (lm.STRENGTH + sum(seats.values()))
+            c = cells.get((u, w), 0)
+            out.append((max(0, c - d * seats.get((u, w), 0)) + (lm.STRENGTH + d * of_u) * p) / (lm.STRENGTH + customers[u]))
+        return sum(out) / len(out)
+
+    for u in [None, *list(customers)[:4]]:
+        assert abs(sum(chances(u, w) for w in [*count, b"never seen"]) - 1) < 1e-9
+    out = {}
+    for text in scored:
+        words = lm.tokens(text)
+        base = sum(np.log10((count[w] + 0.1) / (total + 0.1 * (v + 1))) for w in words)
+        score = sum(np.log10(chances(u, w)) for u, w in zip([None, *words[:-1]], words))
+        out[text] = (len(words), sum(count[w] > 0 for w in words), base, score)
+    return out, total
+
+
+@pytest.mark.parametrize("top", [(1000, 1000), (12, 9), (0, 0)])
+def test_lm_against_a_plain_sampler(spark, words, top):
     rng = random.Random(6)
-    rows = [(k, " ".join(rng.choice(words[:60] if rng.random() < 0.8 else words) for _ in range(40))) for k in range(60)] + [(100, None), (101, "Unseen x"), (101, "Unseen x")]
+    train = [" ".join(rng.choice(words[:25] if rng.random() < 0.8 else words) for _ in range(30)) for _ in range(40)] + ["A a A a", None, ""]
+    held = [" ".join(rng.choice(words) for _ in range(12)) for _ in range(6)] + ["Unseen x", "Unseen unseen " + words[0], None]
+    want, total = plain_lm(train, [*train, *held])
+    rows = [(k, x) for k, x in enumerate(train)] + [(100 + k, x) for k, x in enumerate(held)] + [(106, "Unseen x")]
     docs = documents(spark, rows)
-    model = lm.train_lm(docs.where("doc_id < 100"), F.lit(True), contexts=5, dishes=20, looked_up=40)
-    assert np.allclose((10.0 ** model.log_p.astype(float)).sum(axis=1), 1, atol=1e-4)
-    counts = collections.Counter(t for k, x in rows if k < 100 for t in lm.tokens(x))
-    c = np.array(sorted(counts.values(), reverse=True))[20:]
-    h = np.array([lm._key(w) for w in counts], np.int64)
-    order = {int(x): k for k, x in enumerate(model.top)}
-    rare = [w for w in counts if order.get(lm._key(w), 99) >= model.dishes]
-    p = model.rare_probability(np.array([lm._key(w) for w in rare], np.int64), np.array([counts[w] for w in rare]))
-    assert len(h) == model.v and len(c) == len(rare)
-    assert abs(p.sum() + model.rare_probability(np.zeros(1, np.int64), np.zeros(1, np.int64))[0] - 1) < 0.02
-    n, v = sum(counts.values()), len(counts)
-    for r in lm.score_lm(docs, model).collect():
-        toks = lm.tokens(next(x for k, x in rows if k == r["doc_id"]))
-        want = sum(np.log10((counts[t] + 0.1) / (n + 0.1 * (v + 1))) for t in toks)
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(toks), sum(counts[t] > 0 for t in toks), n)
-        assert abs(r["base_score"] - want) < 1e-6 and r["score"] < 0
+    model = lm.train_lm(docs, F.col("doc_id") < 100, *top)
+    got = lm.score_lm(docs, model).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(k for k, _ in rows)
+    for r in got:
+        n, known, base, score = want[dict(rows)[r["doc_id"]]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
+        assert abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 1e-4
 
 
 def test_lm_of_odd_rows(spark, odd):
     assert lm.score_lm(odd, lm.train_lm(odd, F.lit(True))).count() == 9
     assert {r["score"] for r in lm.score_lm(odd.where("doc_id < 4"), lm.train_lm(odd.limit(0), F.lit(True))).collect()} == {0.0}
+    assert lm.score_lm(odd.limit(0), lm.train_lm(odd, F.lit(True))).count() == 0
 
 
 # Search
