@@ -6,6 +6,7 @@ Intermediate tables that must survive a lost executor are written as Parquet bel
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -49,15 +50,21 @@ class Scratch:
         self.base = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
-        """Write df and read it back."""
+    def save(self, df: DataFrame, by: str | None = None, compression: str = "snappy") -> DataFrame:
+        """Write df, in one folder for each value of by if it is given, and read it back."""
         self.n += 1
         path = f"{self.base}/t{self.n}"
-        df.write.parquet(path)
+        writer = df.write.option("compression", compression)
+        (writer.partitionBy(by) if by else writer).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
+    def release(self) -> None:
+        """Have Spark delete the shuffle files of plans that nothing refers to any more; it does so when the driver's memory is collected."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that save() returned and that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm
