@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+import unicodedata
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Word lists and patterns that results depend on.
@@ -28,6 +32,8 @@ SURFACE_MARKERS = {
     "hedge": "maybe|perhaps|probably|i think|i guess|not sure|might|could",
     "assertion": "definitely|obviously|of course|must|never|always|certainly",
     "repair": "no no|i mean|wait|actually|or rather|sorry|uh|um",
+    "banter": "lol|lmao|haha|chat|bro|stupid|idiot|dummy",
+    "machine": "ai|artificial intelligence|robot|computer|model",
     "disfluency": "uh|um|hmm|er|ah",
 }
 SECRET_PATTERNS = {
@@ -78,13 +84,18 @@ def labels(**conditions: Column) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in conditions.items()]))
 
 
-def quality_reasons(text: Column, url_words: int = 3) -> Column:
+def quality_words(value: Column) -> Column:
+    return F.regexp_extract_all(value, F.lit(f"({QUALITY_WORD})"), 1)
+
+
+def quality_reasons(text: Column, url_words: int = 3, value: Column | None = None, words: Column | None = None) -> Column:
     """Why a text is unfit: an empty array if it is fit.
 
-    Chinese and Japanese text needs no Latin word.
+    Chinese and Japanese text needs no Latin word. value and words may be columns that hold collapse(text) and quality_words() of
+    it, so that long texts are searched once.
     """
-    value = collapse(text)
-    words = F.regexp_extract_all(value, F.lit(f"({QUALITY_WORD})"), 1)
+    value = collapse(text) if value is None else value
+    words = quality_words(value) if words is None else words
     n, kinds = F.size(words), F.size(F.array_distinct(F.transform(words, F.lower)))
     cjk = value.rlike("[\\x{4e00}-\\x{9fff}\\x{3040}-\\x{30ff}]")
     odd = F.length(F.regexp_replace(value, r"""[\p{L}\p{N}\s'".,?!:;()\-]""", ""))
@@ -125,31 +136,79 @@ def context_dependency(text: Column) -> Column:
     return F.when(starts, "likely_context_dependent").when(words <= 3, "possible_context_dependent").otherwise("low_or_unknown")
 
 
-def marker_count(text: Column, alternatives: str) -> Column:
-    """How often any of the words or phrases stands in a text; words are runs of a-z, 0-9 and apostrophes."""
-    padded = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^a-z0-9']+", "  "), F.lit(" "))
+def padded_words(text: Column) -> Column:
+    """Lower-case words with two spaces between and one at the ends; words are runs of a-z, 0-9 and apostrophes."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^a-z0-9']+", "  "), F.lit(" "))
+
+
+def marker_count(padded: Column, alternatives: str) -> Column:
+    """How often any of the words or phrases stands in padded_words() of a text."""
     return F.regexp_count(padded, F.lit(f" ({alternatives.replace(' ', '  ')}) ")).cast("long")
 
 
-def surface_features(text: Column) -> dict[str, Column]:
-    """Counts of surface markers, and a length bucket."""
-    words = F.regexp_count(F.lower(text), F.lit(r"[a-z0-9']+")).cast("long")
-    found = {f"{k}_count": marker_count(text, p) for k, p in SURFACE_MARKERS.items()}
+def with_surface_features(rows: DataFrame, text: str) -> DataFrame:
+    """rows with counts of surface markers, sentences and question marks, and a length bucket; the text is split into words once."""
+    t = F.col(text)
+    padded = rows.withColumn("_padded", padded_words(t)).withColumn("word_count", F.regexp_count(F.lower(t), F.lit(r"[a-z0-9']+")).cast("long"))
+    words, bare = F.col("word_count"), F.trim(t)
+    sentences = F.when(bare == "", 0).otherwise(F.regexp_count(bare, F.lit(r"[.!?]\s+")) + 1).cast("long")
     bucket = F.when(words < 40, "short").when(words < 160, "medium").otherwise("long")
-    return {"char_count": F.length(text).cast("long"), "word_count": words, **found, "length_bucket": bucket}
+    counted = {f"{k}_count": marker_count(F.col("_padded"), p) for k, p in SURFACE_MARKERS.items()}
+    marks = (F.length(t) - F.length(F.replace(t, F.lit("?")))).cast("long")
+    return padded.withColumns(
+        {"char_count": F.length(t).cast("long"), **counted, "sentence_count": sentences, "question_mark_count": marks, "length_bucket": bucket}
+    ).drop("_padded")
 
 
-def risk_flags(context: Column, response: Column) -> Column:
-    """Lexical signs for routing a pair to closer reading; they never decide."""
+def risk_flags(context: Column, response: Column, continuation: Column | None = None, extended: Column | None = None, doubtful: Column | None = None) -> Column:
+    """Lexical signs for routing a pair to closer reading; they never decide.
+
+    continuation: an array of texts that may go on with the response; extended: more context is at hand; doubtful: a turn
+    with a doubtful transcript or boundary takes part.
+    """
+    no = F.lit(False)
+    first = lambda x: F.regexp_replace(F.element_at(F.split(F.lower(F.trim(x)), " "), 1), r"""^['".,!?;:]+|['".,!?;:]+$""", "")
+    starts = no if continuation is None else F.exists(continuation, lambda x: first(x).isin(INDEPENDENT_STARTERS))
+    goes_on = no if continuation is None else F.exists(
+        continuation, lambda x: ~first(x).isin(INDEPENDENT_STARTERS) & (F.trim(x).rlike("^[a-z]") | first(x).isin(CONTINUATION_STARTERS))
+    )
     flags = labels(
         LOWERCASE_RESPONSE_START=F.substring(response, 1, 1).rlike("^[a-z]"),
         NO_ACKNOWLEDGEMENT_PATTERN=~F.lower(response).rlike(ACKNOWLEDGEMENT),
         NO_CONTENT_TOKEN_OVERLAP=F.size(F.array_intersect(content_tokens(context), content_tokens(response))) == 0,
         NO_QUESTION_OR_EXPLICIT_TRIGGER_PATTERN=~F.lower(context).rlike(TRIGGER),
+        POSSIBLE_INDEPENDENT_SPEECH_ACT=starts,
+        POSSIBLE_GRAMMATICAL_CONTINUATION=goes_on,
+        CONTEXT_EXTENSION_AVAILABLE=no if extended is None else extended,
+        TRANSCRIPT_OR_BOUNDARY_RISK=no if doubtful is None else doubtful,
     )
     return F.array_sort(flags)
 
 
+def raw_asr_reasons(segments: Column) -> Column:
+    """Why a turn's transcript is unreliable, from its segments: array of (text, no_speech, compression, log_probability, words: array of probabilities)."""
+    words = F.aggregate(segments, F.lit(0), lambda n, x: n + F.size(F.filter(F.split(F.trim(x["text"]), r"\s+"), lambda w: w != "")))
+    most = lambda name: F.array_max(F.transform(segments, lambda x: x[name]))
+    least = F.array_min(F.transform(segments, lambda x: x["log_probability"]))
+    chances = F.flatten(F.transform(segments, lambda x: x["words"]))
+    mean = F.aggregate(chances, F.lit(0.0), lambda a, x: a + x) / F.greatest(F.lit(1), F.size(chances))
+    return labels(
+        no_speech=(most("no_speech") >= 0.985) & (words > 2),
+        compression=most("compression") >= 3.5,
+        log_probability=(least <= -1.6) & (words >= 4),
+        word_probability=(mean < 0.25) & (F.size(chances) >= 3),
+    )
+
+
+def _folded(values: pd.Series) -> pd.Series:
+    return values.map(lambda x: " ".join(re.sub(r"[^\w\s.-]", " ", unicodedata.normalize("NFKC", x or "").casefold()).split()))
+
+
+def norm_unicode(text: Column) -> Column:
+    """Compatibility form (NFKC), case folded, with letters, digits, dots and hyphens only; null becomes empty. Spark has no NFKC of its own."""
+    return F.pandas_udf(_folded, "string")(text)
+
+
 def secret_kinds(text: Column) -> Column:
     return labels(**{k: F.coalesce(text, F.lit("")).rlike(p) for k, p in SECRET_PATTERNS.items()})
 

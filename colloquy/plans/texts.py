@@ -33,7 +33,8 @@ SELECT doc_id, CASE WHEN v = '' THEN 'empty' ELSE array_to_string(list_filter([
     CASE WHEN length(regexp_replace(v, '[\p{{L}}\p{{N}}\s''".,?!:;()\-]', '', 'g'))::DOUBLE / greatest(length(v), 1) > 0.35 THEN 'token_soup' END,
     CASE WHEN len(w) = 0 AND NOT regexp_matches(v, '[\x{{4e00}}-\x{{9fff}}\x{{3040}}-\x{{30ff}}]') THEN 'no_lexical_content' END], lambda x: x IS NOT NULL), ',') END AS reasons FROM v1""")
 def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select("doc_id", F.array_join(T.quality_reasons(F.col("text")), ",").alias("reasons"))
+    rows = _documents(spark, sf_dir).select("doc_id", T.collapse(F.col("text")).alias("value")).withColumn("words", T.quality_words(F.col("value")))
+    return rows.select("doc_id", F.array_join(T.quality_reasons(F.col("value"), value=F.col("value"), words=F.col("words")), ",").alias("reasons"))
 
 
 @query(f"""SELECT doc_id, length({NORM})::BIGINT AS norm_len, md5({NORM}) AS norm_md5, len({TOKENS})::BIGINT AS n_tokens,
@@ -47,20 +48,23 @@ def text_normal_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all({NORM}, '[a-z]{{3,}}'), lambda x: x NOT IN ({", ".join(f"'{w}'" for w in T.STOP_WORDS)})))), ' ') AS words FROM documents WHERE lang = 'en'""")
+@query(f"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all({NORM}, '[a-z]{{3,}}'), lambda x: x NOT IN ({", ".join(f"'{w}'" for w in T.STOP_WORDS)})))), ' ') AS words FROM documents""")
 def content_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).where("lang = 'en'").select("doc_id", F.array_join(F.array_sort(T.content_tokens(F.col("text"))), " ").alias("words"))
+    return _documents(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(T.content_tokens(F.col("text"))), " ").alias("words"))
 
 
 @query("SELECT doc_id, length(text)::BIGINT AS char_count, len(regexp_extract_all(lower(text), '[a-z0-9'']+'))::BIGINT AS word_count, " + ", ".join(f"{_marker(p)} AS {k}_count" for k, p in T.SURFACE_MARKERS.items())
+       + r", CASE WHEN trim(text) = '' THEN 0 ELSE len(regexp_extract_all(trim(text), '[.!?]\s+')) + 1 END::BIGINT AS sentence_count, (length(text) - length(replace(text, '?', '')))::BIGINT AS question_mark_count"
        + ", CASE WHEN len(regexp_extract_all(lower(text), '[a-z0-9'']+')) < 40 THEN 'short' WHEN len(regexp_extract_all(lower(text), '[a-z0-9'']+')) < 160 THEN 'medium' ELSE 'long' END AS length_bucket FROM documents")
 def surface_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _documents(spark, sf_dir).select("doc_id", *[c.alias(k) for k, c in T.surface_features(F.col("text")).items()])
+    rows = T.with_surface_features(_documents(spark, sf_dir), "text")
+    counts = [f"{k}_count" for k in T.SURFACE_MARKERS]
+    return rows.select("doc_id", "char_count", "word_count", *counts, "sentence_count", "question_mark_count", "length_bucket")
 
 
 @query(f"WITH {TURNS} SELECT speaker, count(*) AS turns, round(avg(len(regexp_extract_all(lower(text), '[a-z0-9'']+'))), 6) AS mean_words, " + ", ".join(f"sum({_marker(p)})::BIGINT AS {k}_count" for k, p in T.SURFACE_MARKERS.items()) + " FROM turns GROUP BY 1")
 def style_by_role(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _turns(spark, sf_dir).select("speaker", *[c.alias(k) for k, c in T.surface_features(F.col("text")).items()])
+    rows = T.with_surface_features(_turns(spark, sf_dir), "text")
     return rows.groupBy("speaker").agg(
         F.count("*").alias("turns"), F.round(F.avg("word_count"), 6).alias("mean_words"), *[F.sum(f"{k}_count").alias(f"{k}_count") for k in T.SURFACE_MARKERS]
     )
@@ -195,3 +199,37 @@ def boundary_echoes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = _turns(spark, sf_dir).withColumn("w", T.tokens(F.col("text"))).withColumn("b", F.lag("w").over(by_turn())).where("b is not null")
     return rows.select("turn_id", T.boundary_echo(F.col("b"), F.col("w")).alias("echo"))
+
+
+#: Segments of a turn as a transcriber would give them, from the turn's own numbers.
+_SEGMENTS = """sg AS (SELECT event_id, user_id, [struct_pack(t := event_type || ' one two three', ns := (event_id % 101) / 100.0, cr := 1.0 + (event_id % 53) / 20.0, lp := -(event_id % 37) / 20.0, w := [(event_id % 7) / 10.0, 0.2, 0.1]),
+    struct_pack(t := event_type, ns := (user_id % 100) / 100.0, cr := 2.0, lp := -0.5, w := [0.3])] AS s FROM events)"""
+
+
+@query(f"""WITH {_SEGMENTS}, m AS (SELECT event_id, list_max(list_transform(s, lambda x: x.ns)) AS ns, list_max(list_transform(s, lambda x: x.cr)) AS cr, list_min(list_transform(s, lambda x: x.lp)) AS lp,
+list_sum(list_transform(s, lambda x: len(string_split(x.t, ' ')))) AS n, list_avg(flatten(list_transform(s, lambda x: x.w))) AS p, len(flatten(list_transform(s, lambda x: x.w))) AS k FROM sg)
+SELECT event_id, array_to_string(list_filter([CASE WHEN ns >= 0.985 AND n > 2 THEN 'no_speech' END, CASE WHEN cr >= 3.5 THEN 'compression' END, CASE WHEN lp <= -1.6 AND n >= 4 THEN 'log_probability' END,
+CASE WHEN p < 0.25 AND k >= 3 THEN 'word_probability' END], lambda x: x IS NOT NULL), ',') AS reasons FROM m""")
+def raw_asr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why transcripts are unreliable, from nested segments and word probabilities."""
+    e, kind = F.col("event_id"), F.col("event_type")
+    segment = lambda text, *numbers: F.struct(text.alias("text"), *[x.alias(n) for x, n in zip(numbers, ("no_speech", "compression", "log_probability", "words"), strict=True)])
+    first = segment(F.concat(kind, F.lit(" one two three")), e % 101 / 100.0, 1.0 + e % 53 / 20.0, -(e % 37) / 20.0, F.array(e % 7 / 10.0, F.lit(0.2), F.lit(0.1)))
+    second = segment(kind, F.col("user_id") % 100 / 100.0, F.lit(2.0), F.lit(-0.5), F.array(F.lit(0.3)))
+    rows = table(spark, sf_dir, "events").select("event_id", F.array(first, second).alias("segments"))
+    return rows.select("event_id", F.array_join(T.raw_asr_reasons(F.col("segments")), ",").alias("reasons"))
+
+
+@query(rf"""WITH {TURNS}, v AS (SELECT *, trim(regexp_replace(text, '\s+', ' ', 'g')) AS v, n % 40 / 12.0 AS cr, n % 100 / 100.0 AS ns, CASE WHEN n % 3 > 0 THEN -(n % 30) / 10.0 END AS lp FROM turns)
+SELECT turn_id, cr >= 2.8 OR ns >= 0.85 OR (length(v) >= 40 AND len(list_distinct(regexp_extract_all(lower(v), '[a-z0-9_]+'))) <= 4) AS suspicious, round(greatest(0, least(1, 0.5 + coalesce(lp, -2.0) / 4)), 4) AS confidence FROM v""")
+def transcript_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signs of a made-up transcript, and the confidence that its log probability gives."""
+    n = F.length("text")
+    suspicious = T.transcript_suspicious(F.col("text"), n % 40 / 12.0, n % 100 / 100.0)
+    return _turns(spark, sf_dir).select("turn_id", suspicious.alias("suspicious"), T.transcription_confidence(F.when(n % 3 > 0, -(n % 30) / 10.0)).alias("confidence"))
+
+
+@query()
+def unicode_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compatibility forms of documents; a test compares them with unicodedata, as DuckDB has no NFKC."""
+    return _documents(spark, sf_dir).select("doc_id", F.md5(T.norm_unicode(F.col("text")).cast("binary")).alias("norm_md5"))

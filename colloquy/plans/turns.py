@@ -148,17 +148,28 @@ def natural_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.islands(segments, starts).drop("first_idx")
 
 
+_QUOTED = lambda words: ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
 @query(f"""WITH {TURNS}, q AS (SELECT *, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS v FROM turns),
-p AS (SELECT *, lag(v) OVER (PARTITION BY source_id ORDER BY idx) AS ctx FROM q)
+p AS (SELECT *, lag(v) OVER w AS ctx, list_filter([lead(text) OVER w, lead(text, 2) OVER w], lambda x: x IS NOT NULL) AS more, lag(idx, 2) OVER w IS NOT NULL AS extended FROM q WINDOW w AS (PARTITION BY source_id ORDER BY idx)),
+f AS (SELECT *, list_transform(more, lambda x: struct_pack(t := trim(x), f := regexp_replace(split_part(lower(trim(x)), ' ', 1), '^[''".,!?;:]+|[''".,!?;:]+$', '', 'g'))) AS fs FROM p)
 SELECT turn_id, array_to_string(list_sort(list_filter([
+    CASE WHEN len(list_filter(fs, lambda x: x.f IN ({_QUOTED(T.INDEPENDENT_STARTERS)}))) > 0 THEN 'POSSIBLE_INDEPENDENT_SPEECH_ACT' END,
+    CASE WHEN len(list_filter(fs, lambda x: x.f NOT IN ({_QUOTED(T.INDEPENDENT_STARTERS)}) AND (regexp_matches(x.t, '^[a-z]') OR x.f IN ({_QUOTED(T.CONTINUATION_STARTERS)})))) > 0 THEN 'POSSIBLE_GRAMMATICAL_CONTINUATION' END,
+    CASE WHEN extended THEN 'CONTEXT_EXTENSION_AVAILABLE' END, CASE WHEN suspicious OR asr_quality = 'REVIEW' THEN 'TRANSCRIPT_OR_BOUNDARY_RISK' END,
     CASE WHEN regexp_matches(text[1], '^[a-z]') THEN 'LOWERCASE_RESPONSE_START' END,
     CASE WHEN NOT regexp_matches(lower(text), '{T.ACKNOWLEDGEMENT.replace("'", "''")}') THEN 'NO_ACKNOWLEDGEMENT_PATTERN' END,
-    CASE WHEN NOT list_has_any(list_filter(regexp_extract_all(ctx, '[a-z]{{3,}}'), lambda x: x NOT IN ({", ".join(f"'{w}'" for w in T.STOP_WORDS)})), regexp_extract_all(v, '[a-z]{{3,}}')) THEN 'NO_CONTENT_TOKEN_OVERLAP' END,
+    CASE WHEN NOT list_has_any(list_filter(regexp_extract_all(ctx, '[a-z]{{3,}}'), lambda x: x NOT IN ({_QUOTED(T.STOP_WORDS)})), regexp_extract_all(v, '[a-z]{{3,}}')) THEN 'NO_CONTENT_TOKEN_OVERLAP' END,
     CASE WHEN NOT regexp_matches(ctx, '{T.TRIGGER}') THEN 'NO_QUESTION_OR_EXPLICIT_TRIGGER_PATTERN' END], lambda x: x IS NOT NULL)), ',') AS flags
-FROM p WHERE ctx IS NOT NULL""")
+FROM f WHERE ctx IS NOT NULL""")
 def risk_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _turns(spark, sf_dir).withColumn("ctx", F.lag("text").over(O.by_turn())).where("ctx is not null")
-    return turns.select("turn_id", F.array_join(T.risk_flags(F.col("ctx"), F.col("text")), ",").alias("flags"))
+    more = F.array_compact(F.array(*[F.lead("text", k).over(O.by_turn()) for k in (1, 2)]))
+    turns = _turns(spark, sf_dir).withColumn("ctx", F.lag("text").over(O.by_turn())).withColumn("more", more)
+    turns = turns.withColumn("extended", F.lag("idx", 2).over(O.by_turn()).isNotNull()).where("ctx is not null")
+    doubtful = F.col("suspicious_transcription") | (F.col("asr_quality") == "REVIEW")
+    flags = T.risk_flags(F.col("ctx"), F.col("text"), F.col("more"), F.col("extended"), doubtful)
+    return turns.select("turn_id", F.array_join(flags, ",").alias("flags"))
 
 
 @query(f"""WITH {TURNS}, q AS (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS v FROM turns),
