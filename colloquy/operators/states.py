@@ -67,19 +67,24 @@ def resolve_passes(primary: str, strict: str, adjudication: str, quarantined: Co
 
 
 def route(forced: Column, background: Column, ambiguous: Column, overlap: Column, speakers: Column, target_active: Column) -> Column:
-    """Where a window goes, strongest reason first."""
+    """Where a window goes, strongest reason first; overlap is marked speech of several, speakers those that speak at one time, marked or not."""
     return (
         F.when(forced, "FORCED").when(background, "BACKGROUND_SPEECH").when(ambiguous, "SPEAKER_AMBIGUITY")
-        .when(overlap & target_active, "TARGET_OVERLAP").when((speakers > 1) & target_active & overlap, "MULTI_SPEAKER_TARGET").otherwise("CLEAN")
+        .when(overlap & target_active, "TARGET_OVERLAP").when((speakers > 1) & target_active, "MULTI_SPEAKER_TARGET").otherwise("CLEAN")
     )
 
 
-def fuse_identity(current: Column, margin: Column, second: Column, explicit_target: Column, explicit_other: Column, style: Column, rejected: Column, quarantined: Column, guest: Column) -> Column:
+def fuse_identity(
+    current: Column, margin: Column, cross_margin: Column, second: Column, explicit_target: Column, explicit_other: Column, named_guest: Column,
+    style: Column, rejected: Column, quarantined: Column, guest: Column,
+) -> Column:
     """struct(state, reason): identity from acoustic margins, a second model, metadata and style.
 
-    Metadata and style only strengthen what two independent models agree on; they never promote alone.
+    cross_margin is the margin by other features: null, or it must not speak against. Metadata and style only
+    strengthen what two independent models agree on; they never promote alone.
     """
-    audio = (current == "TARGET") & (margin >= 0.135)
+    audio = (current == "TARGET") & (margin >= 0.135) & F.coalesce(cross_margin >= 0, F.lit(True))
+    audio_other = (current == "OTHER") & (margin <= -0.135) & F.coalesce(cross_margin <= 0, F.lit(True))
     return first_rule(
         [
             (rejected, "NON_TARGET_TTS", "synthetic_voice"),
@@ -87,11 +92,12 @@ def fuse_identity(current: Column, margin: Column, second: Column, explicit_targ
             (guest, "NON_TARGET_GUEST", "recurring_guest"),
             (second == "GUEST", "NON_TARGET_GUEST", "second_model_guest"),
             (second == "OTHER", "NON_TARGET_KNOWN", "second_model_other"),
-            (audio & (second == "TARGET") & explicit_target & explicit_other, "UNKNOWN", "ambiguous_participants"),
+            (audio & (second == "TARGET") & explicit_target & named_guest, "UNKNOWN", "ambiguous_participants"),
             (audio & (second == "TARGET") & explicit_target & ~explicit_other & (style >= 0.6), "TARGET_HIGH", "models_metadata_and_style"),
             (audio & (second == "TARGET") & ~explicit_other, "TARGET_MEDIUM", "models_agree"),
             (audio & (second != "TARGET"), "UNKNOWN", "models_disagree"),
-            ((current == "OTHER") & (margin <= -0.135) & explicit_other, "NON_TARGET_KNOWN", "model_and_metadata"),
+            (audio_other & explicit_other, "NON_TARGET_KNOWN", "model_and_metadata"),
+            ((current == "OTHER") & explicit_other, "NON_TARGET_KNOWN", "weak_margin_and_metadata"),
         ],
         "UNKNOWN",
         "insufficient_evidence",

@@ -97,33 +97,38 @@ def speaker_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _turns(spark, sf_dir).select("turn_id", state["state"].alias("state"), F.nullif(state["reason"], F.lit("")).alias("role"))
 
 
-@query(f"""WITH {SPANS}, p AS (SELECT a.event_id, count(b.event_id) > 0 AS overlap, count(DISTINCT b.event_type) + 1 AS speakers, any_value(a.event_type) AS t, any_value(a.value) AS v FROM spans a LEFT JOIN spans b ON a.user_id = b.user_id AND a.event_id <> b.event_id AND a.s < b.e AND b.s < a.e GROUP BY 1)
-SELECT event_id, CASE WHEN v > 300 THEN 'FORCED' WHEN v < 1 THEN 'BACKGROUND_SPEECH' WHEN t = 'error' THEN 'SPEAKER_AMBIGUITY' WHEN overlap AND t = 'purchase' THEN 'TARGET_OVERLAP' ELSE 'CLEAN' END AS route FROM p""")
+@query(f"""WITH {SPANS}, p AS (SELECT a.event_id, count(b.event_id) > 0 AND a.event_id % 2 = 0 AS overlap, count(DISTINCT b.event_type) FILTER (b.event_type <> a.event_type) + 1 AS speakers, any_value(a.event_type) AS t, any_value(a.value) AS v FROM spans a LEFT JOIN spans b ON a.user_id = b.user_id AND a.event_id <> b.event_id AND a.s < b.e AND b.s < a.e GROUP BY 1)
+SELECT event_id, CASE WHEN v > 300 THEN 'FORCED' WHEN v < 1 THEN 'BACKGROUND_SPEECH' WHEN t = 'error' THEN 'SPEAKER_AMBIGUITY' WHEN overlap AND t = 'purchase' THEN 'TARGET_OVERLAP' WHEN speakers > 1 AND t = 'purchase' THEN 'MULTI_SPEAKER_TARGET' ELSE 'CLEAN' END AS route FROM p""")
 def route_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Routes of events as windows; purchases are the target."""
+    """Routes of events as windows; purchases are the target, and overlaps are marked at even ids only."""
     from colloquy.operators.joins import overlap_join
     from colloquy.plans.joins import HOUR, _left, _right
 
     met = overlap_join(_left(spark, sf_dir), _right(spark, sf_dir), ["user_id"], 2 * HOUR).where("event_id <> other")
-    met = met.groupBy("event_id").agg(F.count_distinct("type_r").alias("others"))
+    met = spans(spark, sf_dir).select("event_id", "event_type").join(met.select("event_id", "type_r"), "event_id")
+    met = met.groupBy("event_id").agg(F.count_distinct(F.when(F.col("type_r") != F.col("event_type"), F.col("type_r"))).alias("others"))
     rows = spans(spark, sf_dir).join(met, "event_id", "left")
-    t = F.col("event_type")
-    route = O.route(F.col("value") > 300, F.col("value") < 1, t == "error", F.col("others").isNotNull(), F.coalesce("others", F.lit(0)) + 1, t == "purchase")
+    t, marked = F.col("event_type"), F.col("others").isNotNull() & (F.col("event_id") % 2 == 0)
+    route = O.route(F.col("value") > 300, F.col("value") < 1, t == "error", marked, F.coalesce("others", F.lit(0)) + 1, t == "purchase")
     return rows.select("event_id", route.alias("route"))
 
 
-@query("""WITH e AS (SELECT vec_id, label, embedding[1]::DOUBLE AS m, embedding[2]::DOUBLE AS m2, abs(embedding[3]) * 5 AS style FROM embeddings)
-SELECT vec_id, CASE WHEN vec_id % 23 = 0 THEN 'NON_TARGET_TTS' WHEN vec_id % 19 = 0 THEN 'UNKNOWN' WHEN label = 9 THEN 'NON_TARGET_GUEST' WHEN m2 < -0.1 THEN 'NON_TARGET_GUEST' WHEN m2 < 0 THEN 'NON_TARGET_KNOWN' WHEN label < 5 AND m >= 0.135 AND vec_id % 2 = 0 AND vec_id % 3 = 0 THEN 'UNKNOWN'
-    WHEN label < 5 AND m >= 0.135 AND vec_id % 2 = 0 AND vec_id % 3 <> 0 AND style >= 0.6 THEN 'TARGET_HIGH' WHEN label < 5 AND m >= 0.135 AND vec_id % 3 <> 0 THEN 'TARGET_MEDIUM' WHEN label >= 5 AND m <= -0.135 AND vec_id % 3 = 0 THEN 'NON_TARGET_KNOWN' ELSE 'UNKNOWN' END AS identity FROM e""")
+@query("""WITH e AS (SELECT vec_id, label, embedding[1]::DOUBLE AS m, embedding[2]::DOUBLE AS m2, abs(embedding[3]) * 5 AS style, CASE WHEN vec_id % 5 > 0 THEN embedding[4]::DOUBLE END AS x FROM embeddings),
+f AS (SELECT *, label < 5 AND m >= 0.135 AND coalesce(x >= 0, true) AS audio FROM e)
+SELECT vec_id, CASE WHEN vec_id % 23 = 0 THEN 'NON_TARGET_TTS' WHEN vec_id % 19 = 0 THEN 'UNKNOWN' WHEN label = 9 THEN 'NON_TARGET_GUEST' WHEN m2 < -0.1 THEN 'NON_TARGET_GUEST' WHEN m2 < 0 THEN 'NON_TARGET_KNOWN' WHEN audio AND vec_id % 2 = 0 AND vec_id % 7 = 0 THEN 'UNKNOWN'
+    WHEN audio AND vec_id % 2 = 0 AND vec_id % 3 <> 0 AND style >= 0.6 THEN 'TARGET_HIGH' WHEN audio AND vec_id % 3 <> 0 THEN 'TARGET_MEDIUM' WHEN label >= 5 AND vec_id % 3 = 0 THEN 'NON_TARGET_KNOWN' ELSE 'UNKNOWN' END AS identity,
+    CASE WHEN m2 >= 0 AND vec_id % 23 > 0 AND vec_id % 19 > 0 AND label > 5 AND label < 9 AND vec_id % 3 = 0 THEN CASE WHEN m > -0.135 OR coalesce(x > 0, false) THEN 'weak' ELSE 'strong' END END AS evidence FROM f""")
 def fusion_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identities fused from vectors' first dimensions as margins and from ids as metadata."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", *[F.get("embedding", F.lit(k)).cast("double").alias(n) for k, n in enumerate(("m", "m2", "m3"))])
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", *[F.get("embedding", F.lit(k)).cast("double").alias(n) for k, n in enumerate(("m", "m2", "m3", "m4"))])
     ident = F.col("vec_id")
     second = F.when(F.col("m2") < -0.1, "GUEST").when(F.col("m2") < 0, "OTHER").otherwise("TARGET")
     state = O.fuse_identity(
-        F.when(F.col("label") < 5, "TARGET").otherwise("OTHER"), F.col("m"), second, ident % 2 == 0, ident % 3 == 0, F.abs(F.get(F.array("m3"), F.lit(0)).cast("float")) * 5, ident % 23 == 0, ident % 19 == 0, F.col("label") == 9
+        F.when(F.col("label") < 5, "TARGET").otherwise("OTHER"), F.col("m"), F.when(ident % 5 > 0, F.col("m4")), second, ident % 2 == 0, ident % 3 == 0, ident % 7 == 0, F.abs(F.get(F.array("m3"), F.lit(0)).cast("float")) * 5, ident % 23 == 0, ident % 19 == 0, F.col("label") == 9
     )
-    return rows.select("vec_id", state["state"].alias("identity"))
+    by_metadata = state["reason"].isin("model_and_metadata", "weak_margin_and_metadata") & F.col("label").between(6, 8)
+    evidence = F.when(by_metadata, F.when(state["reason"] == "weak_margin_and_metadata", "weak").otherwise("strong"))
+    return rows.select("vec_id", state["state"].alias("identity"), evidence.alias("evidence"))
 
 
 @query(f"""WITH {TURNS}, w AS (SELECT source_id, count(*) AS n, count(*) FILTER (identity = 'TARGET_HIGH') AS t, count(*) FILTER (suspicious) AS s, count(*) FILTER (identity = 'UNKNOWN') AS u FROM turns GROUP BY 1)

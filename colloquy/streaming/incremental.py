@@ -1,6 +1,6 @@
 """Structured Streaming forms: sessions, trailing windows, duplicates and append-only logs.
 
-Late rows are those behind the watermark; they are dropped, no sink of their own is rebuilt.
+Late rows are those behind the watermark; aggregations drop them, and late_rows() keeps them in a sink of their own.
 """
 
 from __future__ import annotations
@@ -46,3 +46,18 @@ def upsert(path_of: Callable[[int], str], key: list[str], order: list[str]) -> C
         latest(batch, key, F.struct(*order)).write.mode("overwrite").parquet(path_of(number))
 
     return write
+
+
+def late_rows(spark: SparkSession, marks: str, path: str, ts: str, late: str) -> Callable[[DataFrame, int], None]:
+    """A sink that writes the rows of a batch that lie more than late behind the newest row of all batches before.
+
+    The newest row's time of each batch is kept below marks, so that a batch that is run again finds the same bound.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.agg(F.max(ts).alias("newest")).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{marks}/b={number}")
+        before = spark.read.schema("newest timestamp, batch int").parquet(f"{marks}/*").where(F.col("batch") < number).agg(F.max("newest")).first()[0]
+        behind = F.lit(False) if before is None else F.col(ts) < F.lit(before) - F.expr(f"interval {late}")
+        batch.where(behind).write.mode("overwrite").parquet(f"{path}/b={number}")
+
+    return write
