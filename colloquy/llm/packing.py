@@ -11,6 +11,7 @@ never the text, and each task leaves at most a few sequences part filled.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -31,6 +32,9 @@ PIECES = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
 )
 
+#: From so much white space on, the fast pattern matcher may run out of stack.
+_LONG_BLANK = re.compile(r"\s{10000}")
+
 _tokenizers: dict[str, object] = {}
 
 
@@ -39,7 +43,8 @@ class ByteBpe:
 
     Plain text goes through ``tiktoken`` with the same vocabulary as ranks, which gives the same
     ids about five times faster; a text that holds a special token's string goes through
-    ``tokenizers`` itself, which turns it into that token's id.
+    ``tokenizers`` itself, which turns it into that token's id, and so does a text whose runs of white
+    space are too long for the fast pattern matcher.
     """
 
     def __init__(self, name: str = "byte_bpe_50k"):
@@ -54,9 +59,13 @@ class ByteBpe:
         self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            return np.asarray(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return np.asarray(self.fast.encode_ordinary(text), dtype="<u4")
+        if not any(s in text for s in self.special) and not _LONG_BLANK.search(text):
+            try:
+                return np.asarray(self.fast.encode_ordinary(text), dtype="<u4")
+            except BaseException as error:  # its pattern matcher gives up by a panic, which is no Exception
+                if type(error).__name__ != "PanicException":
+                    raise
+        return np.asarray(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def tokenizer(name: str) -> ByteBpe:
@@ -137,8 +146,8 @@ class BestFit:
 def pack(pieces: DataFrame, length: int = SEQUENCE_LENGTH, open_bins: int = OPEN_BINS, block: int = BLOCK) -> DataFrame:
     """pieces with sequence_id and offset added; their other columns are doc_id, piece, start, length, ids_crc32.
 
-    An empty table gives an empty table. Equal pieces are placed one after the other. A length
-    above ``length`` or below 1 is an error.
+    An empty table gives an empty table. Equal pieces are placed one after the other. A null length or one
+    above ``length`` or below 1 is an error; other columns may be null.
     """
     out_schema = PIECES.append(pa.field("sequence_id", pa.int64())).append(pa.field("offset", pa.int64()))
 
@@ -147,7 +156,7 @@ def pack(pieces: DataFrame, length: int = SEQUENCE_LENGTH, open_bins: int = OPEN
 
         def placed(table: pa.Table) -> pa.RecordBatch:
             sizes = table.column("length").to_numpy()
-            if len(sizes) and not 1 <= sizes.min() <= sizes.max() <= length:
+            if table.column("length").null_count or len(sizes) and not 1 <= sizes.min() <= sizes.max() <= length:
                 raise ValueError(f"piece lengths must lie in 1..{length}")
             ids, at = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
             for k in np.argsort(-sizes, kind="stable"):
