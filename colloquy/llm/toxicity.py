@@ -28,6 +28,7 @@ TEXTS_A_CLASS = 3000
 ROUNDS = 120
 PENALTY = 1e-5
 CACHED = 200_000
+LONG_WORD = 256  # longer words are worked out each time, so that the cache stays small
 OFFENDS = 0.5
 DECISION = 0.7
 
@@ -35,6 +36,12 @@ _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _PUNCTUATION = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»“”„‘’…"
 
 
+def lowered(text: str) -> str:
+    """text in lower case, character by character where a letter would become two, so that places stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower()[0] for c in text)
+
+
 def word_features(word: str) -> list[int]:
     """Buckets of a word and of its first letters."""
     w = word.strip(_PUNCTUATION)
@@ -53,6 +60,8 @@ class _Weights(dict):
 
     def __missing__(self, word: str) -> float:
         value = float(self.weights[word_features(word)].sum())
+        if len(word) > LONG_WORD:
+            return value
         if len(self) >= CACHED:
             self.clear()
         self[word] = value
@@ -71,7 +80,7 @@ class ToxicityModel:
     def sentences(self, text: str, known: _Weights) -> tuple[list[tuple[int, int]], np.ndarray]:
         """Spans of the text's sentences and their chances."""
         spans, logits = [], []
-        for m in _SENTENCE.finditer(text.lower() if len(text.lower()) == len(text) else text):
+        for m in _SENTENCE.finditer(lowered(text)):
             words = m[0].split()
             if words:
                 spans.append(m.span())
@@ -100,7 +109,7 @@ def _bags(sample: DataFrame) -> list:
         for part in slices(batches):
             words, sentences = [], []
             for text in part.column(3).to_pylist():
-                own = [x.split() for x in _SENTENCE.findall(text.lower())]
+                own = [x.split() for x in _SENTENCE.findall(lowered(text))]
                 words.append([w for x in own for w in dict.fromkeys(x)])
                 sentences.append([k for k, x in enumerate(own) for _ in dict.fromkeys(x)])
             yield pa.RecordBatch.from_arrays(
@@ -218,7 +227,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, threshold: float
     """documents' columns with toxic_score, toxic_pred and offending added; columns of those names are replaced.
 
     offending: spans (start, end, in characters) of sentences whose own chance is at least a half,
-    with that chance. A null or empty text has no sentences and the lowest document chance.
+    with that chance, in text order. A null or empty text has no sentences and the lowest document chance.
     Repeated rows are kept and score alike.
     """
     shared = documents.sparkSession.sparkContext.broadcast(pickle.dumps(model))
