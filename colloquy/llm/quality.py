@@ -26,8 +26,10 @@ SHAPES, WORDS, FACTS = 768, 1024, 64
 TERMS = SHAPES + WORDS + FACTS
 DIMENSIONS = 48
 NEIGHBOURS = 15
+TIED = 1e-6  # cosines so close count as equal
 TEXTS_A_CLASS = 2500
 CACHED = 200_000
+LONG_WORD = 256  # longer words are worked out each time, so that the cache stays small
 
 _RUNS = (
     (re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[0-9]+"), b"9"),
@@ -39,11 +41,13 @@ class _Terms(dict):
     """word -> its shape's and its own term in one number, worked out once a word."""
 
     def __missing__(self, word: bytes) -> int:
-        shape = word[:64]
+        shape = word
         for pattern, letter in _RUNS:
             shape = pattern.sub(letter, shape)
         shape = _AGAIN.sub(rb"\1", shape)
         code = (zlib.crc32(shape) % SHAPES) * WORDS + zlib.crc32(word.lower()) % WORDS
+        if len(word) > LONG_WORD:
+            return code
         if len(self) >= CACHED:
             self.clear()
         self[word] = code
@@ -93,22 +97,24 @@ class QualityModel:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
     def scores(self, counts: np.ndarray, neighbours: int = NEIGHBOURS, block: int = 1024) -> np.ndarray:
-        """Votes of the nearest labelled vectors; labelled vectors are taken in blocks, all of them."""
+        """Votes of the nearest labelled vectors; labelled vectors are taken in blocks, all of them.
+
+        All that are as near as the last of the nearest vote, too, so that ties need no order.
+        """
         if not len(self.vectors):
             return np.full(len(counts), self.prior)
         x = self.embed(counts)
-        near, who = np.empty((len(x), 0), np.float32), np.empty((len(x), 0), np.int64)
-        for start in range(0, len(self.vectors), block):
-            cos = x @ self.vectors[start : start + block].T
-            k = min(neighbours, cos.shape[1])
-            at = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-            near = np.concatenate([near, np.take_along_axis(cos, at, 1)], axis=1)
-            who = np.concatenate([who, at + start], axis=1)
-        k = min(neighbours, near.shape[1])
-        at = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        near, who = np.take_along_axis(near, at, 1), np.take_along_axis(who, at, 1)
-        vote = np.maximum(near, 1e-3) ** 4 * self.weights[who]
-        return (vote * self.labels[who]).sum(axis=1) / vote.sum(axis=1)
+        blocks = [x @ self.vectors[start : start + block].T for start in range(0, len(self.vectors), block)]
+        near = [np.partition(cos, max(0, cos.shape[1] - neighbours), axis=1)[:, -neighbours:] for cos in blocks]
+        near = np.concatenate(near, axis=1)
+        least = np.partition(near, max(0, near.shape[1] - neighbours), axis=1)[:, -neighbours:].min(axis=1, keepdims=True) - TIED
+        votes, good = np.zeros(len(x)), np.zeros(len(x))
+        for k, cos in enumerate(blocks):
+            row, who = np.nonzero(cos >= least)
+            vote = np.maximum(cos[row, who], 1e-3).astype(np.float64) ** 4 * self.weights[who + k * block]
+            votes += np.bincount(row, vote, len(x))
+            good += np.bincount(row, vote * self.labels[who + k * block], len(x))
+        return good / votes
 
 
 def _features(sample: DataFrame) -> list:
