@@ -8,6 +8,7 @@ that score well enough or are plain prose, and its blocks of text come out in pa
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterable, Iterator
@@ -47,6 +48,14 @@ ASIDE_WORDS = frozenset(
     "recommended replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe tags "
     "toolbar topbar widget".split()
 )
+# Words that may stand beside those in the name of a class without a meaning of their own.
+PLAIN_WORDS = frozenset(
+    "area bar body block bottom box btn button buttons card center container content first global group header icon icons "
+    "inline inner item items js last layout left link links list main message module note outer page panel post posts "
+    "primary region right row section secondary site slot story strip text title top unit wrap wrapper x".split()
+)
+# What marks even a paragraph or a heading of an article as foreign to it.
+AD_WORDS = frozenset("ad ads adv advert adverts advertisement advertising cookie cookies hidden promo promoted sponsor sponsored subscribe".split())
 KEEPS = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td th blockquote li dd h1 h2 h3 h4 h5 h6".split())
@@ -59,94 +68,129 @@ _MARKUP = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"([^\s=\"'>/]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++)")
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 _WORDS = re.compile(r"[A-Za-z][a-z]*+|[A-Z]++")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "aside", "points", "chars", "link_chars", "main")
+    __slots__ = ("tag", "parent", "children", "aside", "points", "chars", "link_chars", "commas", "main")
 
     def __init__(self, tag: str, parent: Node | None, aside: bool = False, main: bool = False):
         self.tag, self.parent, self.aside, self.main = tag, parent, aside, main
         self.children: list[Node | str] = []
-        self.points, self.chars, self.link_chars = 0.0, 0, 0
+        self.points, self.chars, self.link_chars, self.commas = 0.0, 0, 0, 0
+
+
+def _named_aside(value: str, foreign: frozenset[str]) -> bool:
+    """True if a whole class name (or id, or role) is made of foreign words, perhaps with plain ones."""
+    for name in value.strip("\"'").split():
+        words = {w.lower() for w in _WORDS.findall(name)}
+        if words & foreign and words <= ASIDE_WORDS | PLAIN_WORDS:
+            return True
+    return False
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
-    """(not part of the article, main content) by element, class, id and role."""
+def _marks(tag: str, attrs: str, inside: bool) -> tuple[bool, bool]:
+    """(not part of the article, main content) by element, class, id and role; inside: within an article or main content."""
     aside, main = tag in ASIDE, tag in ("article", "main")
     if attrs and "=" in attrs:
+        foreign = AD_WORDS if inside and tag in PARAGRAPHS else ASIDE_WORDS
         for key, value in _ATTR.findall(attrs):
             key = key.lower()
             if key in ("class", "id", "role"):
-                words = {w.lower() for w in _WORDS.findall(value)}
-                if tag not in KEEPS and words & ASIDE_WORDS:
+                if tag not in KEEPS and _named_aside(value, foreign):
                     aside = True
-                main = main or (key == "role" and "main" in words)
+                main = main or (key == "role" and value.strip("\"'").lower() == "main")
             elif key == "aria-hidden" and "true" in value.lower() or key == "style" and re.search(r"display\s*:\s*none", value):
                 aside = aside or tag not in KEEPS
     return aside, main
 
 
+class _Open:
+    """The open elements of a page being parsed, with the places of each kind; nothing climbs from element to element."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at, self.blocks, self.mains = [root], {}, [0], 0
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.mains += node.main
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """Close the element at a place and all within it."""
+        while len(self.nodes) > place:
+            node = self.nodes.pop()
+            self.at[node.tag].pop()
+            if node.tag in BLOCK:
+                self.blocks.pop()
+            self.mains -= node.main
+
+    def last(self, tag: str) -> int:
+        """The place of the innermost open element of a tag; 0 if there is none."""
+        places = self.at.get(tag)
+        return places[-1] if places else 0
+
+    def first_after(self, tags: frozenset[str], place: int) -> int:
+        """The place of the outermost open element of these tags beyond a place; 0 if there is none."""
+        found = 0
+        for tag in tags:
+            places = self.at.get(tag, [])
+            k = bisect.bisect_right(places, place)
+            if k < len(places) and (not found or places[k] < found):
+                found = places[k]
+        return found
+
+
 def parse(text: str) -> Node:
-    """The tree of a page; end tags that nothing opened are ignored, missing ones are supplied."""
-    root = node = Node("#root", None)
-    at, end_of_text = 0, len(text)
-    while at < end_of_text:
-        found = _MARKUP.search(text, at)
-        if not found:
-            node.children.append(html.unescape(text[at:]))
+    """The tree of a page, in time proportional to its length; end tags that nothing opened are ignored, missing ones are supplied.
+
+    A block's start ends an open paragraph; an inline end tag closes no block; a slash at the end of a start tag means nothing.
+    """
+    root = Node("#root", None)
+    open_ = _Open(root)
+    at, last_mark = 0, text.rfind(">")
+    while at < len(text):
+        found = _MARKUP.search(text, at) if at <= last_mark else None
+        if not found or found.start() > last_mark:  # what is left has no markup but perhaps an open comment
+            left = text[at:]
+            open_.nodes[-1].children.append(html.unescape(left.partition("<!--")[0]))
             break
         if found.start() > at:
-            node.children.append(html.unescape(text[at : found.start()]))
+            open_.nodes[-1].children.append(html.unescape(text[at : found.start()]))
         at = found.end()
         tag = found["tag"]
         if tag is None:
             if found["cdata"] is not None:
-                node.children.append(found["cdata"])
+                open_.nodes[-1].children.append(found["cdata"])
             continue
         tag = tag.lower()
         if found["end"]:
-            up = node
-            while up is not root and up.tag != tag:
-                if tag not in BLOCK and up.tag in BLOCK:  # an inline end tag closes no block
-                    up = root
-                    break
-                up = up.parent
-            if up is not root:
-                node = up.parent
+            place = open_.last(tag)
+            if place and (tag in BLOCK or place > open_.blocks[-1]):
+                open_.close(place)
             continue
-        if tag in BLOCK:
-            up = node
-            while up is not root and up.tag not in BLOCK:
-                up = up.parent
-            if up.tag == "p":  # a block's start ends an open paragraph
-                node = up.parent
+        if tag in BLOCK and open_.nodes[open_.blocks[-1]].tag == "p":
+            open_.close(open_.blocks[-1])
         if tag in CLOSED_BY:
             ends, stops = CLOSED_BY[tag]
-            up, last = node, None
-            while up is not root and up.tag not in stops:
-                if up.tag in ends:
-                    last = up
-                up = up.parent
-            if last is not None:
-                node = last.parent
-        aside, main = _marks(tag, found["attrs"])
-        if tag == "header" and aside:  # an article's own heading stays
-            up = node
-            while up is not root:
-                if up.tag == "article":
-                    aside = False
-                    break
-                up = up.parent
-        new = Node(tag, node, aside, main)
-        node.children.append(new)
-        if tag in VOID or found["attrs"].endswith("/"):
+            place = open_.first_after(ends, max(map(open_.last, stops)))
+            if place:
+                open_.close(place)
+        aside, main = _marks(tag, found["attrs"], open_.mains > 0)
+        if tag == "header" and open_.last("article"):  # an article's own heading stays
+            aside = False
+        new = Node(tag, open_.nodes[-1], aside, main)
+        open_.nodes[-1].children.append(new)
+        if tag in VOID:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(text, at)
-            at = close.end() if close else end_of_text
+            close = _RAW_ENDS[tag].search(text, at)
+            at = close.end() if close else len(text)
             continue
-        node = new
+        open_.push(new)
     return root
 
 
@@ -175,36 +219,48 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
 
 
 def _score(root: Node) -> list[Node]:
-    """Fill in the measures of every node that is not aside; the containers that got points."""
-    order: list[tuple[Node, bool]] = []
-    stack = [(root, False)]
+    """Fill in the measures of every node that is not aside; the containers that got points.
+
+    A paragraph's parent gets all its points, and so does the nearest article or main content around it; other
+    ancestors, up to four levels, get a share that falls with the level.
+    """
+    order: list[tuple[Node, bool, Node | None]] = []
+    stack: list[tuple[Node, bool, Node | None]] = [(root, False, None)]
     while stack:
-        node, linked = stack.pop()
-        order.append((node, linked))
-        stack += [(c, linked or c.tag == "a") for c in node.children if not isinstance(c, str) and not c.aside]
+        node, linked, main = stack.pop()
+        order.append((node, linked, main))
+        inner = node if node.main else main
+        stack += [(c, linked or c.tag == "a", inner) for c in node.children if not isinstance(c, str) and not c.aside]
     containers: list[Node] = []
-    for node, linked in reversed(order):
-        own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
+
+    def give(up: Node, points: float) -> None:
+        if not up.points:
+            containers.append(up)
+        up.points += points
+
+    for node, linked, main in reversed(order):
+        texts = [c for c in node.children if isinstance(c, str)]
+        own, commas = sum(len(" ".join(c.split())) for c in texts), sum(c.count(",") for c in texts)
         node.chars += own
+        node.commas += commas
         node.link_chars += own if linked else 0
-        plain = node.tag in PARAGRAPHS or own > 80 and node.tag in BLOCK
-        if plain and node.chars:
-            run: list[list[str]] = [[]]
-            _blocks(node, run)
-            text = " ".join(" ".join(x) for x in run)
-            gain = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - node.link_chars / max(node.chars, 1))
-            share, up = 1.0, node.parent if node.tag in PARAGRAPHS else node
+        paragraph = node.tag in PARAGRAPHS and node.chars
+        if paragraph or own > 80 and node.tag in BLOCK:
+            chars, marks = (node.chars, node.commas) if paragraph else (own, commas)
+            gain = (1 + marks + min(chars / 100, 3)) * (1 - node.link_chars / max(node.chars, 1))
+            share, up = 1.0, node.parent if paragraph else node
             for level in range(4):
                 if up is None:
                     break
-                if up.tag in BLOCK and up.tag not in PARAGRAPHS or up.tag == "#root":
-                    if not up.points:
-                        containers.append(up)
-                    up.points += gain * share
+                if up is not main and (up.tag in BLOCK and up.tag not in PARAGRAPHS or up.tag == "#root"):
+                    give(up, gain * share)
                     share = share / 2 if level == 0 else share * level / (level + 1)
                 up = up.parent
+            if main is not None and gain:
+                give(main, gain)
         if node.parent is not None:
             node.parent.chars += node.chars
+            node.parent.commas += node.commas
             node.parent.link_chars += node.link_chars
     return containers
 
@@ -214,17 +270,16 @@ def _final(node: Node) -> float:
 
 
 def main_text(page: str | None) -> str:
-    """The article's text: blocks in page order, one line each; empty if there is none or page is null."""
+    """The article's text: blocks in page order, one line each; empty if there is none or page is null.
+
+    Points decide which container it is; of equal ones article and main content come first, then the outermost.
+    """
     if not page:
         return ""
     root = parse(page)
     containers = _score(root)
     if containers:
-        best = max(containers, key=_final)  # of equals the first found, from the end of the page
-        up = best
-        while up is not None and not up.main:
-            up = up.parent
-        best = up or best
+        best = max(reversed(containers), key=lambda x: (_final(x), x.main))  # of equals the outermost, then the first of the page
         kept: list[Node] = [best]
         if best.parent is not None:
             least = max(2.0, 0.2 * _final(best))
