@@ -70,6 +70,6 @@ def concentration_cap(rows: DataFrame, group: str, order: list[Column], share: f
     total = F.sum("_n").over(W.partitionBy())
     other = total - F.col("_n")
     limit = F.when(F.col("_n") > share * total, F.floor(other * share / (1 - share))).otherwise(F.col("_n"))
-    capped = rows.join(F.broadcast(counts.select(group, limit.alias("_limit"))), group)  # one row a group
+    capped = rows.join(counts.select(group, limit.alias("_limit")), group)
     rank = F.row_number().over(W.partitionBy(group).orderBy(*order))
     return capped.withColumn("_rn", rank).where(F.col("_rn") <= F.col("_limit")).drop("_rn", "_limit")

@@ -7,6 +7,7 @@ aggregated group-by and never a gathered group.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.operators.windows import first_by
@@ -55,7 +56,7 @@ def held_out_prototypes(rows: DataFrame, label: str, vector: str, group: str, le
     whole = _sums(rows, [label], vector)
     own = _sums(rows, [label, group], vector).withColumnRenamed("s", "s_own").withColumnRenamed("n", "n_own")
     groups = rows.select(group).distinct()
-    spread = whole.crossJoin(groups)  # labels x dimensions x groups, all small
+    spread = whole.crossJoin(groups)  # as many rows as the result has numbers: every label's vector for every group
     met = spread.join(own, [label, group, "i"], "left")
     left = F.col("n") - F.coalesce("n_own", F.lit(0))
     mean = F.when(left < least, F.col("s") / F.col("n")).otherwise((F.col("s") - F.coalesce("s_own", F.lit(0.0))) / left)
@@ -66,7 +67,7 @@ def held_out_prototypes(rows: DataFrame, label: str, vector: str, group: str, le
 def scores(rows: DataFrame, protos: DataFrame, on: list[str], ident: str, vector: str, label: str) -> DataFrame:
     """(ident, own label, candidate, score): cosine of every row with every prototype of its on keys, or with all."""
     p = protos.withColumnRenamed(label, "candidate")
-    joined = rows.join(F.broadcast(p), on) if on else rows.crossJoin(F.broadcast(p))  # prototypes: one row a label
+    joined = rows.join(p, on) if on else rows.crossJoin(F.broadcast(p))  # without keys there is one prototype a label
     return joined.select(ident, label, *on, "candidate", cosine(F.col(vector), F.col("prototype")).alias("score"))
 
 
@@ -84,14 +85,22 @@ def classify(scored: DataFrame, ident: str, label: str) -> DataFrame:
 
 
 def threshold_sweep(scored: DataFrame, score: str, positive: Column, low: float, high: float, steps: int) -> DataFrame:
-    """(threshold, recall, false_positive_rate, tp, fp) on a fixed grid."""
-    grid = F.explode(F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: F.round(F.lit(low) + k * F.lit((high - low) / steps), 6)))
-    each = scored.select(F.col(score).alias("s"), positive.alias("p"), grid.alias("threshold"))
-    hit = F.col("s") >= F.col("threshold")
-    out = each.groupBy("threshold").agg(
-        F.count_if(hit & F.col("p")).alias("tp"), F.count_if(hit & ~F.col("p")).alias("fp"), F.count_if(F.col("p")).alias("np"), F.count_if(~F.col("p")).alias("nn")
-    )
-    return out.select("threshold", "tp", "fp", F.round(F.col("tp") / F.col("np"), 6).alias("recall"), F.round(F.col("fp") / F.col("nn"), 6).alias("false_positive_rate"))
+    """(threshold, tp, fp, recall, false_positive_rate) on a fixed grid.
+
+    Rows are counted by the last threshold that they reach; running sums over the grid's steps + 2 rows do the rest.
+    """
+    step = (high - low) / steps
+    at = lambda k: F.round(F.lit(low) + k * F.lit(step), 6)
+    near = F.greatest(F.lit(-1), F.least(F.lit(steps), F.floor((F.col("s") - low) / step).cast("int")))
+    last = F.when((near < steps) & (F.col("s") >= at(near + 1)), near + 1).when(F.col("s") >= at(near), near).otherwise(near - 1)
+    counts = scored.select(F.col(score).alias("s"), positive.alias("p")).groupBy(F.greatest(F.lit(-1), F.coalesce(last, F.lit(-1))).alias("k"), "p").agg(F.count("*").alias("n"))
+    counts = counts.groupBy("k").agg(F.sum(F.when(F.col("p"), F.col("n"))).alias("p"), F.sum(F.when(~F.col("p"), F.col("n"))).alias("q"))
+    grid = scored.sparkSession.range(-1, steps + 1).select(F.col("id").cast("int").alias("k")).join(counts, "k", "left")
+    above, whole = W.orderBy(F.desc("k")).rowsBetween(W.unboundedPreceding, 0), W.partitionBy()
+    running = lambda c, w: F.sum(F.coalesce(c, F.lit(0))).over(w)
+    out = grid.select("k", running("p", above).alias("tp"), running("q", above).alias("fp"), running("p", whole).alias("np"), running("q", whole).alias("nn")).where("k >= 0")
+    rate = lambda n, d: F.round(F.col(n) / F.col(d), 6)
+    return out.select(at(F.col("k")).alias("threshold"), "tp", "fp", rate("tp", "np").alias("recall"), rate("fp", "nn").alias("false_positive_rate"))
 
 
 def choose_threshold(sweep: DataFrame, least_recall: float = 0.9) -> DataFrame:

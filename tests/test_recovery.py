@@ -5,6 +5,7 @@ import random
 import re
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +111,18 @@ def test_every_query_finds_rows(spark):
         column = "speaker_state" if name == "anchored_speakers" else "state"
         kinds = collections.Counter(x for (x,) in con.execute(f"SELECT {column} FROM ({ORACLES[name]})").fetchall())
         assert len(kinds) > 1, name
+
+
+def test_bootstrap_against_plain_draws(spark):
+    from colloquy.operators.resampling import poisson_bootstrap, poisson_times
+
+    rng = random.Random(4)
+    data = [(k, rng.choice(["a", "b", None]), rng.random() if k % 9 else None) for k in range(300)]
+    rows = spark.createDataFrame(data, "id long, g string, v double")
+    keys = {r["id"]: r["k"] for r in rows.select("id", F.xxhash64("id").alias("k")).collect()}
+    for r in poisson_bootstrap(rows, "g", "id", "v", draws=100).collect():
+        own = [(keys[k], v) for k, g, v in data if g == r["g"] and v is not None]
+        times = poisson_times(np.array([k for k, _ in own], np.int64), 100)
+        means = (times * np.array([v for _, v in own])[:, None]).sum(axis=0) / times.sum(axis=0)
+        low, high = np.quantile(means, [0.025, 0.975])
+        assert abs(r["low"] - low) < 1e-5 and abs(r["high"] - high) < 1e-5 and r["low"] < r["mean"] < r["high"]
