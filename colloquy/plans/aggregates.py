@@ -110,9 +110,9 @@ def gate_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("gate", gate)
 
 
-@query("""WITH r AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents WHERE lang = 'fr') SELECT source, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS examples FROM r WHERE rn <= 3 GROUP BY 1""")
+@query("""WITH r AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) SELECT source, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS examples FROM r WHERE rn <= 3 GROUP BY 1""")
 def capped_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = W.top_by(table(spark, sf_dir, "documents").where("lang = 'fr'").select("source", "doc_id"), ["source"], [F.col("doc_id")], 3)
+    rows = W.top_by(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], [F.col("doc_id")], 3)
     return rows.groupBy("source").agg(F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("examples"))
 
 

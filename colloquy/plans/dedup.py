@@ -33,17 +33,18 @@ def metadata_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("source", "head", "size").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query(f"""WITH t AS (SELECT doc_id, source, {TOKENS} AS w FROM documents WHERE lang = 'es'), p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM t a JOIN t b ON a.source = b.source AND a.doc_id < b.doc_id AND len(a.w) > 0 AND len(b.w) > 0
-    AND (contains(' ' || array_to_string(a.w, ' ') || ' ', ' ' || array_to_string(b.w, ' ') || ' ') OR contains(' ' || array_to_string(b.w, ' ') || ' ', ' ' || array_to_string(a.w, ' ') || ' ')))
+@query(f"""WITH t AS (SELECT doc_id, source, ' ' || array_to_string({TOKENS}, ' ') || ' ' AS w FROM documents WHERE len({TOKENS}) > 0),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM t a JOIN t b ON a.source = b.source AND a.doc_id < b.doc_id AND (contains(a.w, b.w) OR contains(b.w, a.w)))
 SELECT y AS removed_id, min(x) AS kept_id FROM p GROUP BY 1""")
 def containment_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spanish documents that hold, or stand in, an earlier one of their source."""
-    rows = _documents(spark, sf_dir).where("lang = 'es'").select("source", "doc_id", T.tokens(F.col("text")).alias("tokens"))
+    """Documents that hold, or stand in, an earlier one of their source."""
+    rows = _documents(spark, sf_dir).select("source", "doc_id", T.tokens(F.col("text")).alias("tokens"))
     return O.contained_rows(rows, ["source"], "doc_id", "tokens")
 
 
-@query(f"""WITH t AS (SELECT source, doc_id, {NORM} AS v FROM documents), s AS (SELECT *, lag(v) OVER w AS p, lag(doc_id) OVER w AS i FROM t WHERE v <> '' WINDOW w AS (PARTITION BY source ORDER BY v, doc_id))
-SELECT i AS shorter_id, doc_id AS longer_id FROM s WHERE starts_with(v, p)""")
+@query(f"""WITH t AS (SELECT source, doc_id, {NORM} AS v FROM documents), p AS (
+    SELECT b.doc_id AS longer_id, a.doc_id AS shorter_id, length(a.v) AS n FROM t a JOIN t b ON a.source = b.source AND a.v <> '' AND starts_with(b.v, a.v) AND (length(a.v) < length(b.v) OR a.doc_id < b.doc_id))
+SELECT arg_max(shorter_id, (n, shorter_id)) AS shorter_id, longer_id FROM p GROUP BY 2""")
 def prefix_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that begin with the one before them in text order."""
     rows = _documents(spark, sf_dir).select("source", "doc_id", T.norm(F.col("text")).alias("v"))

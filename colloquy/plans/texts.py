@@ -131,11 +131,11 @@ def transcript_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("speaker", "text_qa", "asr_quality").agg(F.count("*").alias("n"), F.round(F.avg(confidence), 4).alias("confidence"))
 
 
-@query(r"""SELECT doc_id, CASE WHEN text LIKE '%@%' THEN NULL ELSE text[1:20] END AS head, source, n_chars FROM documents""")
+@query(r"""SELECT doc_id, CASE WHEN text LIKE '%@%' THEN NULL ELSE text END AS body, source, n_chars FROM documents""")
 def redact_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An export whose texts with an address are withheld."""
     rows = table(spark, sf_dir, "documents")
-    return rows.select("doc_id", F.when(~F.col("text").contains("@"), F.substring("text", 1, 20)).alias("head"), "source", "n_chars")
+    return rows.select("doc_id", F.when(~F.col("text").contains("@"), F.col("text")).alias("body"), "source", "n_chars")
 
 
 @query("""SELECT event_id, substr(sha256(event_id || '|' || user_id || '|' || event_type), 1, 20) AS id, printf('%.6f', value) AS fixed, CAST(concat('0x', substr(sha1(event_id::VARCHAR), 1, 8)) AS BIGINT) % 5 AS split,
@@ -153,15 +153,15 @@ def canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", H.canonical_json_sha256(F.col("props")).alias("digest"))
 
 
-@query(f"""WITH t AS (SELECT item_id, {TOKENS} AS w FROM benchmark)
-SELECT a.item_id, b.item_id AS other, round(len(list_intersect(list_distinct(a.w), list_distinct(b.w)))::DOUBLE / len(list_distinct(list_concat(a.w, b.w))), 6) AS jaccard FROM t a JOIN t b ON a.item_id < b.item_id
-WHERE len(list_intersect(list_distinct(a.w), list_distinct(b.w)))::DOUBLE / len(list_distinct(list_concat(a.w, b.w))) >= 0.3""")
+@query(f"""WITH t AS (SELECT doc_id, list_distinct({TOKENS}) AS w FROM documents), u AS (SELECT doc_id, len(w) AS n, unnest(w) AS g FROM t),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2)
+SELECT a AS doc_id, b AS other, round(k / (na + nb - k), 6) AS jaccard FROM p WHERE k / (na + nb - k) >= 0.8""")
 def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark items that share at least three tenths of their words, by a prefix-filtered token join."""
+    """Documents whose sets of words overlap by at least four fifths, by a prefix-filtered token join."""
     from colloquy.operators.similarity import jaccard_join
 
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.array_distinct(T.tokens(F.col("text"))).alias("tokens"))
-    return jaccard_join(items, "item_id", "tokens", 0.3).select(F.col("a").alias("item_id"), F.col("b").alias("other"), F.round("jaccard", 6).alias("jaccard"))
+    rows = _documents(spark, sf_dir).select("doc_id", F.array_distinct(T.tokens(F.col("text"))).alias("tokens"))
+    return jaccard_join(rows, "doc_id", "tokens", 0.8).select(F.col("a").alias("doc_id"), F.col("b").alias("other"), F.round("jaccard", 6).alias("jaccard"))
 
 
 @query()

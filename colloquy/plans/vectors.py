@@ -112,10 +112,10 @@ def vector_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vectors(spark, sf_dir).select("vec_id", O.median_bits(F.col("embedding")).alias("bits"))
 
 
-@query(f"""WITH {MARGIN}, ag AS (SELECT source, avg((t >= o)::INT) AS agree, avg(t - o) AS m FROM mg WHERE label = 0 GROUP BY 1) SELECT mg.vec_id FROM mg JOIN ag USING (source) WHERE label = 0 AND ag.agree >= 0.2 AND ag.m >= -0.2 AND t >= o""")
+@query(f"""WITH {MARGIN}, ag AS (SELECT source, avg((t >= o)::INT) AS agree, avg(t - o) AS m FROM mg GROUP BY 1) SELECT mg.vec_id FROM mg JOIN ag USING (source) WHERE ag.agree >= 0.08 AND ag.m >= -0.2 AND t >= o""")
 def consistent_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Right rows of sources that agree often enough and by enough."""
-    rows = _margins(spark, sf_dir).where("label = 0").withColumn("right", F.col("target_score") >= F.col("other_score"))
+    rows = _margins(spark, sf_dir).withColumn("right", F.col("target_score") >= F.col("other_score"))
     w = W.W.partitionBy("source")
     kept = rows.withColumn("agree", F.avg(F.col("right").cast("int")).over(w)).withColumn("m", F.avg("margin").over(w))
-    return kept.where("agree >= 0.2 and m >= -0.2 and right").select("vec_id")
+    return kept.where("agree >= 0.08 and m >= -0.2 and right").select("vec_id")
