@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from colloquy.plans import (  # noqa: F401
-    aggregates, dedup, graphs, joins, recovery, reviews, samples, scans, sinks, states, streams, texts, turns, vectors, windows,
+    aggregates, dedup, graphs, joins, recovery, reviews, samples, scans, sinks, states, streams, texts, turns, validators, vectors, windows,
 )
 from colloquy.plans.base import ORACLES, QUERIES  # noqa: F401
