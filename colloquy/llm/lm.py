@@ -29,6 +29,7 @@ import pickle
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -43,11 +44,13 @@ from colloquy.llm.seating import gammas, mixed, tables, uniforms
 from colloquy.session import Scratch
 
 TOP_WORDS, TOP_PAIRS = 1 << 18, 1 << 19
-BURN_IN, SAMPLES = 3, 3
+BURN_IN, SAMPLES = 2, 3
+PARTS = 3  # documents are scored in so many parts, one after the other, so that fewer pairs lie on disk at a time
 STRENGTH = 1.0
 CACHED = 300_000
-HELD = 2_000_000
+HELD = 3_000_000
 END = b"\n"  # no word can hold it
+ONCE, AGAIN, RARE_ONCE, RARE_AGAIN = range(4)  # kinds of pairs: seen once or more often; rare ones have a word that is not among the most frequent
 START = 0  # as a context; the most frequent words are numbered from 1, all others are negative hashes
 
 
@@ -132,7 +135,7 @@ def _alike(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_pairs(documents: DataFrame, top: np.ndarray) -> DataFrame:
-    """(u, w, c): customers of word w in the restaurant of context u; counted within tasks first."""
+    """(u, w, c, kind): customers of word w in the restaurant of context u; counted within tasks first."""
     schema = pa.schema([("u", pa.int64()), ("w", pa.int64()), ("c", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +162,9 @@ def count_pairs(documents: DataFrame, top: np.ndarray) -> DataFrame:
             yield from flush()
 
     pairs = documents.select("text").mapInArrow(run, "u long, w long, c long")
-    return pairs.groupBy("u", "w").agg(F.sum("c").alias("c"))
+    counted = pairs.groupBy("u", "w").agg(F.sum("c").alias("c"))
+    rare, again = (F.col("u") < 0) | (F.col("w") < 0), F.col("c") > 1
+    return counted.withColumn("kind", F.when(rare, RARE_ONCE).otherwise(ONCE) + again.cast("int"))
 
 
 @dataclass
@@ -168,7 +173,7 @@ class PitmanYorModel:
 
     x, mass: the draws that a sweep was seated with; t, n: the tables of each context and the parent's customers of each
     word that it gave; totals: all customers of the parent. pair_*: the most frequent pairs and what
-    they add to the score over a pair that training lacks. contexts and words hold the same for the rest, pairs all pairs.
+    they add to the score of unseen and of seen texts (see _gains). contexts and words hold the same for the rest, pairs all pairs.
     """
 
     pairs: DataFrame = field(repr=False)
@@ -190,13 +195,16 @@ class PitmanYorModel:
     pair_gains: np.ndarray
     least_top: int
 
+    def of(self, kind: int) -> DataFrame:
+        return self.pairs.where(F.col("kind") == kind)
+
     def base_log(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.tokens + 0.1 * (self.vocabulary + 1)))
 
     def parent(self, n: np.ndarray) -> np.ndarray:
         """The parent's probability of words, a row a sweep; n = 0 is a word that training lacks."""
         fresh = STRENGTH + self.parent_discount * self.vocabulary
-        return np.where(n > 0, n - self.parent_discount, fresh) / (STRENGTH + self.totals[:, None])
+        return np.where(n > 0, n.astype(np.float64) - self.parent_discount, fresh) / (STRENGTH + self.totals[:, None])
 
     def probability(self, c, seats, customers, t, parent) -> np.ndarray:
         """Averaged over the sweeps: c customers of the word at seats tables in a restaurant of so many customers at t tables."""
@@ -206,7 +214,7 @@ class PitmanYorModel:
     def seats(self, c, hashes, x, mass) -> np.ndarray:
         """The kept sweeps' tables of pairs, drawn again as they were."""
         return np.stack([
-            tables(c, self.discount * x[k] * mass[k], uniforms(hashes, BURN_IN + k), self.discount) for k in range(SAMPLES)
+            tables(c, self.discount * np.float64(x[k]) * np.float64(mass[k]), uniforms(hashes, BURN_IN + k), self.discount) for k in range(SAMPLES)
         ])
 
     def context_hashes(self) -> np.ndarray:
@@ -241,7 +249,8 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
 
     Repeated rows count as often as they are. Without training rows every token is a word that training lacks, of probability 1.
     """
-    scratch = Scratch(documents.sparkSession, "lm")
+    spark = documents.sparkSession
+    scratch = Scratch(spark, "lm")
     learnt = documents.where(train)
     counts = scratch.save(count_words(learnt))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -249,12 +258,13 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
     h, c = frequent["h"].to_numpy(), frequent["c"].to_numpy()
     order = np.lexsort((h, -c))
     top, top_c = h[order], c[order]
-    pairs = scratch.save(count_pairs(learnt, top))
+    pairs = scratch.save(count_pairs(learnt, top), "kind", "zstd")
     scratch.drop(counts)
+    scratch.release()
     again = (F.col("c") > 1).cast("long")
     sides = [F.sum("c").alias("c"), F.count("*").alias("kinds"), F.sum(again).alias("again")]
-    by_context = scratch.save(pairs.groupBy("u").agg(*sides))
-    by_word = scratch.save(pairs.groupBy("w").agg(*sides))
+    by_context = scratch.save(pairs.groupBy("u").agg(*sides), None, "zstd")
+    by_word = scratch.save(pairs.groupBy("w").agg(*sides), None, "zstd")
     d = _discount(*pairs.agg(_twice("c", 1), _twice("c", 2)).first())
     d0 = _discount(*by_word.agg(_twice("kinds", 1), _twice("kinds", 2)).first())
 
@@ -277,17 +287,20 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
     state_w = rest_w.join(by_word.select("w", F.col("kinds").cast("double").alias("n")), "w")
     settled = by_word.where("again = 0").agg(F.coalesce(F.sum(F.col("kinds") - d0), F.lit(0.0))).first()[0]
     settled_n = by_word.where("again = 0").agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
-    repeated = pairs.where("c > 1")
     kept: list[dict] = []
+    passing = [by_context, by_word, rest_u, rest_w]
     for sweep in range(BURN_IN + SAMPLES):
-        x = gammas(STRENGTH / d + t_u, hashes, 3 * sweep)
+        x = gammas(STRENGTH / d + t_u, hashes, 3 * sweep).astype(np.float32)
         mass = np.where(sat_w, gammas(np.where(sat_w, n_w - d0, 1.0), hashes, 3 * sweep + 1), 0.0)
         state_u = scratch.save(state_u.withColumn("x", _drawn(F.lit(STRENGTH / d) + F.col("t"), "u", 3 * sweep)))
         state_w = scratch.save(state_w.withColumn("mass", _drawn(F.col("n") - d0, "w", 3 * sweep + 1)))
         lump = gammas(np.array([max(settled, 1e-9), STRENGTH + d0 * v]), np.array([1, 2]), 3 * sweep + 2)
         total = mass.sum() + (state_w.agg(F.sum("mass")).first()[0] or 0.0) + (lump[0] if settled > 0 else 0.0) + lump[1]
-        mass /= total
-        sums = scratch.save(_sweep(repeated, state_u, state_w, hashes, d, x, mass, total, sweep))
+        mass = (mass / total).astype(np.float32)
+        shared = spark.sparkContext.broadcast(pickle.dumps((hashes, x, mass)))
+        sums = scratch.save(_sweep(pairs, state_u, state_w, shared, d, total, sweep))
+        shared.destroy()
+        passing += [state_u, state_w, sums]
         rows = sums.where("key >= 0").toArrow()
         side, key, t = rows["side"].to_numpy(), rows["key"].to_numpy(), rows["t"].to_numpy()
         t_u, n_w = dense["u", "kinds"] - dense["u", "again"], dense["w", "kinds"] - dense["w", "again"]
@@ -301,6 +314,7 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
             kept.append({"x": x, "mass": mass, "t": t_u, "n": n_w, "total": seated + settled_n,
                          "u": state_u.select("u", "x").join(after_u, "u"), "w": state_w.select("w", F.col("mass") / total).toDF("w", "mass").join(after_w, "w")})
         state_u, state_w = after_u, after_w
+        scratch.release()
 
     contexts, words = by_context.where("u < 0"), by_word.where("w < 0")
     for k, s in enumerate(kept):
@@ -309,26 +323,26 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
     own = F.col("kinds").cast("double")
     contexts = contexts.select("u", F.col("c").alias("customers"), *[F.coalesce(x, own).alias(x) for x in _named("t")], *_named("x"))
     words = words.select("w", F.col("c").alias("cw"), *[F.coalesce(x, own).alias(x) for x in _named("n")], *_named("mass"))
-    stack = {name: np.stack([s[name] for s in kept]).astype(np.float64) for name in ("x", "mass", "t", "n")}
+    stack = {name: np.stack([s[name] for s in kept]).astype(np.float32) for name in ("x", "mass", "t", "n")}
     model = PitmanYorModel(
-        pairs, scratch.save(contexts), scratch.save(words), n, v, d, d0, top, top_c, dense["u", "c"],
-        **stack, totals=np.array([s["total"] for s in kept]), pair_keys=np.empty(0, np.int64), pair_gains=np.empty(0), least_top=0,
+        pairs, scratch.save(contexts, None, "zstd"), scratch.save(words, None, "zstd"), n, v, d, d0, top, top_c, dense["u", "c"],
+        **stack, totals=np.array([s["total"] for s in kept]), pair_keys=np.empty(0, np.int64), pair_gains=np.empty((2, 0), np.float32), least_top=0,
     )
-    both = pairs.where("u >= 0 and w >= 0")
-    rows = _most_frequent(both, "c", top_pairs).toArrow()
+    rows = _most_frequent(model.of(AGAIN), "c", top_pairs).toArrow()
+    del state_u, state_w, after_u, after_w, kept, contexts, words, of
+    scratch.drop(*passing)
+    scratch.release()
+    model.least_top = 1 << 62
     if rows.num_rows:
         u, w, c = (rows[x].to_numpy() for x in ("u", "w", "c"))
         keys = (u << 20) | w
         order = np.argsort(keys)
         model.pair_keys, model.pair_gains, model.least_top = keys[order], _gains(model, u[order], w[order], c[order]), int(c.min())
-    else:
-        model.least_top = 1 << 62
     return model
 
 
-def _sweep(repeated: DataFrame, state_u: DataFrame, state_w: DataFrame, hashes: np.ndarray, d: float, x: np.ndarray, mass: np.ndarray, total: float, sweep: int) -> DataFrame:
-    """(side, key, t): summed tables of each context (side 0) and of each word (side 1) after one sweep."""
-    shared = repeated.sparkSession.sparkContext.broadcast(pickle.dumps((hashes, x, mass)))
+def _sweep(pairs: DataFrame, state_u: DataFrame, state_w: DataFrame, shared, d: float, total: float, sweep: int) -> DataFrame:
+    """(side, key, t): summed tables of each context (side 0) and of each word (side 1) after one sweep; shared: hashes, x and mass of frequent words."""
     schema = pa.schema([("side", pa.int32()), ("key", pa.int64()), ("t", pa.float64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +353,7 @@ def _sweep(repeated: DataFrame, state_u: DataFrame, state_w: DataFrame, hashes:
                 continue
             u, w, c = (b.column(k).to_numpy() for k in range(3))
             keys = mixed(np.where(u < 0, u, hashes[np.maximum(u, 0)]), np.where(w < 0, w, hashes[np.maximum(w, 0)]))
-            of_u, of_w = x[np.maximum(u, 0)], mass[np.maximum(w, 0)]
+            of_u, of_w = x[np.maximum(u, 0)].astype(float), mass[np.maximum(w, 0)].astype(float)
             if b.num_columns > 3:
                 rare_x, rare_mass = (b.column(k).to_numpy(zero_copy_only=False) for k in (3, 4))
                 of_u, of_w = np.where(u < 0, rare_x, of_u), np.where(w < 0, rare_mass / total, of_w)
@@ -357,8 +371,8 @@ def _sweep(repeated: DataFrame, state_u: DataFrame, state_w: DataFrame, hashes:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), side, np.int32)), pa.array(key), pa.array(sums[side][key])], schema=schema)
 
     ddl = "side int, key long, t double"
-    known = repeated.where("u >= 0 and w >= 0").mapInArrow(run, ddl)
-    others = _with_both(repeated, state_u.select("u", "x"), state_w.select("w", "mass"))
+    known = pairs.where(F.col("kind") == AGAIN).select("u", "w", "c").mapInArrow(run, ddl)
+    others = _with_both(pairs.where(F.col("kind") == RARE_AGAIN), state_u.select("u", "x"), state_w.select("w", "mass"))
     return known.unionAll(others.select("u", "w", "c", "x", "mass").mapInArrow(run, ddl)).groupBy("side", "key").agg(F.sum("t").alias("t"))
 
 
@@ -373,24 +387,27 @@ def _with_both(pairs: DataFrame, contexts: DataFrame, words: DataFrame) -> DataF
 
 
 def _gains(m: PitmanYorModel, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """log10 of what the pairs of frequent words, of c customers, have over pairs without customers."""
+    """log10 of what pairs of frequent words, of c customers, have over pairs of none (first row) and over pairs of one (second)."""
     hashes = m.context_hashes()
-    parent, out = m.parent(m.n), np.empty(len(u))
+    parent, out = m.parent(m.n), np.empty((2, len(u)), np.float32)
     for k in range(0, len(u), 100_000):
         at = slice(k, k + 100_000)
         a, b = u[at], w[at]
+        room = (m.customers[a], m.t[:, a], parent[:, b])
         seats = m.seats(c[at], mixed(hashes[a], hashes[b]), m.x[:, a], m.mass[:, b])
-        with_it = m.probability(c[at], seats, m.customers[a], m.t[:, a], parent[:, b])
-        out[at] = np.log10(with_it / m.probability(0, 0, m.customers[a], m.t[:, a], parent[:, b]))
+        own = np.log10(m.probability(c[at], seats, *room))
+        out[0, at], out[1, at] = own - np.log10(m.probability(0, 0, *room)), own - np.log10(m.probability(1, 1, *room))
     return out
 
 
-def _light(model: PitmanYorModel) -> bytes:
-    return pickle.dumps({k: v for k, v in model.__dict__.items() if k not in ("pairs", "contexts", "words")})
+def _shared(model: PitmanYorModel, *without: str):
+    """The model's arrays but those of some names, for all tasks; a few tens of MB at any size of the corpus."""
+    light = {k: None if k in (*without, "pairs", "contexts", "words") else v for k, v in model.__dict__.items()}
+    return model.pairs.sparkSession.sparkContext.broadcast(pickle.dumps(light))
 
 
 def _loaded(shared) -> PitmanYorModel:
-    return PitmanYorModel(None, None, None, **pickle.loads(shared.value))
+    return PitmanYorModel(**pickle.loads(shared.value))
 
 
 def _rare(b: pa.RecordBatch, names: list[str]) -> np.ndarray:
@@ -398,19 +415,20 @@ def _rare(b: pa.RecordBatch, names: list[str]) -> np.ndarray:
 
 
 def _priced(model: PitmanYorModel, shared) -> DataFrame:
-    """(k, gain, cw): for every pair but the most frequent its key and what it adds to the score; cw: the count of a word that is not frequent.
+    """(k, gain0, gain1, cw): what pairs add to the score of unseen and of seen texts, by key; cw: the count of a word that is not frequent.
 
-    A pair of frequent words adds its gain over a pair that training lacks, any other the logarithm of its probability.
+    Those are: pairs of frequent words that occur again but are not among the most frequent, with their gains (see
+    _gains), and all rare pairs, with the logarithm of their probability.
     """
-    schema = pa.schema([("k", pa.int64()), ("gain", pa.float32()), ("cw", pa.int64())])
+    schema = pa.schema([("k", pa.int64()), ("gain0", pa.float32()), ("gain1", pa.float32()), ("cw", pa.int64())])
 
     def frequent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _loaded(shared)
         for b in batches:
             u, w, c = (b.column(k).to_numpy() for k in range(3))
             if len(u):
-                gain = _gains(m, u, w, c).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array((u << 20) | w), pa.array(gain), pa.nulls(len(u), pa.int64())], schema=schema)
+                gain = _gains(m, u, w, c)
+                yield pa.RecordBatch.from_arrays([pa.array((u << 20) | w), pa.array(gain[0]), pa.array(gain[1]), pa.nulls(len(u), pa.int64())], schema=schema)
 
     def others(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _loaded(shared)
@@ -429,53 +447,67 @@ def _priced(model: PitmanYorModel, shared) -> DataFrame:
             keys = mixed(np.where(u < 0, u, hashes[fu]), np.where(w < 0, w, hashes[fw]))
             seats = m.seats(c, keys, np.where(c > 1, x, 1.0), np.where(c > 1, mass, 1.0))
             gain = np.log10(m.probability(c, seats, customers, t, of_w)).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array(mixed(u, w) | np.int64(-1 << 63)), pa.array(gain), b.column(b.schema.get_field_index("cw"))], schema=schema)
+            cw = b.column(b.schema.get_field_index("cw"))
+            yield pa.RecordBatch.from_arrays([pa.array(mixed(u, w) | np.int64(-1 << 63)), pa.array(gain), pa.array(gain), cw], schema=schema)
 
-    ddl = "k long, gain float, cw long"
-    left = model.pairs.where(F.col("c") < model.least_top)
-    first = left.where("u >= 0 and w >= 0").mapInArrow(frequent, ddl)
-    rest = _with_both(model.pairs, model.contexts, model.words)
+    ddl = "k long, gain0 float, gain1 float, cw long"
+    first = model.of(AGAIN).where(F.col("c") < model.least_top).select("u", "w", "c").mapInArrow(frequent, ddl)
+    rest = _with_both(model.pairs.where(F.col("kind") >= RARE_ONCE), model.contexts, model.words)
     columns = ["u", "w", "c", "customers", *_named("t"), *_named("x"), "cw", *_named("n"), *_named("mass")]
     return first.unionAll(rest.select(*columns).mapInArrow(others, ddl))
 
 
-def score_lm(documents: DataFrame, model: PitmanYorModel) -> DataFrame:
+def score_lm(documents: DataFrame, model: PitmanYorModel, seen: Column | None = None) -> DataFrame:
     """doc_id with n_tokens, n_known, train_tokens, base_score and score of every row.
 
+    seen: a condition that holds only for rows that the model learnt from; as their pairs all occur in training, those
+    that occur once need not be looked up. Scores are the same without it.
     Repeated rows are kept and score alike; a null doc_id stays null; a null text is the end token
     alone; an empty table gives an empty table; other columns are not read. Perplexity is 10 ** (-score / n_tokens).
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "lm-score")
-    shared = spark.sparkContext.broadcast(_light(model))
-    # A row for each text, and one for each different pair of it that is not among the most frequent.
-    fields = [("row", pa.int64()), ("k", pa.int64()), ("m", pa.int32()), ("u", pa.int64()), ("w", pa.int64()), ("doc_id", pa.int64()),
-              ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
-    schema = pa.schema(fields)
+    shared = _shared(model, "x", "mass")
+    # A row for each text (ids: doc_id, tokens and known ones; sums: base and score), and one for each different pair of it that is not
+    # among the most frequent (ids: its words, if it may be open; m: how often it stands, twice, and one more in seen texts). Until pairs are
+    # looked up, a pair of frequent words counts as one that training has once (in seen texts) or lacks (in others), and a rare one not at all.
+    # All pairs travel, so the rows are kept narrow.
+    schema = pa.schema([("row", pa.int64()), ("k", pa.int64()), ("m", pa.int32()), ("ids", pa.list_(pa.int64())), ("sums", pa.list_(pa.float64()))])
+
+    def listed(*columns: pa.Array) -> pa.Array:
+        """Lists of the columns' values, row by row."""
+        n = len(columns[0])
+        order = np.arange(n * len(columns)).reshape(len(columns), n).T.reshape(-1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * len(columns)), pa.concat_arrays(columns).take(pa.array(order)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _loaded(shared)
         values, base = _Values(m.top), np.concatenate([[0.0], m.base_log(m.top_c)])
         room, parent = (STRENGTH + m.discount * m.t) / (STRENGTH + m.customers), m.parent(m.n)
-        row = TaskContext.get().partitionId() << 40
+        single = (1 - m.discount) / (STRENGTH + m.customers)
+        row = None
         for part in slices(batches):
+            if row is None:
+                row = (TaskContext.get().partitionId() * PARTS + part.column(3)[0].as_py()) << 36
             u, w, sizes = values.pairs(part.column(1).to_pylist())
+            trained = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
             doc = np.repeat(np.arange(len(sizes)), sizes)
             both = (u >= 0) & (w >= 0)
             fu, fw, own = u[both], w[both], doc[both]
-            score = np.bincount(own, np.log10((room[:, fu] * parent[:, fw]).mean(axis=0)), len(sizes))
+            chance = (room[:, fu] * parent[:, fw]).mean(axis=0) + np.where(trained[own], single[fu], 0.0)
+            score = np.bincount(own, np.log10(chance), len(sizes))
             keys = (fu << 20) | fw
-            at = np.minimum(np.searchsorted(m.pair_keys, keys), max(len(m.pair_keys) - 1, 0))
-            there = m.pair_keys[at] == keys if len(m.pair_keys) else np.zeros(len(keys), bool)
-            score += np.bincount(own[there], m.pair_gains[at[there]] if len(m.pair_keys) else None, len(sizes))
+            if len(m.pair_keys):
+                at = np.minimum(np.searchsorted(m.pair_keys, keys), len(m.pair_keys) - 1)
+                there = m.pair_keys[at] == keys
+                score += np.bincount(own[there], m.pair_gains[trained[own[there]].astype(int), at[there]], len(sizes))
+            else:
+                there = np.zeros(len(keys), bool)
             known = w > 0
             rows = row + np.arange(len(sizes))
-            blank = pa.nulls(len(sizes), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(rows), pa.array(np.zeros(len(rows), np.int32)), blank, blank, part.column(0), pa.array(sizes),
-                 pa.array(np.bincount(doc[known], minlength=len(sizes))), pa.array(np.bincount(doc[known], base[w[known]], len(sizes))), pa.array(score)],
-                schema=schema,
-            )
+            ids = listed(part.column(0), pa.array(sizes), pa.array(np.bincount(doc[known], minlength=len(sizes))))
+            sums = listed(pa.array(np.bincount(doc[known], base[w[known]], len(sizes))), pa.array(score))
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(rows), pa.array(trained.astype(np.int32)), ids, sums], schema=schema)
             k = np.where(both, 0, mixed(u, w) | np.int64(-1 << 63))
             k[both] = keys
             open_ = ~both
@@ -484,37 +516,65 @@ def score_lm(documents: DataFrame, model: PitmanYorModel) -> DataFrame:
             first, times = _alike(k, doc)
             for s in range(0, len(first), 50_000):
                 x = first[s : s + 50_000]
-                n, plain = len(x), both[x]
+                old = trained[doc[x]]
+                ends = np.append(0, np.cumsum(np.where(both[x] & old, 0, 2))).astype(np.int32)
+                open_ = x[~(both[x] & old)]
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.stack([u[open_], w[open_]], axis=1).reshape(-1)))
+                m2 = (times[s : s + 50_000] * 2 + old).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[doc[x]]), pa.array(k[x]), pa.array(times[s : s + 50_000].astype(np.int32)), pa.array(u[x], mask=plain), pa.array(w[x], mask=plain),
-                     *[pa.nulls(n, t) for _, t in fields[5:]]],
-                    schema=schema,
-                )
+                    [pa.array(rows[doc[x]]), pa.array(k[x]), pa.array(m2), ids, pa.nulls(len(x), schema.field(4).type)], schema=schema
+                )
             row += len(sizes)
 
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    asked = source.mapInArrow(run, "row long, k long, m int, u long, w long, doc_id long, n_tokens long, n_known long, base double, score double")
-    met = asked.join(_priced(model, shared), "k", "left")
-    zero, m, smooth = F.lit(0.0), F.col("m"), model.tokens + 0.1 * (model.vocabulary + 1)
-    base_of = lambda c: F.log10((c + 0.1) / F.lit(smooth))
-    lacks = F.col("gain").isNull()
-    found = met.select(
-        "row", F.when(lacks, F.col("u")).alias("u"), F.when(lacks, F.col("w")).alias("w"), "m", "doc_id", "n_tokens",
-        (F.coalesce("n_known", F.lit(0)) + F.when(F.col("cw").isNotNull(), m).otherwise(0)).alias("n_known"),
-        (F.coalesce("base", zero) + F.coalesce(m * base_of(F.col("cw")), zero)).alias("base"),
-        (F.coalesce("score", zero) + F.coalesce(m * F.col("gain"), zero)).alias("score"),
-    )
+    known = F.lit(False) if seen is None else F.coalesce(seen, F.lit(False))
+    part_of = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", known.alias("seen"), part_of.alias("part"))
+    draws = _shared(model, "pair_keys", "pair_gains")
+    prices = scratch.save(_priced(model, draws), None, "zstd")
+    draws.destroy()
+    scratch.release()
+    gain = F.when(F.col("m") % 2 == 1, F.col("gain1")).otherwise(F.col("gain0"))
+    m, smooth = F.col("m"), model.tokens + 0.1 * (model.vocabulary + 1)
+    text, lacks, zero = F.col("sums").isNotNull(), F.col("gain").isNull() & F.col("sums").isNull(), F.lit(0.0)
+    of_text = lambda at: F.when(text, F.get("ids", F.lit(at)))
     sums = [F.sum(x).alias(x) for x in ("m", "n_known", "base", "score")]
-    whole = scratch.save(found.groupBy("row", "u", "w").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *sums))
-
-    # Pairs that training lacks, with a word that is not among the most frequent; keys that cannot match are spread by row.
+    parts = []
+    for part in range(PARTS):
+        asked = source.where(F.col("part") == part).mapInArrow(run, "row long, k long, m int, ids array<long>, sums array<double>")
+        met = asked.join(prices, "k", "left").withColumn("gain", gain).withColumn("m", F.floor(F.col("m") / 2).cast("long"))
+        found = met.select(
+            "row", *[F.when(lacks, F.get("ids", F.lit(k))).alias(x) for k, x in enumerate("uw")], "m", of_text(0).alias("doc_id"), of_text(1).alias("n_tokens"),
+            F.coalesce(of_text(2), F.when(F.col("cw").isNotNull(), m), F.lit(0)).alias("n_known"),
+            F.coalesce(F.get("sums", F.lit(0)), m * F.log10((F.col("cw") + 0.1) / F.lit(smooth)), zero).alias("base"),
+            F.coalesce(F.get("sums", F.lit(1)), m * F.col("gain"), zero).alias("score"),
+        )
+        whole = found.groupBy("row", "u", "w").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *sums)
+        parts.append(scratch.save(whole, None, "zstd"))
+        del asked, met, found, whole
+        scratch.release()  # the part's pairs
+    scratch.drop(prices)
+    whole = reduce(DataFrame.unionAll, parts)
+
+    # Pairs of unseen texts that are neither priced nor among the most frequent: training has them once, or lacks them.
     lacking = whole.where("u is not null").select("row", "u", "w", "m")
+    once = lacking.where("u >= 0 and w >= 0").join(model.of(ONCE).select("u", "w"), ["u", "w"])
+    # Rare ones it lacks; keys that cannot match are spread by row.
     spread = lambda x: F.when(F.col(x) < 0, F.col(x)).otherwise(F.col("row"))
-    joined = lacking.withColumn("ku", spread("u")).withColumn("kw", spread("w"))
-    joined = joined.join(model.contexts.withColumnRenamed("u", "ku"), "ku", "left").join(model.words.withColumnRenamed("w", "kw"), "kw", "left")
+    rare = lacking.where("u < 0 or w < 0").withColumn("ku", spread("u")).withColumn("kw", spread("w"))
+    rare = rare.join(model.contexts.withColumnRenamed("u", "ku"), "ku", "left").join(model.words.withColumnRenamed("w", "kw"), "kw", "left")
     out = pa.schema([("row", pa.int64()), ("k2", pa.int64()), ("b2", pa.float64()), ("s2", pa.float64())])
 
-    def price(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def price_once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _loaded(shared)
+        parent = m.parent(m.n)
+        for b in batches:
+            row, u, w, times = (b.column(k).to_numpy() for k in range(4))
+            if len(row):
+                room = (m.customers[u], m.t[:, u], parent[:, w])
+                gain = times * (np.log10(m.probability(1, 1, *room)) - np.log10(m.probability(0, 0, *room)))
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.zeros(len(row), np.int64)), pa.array(np.zeros(len(row))), pa.array(gain)], schema=out)
+
+    def price_rare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _loaded(shared)
         parent = m.parent(m.n)
         for b in batches:
@@ -527,11 +587,14 @@ def score_lm(documents: DataFrame, model: PitmanYorModel) -> DataFrame:
             t = np.where(u < 0, np.nan_to_num(t), m.t[:, fu])
             of_w = np.where(w < 0, m.parent(np.nan_to_num(n)), parent[:, fw])
             score = np.where(customers > 0, np.log10(m.probability(0, 0, customers, t, of_w)), np.log10(of_w.mean(axis=0)))
-            seen = (w < 0) & ~np.isnan(cw)
+            has = (w < 0) & ~np.isnan(cw)
             base = np.where(w < 0, m.base_log(np.nan_to_num(cw)), 0.0)
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.where(seen, times, 0).astype(np.int64)), pa.array(times * base), pa.array(times * score)], schema=out)
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.where(has, times, 0).astype(np.int64)), pa.array(times * base), pa.array(times * score)], schema=out)
 
-    priced = joined.select("row", "u", "w", "m", "customers", *_named("t"), "cw", *_named("n")).mapInArrow(price, "row long, k2 long, b2 double, s2 double")
+    ddl = "row long, k2 long, b2 double, s2 double"
+    priced = once.select("row", "u", "w", "m").mapInArrow(price_once, ddl).unionAll(
+        rare.select("row", "u", "w", "m", "customers", *_named("t"), "cw", *_named("n")).mapInArrow(price_rare, ddl)
+    )
     added = priced.groupBy("row").agg(*[F.sum(x).alias(x) for x in ("k2", "b2", "s2")])
     both = whole.where("u is null").join(added, "row", "left")
     return both.select(

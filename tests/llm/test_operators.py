@@ -1,6 +1,9 @@
 import collections
 import hashlib
+import html
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -40,6 +43,12 @@ def test_ids_are_those_of_tokenizers():
         assert bpe.ids(text).tolist() == bpe.exact.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, " \n" * 600_000, "x" + "\t" * 20_000 + "y", "a" * 300_000])
+def test_long_runs_do_not_stop_the_tokenizer(text):
+    bpe = packing.tokenizer("byte_bpe_50k")
+    assert bpe.ids(text).tolist() == bpe.exact.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_is_gapless_and_tight(spark, odd):
     rows = packing.pack_documents(odd).collect()
     by = collections.defaultdict(list)
@@ -164,6 +173,72 @@ def test_classifiers_without_labels_and_on_odd_rows(spark, odd):
         assert rows.count() == 9 and rows.where(f"{score} between 0 and 1").count() == 9
 
 
+def test_language_against_plain_distances(spark):
+    """Out-of-place distances of ranked n-grams, counted by hand."""
+    texts = {"xx": "abba abb cab", "yy": "dada bad cad", "zz": "abba"}
+
+    def grams(text):
+        counts = collections.Counter()
+        for word in text.split():
+            for padded, n in ((word, 1), (f" {word} ", 2), (f" {word} ", 3)):
+                counts.update(padded[k : k + n] for k in range(len(padded) - n + 1))
+        return counts
+
+    def ranks(counts, size):
+        code = lambda g: (sum((ord(c) if c != " " else 0) << 21 * (len(g) - 1 - k) for k, c in enumerate(g))) | (len(g) == 2) << 62
+        return sorted(counts, key=lambda g: (-counts[g], code(g)))[:size]
+
+    size = 12
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts.items())], "doc_id long, text string, lang string")
+    profiles = language.language_profiles(docs, F.lit(True), size)
+    asked = ["abba", "dad cab", "bad bad abb"]
+    got = {r["text"]: r for r in language.identify_languages(spark.createDataFrame([(t,) for t in asked], "text string"), profiles, size).collect()}
+    for text in asked:
+        own, far = ranks(grams(text), size), {}
+        for lang, t in texts.items():
+            there = ranks(grams(t), size)
+            far[lang] = sum(abs(there.index(g) - k) if g in there else size for k, g in enumerate(own)) / (size * len(own))
+        best = min(sorted(far), key=far.get)
+        assert got[text]["lang_pred"] == best and abs(got[text]["lang_score"] - (1 - far[best])) < 1e-9
+
+
+def test_quality_votes_against_all_cosines():
+    """Votes of the nearest, ties with the last included, from a full sort of cosines."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(40, 6)).astype(np.float32)
+    vectors[7] = vectors[3] = vectors[21]
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    model = quality.QualityModel(np.eye(6, dtype=np.float32), vectors, rng.integers(0, 2, 40).astype(float), rng.random(40) + 0.1, 0.5)
+    asked = np.concatenate([rng.normal(size=(9, 6)), vectors[3:4]]).astype(np.float32)
+    got = model.scores(asked, neighbours=2, block=16)
+    for x, score in zip(asked, got):
+        cos = vectors @ (x / np.linalg.norm(x))
+        near = np.flatnonzero(cos >= np.sort(cos)[-2] - 1e-6)
+        vote = np.maximum(cos[near], 1e-3) ** 4 * model.weights[near]
+        assert abs(score - (vote * model.labels[near]).sum() / vote.sum()) < 1e-5
+    assert len(np.flatnonzero(vectors @ asked[-1] > 1 - 1e-6)) == 3
+
+
+def test_very_long_words_are_read_whole():
+    terms = quality._Terms()
+    assert terms[b"a" * 300 + b"9"] != terms[b"a" * 301] and not len(terms)
+
+
+def test_toxicity_against_noisy_or_by_hand(spark):
+    model = toxicity.ToxicityModel(np.zeros(toxicity.BUCKETS, np.float32), -3.0, 1.5, -0.5)
+    for word, w in (("vile", 4.0), ("bad", 2.0)):
+        model.weights[toxicity.word_features(word)[0]] = w
+    texts = ["You VILE thing!", "You VILE thing! İstanbul.", "Fine. Bad, bad day! vile", "", None]
+    got = {r["text"]: r for r in toxicity.score_toxicity(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()}
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    sentences = {texts[0]: [4.0], texts[1]: [4.0, 0.0], texts[2]: [0.0, 4.0, 4.0], "": [], None: []}
+    for text, logits in sentences.items():
+        none = np.prod([1 - logistic(x - 3.0) for x in logits])
+        want = logistic(1.5 * (np.log(max(1 - none, 1e-12)) - np.log(none)) - 0.5)
+        assert abs(got[text]["toxic_score"] - want) < 1e-6
+    assert [(texts[1][r["start"] : r["end"]]) for r in got[texts[1]]["offending"]] == ["You VILE thing!"]
+
+
 def test_offending_sentences_are_located():
     rows = [{"doc_id": k, "y": k % 2, "class_rows": 50, "words": (["fine", f"w{k}", "you", "vile" if k % 2 else "nice"]), "sentence": [0, 0, 1, 1]} for k in range(100)]
     model = toxicity.fit_bags(rows)
@@ -278,8 +353,8 @@ def plain_lm(train, scored):
     return out, total
 
 
-@pytest.mark.parametrize("top", [(1000, 1000), (12, 9), (0, 0)])
-def test_lm_against_a_plain_sampler(spark, words, top):
+@pytest.mark.parametrize("top, seen", [((1000, 9), True), ((12, 9), False), ((0, 0), False)])
+def test_lm_against_a_plain_sampler(spark, words, top, seen):
     rng = random.Random(6)
     train = [" ".join(rng.choice(words[:25] if rng.random() < 0.8 else words) for _ in range(30)) for _ in range(40)] + ["A a A a", None, ""]
     held = [" ".join(rng.choice(words) for _ in range(12)) for _ in range(6)] + ["Unseen x", "Unseen unseen " + words[0], None]
@@ -287,7 +362,7 @@ def test_lm_against_a_plain_sampler(spark, words, top):
     rows = [(k, x) for k, x in enumerate(train)] + [(100 + k, x) for k, x in enumerate(held)] + [(106, "Unseen x")]
     docs = documents(spark, rows)
     model = lm.train_lm(docs, F.col("doc_id") < 100, *top)
-    got = lm.score_lm(docs, model).collect()
+    got = lm.score_lm(docs, model, F.col("doc_id") < 100 if seen else None).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(k for k, _ in rows)
     for r in got:
         n, known, base, score = want[dict(rows)[r["doc_id"]]]
@@ -353,8 +428,6 @@ def test_contamination_against_all_windows(spark, words, odd):
     for k in range(40, 60):
         text = rng.choices(words, k=30) + items[rng.randrange(25)][1].upper().split() + rng.choices(words, k=5)
         rows.append((k, ", ".join(text)))
-    import re
-
     split = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     want = {}
     for k, t in rows:
@@ -376,9 +449,58 @@ def test_contamination_against_all_windows(spark, words, odd):
     assert decontaminate.drop_contaminated(odd, benchmark.limit(0)).columns == odd.columns
 
 
+def test_a_long_text_that_repeats_a_window(spark):
+    docs = documents(spark, [(1, "the " * 100_000), (2, "the " * 9), (3, "a b c the the the")])
+    items = spark.createDataFrame([(k, "the " * 10) for k in range(50)] + [(90, "b c"), (91, "the the")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontaminate.find_contamination(docs, items).collect()}
+    assert got == {1: (100_000, 51), 2: (9, 1), 3: (5, 2)}
+
+
 # Pages
 
 
+@pytest.mark.parametrize(
+    "part, stays",
+    [("<p class='notice-board'>The notice board, long, of things.</p>", True), ("<p class=share-price>The share price rose, they say.</p>", True),
+     ("<div class='search-method'><p>We searched, and found.</p></div>", True), ("<section id='related-work'><p>Others did this work.</p></section>", True),
+     ("<h2 id='comments-on-method'>Comments on method</h2>", True), ("<p id=tags>Tags are words, and more.</p>", True), ("<p><a href=http://x/>A link</a> stays, here.</p>", True),
+     ("<div class='comment-list'><p>Great, post, thanks.</p></div>", False), ("<p class='ad'>Buy, now, this.</p>", False), ("<div class='cookie-notice'><p>We use, cookies.</p></div>", False),
+     ("<ul class='share-buttons'><li>Post it</li></ul>", False), ("<form><p>Name, please</p></form>", False)],
+)
+def test_whole_names_mark_what_is_foreign(part, stays):
+    page = f"<body><nav><a href=x>Home</a></nav><main><article><h1>T</h1><p>A first paragraph, of the text, long enough, to count.</p>{part}</article></main></body>"
+    assert (len(html_text.main_text(page).split("\n")) == 3) == stays
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["".join("<div>" + "x, y " * 20 for _ in range(10_000)), "<span>" * 40_000 + "</b>" * 40_000, "<ul>" + "<div>" * 20_000 + "<li>a" * 20_000, "<a " * 300_000,
+     "<div>" + "<span>" * 30_000 + "<hr>" * 30_000, "<p>" * 50_000 + "a"],
+)
+def test_hostile_pages_take_time_in_proportion(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 4
+
+
+def test_pages_against_their_articles(spark):
+    """All pages of the table, whose text is what stands between the article's tags."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for r in html_text.extract_main_text(pages).join(pages.select("page_id", "html"), "page_id").collect():
+        inner = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1].replace("<br>", " ")
+        blocks = re.split(r"</?(?:p|h1|div|li|ul)>", inner)
+        lines = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks)
+        assert r["text"] == "\n".join(x for x in lines if x) and r["n_chars"] == len(r["text"])
+
+
+def test_extraction_of_odd_rows(spark):
+    rows = [(1, "u", "<p>One, two.</p>"), (1, "u", "<p>One, two.</p>"), (None, None, None), (3, "v", "")]
+    pages = spark.createDataFrame([(*r, "x", 5) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    got = collections.Counter(tuple(r) for r in html_text.extract_main_text(pages).collect())
+    assert got == {(1, "u", "One, two.", 9): 2, (None, None, "", 0): 1, (3, "v", "", 0): 1}
+    assert html_text.extract_main_text(pages.limit(0)).count() == 0
+
+
 def test_main_text():
     page = """<html><head><title>T</title><style>p{}</style></head><body><header><p>Site name, and, more, words</p></header><nav><ul><li><a href=x>Home</a></ul></nav>
     <div class="cookie-notice"><p>We use cookies, really, many of them.</p></div><main><article><h1>A  Title</h1><p>First &amp; foremost,\n a paragraph<br>with a break, long enough to count.
