@@ -6,15 +6,17 @@ rarest, by its count in the documents. The documents are read once, for the plac
 shingles that the benchmark has at all. Windows with a shingle that no document has fall away; the
 prefix join takes each remaining window's rarest shingle; length and position bounds drop places
 where the window cannot stand; and a place is an occurrence if all the window's shingles, compared
-as text, follow one another from it.
+as text, are found at their places from it on, which a join by document and place counts.
 
-The benchmark's shingles are broadcast only after their number is checked, and joined in a shuffle
-beyond that; all else is joined by shuffles of the found places at every size.
+The benchmark's shingles and contaminated texts' hashes are broadcast only after their number is checked, and joined in a
+shuffle beyond that; all else is joined by shuffles of the found places at every size. No row holds more than one place, so
+that a long text that repeats a window is as much work as it has places.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.session import Scratch
@@ -44,7 +46,7 @@ def _placed_shingles(tokens: Column, size: int) -> Column:
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(window_id, tokens, n, items): distinct windows of all items, with the sorted ids of those that have it.
+    """(window_id, tokens, n, items): distinct windows of all items, with the ids of those that have it; written, the numbers stay.
 
     An item of fewer words than a window, but at least one, is one window; null and wordless items have none.
     """
@@ -57,7 +59,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return (
         cut.groupBy("tokens", "n")
         .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-        .withColumn("window_id", F.xxhash64(F.concat_ws(" ", "tokens")))
+        .withColumn("window_id", F.monotonically_increasing_id())
     )
 
 
@@ -73,7 +75,8 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     sizes = sorted(r[0] for r in windows.select(F.least("n", F.lit(shingle))).distinct().collect())
     wanted = scratch.save(_all_shingles(windows, sizes, shingle))
     asked = wanted.select("size", "h").distinct().unionAll(wanted.sparkSession.createDataFrame([(0, "")], "size int, h string"))
-    if asked.count() <= BROADCAST_ROWS:
+    few = asked.count() <= BROADCAST_ROWS
+    if few:
         asked = F.broadcast(asked)
 
     # One row at place -1 for each document, whatever it holds, and one for each of its places with a shingle of the benchmark.
@@ -90,27 +93,25 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     counts = hits.groupBy("size", "h").agg(F.count("*").alias("seen"))
     ranked = wanted.join(counts, ["size", "h"], "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
     prefix = ranked.groupBy("window_id", "n", "size").agg(F.min(F.struct("seen", "k", "h")).alias("p")).where("p.seen > 0")
-    prefix = prefix.join(windows, ["window_id", "n"]).select(
-        "n", "size", F.col("p.k").alias("k"), F.col("p.h").alias("h"), _sized(F.col("tokens"), sizes, shingle).alias("run"), "items"
-    )
+    prefix = scratch.save(prefix.select("window_id", "n", "size", F.col("p.k").alias("k"), F.col("p.h").alias("h")))
+    if few:  # a row a window, and a window has a shingle
+        prefix = F.broadcast(prefix)
     start = F.col("pos") - F.col("k")
     within = (start >= 0) & (start + F.col("n") <= F.col("n_words"))
-    placed = hits.join(prefix, ["size", "h"]).where(within).select("row", "size", F.struct(start.alias("start"), "n", "run", "items").alias("c"))
-    placed = placed.groupBy("row", "size").agg(F.collect_list("c").alias("cs"))
-    # A document's places in order: no more than it has words.
-    lined = hits.groupBy("row", "size").agg(F.array_sort(F.collect_list(F.struct("pos", "h"))).alias("ps"))
-    met = placed.join(lined.withColumn("at", F.transform("ps", lambda x: x["pos"])).withColumn("hs", F.transform("ps", lambda x: x["h"])), ["row", "size"])
-    # Places are consecutive where the hashes of a run are; the run's own places must be, too.
-    first = lambda c: F.array_position("at", c["start"]).cast("int")
-    stands = lambda c: (
-        (first(c) > 0)
-        & (F.slice("hs", F.greatest(first(c), F.lit(1)), F.size(c["run"])) == c["run"])
-        & F.get("at", first(c) + F.size(c["run"]) - 2).eqNullSafe(c["start"] + F.size(c["run"]) - 1)
-    )
-    true = met.select("row", F.explode(F.filter("cs", stands)).alias("c"))
-    of_row = true.groupBy("row").agg(F.collect_list(F.struct("c.start", "c.n")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("c.items"))).alias("items"))
-    covered = F.flatten(F.transform("spans", lambda x: F.sequence(x["start"], x["start"] + x["n"] - 1)))
-    of_row = of_row.select("row", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), F.array_sort("items").alias("items"))
+    places = hits.join(prefix, ["size", "h"]).where(within).select("row", "window_id", "n", "size", start.alias("start"))
+    run = wanted.join(prefix.select("window_id"), "window_id", "left_semi").select("window_id", "k", "h")
+    expected = places.join(F.broadcast(run) if few else run, "window_id").withColumn("pos", F.col("start") + F.col("k"))
+    met = expected.join(hits.select("row", "size", "pos", "h"), ["row", "size", "pos", "h"])
+    true = met.groupBy("row", "start", "window_id", "n", "size").agg(F.count("*").alias("met")).where(F.col("met") == F.col("n") - F.col("size") + 1)
+    true = scratch.save(true.select("row", "start", "n", "window_id"))
+    # Hit words are those of the union of the occurrences' spans.
+    spans = true.groupBy("row", "start").agg(F.max(F.col("start") + F.col("n")).alias("end"))
+    before = F.max("end").over(W.partitionBy("row").orderBy("start").rowsBetween(W.unboundedPreceding, -1))
+    more = F.greatest(F.lit(0), F.col("end") - F.greatest(F.col("start"), F.coalesce(before, F.lit(0))))
+    n_hit = spans.select("row", more.alias("more")).groupBy("row").agg(F.sum("more").cast("long").alias("n_hit"))
+    of_window = windows.select("window_id", F.explode("items").alias("item"))
+    items = true.select("row", "window_id").distinct().join(of_window, "window_id").groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    of_row = n_hit.join(items, "row")
 
     out = found.where("pos < 0").join(of_row, "row", "left")
     n_hit, items = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("items", F.array().cast("array<string>"))
@@ -142,8 +143,13 @@ def _all_shingles(windows: DataFrame, sizes: list[int], shingle: int) -> DataFra
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """documents without the rows whose text holds a window of the benchmark."""
-    gone = find_contamination(documents, benchmark).where("contaminated").select("k1", "k2").distinct()
+    """documents without the rows whose text holds a window of the benchmark.
+
+    Rows with a null or wordless text, or a null id, stay unless they are hit; of repeated rows all stay or go.
+    """
+    scratch = Scratch(documents.sparkSession, "drop-contaminated")
+    gone = scratch.save(find_contamination(documents, benchmark).where("contaminated").select("k1", "k2").distinct())
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone.hint("merge")
     keyed = documents.select("*", *[c.alias(f"_{k}") for c, k in zip(text_key(), ("k1", "k2"), strict=True)])
-    left = keyed.join(gone.hint("merge"), (keyed["_k1"] == gone["k1"]) & (keyed["_k2"] == gone["k2"]), "left_anti")
+    left = keyed.join(gone, (keyed["_k1"] == gone["k1"]) & (keyed["_k2"] == gone["k2"]), "left_anti")
     return left.select(*documents.columns)
