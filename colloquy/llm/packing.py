@@ -33,7 +33,8 @@ PIECES = pa.schema(
 )
 
 #: From so much white space on, the fast pattern matcher may run out of stack.
-_LONG_BLANK = re.compile(r"\s{10000}")
+LONG_BLANK = 10_000
+_LONG_BLANK = re.compile(rf"\s{{{LONG_BLANK}}}")
 
 _tokenizers: dict[str, object] = {}
 
@@ -59,7 +60,7 @@ class ByteBpe:
         self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> np.ndarray:
-        if not any(s in text for s in self.special) and not _LONG_BLANK.search(text):
+        if not any(s in text for s in self.special) and not (len(text) >= LONG_BLANK and _LONG_BLANK.search(text)):
             try:
                 return np.asarray(self.fast.encode_ordinary(text), dtype="<u4")
             except BaseException as error:  # its pattern matcher gives up by a panic, which is no Exception
