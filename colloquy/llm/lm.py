@@ -45,12 +45,14 @@ from colloquy.session import Scratch
 
 TOP_WORDS, TOP_PAIRS = 1 << 18, 1 << 19
 BURN_IN, SAMPLES = 2, 3
+SAMPLED = 4  # the most frequent words are told by one in so many documents
 PARTS = 3  # documents are scored in so many parts, one after the other, so that fewer pairs lie on disk at a time
 STRENGTH = 1.0
 CACHED = 300_000
 HELD = 3_000_000
 END = b"\n"  # no word can hold it
 ONCE, AGAIN, RARE_ONCE, RARE_AGAIN = range(4)  # kinds of pairs: seen once or more often; rare ones have a word that is not among the most frequent
+SHIFT = 20
 START = 0  # as a context; the most frequent words are numbered from 1, all others are negative hashes
 
 
@@ -68,7 +70,7 @@ START_HASH = word_hash(b"\n\n")
 
 
 def count_words(documents: DataFrame) -> DataFrame:
-    """(h, c): every token's hash and count; counted within tasks first."""
+    """(h, c): every token's hash and count; counted within tasks first. Nothing but the choice of words to broadcast rests on it."""
     schema = pa.schema([("h", pa.int64()), ("c", pa.int64())])
 
     def batch(counts: Counter) -> pa.RecordBatch:
@@ -130,7 +132,7 @@ class _Values(dict):
 
 def _alike(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows with equal keys: the place of one of them, and how many they are."""
-    _, first, count = np.unique(keys[0] if len(keys) == 1 else mixed(*keys), return_index=True, return_counts=True)
+    _, first, count = np.unique(mixed(*keys), return_index=True, return_counts=True)
     return first, count
 
 
@@ -142,13 +144,19 @@ def count_pairs(documents: DataFrame, top: np.ndarray) -> DataFrame:
         values = _Values(top)
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
+        def batches_of(u: np.ndarray, w: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(u), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 50_000]) for x in (u, w, c)], schema=schema)
+
         def flush() -> Iterator[pa.RecordBatch]:
             u, w = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
+            both = (u >= 0) & (w >= 0)
+            keys, c = np.unique((u[both] << SHIFT) | w[both], return_counts=True)  # numbers of words are below 1 << SHIFT
+            yield from batches_of(keys >> SHIFT, keys & ((1 << SHIFT) - 1), c)
+            u, w = u[~both], w[~both]
             at, c = _alike(u, w)
-            for k in range(0, len(at), 50_000):
-                x = at[k : k + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(u[x]), pa.array(w[x]), pa.array(c[k : k + 50_000])], schema=schema)
+            yield from batches_of(u[at], w[at], c)
 
         n = 0
         for part in slices(batches):
@@ -214,7 +222,7 @@ class PitmanYorModel:
     def seats(self, c, hashes, x, mass) -> np.ndarray:
         """The kept sweeps' tables of pairs, drawn again as they were."""
         return np.stack([
-            tables(c, self.discount * np.float64(x[k]) * np.float64(mass[k]), uniforms(hashes, BURN_IN + k), self.discount) for k in range(SAMPLES)
+            tables(c, self.discount * np.asarray(x[k], float) * np.asarray(mass[k], float), uniforms(hashes, BURN_IN + k), self.discount) for k in range(SAMPLES)
         ])
 
     def context_hashes(self) -> np.ndarray:
@@ -252,12 +260,10 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
     spark = documents.sparkSession
     scratch = Scratch(spark, "lm")
     learnt = documents.where(train)
-    counts = scratch.save(count_words(learnt))
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    counts = scratch.save(count_words(learnt.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLED)) == 0)))
     frequent = _most_frequent(counts, "c", top_words).toArrow()
     h, c = frequent["h"].to_numpy(), frequent["c"].to_numpy()
-    order = np.lexsort((h, -c))
-    top, top_c = h[order], c[order]
+    top = h[np.lexsort((h, -c))]
     pairs = scratch.save(count_pairs(learnt, top), "kind", "zstd")
     scratch.drop(counts)
     scratch.release()
@@ -265,6 +271,7 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
     sides = [F.sum("c").alias("c"), F.count("*").alias("kinds"), F.sum(again).alias("again")]
     by_context = scratch.save(pairs.groupBy("u").agg(*sides), None, "zstd")
     by_word = scratch.save(pairs.groupBy("w").agg(*sides), None, "zstd")
+    n, v = by_word.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     d = _discount(*pairs.agg(_twice("c", 1), _twice("c", 2)).first())
     d0 = _discount(*by_word.agg(_twice("kinds", 1), _twice("kinds", 2)).first())
 
@@ -325,7 +332,7 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
     words = words.select("w", F.col("c").alias("cw"), *[F.coalesce(x, own).alias(x) for x in _named("n")], *_named("mass"))
     stack = {name: np.stack([s[name] for s in kept]).astype(np.float32) for name in ("x", "mass", "t", "n")}
     model = PitmanYorModel(
-        pairs, scratch.save(contexts, None, "zstd"), scratch.save(words, None, "zstd"), n, v, d, d0, top, top_c, dense["u", "c"],
+        pairs, scratch.save(contexts, None, "zstd"), scratch.save(words, None, "zstd"), n, v, d, d0, top, dense["w", "c"][1:], dense["u", "c"],
         **stack, totals=np.array([s["total"] for s in kept]), pair_keys=np.empty(0, np.int64), pair_gains=np.empty((2, 0), np.float32), least_top=0,
     )
     rows = _most_frequent(model.of(AGAIN), "c", top_pairs).toArrow()
@@ -335,7 +342,7 @@ def train_lm(documents: DataFrame, train: Column, top_words: int = TOP_WORDS, to
     model.least_top = 1 << 62
     if rows.num_rows:
         u, w, c = (rows[x].to_numpy() for x in ("u", "w", "c"))
-        keys = (u << 20) | w
+        keys = (u << SHIFT) | w
         order = np.argsort(keys)
         model.pair_keys, model.pair_gains, model.least_top = keys[order], _gains(model, u[order], w[order], c[order]), int(c.min())
     return model
@@ -360,7 +367,7 @@ def _sweep(pairs: DataFrame, state_u: DataFrame, state_w: DataFrame, shared, d:
             t = tables(c, d * of_u * of_w, uniforms(keys, sweep), d)
             for side, own in enumerate((u, w)):
                 known = own >= 0
-                sums[side] += np.bincount(own[known], weights=t[known], minlength=len(hashes))
+                np.add.at(sums[side], own[known], t[known])
                 if not known.all():
                     rare, at = np.unique(own[~known], return_inverse=True)
                     yield pa.RecordBatch.from_arrays(
@@ -428,7 +435,7 @@ def _priced(model: PitmanYorModel, shared) -> DataFrame:
             u, w, c = (b.column(k).to_numpy() for k in range(3))
             if len(u):
                 gain = _gains(m, u, w, c)
-                yield pa.RecordBatch.from_arrays([pa.array((u << 20) | w), pa.array(gain[0]), pa.array(gain[1]), pa.nulls(len(u), pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array((u << SHIFT) | w), pa.array(gain[0]), pa.array(gain[1]), pa.nulls(len(u), pa.int64())], schema=schema)
 
     def others(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _loaded(shared)
@@ -493,36 +500,34 @@ def score_lm(documents: DataFrame, model: PitmanYorModel, seen: Column | None =
             trained = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
             doc = np.repeat(np.arange(len(sizes)), sizes)
             both = (u >= 0) & (w >= 0)
-            fu, fw, own = u[both], w[both], doc[both]
+            place, times = np.unique((doc[both] << 2 * SHIFT) | (u[both] << SHIFT) | w[both], return_counts=True)  # a slice has few texts
+            own, keys = place >> 2 * SHIFT, place & ((1 << 2 * SHIFT) - 1)
+            fu, fw = keys >> SHIFT, keys & ((1 << SHIFT) - 1)
             chance = (room[:, fu] * parent[:, fw]).mean(axis=0) + np.where(trained[own], single[fu], 0.0)
-            score = np.bincount(own, np.log10(chance), len(sizes))
-            keys = (fu << 20) | fw
+            score = np.bincount(own, times * np.log10(chance), len(sizes)).astype(float)
+            there = np.zeros(len(keys), bool)
             if len(m.pair_keys):
                 at = np.minimum(np.searchsorted(m.pair_keys, keys), len(m.pair_keys) - 1)
                 there = m.pair_keys[at] == keys
-                score += np.bincount(own[there], m.pair_gains[trained[own[there]].astype(int), at[there]], len(sizes))
-            else:
-                there = np.zeros(len(keys), bool)
+                score += np.bincount(own[there], times[there] * m.pair_gains[trained[own[there]].astype(int), at[there]], len(sizes))
             known = w > 0
             rows = row + np.arange(len(sizes))
             ids = listed(part.column(0), pa.array(sizes), pa.array(np.bincount(doc[known], minlength=len(sizes))))
-            sums = listed(pa.array(np.bincount(doc[known], base[w[known]], len(sizes))), pa.array(score))
+            sums = listed(pa.array(np.bincount(doc[known], base[w[known]], len(sizes)).astype(float)), pa.array(score))
             yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(rows), pa.array(trained.astype(np.int32)), ids, sums], schema=schema)
-            k = np.where(both, 0, mixed(u, w) | np.int64(-1 << 63))
-            k[both] = keys
-            open_ = ~both
-            open_[np.flatnonzero(both)[~there]] = True
-            k, doc, u, w, both = k[open_], doc[open_], u[open_], w[open_], both[open_]
-            first, times = _alike(k, doc)
-            for s in range(0, len(first), 50_000):
-                x = first[s : s + 50_000]
-                old = trained[doc[x]]
-                ends = np.append(0, np.cumsum(np.where(both[x] & old, 0, 2))).astype(np.int32)
-                open_ = x[~(both[x] & old)]
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.stack([u[open_], w[open_]], axis=1).reshape(-1)))
-                m2 = (times[s : s + 50_000] * 2 + old).astype(np.int32)
+            k = mixed(u[~both], w[~both]) | np.int64(-1 << 63)
+            first, often = _alike(k, doc[~both])
+            asks = [(own[~there], keys[~there], times[~there], fu[~there], fw[~there], trained[own[~there]]),
+                    (doc[~both][first], k[first], often, u[~both][first], w[~both][first], np.zeros(len(first), bool))]
+            of, k, m2, u, w, settled = (np.concatenate(x) for x in zip(*asks, strict=True))
+            m2 = (m2 * 2 + trained[of]).astype(np.int32)
+            for s in range(0, len(of), 50_000):
+                x = slice(s, s + 50_000)
+                open_ = ~settled[x]
+                ends = np.append(0, np.cumsum(2 * open_)).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.stack([u[x][open_], w[x][open_]], axis=1).reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[doc[x]]), pa.array(k[x]), pa.array(m2), ids, pa.nulls(len(x), schema.field(4).type)], schema=schema
+                    [pa.array(rows[of[x]]), pa.array(k[x]), pa.array(m2[x]), ids, pa.nulls(len(open_), schema.field(4).type)], schema=schema
                 )
             row += len(sizes)
 

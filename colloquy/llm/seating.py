@@ -16,7 +16,7 @@ import numpy as np
 EXACT = 1024
 #: Where 1 - z of the law's saddle point is below this, one table may hold most customers, and the law follows from the one at EXACT.
 NEAR_ONE = 1e-4
-_TIERS = ((2, 2), (3, 4), (5, 8), (9, 32), (33, 128), (129, EXACT))
+_TIERS = ((3, 4), (5, 8), (9, 32), (33, 128), (129, EXACT))
 
 
 @lru_cache(maxsize=8)
@@ -99,14 +99,20 @@ def _poisson(mean: float, u: float) -> float:
     return _inverse(k, k * np.log(max(mean, 1e-300)) - _log_factorial(k), u)
 
 
-def _log_one_minus(t: np.ndarray, c: float, d: float) -> np.ndarray:
-    """log(1 - z) at the saddle point of ((1 - (1 - z)**d) / d)**t / z**c, by bisection."""
+def _log_one_minus(t: np.ndarray, c: float, d: float, start: float) -> np.ndarray:
+    """log(1 - z) at the saddle point of ((1 - (1 - z)**d) / d)**t / z**c, by Newton steps kept within bounds."""
+    q = np.full(len(t), start)
     low, high = np.full(len(t), -700.0), np.full(len(t), -1e-12)
-    for _ in range(50):  # t d z (1 - z)**(d - 1) / (1 - (1 - z)**d), the mean of the summed sizes, falls with log(1 - z)
-        q = (low + high) / 2
-        above = np.log(t * d) + np.log(-np.expm1(q)) + (d - 1) * q - np.log(-np.expm1(d * q)) > np.log(c)
-        low, high = np.where(above, q, low), np.where(above, high, q)
-    return (low + high) / 2
+    for _ in range(40):  # t d z (1 - z)**(d - 1) / (1 - (1 - z)**d), the mean of the summed sizes, falls with log(1 - z)
+        off = np.log(t * d) + np.log(-np.expm1(q)) + (d - 1) * q - np.log(-np.expm1(d * q)) - np.log(c)
+        low, high = np.where(off > 0, q, low), np.where(off > 0, high, q)
+        slope = np.exp(q) / np.expm1(q) + (d - 1) - d * np.exp(d * q) / np.expm1(d * q)
+        to = q - off / slope
+        to = np.where((to > low) & (to < high), to, (low + high) / 2)
+        if np.abs(to - q).max() < 1e-11 * np.abs(q).max():
+            break
+        q = to
+    return q
 
 
 def _many(c: float, a: float, u: float, d: float) -> float:
@@ -122,7 +128,7 @@ def _many(c: float, a: float, u: float, d: float) -> float:
     centre = a / d * -np.expm1(d * q)
     reach = 8 * np.sqrt(centre) + 10
     t = np.arange(max(1.0, np.floor(centre - reach)), min(c, np.ceil(centre + reach)) + 1)
-    q = _log_one_minus(t, c, d)
+    q = _log_one_minus(t, c, d, float(q))
     one, z = -np.expm1(d * q), -np.expm1(q)
     size = d * z * np.exp((d - 1) * q) / one  # mean size of a table, and its derivative by log z
     spread = size * (1 + (1 - d) * z / np.exp(q) - size)
@@ -143,6 +149,8 @@ def tables(c: np.ndarray, a: np.ndarray, u: np.ndarray, discount: float) -> np.n
     shrink = _shrink(c, discount)
     few = (c > EXACT) & (np.log(np.maximum(a, 1e-300) / np.maximum(c, 1)) < (1 - discount) * np.log(NEAR_ONE))
     log_a = np.log(np.maximum(a * shrink, 1e-300))
+    pair = c == 2
+    out[pair] += u[pair] * (1 - discount + a[pair]) > 1 - discount  # S(2, 1) = 1 - d and S(2, 2) = 1
     for low, high in _TIERS:
         rows = np.flatnonzero((c >= low) & (c <= high) | (few if high == EXACT else False))
         t = np.arange(1, high + 1)
