@@ -15,12 +15,25 @@ def _signature(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
+#: Nodes with more edges than a share of all are hubs: at most twice so many, so that their minima can be broadcast.
+HUBS = 1000
+
+
+def _with_low(edges: DataFrame, low: DataFrame, n: int) -> DataFrame:
+    """edges (src, dst) with the smallest neighbour of src; a hub's edges stay where they are instead of meeting in one task."""
+    most = max(200, n // HUBS)
+    hubs = low.where(F.col("degree") > most).select("src", F.col("low").alias("hub_low"))
+    marked = edges.join(F.broadcast(hubs), "src", "left")
+    rest = marked.where("hub_low is null").select("src", "dst").join(low.where(F.col("degree") <= most), "src")
+    return marked.where("hub_low is not null").select("src", "dst", F.col("hub_low").alias("low")).unionByName(rest.select("src", "dst", "low"))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(src, dst) edges -> (node, component), the component being its smallest node.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014): every step is a
     partially aggregated minimum per node joined back to the edges, so no neighbourhood is
-    ever collected and a hub's edges may be split over tasks. Rounds grow with the logarithm
+    ever collected and a hub's edges are split over tasks. Rounds grow with the logarithm
     of the longest path. Self loops and null ends are ignored; an isolated node does not
     appear; repeated edges count once.
     """
@@ -35,11 +48,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if before[0] == 0:
             break
         both = current.unionAll(current.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        low = both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("low"))
-        large = both.where("dst > src").join(low.hint("shuffle_hash"), "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+        low = both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("low"), F.count("*").alias("degree"))
+        large = _with_low(both.where("dst > src"), low, before[0]).select(F.col("dst").alias("src"), F.col("low").alias("dst"))
         large = large.where("src <> dst").distinct()
-        low = large.groupBy("src").agg(F.min("dst").alias("low"))
-        joined = large.join(low.hint("shuffle_hash"), "src")
+        low = large.groupBy("src").agg(F.min("dst").alias("low"), F.count("*").alias("degree"))
+        joined = _with_low(large, low, before[0])
         small = (
             joined.select(F.col("dst").alias("src"), F.col("low").alias("dst"))
             .unionAll(joined.select("src", F.col("low").alias("dst")))
