@@ -17,14 +17,21 @@ def _signature(edges: DataFrame) -> tuple:
 
 #: Nodes with more edges than a share of all are hubs: at most twice so many, so that their minima can be broadcast.
 HUBS = 1000
+#: Below so many edges a hub's are few enough for one task, and the plan stays small.
+HUBS_FROM = 1_000_000
 
 
 def _with_low(edges: DataFrame, low: DataFrame, n: int) -> DataFrame:
-    """edges (src, dst) with the smallest neighbour of src; a hub's edges stay where they are instead of meeting in one task."""
+    """edges (src, dst) with the smallest neighbour of src; a hub's edges stay where they are instead of meeting in one task.
+
+    Joins are by sorting, which spills and takes nothing through the driver.
+    """
+    if n < HUBS_FROM:
+        return edges.join(low.select("src", "low").hint("merge"), "src")
     most = max(200, n // HUBS)
     hubs = low.where(F.col("degree") > most).select("src", F.col("low").alias("hub_low"))
     marked = edges.join(F.broadcast(hubs), "src", "left")
-    rest = marked.where("hub_low is null").select("src", "dst").join(low.where(F.col("degree") <= most), "src")
+    rest = marked.where("hub_low is null").select("src", "dst").join(low.where(F.col("degree") <= most).hint("merge"), "src")
     return marked.where("hub_low is not null").select("src", "dst", F.col("hub_low").alias("low")).unionByName(rest.select("src", "dst", "low"))
 
 

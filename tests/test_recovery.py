@@ -126,3 +126,14 @@ def test_bootstrap_against_plain_draws(spark):
         means = (times * np.array([v for _, v in own])[:, None]).sum(axis=0) / times.sum(axis=0)
         low, high = np.quantile(means, [0.025, 0.975])
         assert abs(r["low"] - low) < 1e-5 and abs(r["high"] - high) < 1e-5 and r["low"] < r["mean"] < r["high"]
+
+
+def test_components_with_hubs_apart(spark, monkeypatch):
+    """A star of 400 edges, a chain and a second star: hubs' edges take the broadcast way."""
+    from colloquy.operators import graph
+
+    monkeypatch.setattr(graph, "HUBS_FROM", 0)
+    edges = [(5000, k) for k in range(1, 401)] + [(k, k + 1) for k in range(6000, 6020)] + [(7000, 7000 + k) for k in range(1, 301)] + [(7100, 6010)]
+    got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    want = {5000: 1, **dict.fromkeys(range(1, 401), 1), **dict.fromkeys([*range(6000, 6021), *range(7000, 7301)], 6000)}
+    assert got == want
