@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, search, toxicity
+from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, repair, search, toxicity
 from colloquy.llm.common import id_remainder
 from colloquy.tables import table
 
@@ -74,8 +74,13 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archive_index(archive.read_archive(spark, path))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.find_faults(repair.damage_conversations(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op5_minhash_near_dedup, op6_pitman_yor_lm, op7_topk_search, op8_decontamination, op9_html_extraction, op10_warc_archive,
+    op13_conversation_repair,
 )}
 
 ORACLES: dict[str, str] = {
@@ -145,4 +150,62 @@ ORACLES: dict[str, str] = {
                CASE WHEN m.n > 1 AND p.page_id <> m.first_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN m.n > 1 AND p.page_id <> m.first_id THEN m.first_id END AS refers_to
         FROM p LEFT JOIN m ON p.payload_digest = m.payload_digest AND p.payload_bytes >= 1000""",
+    # States 0 nothing yet, 1 system, 2 user, 3 assistant; a row of w is a way from one to another with its edits' letters.
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE
+        raw AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda ch: ascii(ch)::UBIGINT)),
+                       lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[],
+                           lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)), 4294967295::UBIGINT) % 20 AS kind
+            FROM conversations),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM raw WHERE kind <> 0),
+        repeats AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen FROM damaged),
+        numbered AS (
+            SELECT *, left(role, 1) AS initial, row_number() OVER byturn AS i, lag(left(role, 1)) OVER byturn AS before
+            FROM repeats WINDOW byturn AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, seen)),
+        marked AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                           WHEN right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM numbered),
+        counted AS (
+            SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+            FROM marked GROUP BY 1),
+        ins(a, b, cost, letters, said) AS (
+            VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+                   (0, 2, 3, 'I', 'user:'), (1, 2, 3, 'I', 'user:'), (2, 3, 3, 'I', 'assistant:'), (3, 2, 3, 'I', 'user:'),
+                   (0, 3, 6, 'II', 'user:' || chr(10) || 'assistant:'), (1, 3, 6, 'II', 'user:' || chr(10) || 'assistant:')),
+        legal(a, initial, role, b) AS (
+            VALUES (0, 's', NULL, 1), (0, 'u', 'user', 2), (1, 'u', 'user', 2), (2, 'a', 'assistant', 3), (3, 'u', 'user', 2)),
+        edit AS (
+            SELECT s AS a, s AS b, 'D' AS letter, 4 AS cost, NULL::VARCHAR AS initial, NULL::VARCHAR AS role FROM range(4) t(s)
+            UNION ALL SELECT a, b, 'R', 3, NULL, role FROM legal WHERE role IS NOT NULL
+            UNION ALL SELECT a, b, 'K', 0, initial, NULL FROM legal),
+        ways AS (
+            SELECT ins.a, edit.b, letter, ins.cost + edit.cost AS cost, letters || letter AS letters, said, initial, role
+            FROM ins JOIN edit ON ins.b = edit.a),
+        walk AS (
+            SELECT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, NULL::VARCHAR AS said FROM counted
+            UNION ALL
+            SELECT conv_id, i, state, best.cost, best.audit, best.said
+            FROM (
+                SELECT w.conv_id, m.i, y.b AS state,
+                       min(struct_pack(cost := w.cost + y.cost + CASE WHEN m.fault = 'truncated' AND y.letter <> 'D' THEN 3 ELSE 0 END, audit := w.audit || y.letters,
+                           said := nullif(concat_ws(chr(10), w.said, nullif(y.said, ''), CASE y.letter WHEN 'K' THEN m.role || ':' || m.text WHEN 'R' THEN y.role || ':' || m.text END), ''))) AS best
+                FROM walk w JOIN marked m ON w.conv_id IS NOT DISTINCT FROM m.conv_id AND m.i = w.i + 1
+                JOIN ways y ON y.a = w.state AND (y.letter = 'D' OR m.fault NOT IN ('blank', 'duplicate')) AND (y.letter <> 'K' OR y.initial = m.initial)
+                GROUP BY ALL)),
+        ended AS (
+            SELECT w.conv_id, min(struct_pack(cost := w.cost + ins.cost, audit := w.audit || ins.letters, said := concat_ws(chr(10), w.said, nullif(ins.said, '')))) AS best
+            FROM walk w JOIN counted c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n JOIN ins ON ins.a = w.state AND ins.b IN (0, 3) GROUP BY 1)
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+               coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(best.said, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id""",
 }
