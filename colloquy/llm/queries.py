@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, repair, search, toxicity
+from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, ranked, repair, search, toxicity
 from colloquy.llm.common import id_remainder
 from colloquy.tables import table
 
@@ -74,13 +74,18 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archive_index(archive.read_archive(spark, path))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked.search_documents(documents, table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_conversations(repair.find_faults(repair.damage_conversations(table(spark, sf_dir, "conversations"))))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op5_minhash_near_dedup, op6_pitman_yor_lm, op7_topk_search, op8_decontamination, op9_html_extraction, op10_warc_archive,
-    op13_conversation_repair,
+    op11_ranked_search, op13_conversation_repair,
 )}
 
 ORACLES: dict[str, str] = {
@@ -150,6 +155,23 @@ ORACLES: dict[str, str] = {
                CASE WHEN m.n > 1 AND p.page_id <> m.first_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN m.n > 1 AND p.page_id <> m.first_id THEN m.first_id END AS refers_to
         FROM p LEFT JOIN m ON p.payload_digest = m.payload_digest AND p.payload_bytes >= 1000""",
+    "op11_ranked_search": r"""
+        WITH d AS (
+            SELECT doc_id, unnest(w) AS t, len(w) AS n
+            FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents)),
+        q AS (
+            SELECT item_id, t, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY 1, 2),
+        g AS (SELECT count(DISTINCT doc_id) AS big_n, count(*) AS big_l FROM d),
+        p AS (SELECT doc_id, t, n, count(*) AS tf FROM d WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+        f AS (SELECT t, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, g GROUP BY 1),
+        s AS (
+            SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+            FROM q JOIN p USING (t) JOIN f USING (t), g GROUP BY 1, 2),
+        r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
     # States 0 nothing yet, 1 system, 2 user, 3 assistant; a row of w is a way from one to another with its edits' letters.
     "op13_conversation_repair": r"""
         WITH RECURSIVE
