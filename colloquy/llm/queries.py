@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import archive, decontaminate, html_text, language, lm, neardup, packing, quality, ranked, repair, search, toxicity
+from colloquy.llm import archive, decontaminate, html_text, language, lm, nearest, neardup, packing, quality, ranked, repair, search, toxicity
 from colloquy.llm.common import id_remainder
 from colloquy.tables import table
 
@@ -79,13 +79,18 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search_documents(documents, table(spark, sf_dir, "benchmark"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.search(nearest.build_index(vectors), vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_conversations(repair.find_faults(repair.damage_conversations(table(spark, sf_dir, "conversations"))))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_toxicity, op3_language_id, op4_quality, op5_minhash_near_dedup, op6_pitman_yor_lm, op7_topk_search, op8_decontamination, op9_html_extraction, op10_warc_archive,
-    op11_ranked_search, op13_conversation_repair,
+    op11_ranked_search, op12_nearest_neighbours, op13_conversation_repair,
 )}
 
 ORACLES: dict[str, str] = {
