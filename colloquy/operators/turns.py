@@ -158,18 +158,26 @@ def seeds(turns: DataFrame, max_context: int = 3, max_gap_ms: int = 10_000, trig
     )
 
 
+def ends_sentence(text: Column) -> Column:
+    return text.rlike(TERMINAL)
+
+
+def is_fragment(text: Column) -> Column:
+    """Whether a text begins like the rest of a sentence, or has at most three words."""
+    return F.lower(text).rlike(FRAGMENT) | (F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")) <= 3)
+
+
 def merge_reason(max_ms: int = 45_000, tight_ms: int = 800, pause_ms: int = 2_500) -> Column:
     """Why a segment joins the one before it, seen from their times and texts alone."""
     before = lambda c: F.lag(c).over(by_turn())
     gap = F.greatest(F.lit(0), F.col("start_ms") - before("end_ms"))
-    words = F.size(F.filter(F.split(F.col("text"), r"\s+"), lambda w: w != ""))
-    fragment = F.lower("text").rlike(FRAGMENT) | (words <= 3)
+    fragment = is_fragment(F.col("text"))
     return (
         F.when(before("speaker").isNull(), "source_start")
         .when(before("speaker") != F.col("speaker"), "speaker_change")
         .when(F.col("end_ms") - before("start_ms") > max_ms, "length_limit")
         .when(gap <= tight_ms, "asr_fragment_merge")
-        .when((gap <= pause_ms) & (~before("text").rlike(TERMINAL) | fragment), "same_speaker_adaptive_pause")
+        .when((gap <= pause_ms) & (~ends_sentence(before("text")) | fragment), "same_speaker_adaptive_pause")
         .otherwise("pause_and_punctuation")
     )
 

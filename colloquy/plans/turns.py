@@ -120,7 +120,8 @@ def continuation_offer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noted.groupBy("continuation").agg(F.count("*").alias("n"), F.max("gap_ms").alias("longest_gap_ms"))
 
 
-@query(r"""WITH s AS (
+#: Natural turns of the events of a user; see natural_turns().
+NATURAL_TURNS = r"""WITH s AS (
     SELECT user_id::VARCHAR AS source_id, event_id AS idx, event_type AS speaker, epoch_us(ts) // 1000 AS start_ms, epoch_us(ts) // 1000 + (value * 60000)::BIGINT AS end_ms, props AS text
     FROM events),
 l AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY start_ms, idx) AS rn FROM s),
@@ -133,15 +134,22 @@ r AS (SELECT *, CASE WHEN ps IS NULL THEN 'source_start' WHEN ps <> speaker THEN
 i AS (SELECT *, sum((reason NOT IN ('asr_fragment_merge', 'same_speaker_adaptive_pause'))::INT) OVER (PARTITION BY source_id ORDER BY rn) - 1 AS turn FROM r)
 SELECT source_id, turn::BIGINT AS turn, count(*) AS segments, min(start_ms) AS start_ms, max(end_ms) AS end_ms, arg_min(speaker, rn) AS speaker,
        arg_min(reason, rn) AS turn_boundary, string_agg(text, ' ' ORDER BY rn) AS text
-FROM i GROUP BY 1, 2""")
-def natural_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of a user as segments; minutes stand for seconds, so all limits are a thousand times longer."""
-    events = table(spark, sf_dir, "events")
+FROM i GROUP BY 1, 2"""
+
+
+def event_segments(events: DataFrame) -> DataFrame:
+    """Events of a user as segments of a source, which last value minutes; minutes stand for seconds."""
     start = F.unix_millis(F.col("ts").cast("timestamp"))
-    rows = events.select(
+    return events.select(
         F.col("user_id").cast("string").alias("source_id"), F.col("event_type").alias("speaker"), start.alias("start_ms"),
         (start + F.round(F.col("value") * 60000).cast("long")).alias("end_ms"), F.col("props").alias("text"), "event_id",
     )
+
+
+@query(NATURAL_TURNS)
+def natural_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a user as segments; minutes stand for seconds, so all limits are a thousand times longer."""
+    rows = event_segments(table(spark, sf_dir, "events"))
     place = F.row_number().over(O.W.partitionBy("source_id").orderBy("start_ms", "event_id"))
     segments = rows.withColumn("idx", place.cast("long")).withColumn("reason", O.merge_reason(45_000_000, 800_000, 2_500_000))
     starts = ~F.col("reason").isin("asr_fragment_merge", "same_speaker_adaptive_pause")
