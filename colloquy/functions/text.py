@@ -17,6 +17,10 @@ STOP_WORDS = (
 ).split()
 INDEPENDENT_STARTERS = ["i", "i'm", "im", "well", "now", "but", "also", "actually", "so", "okay", "ok", "wait", "you", "we", "they"]
 CONTINUATION_STARTERS = ["and", "or", "because", "which", "that", "to", "then", "than"]
+#: Words that continue a sentence, for risk flags; a longer list than that for turns.
+RISK_CONTINUATIONS = ["and", "or", "because", "which", "that", "to", "then", "than", "as", "if", "of", "in", "with"]
+#: Texts that stand for something not said.
+SENTINELS = ["filtered", "filter", "censored", "redacted", "content filtered", "message filtered", "audio filtered"]
 ARTIFACTS = ["filtered", "heart", "underscore", "subtitle", "[music]", "[applause]"]
 DEPENDENT_PREFIXES = ["yes", "no", "why", "that", "it", "he", "she", "because", "yeah"]
 # Word ends are spelt out in ASCII: engines differ on accented letters beside \\b.
@@ -54,6 +58,11 @@ def norm(text: Column) -> Column:
     return F.lower(collapse(text))
 
 
+def is_sentinel(text: Column) -> Column:
+    """Whether a text's tokens are one of SENTINELS and nothing else."""
+    return F.array_join(tokens(text), " ").isin(SENTINELS)
+
+
 def norm_key(text: Column) -> Column:
     """Lower case without URLs, everything but a-z and 0-9 as one space."""
     bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"https?://\S+", " ")
@@ -170,7 +179,7 @@ def risk_flags(context: Column, response: Column, continuation: Column | None =
     first = lambda x: F.regexp_replace(F.element_at(F.split(F.lower(F.trim(x)), " "), 1), r"""^['".,!?;:]+|['".,!?;:]+$""", "")
     starts = no if continuation is None else F.exists(continuation, lambda x: first(x).isin(INDEPENDENT_STARTERS))
     goes_on = no if continuation is None else F.exists(
-        continuation, lambda x: ~first(x).isin(INDEPENDENT_STARTERS) & (F.trim(x).rlike("^[a-z]") | first(x).isin(CONTINUATION_STARTERS))
+        continuation, lambda x: ~first(x).isin(INDEPENDENT_STARTERS) & (F.trim(x).rlike("^[a-z]") | first(x).isin(RISK_CONTINUATIONS))
     )
     flags = labels(
         LOWERCASE_RESPONSE_START=F.substring(response, 1, 1).rlike("^[a-z]"),

@@ -39,32 +39,35 @@ def speaker_state(identity: Column, baseline_role: Column, frozen_role: Column)
 
 
 def anchored_speakers(rows: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(id, speaker_state, basis) of rows (id, keys): all cluster keys must have an anchor (key, speaker_state, basis), and all the same state.
+    """(id, speaker_state, role, basis) of rows (id, keys): all cluster keys must have an anchor (key, speaker_state, basis), and all the same settled state.
 
-    A row without keys, or with an unknown key, stays ambiguous; the basis tells missing anchors from contradicting ones.
+    A row without keys stays ambiguous; the basis tells keys without an anchor, or anchors of several states, from anchors that settle nothing. An anchor
+    with a null state is there but settles nothing. Of an anchor's repeated keys the least state counts.
     """
-    known = anchors.select("key", F.col("speaker_state").alias("_state"), F.col("basis").alias("_basis"))
+    known = anchors.groupBy("key").agg(F.min(F.struct("speaker_state", "basis")).alias("anchor"))
     each = rows.select("id", F.posexplode_outer("keys").alias("_at", "key")).join(known, "key", "left")
+    state = F.coalesce("anchor.speaker_state", F.lit(""))
     seen = each.groupBy("id").agg(
-        F.count("key").alias("keys"), F.count("_state").alias("met"), F.count_distinct("_state").alias("states"),
-        F.min("_state").alias("state"), F.min_by("_basis", "_at").alias("basis"), F.count_if(F.col("_state").isin(TARGET, OTHER)).alias("settled"),
+        F.count("key").alias("keys"), F.count("anchor").alias("met"), F.count_distinct(F.when(F.col("key").isNotNull(), state)).alias("states"),
+        F.min("anchor.speaker_state").alias("state"), F.min_by("anchor.basis", "_at").alias("basis"), F.count_if(state.isin(TARGET, OTHER)).alias("settled"),
     )
     agreed = (F.col("keys") > 0) & (F.col("settled") == F.col("keys")) & (F.col("states") == 1)
-    conflict = (F.col("states") > 1) | ((F.col("keys") > 0) & (F.col("met") < F.col("keys")))
+    conflict = (F.col("states") > 1) | (F.col("met") < F.col("keys"))
     basis = (
         F.when(agreed, F.col("basis")).when(conflict, "CONFLICTING_WINDOW_LOCAL_CLUSTER_ANCHORS")
         .when(F.col("keys") > 0, "INSUFFICIENT_WINDOW_LOCAL_CLUSTER_ANCHORS").otherwise("INSUFFICIENT_IDENTITY_EVIDENCE")
     )
-    return seen.select("id", F.when(agreed, F.col("state")).otherwise(AMBIGUOUS).alias("speaker_state"), basis.alias("basis"))
+    role = F.when(agreed, F.when(F.col("state") == TARGET, "assistant").otherwise("user"))
+    return seen.select("id", F.when(agreed, F.col("state")).otherwise(AMBIGUOUS).alias("speaker_state"), role.alias("role"), basis.alias("basis"))
 
 
 def context_sufficiency(context: Column, text: Column, start: Column, most_gap: float = 8.0) -> Column:
     """(state, relation, reason, trigger_id) of a target with its context, an array of (id, role, state, text, end), oldest first.
 
-    Only turns of a settled speaker that are more than an artefact are visible. Nearness alone is never enough: the last
+    Only turns of a settled speaker that are no sentinel are visible. Nearness alone is never enough: the last
     user turn must be answered, by few words, a word that answers start with, or a shared word.
     """
-    sound = lambda x: (x["state"] != AMBIGUOUS) & ~F.lower(T.collapse(x["text"])).isin(T.ARTIFACTS)
+    sound = lambda x: (x["state"] != AMBIGUOUS) & ~T.is_sentinel(x["text"])
     visible = F.filter(context, sound)
     users = F.filter(visible, lambda x: x["role"] == "user")
     last_user = F.element_at(users, -1)
@@ -147,7 +150,7 @@ def resolve_target(old: Column, new: Column, similarity: Column, aligned: Column
         return F.struct(F.lit(state).alias("state"), F.lit(reason).alias("reason"), F.lit(contradicts).alias("contradicts"))
 
     return (
-        F.when(F.lower(bare_old).isin(T.ARTIFACTS), out("UNRESOLVED", "NON_CONVERSATIONAL_SENTINEL_TARGET", True))
+        F.when(T.is_sentinel(old), out("UNRESOLVED", "NON_CONVERSATIONAL_SENTINEL_TARGET", True))
         .when((bare_old == "") | ~identified, out("UNRESOLVED", "FROZEN_TARGET_TEXT_OR_IDENTITY_AUTHORITY_MISSING", True))
         .when(doubtful_boundary, out("LOCAL_REASR_REQUIRED", "TARGET_BOUNDARY_AMBIGUOUS"))
         .when(~aligned | (bare_new == ""), out("BASELINE_CONFIRMED", "VERIFIED_TARGET_RETAINED_WITHOUT_NEW_AUDIO_CONFIRMATION"))

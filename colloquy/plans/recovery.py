@@ -16,7 +16,8 @@ from colloquy.plans.turns import TURNS, _turns
 from colloquy.tables import table
 
 _QUOTED = lambda names: ", ".join(f"'{x}'" for x in names)
-_ARTEFACTS = _QUOTED(T.ARTIFACTS)
+#: The texts that stand for something not said, in SQL.
+_SENTINELS = "'filtered', 'filter', 'censored', 'redacted', 'content filtered', 'message filtered', 'audio filtered'"
 
 
 def _tok(text: str) -> str:
@@ -57,7 +58,7 @@ def anchored_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), keys.alias("keys"))
     state = F.when(F.col("id") % 3 == 0, O.TARGET).otherwise(O.OTHER)
     anchors = spark.range(40).where("id % 4 <> 0").select(F.col("id").alias("key"), state.alias("speaker_state"), F.lit("ANCHOR").alias("basis"))
-    return O.anchored_speakers(rows, anchors).withColumnRenamed("id", "event_id")
+    return O.anchored_speakers(rows, anchors).select(F.col("id").alias("event_id"), "speaker_state", "basis")
 
 
 #: Assistant turns with up to three turns before them; a turn of length divisible by 9 has no settled speaker.
@@ -71,7 +72,7 @@ l AS (SELECT turn_id, speaker, text, tk, start_ms, {", ".join(f"lag(struct_pack(
 def _verdict(size: int) -> str:
     """SQL of a target's state, reason and trigger with the last size turns as context."""
     listed = ", ".join(f"c{k}" for k in range(size, 0, -1))
-    return f"""v{size} AS (SELECT *, list_filter(list_filter([{listed}], lambda x: x IS NOT NULL), lambda x: x.st <> 'AMBIGUOUS_SPEAKER' AND lower(trim(regexp_replace(x.text, '\\s+', ' ', 'g'))) NOT IN ({_ARTEFACTS})) AS vis FROM l WHERE speaker = 'assistant'),
+    return f"""v{size} AS (SELECT *, list_filter(list_filter([{listed}], lambda x: x IS NOT NULL), lambda x: x.st <> 'AMBIGUOUS_SPEAKER' AND array_to_string(x.tk, ' ') NOT IN ({_SENTINELS})) AS vis FROM l WHERE speaker = 'assistant'),
 u{size} AS (SELECT *, list_filter(vis, lambda x: x.role = 'user') AS us FROM v{size}),
 j{size} AS (SELECT turn_id, us[-1].id AS trigger_id, c1 IS NOT NULL AS h1, c2 IS NOT NULL AS h2, c3 IS NOT NULL AS h3,
   CASE WHEN trim(text) = '' THEN 'TARGET_TEXT_MISSING' WHEN len(vis) = 0 THEN 'NO_VISIBLE_CONTEXT' WHEN len(us) = 0 THEN 'NO_CONFIRMED_NON_TARGET_CONTEXT'
@@ -133,7 +134,7 @@ def turn_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir).select("turn_id", state.alias("r")).select("turn_id", "r.state", "r.confidence")
 
 
-@query(_PAIRS + f"""SELECT turn_id, CASE WHEN lower(trim(text)) IN ({_ARTEFACTS}) OR trim(text) = '' OR speaker <> 'assistant' THEN 'UNRESOLVED' WHEN n % 23 = 0 THEN 'LOCAL_REASR_REQUIRED' WHEN n % 7 = 0 OR trim(fresh) = '' THEN 'BASELINE_CONFIRMED'
+@query(_PAIRS + f"""SELECT turn_id, CASE WHEN array_to_string(a, ' ') IN ({_SENTINELS}) OR trim(text) = '' OR speaker <> 'assistant' THEN 'UNRESOLVED' WHEN n % 23 = 0 THEN 'LOCAL_REASR_REQUIRED' WHEN n % 7 = 0 OR trim(fresh) = '' THEN 'BASELINE_CONFIRMED'
     WHEN sim >= 0.86 THEN 'AUDIO_CONFIRMED' WHEN sim >= 0.55 THEN 'AUDIO_MINOR_DISAGREEMENT' WHEN n % 11 < greatest(3, least(8, floor(len(a) * 0.4))) THEN 'AUDIO_UNAVAILABLE' ELSE 'AUDIO_MAJOR_CONTRADICTION' END AS state FROM q""")
 def target_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether new texts confirm the assistant's turns."""

@@ -164,7 +164,7 @@ p AS (SELECT *, lag(v) OVER w AS ctx, list_filter([lead(text) OVER w, lead(text,
 f AS (SELECT *, list_transform(more, lambda x: struct_pack(t := trim(x), f := regexp_replace(split_part(lower(trim(x)), ' ', 1), '^[''".,!?;:]+|[''".,!?;:]+$', '', 'g'))) AS fs FROM p)
 SELECT turn_id, array_to_string(list_sort(list_filter([
     CASE WHEN len(list_filter(fs, lambda x: x.f IN ({_QUOTED(T.INDEPENDENT_STARTERS)}))) > 0 THEN 'POSSIBLE_INDEPENDENT_SPEECH_ACT' END,
-    CASE WHEN len(list_filter(fs, lambda x: x.f NOT IN ({_QUOTED(T.INDEPENDENT_STARTERS)}) AND (regexp_matches(x.t, '^[a-z]') OR x.f IN ({_QUOTED(T.CONTINUATION_STARTERS)})))) > 0 THEN 'POSSIBLE_GRAMMATICAL_CONTINUATION' END,
+    CASE WHEN len(list_filter(fs, lambda x: x.f NOT IN ({_QUOTED(T.INDEPENDENT_STARTERS)}) AND (regexp_matches(x.t, '^[a-z]') OR x.f IN ('and', 'or', 'because', 'which', 'that', 'to', 'then', 'than', 'as', 'if', 'of', 'in', 'with')))) > 0 THEN 'POSSIBLE_GRAMMATICAL_CONTINUATION' END,
     CASE WHEN extended THEN 'CONTEXT_EXTENSION_AVAILABLE' END, CASE WHEN suspicious OR asr_quality = 'REVIEW' THEN 'TRANSCRIPT_OR_BOUNDARY_RISK' END,
     CASE WHEN regexp_matches(text[1], '^[a-z]') THEN 'LOWERCASE_RESPONSE_START' END,
     CASE WHEN NOT regexp_matches(lower(text), '{T.ACKNOWLEDGEMENT.replace("'", "''")}') THEN 'NO_ACKNOWLEDGEMENT_PATTERN' END,
