@@ -26,11 +26,6 @@ def ordered_fold(rows: DataFrame, group: list[str], order: list[str], step: Call
     return rows.groupBy(*group).applyInPandas(run, schema)
 
 
-def _holds(longer: tuple, shorter: tuple) -> bool:
-    n = len(shorter)
-    return any(longer[k : k + n] == shorter for k in range(len(longer) - n + 1))
-
-
 def containment_fold(rows: DataFrame, least: int = 5) -> DataFrame:
     """(grp, id, kept_id): rows (grp, id, tokens) taken short first, then by id; kept_id is the kept row that stands in a removed one, null if kept.
 
@@ -56,46 +51,6 @@ def containment_fold(rows: DataFrame, least: int = 5) -> DataFrame:
     return found.unionByName(rest)
 
 
-def provenance_fold(rows: DataFrame, least: int = 8) -> DataFrame:
-    """(family, id, reason, kept_id) of rows (family, source, id, anchor, tokens), by id.
-
-    Reasons in order: PROVENANCE (same source and anchor as a kept row), SAME_FAMILY_TEXT (same text
-    from another source), ANCHOR (same anchor and text), CONTAINMENT (at least least tokens, one
-    stands in the other, from another source or of the same anchor; the longer goes). Null if kept.
-    """
-
-    def step(part: pd.DataFrame) -> Iterable[tuple]:
-        kept: list[tuple] = []
-        gone: dict = {}
-        for source, ident, anchor, tokens in zip(part["source"], part["id"], part["anchor"], part["tokens"], strict=True):
-            tokens = tuple(tokens)
-            reason = None
-            for other in list(kept):
-                o_source, o_id, o_anchor, o_tokens = other
-                if (source, anchor) == (o_source, o_anchor):
-                    reason = ("PROVENANCE", o_id)
-                elif tokens == o_tokens and source != o_source:
-                    reason = ("SAME_FAMILY_TEXT", o_id)
-                elif tokens == o_tokens and anchor == o_anchor:
-                    reason = ("ANCHOR", o_id)
-                elif min(len(tokens), len(o_tokens)) >= least and (source != o_source or anchor == o_anchor):
-                    if len(tokens) >= len(o_tokens) and _holds(tokens, o_tokens):
-                        reason = ("CONTAINMENT", o_id)
-                    elif _holds(o_tokens, tokens):
-                        gone[o_id] = ("CONTAINMENT", ident)
-                        kept.remove(other)
-                if reason:
-                    break
-            if reason:
-                gone[ident] = reason
-            else:
-                kept.append((source, ident, anchor, tokens))
-        for family, ident in zip(part["family"], part["id"], strict=True):
-            yield (family, ident, *gone.get(ident, (None, None)))
-
-    return ordered_fold(rows, ["family"], ["id"], step, "family string, id string, reason string, kept_id string")
-
-
 def greedy_non_overlap(rows: DataFrame, most: int) -> DataFrame:
     """(grp, id, place): rows (grp, id, start, end, weight) taken heaviest first, then longest, then by id, if they overlap none taken; at most most."""
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import text as T
 from colloquy.operators import dedup as O
-from colloquy.operators import fold
+from colloquy.operators import fold, settle
 from colloquy.operators import windows as W
+from colloquy.operators.turns import by_turn
 from colloquy.plans.base import query
 from colloquy.plans.texts import NORM, TOKENS, _documents
 from colloquy.plans.turns import TURNS, _turns
@@ -103,14 +104,32 @@ def ordered_fold_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.containment_fold(rows)
 
 
+def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assistant turns as interactions of a family of sixteen conversations: two uploads of each conversation, some with one turn more as context, and shared anchors and targets."""
+    turns = _turns(spark, sf_dir).withColumn("ctx", F.lag("text").over(by_turn())).where("speaker = 'assistant'").withColumn("up", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    conv, n, up = F.col("source_id").cast("long"), F.length("text"), F.col("up")
+    words = T.tokens(F.col("text"))
+    cut = F.when((up == 1) & (n % 3 == 0), F.slice(words, 1, 12)).otherwise(words)
+    own = F.when(n % 2 == 0, up.cast("string")).otherwise("")
+    key = F.concat_ws(":", "source_id", F.col("idx").cast("string"), F.when((up == 2) & (n % 2 == 0), "x").when((up == 1) & (n % 3 == 0), "y"))
+    targets = F.array(F.concat_ws(":", "source_id", F.floor(F.col("idx") / 4).cast("string"), own), F.concat_ws(":", "source_id", F.lit("t"), F.col("idx").cast("string"), own))
+    return turns.select(
+        F.format_string("%s/%d", "turn_id", up).alias("id"), F.floor(conv / 16).cast("string").alias("family"), F.concat_ws("/", "source_id", F.when(up == 1, "b").otherwise("a")).alias("source"),
+        F.array(F.coalesce("ctx", F.lit(""))).alias("context"), targets.alias("targets"),
+        F.when(n % 5 == 0, F.lit("one")).otherwise(key).alias("anchor"), F.array_join(cut, " ").alias("text"), cut.alias("tokens"),
+    )
+
+
 @query()
 def provenance_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of a conversation deduplicated by provenance, text, anchor and containment, in that order."""
-    turns = _turns(spark, sf_dir)
-    rows = turns.select(
-        F.col("source_id").alias("family"), (F.col("idx") % 2).cast("string").alias("source"), F.col("turn_id").alias("id"), F.col("idx").cast("string").alias("anchor"), T.tokens(F.col("text")).alias("tokens")
-    )
-    return fold.provenance_fold(rows)
+    """Interactions deduplicated by provenance, text, anchor, target and containment, in that order; a test compares it with a plain fold."""
+    return settle.provenance_dedup(interactions(spark, sf_dir))
+
+
+@query()
+def global_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interactions deduplicated over all families; a test compares it with a plain fold."""
+    return settle.global_dedup(interactions(spark, sf_dir))
 
 
 @query()
