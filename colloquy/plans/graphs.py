@@ -54,3 +54,9 @@ def capped_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers joined strongest first to families of at most eight; edges that would exceed it are bridges."""
     edges = family_strength(spark, sf_dir).where("aggregate or ultra").select("a", "b", "pairs", "overlap")
     return families.capped_merge(edges, 8)
+
+
+@query()
+def split_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Families that strong edges between suppliers would join but for their size; a test compares it with a plain fold."""
+    return families.split_exclusions(capped_families(spark, sf_dir))
