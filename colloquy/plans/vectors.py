@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.operators import clustering
 from colloquy.operators import vectors as O
 from colloquy.operators import windows as W
 from colloquy.plans.base import query
@@ -119,3 +120,45 @@ def consistent_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = W.W.partitionBy("source")
     kept = rows.withColumn("agree", F.avg(F.col("right").cast("int")).over(w)).withColumn("m", F.avg("margin").over(w))
     return kept.where("agree >= 0.08 and m >= -0.2 and right").select("vec_id")
+
+
+#: Vectors of unit length; fifty vectors that follow one another are a recording.
+UNITS = "u AS (SELECT vec_id, vec_id // 50 AS grp, label, embedding::DOUBLE[] AS v FROM embeddings)"
+
+
+def _recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return rows.select(F.floor(F.col("vec_id") / 50).alias("grp"), F.col("vec_id").alias("id"), F.col("label").alias("cluster"), F.col("embedding").alias("vector"))
+
+
+@query(f"""WITH {UNITS}, d AS (SELECT a.vec_id, a.label, b.label AS other, 1 - list_cosine_similarity(a.v, b.v) AS d FROM u a JOIN u b ON a.vec_id <> b.vec_id),
+m AS (SELECT vec_id, label, other, avg(d) AS d FROM d GROUP BY 1, 2, 3),
+s AS (SELECT vec_id, label, any_value(d) FILTER (label = other) AS a, min(d) FILTER (label <> other) AS b FROM m GROUP BY 1, 2)
+SELECT vec_id, label, round(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM s""")
+def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well each vector lies in its label, over the whole table."""
+    rows = clustering.silhouette(_recordings(spark, sf_dir).withColumn("grp", F.lit(0)))
+    return rows.select(F.col("id").alias("vec_id"), F.col("cluster").alias("label"), F.round("silhouette", 6).alias("silhouette"))
+
+
+@query()
+def average_linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each recording's vectors in three clusters, with the confidence of each; a test compares it with merging one pair at a time."""
+    rows = _recordings(spark, sf_dir).drop("cluster")
+    told = rows.join(clustering.average_linkage(rows, 3), ["grp", "id"])
+    return clustering.centroid_confidence(told).withColumn("confidence", F.round("confidence", 6))
+
+
+@query(f"""WITH RECURSIVE {UNITS}, n AS (SELECT grp, vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM u),
+r AS (SELECT grp, 0 AS k, arg_min(v, vec_id) AS c0, arg_max(v, vec_id) AS c1, arg_min(v, vec_id) AS p0, arg_max(v, vec_id) AS p1 FROM n GROUP BY 1
+    UNION ALL
+    SELECT grp, k + 1, coalesce(list_transform(m0, lambda x: x / sqrt(list_dot_product(m0, m0))), c0), coalesce(list_transform(m1, lambda x: x / sqrt(list_dot_product(m1, m1))), c1), c0, c1
+    FROM (SELECT grp, k, c0, c1, list(s ORDER BY i) FILTER (c = 0) AS m0, list(s ORDER BY i) FILTER (c = 1) AS m1
+          FROM (SELECT r.grp, k, c0, c1, (list_dot_product(v, c1) > list_dot_product(v, c0))::INT AS c, i, sum(v[i]) AS s
+                FROM r JOIN n ON n.grp = r.grp, generate_series(1, 64) AS g(i) WHERE k < 8 GROUP BY ALL) GROUP BY 1, 2, 3, 4)),
+e AS (SELECT n.vec_id, list_dot_product(v, p1) > list_dot_product(v, p0) AS second, list_dot_product(v, c0) AS x, list_dot_product(v, c1) AS y, count(*) OVER (PARTITION BY n.grp) AS n FROM n JOIN r ON r.grp = n.grp WHERE k = 8)
+SELECT vec_id, second::INT AS cluster, greatest(x, y) >= 0.3 AND least(x, y) >= 0.2 AND abs(x - y) < 0.08 AND n > 1 AS overlap FROM e""")
+def two_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each recording's vectors in two clusters; bounds of overlap are lower, as these vectors lie far apart."""
+    rows = _recordings(spark, sf_dir).drop("cluster").withColumn("place", F.col("id"))
+    return clustering.two_means(rows, high=0.3, second=0.2).select(F.col("id").alias("vec_id"), "cluster", "overlap")
