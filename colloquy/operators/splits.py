@@ -73,3 +73,34 @@ def concentration_cap(rows: DataFrame, group: str, order: list[Column], share: f
     capped = rows.join(counts.select(group, limit.alias("_limit")), group)
     rank = F.row_number().over(W.partitionBy(group).orderBy(*order))
     return capped.withColumn("_rn", rank).where(F.col("_rn") <= F.col("_limit")).drop("_rn", "_limit")
+
+
+def target_filled_splits(counts: DataFrame, family: str, share: float = 0.12, least: float = 0.55) -> DataFrame:
+    """(family, n, split) of counts (family, n): few whole families fill validation, then sealed, each up to about share of all rows; the others train.
+
+    Families come by size and name, the largest always trains. A split takes the next family while it has none, while that brings it nearer to its share, or while it holds less than least of it; it has an
+    eighth of the families at most, two or three. Fewer than six families all train. Each choice is one minimum over the family counts, so that no list of families is held anywhere.
+    """
+    total, families = counts.agg(F.sum("n"), F.count("*")).first()
+    if families < 6:
+        return counts.select(family, "n", F.lit("train").alias("split"))
+    slots, target = max(2, min(3, families // 8)), max(1.0, total * share)
+    place = F.struct((-F.col("n")).alias("size"), F.col(family).alias("name"))
+    ranked = counts.withColumn("_at", place)
+    largest = ranked.agg(F.min("_at")).first()[0]
+    chosen: dict[str, str] = {}
+    for split in ("validation", "sealed"):
+        held, after, picked = 0, largest, 0
+        while picked < slots:
+            open_ = ranked.where((F.col("_at") > F.struct(F.lit(after["size"]).alias("size"), F.lit(after["name"]).alias("name"))) & ~F.col(family).isin(list(chosen)))
+            if picked and held >= least * target:
+                open_ = open_.where(F.abs(F.lit(target) - held - F.col("n")) <= abs(target - held))
+            after = open_.agg(F.min("_at")).first()[0]
+            if after is None:
+                break
+            chosen[after["name"]] = split
+            held, picked = held - after["size"], picked + 1
+    split = F.lit("train")
+    for name, given in chosen.items():
+        split = F.when(F.col(family) == name, given).otherwise(split)
+    return counts.select(family, "n", split.alias("split"))

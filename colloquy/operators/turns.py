@@ -196,3 +196,38 @@ def natural_turns(segments: DataFrame) -> DataFrame:
     """Segments of one speaker merged into turns: runs by merge_reason(), which ends them at 45 seconds."""
     marked = segments.withColumn("reason", merge_reason())
     return islands(marked, ~F.col("reason").isin("asr_fragment_merge", "same_speaker_adaptive_pause"))
+
+
+# Fixed value: texts that are no speech to learn a voice from.
+NO_SPEECH = r"(?i)\[\s*(?:music|applause|laughter)\s*\]|<[^>]+>|seekiframe|javascript:"
+
+
+def is_reference_text(text: Column) -> Column:
+    """Whether a text is speech of two words or more that does not only repeat itself: of 20 letters, digits and spaces on, more than three different words."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("([A-Za-z0-9']+)"), 1)
+    bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9 ]", "")
+    different = F.size(F.array_distinct(F.filter(F.split(bare, r"\s+"), lambda w: w != "")))
+    return ~F.coalesce(text, F.lit("")).rlike(NO_SPEECH) & (F.size(words) >= 2) & ~((F.length(bare) >= 20) & (different <= 3))
+
+
+def growing_windows(turns: DataFrame, cluster: str = "speaker", least_confidence: float = 0.78, pause_ms: int = 2_500, most_ms: int = 45_000, shortest_ms: int = 15_000, longest_ms: int = 60_000) -> DataFrame:
+    """(source_id, turn_id, start_ms, end_ms, segments, confidence): from each usable turn on the stretch of its cluster that grows until it would last longer than most_ms.
+
+    Usable turns are of least_confidence and is_reference_text(); they follow one another by start and idx, whatever lies between them. A stretch ends before a turn of another cluster, after a
+    pause of more than pause_ms, and before the first turn that would make it too long. Only stretches of two turns or more that last from shortest_ms to longest_ms remain.
+    """
+    order = W.partitionBy("source_id").orderBy("start_ms", "idx")
+    usable = turns.where((F.col("speaker_confidence") >= least_confidence) & is_reference_text(F.col("text")))
+    gap = F.col("start_ms") - F.lag("end_ms").over(order)
+    fresh = ~F.col(cluster).eqNullSafe(F.lag(cluster).over(order)) | F.coalesce(gap > pause_ms, F.lit(False))
+    runs = usable.withColumn("_new", fresh).withColumns({"_run": F.sum(F.col("_new").cast("int")).over(order), "_at": F.row_number().over(order)})
+    # What starts later than most_ms after the first turn ends later too, so the frame holds all that can belong to a stretch.
+    frame = W.partitionBy("source_id", "_run").orderBy("start_ms").rangeBetween(0, most_ms)
+    own = F.filter(F.array_sort(F.collect_list(F.struct(F.col("_at").alias("at"), F.col("end_ms").alias("e"), F.col("speaker_confidence").alias("c"))).over(frame)), lambda x: x["at"] >= F.col("_at"))
+    held = runs.withColumn("_rows", own)
+    past = F.array_position(F.transform("_rows", lambda x: (x["e"] - F.col("start_ms") > most_ms) & (x["at"] > F.col("_at"))), True)
+    held = held.withColumn("_rows", F.when(past > 0, F.slice("_rows", F.lit(1), past.cast("int") - 1)).otherwise(F.col("_rows"))).withColumn("_end", F.element_at("_rows", -1)["e"])
+    lasts = F.col("_end") - F.col("start_ms")
+    mean = F.aggregate("_rows", F.lit(0.0), lambda s, x: s + x["c"]) / F.size("_rows")
+    kept = held.where((F.size("_rows") >= 2) & lasts.between(shortest_ms, longest_ms))
+    return kept.select("source_id", "turn_id", "start_ms", F.col("_end").alias("end_ms"), F.size("_rows").cast("long").alias("segments"), F.round(mean, 4).alias("confidence"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colloquy.functions import text as T
@@ -11,6 +10,7 @@ from colloquy.operators import recovery as O
 from colloquy.operators.joins import overlap_join
 from colloquy.operators.similarity import sequence_ratio
 from colloquy.operators.turns import by_turn
+from colloquy.operators.turns import growing_windows as growing
 from colloquy.plans.base import query
 from colloquy.plans.turns import TURNS, _turns
 from colloquy.tables import table
@@ -191,17 +191,15 @@ def text_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("turn_id", F.round(O.text_similarity(F.col("text"), F.col("fresh"), ratio), 6).alias("similarity"))
 
 
-@query(f"""WITH {TURNS}, r AS (SELECT *, speaker IS DISTINCT FROM lag(speaker) OVER w OR start_ms - lag(end_ms) OVER w > 2500 AS new FROM turns WHERE speaker_confidence >= 0.78 WINDOW w AS (PARTITION BY source_id ORDER BY idx)),
-i AS (SELECT *, sum(new::INT) OVER (PARTITION BY source_id ORDER BY idx) AS run FROM r),
-f AS (SELECT a.turn_id, any_value(a.start_ms) AS s, count(*) AS segments, max(b.end_ms) AS e FROM i a JOIN i b ON a.source_id = b.source_id AND a.run = b.run AND b.idx >= a.idx AND (b.idx = a.idx OR b.end_ms - a.start_ms <= 45000) GROUP BY 1)
-SELECT turn_id, segments, e - s AS duration_ms FROM f WHERE e - s BETWEEN 1500 AND 60000""")
+@query(rf"""WITH {TURNS}, u AS (SELECT *, idx // 4 AS cl, regexp_replace(lower(text), '[^a-z0-9 ]', '', 'g') AS bare FROM turns WHERE speaker_confidence >= 0.78),
+us AS (SELECT * FROM u WHERE NOT regexp_matches(text, '(?i)\[\s*(?:music|applause|laughter)\s*\]|<[^>]+>|seekiframe|javascript:') AND len(regexp_extract_all(text, '[A-Za-z0-9'']+')) >= 2
+    AND NOT (length(bare) >= 20 AND len(list_distinct(list_filter(string_split(bare, ' '), lambda w: w <> ''))) <= 3)),
+l AS (SELECT *, row_number() OVER w AS place, (cl IS DISTINCT FROM lag(cl) OVER w OR coalesce(start_ms - lag(end_ms) OVER w > 2500, false))::INT AS new FROM us WINDOW w AS (PARTITION BY source_id ORDER BY start_ms, idx)),
+i AS (SELECT *, sum(new) OVER (PARTITION BY source_id ORDER BY place) AS run FROM l),
+p AS (SELECT a.source_id, a.turn_id, a.start_ms, b.place, b.end_ms, b.speaker_confidence AS c, min(b.place) FILTER (b.end_ms - a.start_ms > 45000 AND b.place > a.place) OVER (PARTITION BY a.turn_id) AS stop
+    FROM i a JOIN i b ON a.source_id = b.source_id AND a.run = b.run AND b.place >= a.place)
+SELECT source_id, turn_id, any_value(start_ms) AS start_ms, arg_max(end_ms, place) AS end_ms, count(*) AS segments, round(avg(c), 4) AS confidence FROM p WHERE stop IS NULL OR place < stop
+GROUP BY 1, 2 HAVING count(*) >= 2 AND arg_max(end_ms, place) - any_value(start_ms) BETWEEN 15000 AND 60000""")
 def growing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From every confident turn the longest stretch of its speaker, with pauses of at most 2.5 s, that lasts at most 45 s."""
-    turns = _turns(spark, sf_dir).where("speaker_confidence >= 0.78")
-    fresh = ~F.col("speaker").eqNullSafe(F.lag("speaker").over(by_turn())) | F.coalesce(F.col("start_ms") - F.lag("end_ms").over(by_turn()) > 2500, F.lit(False))
-    runs = turns.withColumn("new", fresh).withColumn("run", F.sum(F.col("new").cast("int")).over(by_turn()))
-    # Within a run turns follow one another, so those that end in time stand right behind the first.
-    ends = F.collect_list("end_ms").over(W.partitionBy("source_id", "run").orderBy("start_ms").rangeBetween(0, 45_000))
-    inside = F.filter("ends", lambda e: (e - F.col("start_ms") <= 45_000) | (e == F.col("end_ms")))
-    found = runs.withColumn("ends", ends).select("turn_id", F.size(inside).cast("long").alias("segments"), (F.array_max(inside) - F.col("start_ms")).alias("duration_ms"))
-    return found.where("duration_ms between 1500 and 60000")
+    """From every confident turn with usable text on the stretch of four neighbouring turns that grows to at most 45 s and lasts 15 s or more."""
+    return growing(_turns(spark, sf_dir).withColumn("cluster", F.floor(F.col("idx") / 4)), "cluster")

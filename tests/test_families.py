@@ -6,7 +6,7 @@ import pytest
 
 from colloquy.operators import families
 from colloquy.plans import graphs
-from colloquy.plans.base import QUERIES
+from colloquy.plans.registry import QUERIES
 
 EDGES = "a long, b long, pairs long, overlap double"
 
