@@ -94,3 +94,15 @@ def filled_splits(counts: DataFrame, family: str, validation: float = 0.08, seal
 def monotone(baseline: DataFrame, kept: DataFrame, quarantined: DataFrame, ident: str) -> DataFrame:
     """Baseline rows that are neither kept nor quarantined; empty if a run lost nothing silently."""
     return baseline.join(kept.select(ident), ident, "left_anti").join(quarantined.select(ident), ident, "left_anti")
+
+
+def compare_runs(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, n_old, n_new, n_change, mean_change): rows of an old and a new run by key, side by side; a key that only one run has counts 0 in the other, and has no change of its mean.
+
+    A null key is a key; nulls of value do not count in its mean.
+    """
+    was = old.groupBy(F.col(key).alias("k0")).agg(F.count("*").alias("n0"), F.avg(value).alias("a0"))
+    now = new.groupBy(F.col(key).alias("k1")).agg(F.count("*").alias("n1"), F.avg(value).alias("a1"))
+    both = was.join(now, F.col("k0").eqNullSafe(F.col("k1")), "full_outer")
+    n_old, n_new = F.coalesce("n0", F.lit(0)), F.coalesce("n1", F.lit(0))
+    return both.select(F.coalesce("k0", "k1").alias(key), n_old.alias("n_old"), n_new.alias("n_new"), (n_new - n_old).alias("n_change"), (F.col("a1") - F.col("a0")).alias("mean_change"))

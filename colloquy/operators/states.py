@@ -6,7 +6,7 @@ that says so, never in a forced label.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The vocabulary of judgements.
@@ -107,3 +107,21 @@ def fuse_identity(
 def gates(**passed: Column) -> list[Column]:
     """PASS, FAIL or NOT_CHECKED (unknown) for each condition over aggregates."""
     return [F.when(c.isNull(), "NOT_CHECKED").when(c, "PASS").otherwise("FAIL").alias(name) for name, c in passed.items()]
+
+
+def missing_fields(rows: DataFrame, fields: list[str]) -> Column:
+    """Names of the fields of rows that a row must have and has not, in their order: null, an empty text or an empty array or map is missing."""
+
+    def missing(name: str) -> Column:
+        kind = rows.schema[name].dataType.typeName()
+        empty = F.col(name) == "" if kind in ("string", "char", "varchar") else F.size(name) == 0 if kind in ("array", "map") else F.lit(False)
+        return F.when(F.col(name).isNull() | empty, name)
+
+    return F.array_compact(F.array(*map(missing, fields)))
+
+
+def require_fields(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """rows, if no row lacks any of the fields; else the query that reads them fails and names what is missing."""
+    lacking = missing_fields(rows, fields)
+    message = F.concat(F.lit("missing required fields: "), F.array_join(lacking, ", "))
+    return rows.where(F.when(F.size(lacking) == 0, True).otherwise(F.raise_error(message).cast("boolean")))

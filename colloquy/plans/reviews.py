@@ -146,16 +146,14 @@ def suppressed_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new.where(length >= 250).select("event_id").join(covered.select("event_id").distinct(), "event_id", "left_anti")
 
 
-@query("""WITH r AS (SELECT lang, count(*) AS n0, count(*) FILTER (doc_id % 5 > 0) AS n1, sum(n_chars) AS c0, sum(n_chars) FILTER (doc_id % 5 > 0) AS c1 FROM documents GROUP BY 1)
-SELECT lang, n0 AS n_old, n1 AS n_new, n1 - n0 AS n_change, round((c1 / n1) - (c0 / n0), 6) AS mean_change FROM r""")
+@query("""WITH o AS (SELECT lang, count(*) AS n, avg(n_chars) AS a FROM documents WHERE lang IS DISTINCT FROM 'de' GROUP BY 1), w AS (SELECT lang, count(*) AS n, avg(n_chars) AS a FROM documents WHERE doc_id % 5 > 0 AND lang IS DISTINCT FROM 'es' GROUP BY 1)
+SELECT l.lang, coalesce(o.n, 0) AS n_old, coalesce(w.n, 0) AS n_new, coalesce(w.n, 0) - coalesce(o.n, 0) AS n_change, round(w.a - o.a, 6) AS mean_change
+FROM (SELECT lang FROM o UNION SELECT lang FROM w) l LEFT JOIN o ON o.lang IS NOT DISTINCT FROM l.lang LEFT JOIN w ON w.lang IS NOT DISTINCT FROM l.lang""")
 def run_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An old and a new run, by language: counts and mean lengths side by side."""
+    """An old run without German and a new one without Spanish and a fifth of the ids, by language: counts and mean lengths side by side."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    old = docs.groupBy("lang").agg(F.count("*").alias("n_old"), F.avg("n_chars").alias("a0"))
-    new = docs.where("doc_id % 5 > 0").groupBy("lang").agg(F.count("*").alias("n_new"), F.avg("n_chars").alias("a1"))
-    both = old.join(new, old["lang"].eqNullSafe(new["lang"]), "left").drop(new["lang"])
-    change = F.coalesce("n_new", F.lit(0)) - F.col("n_old")
-    return both.select("lang", "n_old", F.coalesce("n_new", F.lit(0)).alias("n_new"), change.alias("n_change"), F.round(F.col("a1") - F.col("a0"), 6).alias("mean_change"))
+    old, new = docs.where(~F.col("lang").eqNullSafe("de")), docs.where((F.col("doc_id") % 5 > 0) & ~F.col("lang").eqNullSafe("es"))
+    return O.compare_runs(old, new, "lang", "n_chars").withColumn("mean_change", F.round("mean_change", 6))
 
 
 @query("SELECT doc_id FROM documents WHERE NOT (doc_id % 5 > 0 OR length(coalesce(text, '')) < 200 OR lang = 'de')")

@@ -169,3 +169,14 @@ def version_compatibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first key in which a record differs from what is expected."""
     state = F.when(~F.col("l_returnflag").eqNullSafe("N"), "STALE_FLAG").when(~F.col("l_linestatus").eqNullSafe("O"), "STALE_STATUS").when(F.col("l_discount") > 0.05, "STALE_DISCOUNT").otherwise("COMPATIBLE")
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", state.alias("state"))
+
+
+@query("""SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN r IS NULL OR r = '' THEN 'role' END, CASE WHEN t IS NULL OR t = '' THEN 'text' END, CASE WHEN len(w) = 0 THEN 'words' END, CASE WHEN k IS NULL THEN 'k' END], lambda x: x IS NOT NULL), ',') AS missing
+FROM (SELECT conv_id, turn, nullif(role, 'system') AS r, CASE WHEN length(text) % 7 = 0 THEN '' ELSE text END AS t, regexp_extract_all(text, '[0-9]+') AS w, CASE WHEN turn % 3 > 0 THEN turn END AS k FROM conversations)""")
+def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of four required fields each turn lacks; some are emptied so that there is something to find."""
+    rows = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.nullif("role", F.lit("system")).alias("role"), F.when(F.length("text") % 7 == 0, "").otherwise(F.col("text")).alias("text"),
+        F.regexp_extract_all("text", F.lit("([0-9]+)"), 1).alias("words"), F.when(F.col("turn") % 3 > 0, F.col("turn")).alias("k"),
+    )
+    return rows.select("conv_id", "turn", F.array_join(O.missing_fields(rows, ["role", "text", "words", "k"]), ",").alias("missing"))

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from colloquy.operators import evidence, fold, splits, turns
+from colloquy.operators import evidence, fold, review, splits, states, turns
 from colloquy.operators.similarity import longest_run
 from colloquy.plans import turns as plans
 from colloquy.plans.registry import QUERIES
@@ -142,3 +142,18 @@ def test_texts_that_stand(spark):
     assert unheard == [("RESOLVED", "a"), ("RESOLVED", "a"), no, ("RESOLVED", "a"), ("RESOLVED", "a"), ("RESOLVED", "a")]
     roles = spark.createDataFrame([("user", "T"), (None, "T"), ("system", "T"), ("", "X"), (None, None)], "r string, i string")
     assert [r["x"] for r in roles.select(evidence.role_of_turn(F.col("r"), F.col("i"), ["T"]).alias("x")).collect()] == ["user", "assistant", "assistant", "user", "user"]
+
+
+def test_runs_side_by_side_keep_the_keys_of_both(spark):
+    old = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), ("gone", 1.0)], "k string, v double")
+    new = spark.createDataFrame([("a", 4.0), (None, None), ("new", 2.0)], "k string, v double")
+    got = {r["k"]: tuple(r)[1:] for r in review.compare_runs(old, new, "k", "v").collect()}
+    assert got == {"a": (2, 1, -1, 2.0), None: (1, 1, 0, None), "gone": (1, 0, -1, None), "new": (0, 1, 1, None)}
+
+
+def test_required_fields(spark):
+    rows = spark.createDataFrame([("x", [1], 1), ("", [], 1), (None, None, None)], "a string, b array<int>, c int")
+    assert [r[0] for r in rows.select(states.missing_fields(rows, ["a", "b", "c"])).collect()] == [[], ["a", "b"], ["a", "b", "c"]]
+    assert states.require_fields(rows.limit(1), ["a", "b", "c"]).count() == 1
+    with pytest.raises(Exception, match="missing required fields: a, b"):
+        states.require_fields(rows, ["a", "b"]).collect()
