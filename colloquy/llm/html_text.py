@@ -56,6 +56,8 @@ PLAIN_WORDS = frozenset(
 )
 # What marks even a paragraph or a heading of an article as foreign to it.
 AD_WORDS = frozenset("ad ads adv advert adverts advertisement advertising cookie cookies hidden promo promoted sponsor sponsored subscribe".split())
+# What marks a part of an article as foreign to it only if the part has little prose.
+DOUBTFUL_WORDS = frozenset("form login recommended related search share sharing skip social tags toolbar widget".split())
 KEEPS = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td th blockquote li dd h1 h2 h3 h4 h5 h6".split())
@@ -73,37 +75,41 @@ _WORDS = re.compile(r"[A-Za-z][a-z]*+|[A-Z]++")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "aside", "points", "chars", "link_chars", "commas", "main")
+    __slots__ = ("tag", "parent", "children", "aside", "points", "chars", "link_chars", "commas", "main", "doubt")
 
-    def __init__(self, tag: str, parent: Node | None, aside: bool = False, main: bool = False):
-        self.tag, self.parent, self.aside, self.main = tag, parent, aside, main
+    def __init__(self, tag: str, parent: Node | None, aside: bool = False, main: bool = False, doubt: bool = False):
+        self.tag, self.parent, self.aside, self.main, self.doubt = tag, parent, aside, main, doubt
         self.children: list[Node | str] = []
         self.points, self.chars, self.link_chars, self.commas = 0.0, 0, 0, 0
 
 
-def _named_aside(value: str, foreign: frozenset[str]) -> bool:
-    """True if a whole class name (or id, or role) is made of foreign words, perhaps with plain ones."""
+def _foreign_names(value: str, foreign: frozenset[str]) -> set[str]:
+    """The foreign words of whole class names (or ids, or roles) that are made of foreign words, perhaps with plain ones."""
+    found: set[str] = set()
     for name in value.strip("\"'").split():
         words = {w.lower() for w in _WORDS.findall(name)}
         if words & foreign and words <= ASIDE_WORDS | PLAIN_WORDS:
-            return True
-    return False
+            found |= words & foreign
+    return found
 
 
-def _marks(tag: str, attrs: str, inside: bool) -> tuple[bool, bool]:
-    """(not part of the article, main content) by element, class, id and role; inside: within an article or main content."""
-    aside, main = tag in ASIDE, tag in ("article", "main")
+def _marks(tag: str, attrs: str, inside: bool) -> tuple[bool, bool, bool]:
+    """(not part of the article, main content, doubtful) by element, class, id and role; inside: within an article or main content."""
+    aside, main, doubt = tag in ASIDE, tag in ("article", "main"), False
     if attrs and "=" in attrs:
         foreign = AD_WORDS if inside and tag in PARAGRAPHS else ASIDE_WORDS
         for key, value in _ATTR.findall(attrs):
             key = key.lower()
             if key in ("class", "id", "role"):
-                if tag not in KEEPS and _named_aside(value, foreign):
+                found = _foreign_names(value, foreign) if tag not in KEEPS else set()
+                if inside and found and found <= DOUBTFUL_WORDS:
+                    doubt = True
+                elif found:
                     aside = True
                 main = main or (key == "role" and value.strip("\"'").lower() == "main")
             elif key == "aria-hidden" and "true" in value.lower() or key == "style" and re.search(r"display\s*:\s*none", value):
                 aside = aside or tag not in KEEPS
-    return aside, main
+    return aside, main, doubt and not aside
 
 
 class _Open:
@@ -150,7 +156,7 @@ def parse(text: str) -> Node:
     A block's start ends an open paragraph; an inline end tag closes no block; a slash at the end of a start tag means nothing.
     """
     root = Node("#root", None)
-    open_ = _Open(root)
+    open_, doubts = _Open(root), False
     at, last_mark = 0, text.rfind(">")
     while at < len(text):
         found = _MARKUP.search(text, at) if at <= last_mark else None
@@ -179,10 +185,11 @@ def parse(text: str) -> Node:
             place = open_.first_after(ends, max(map(open_.last, stops)))
             if place:
                 open_.close(place)
-        aside, main = _marks(tag, found["attrs"], open_.mains > 0)
+        aside, main, doubt = _marks(tag, found["attrs"], open_.mains > 0)
         if tag == "header" and open_.last("article"):  # an article's own heading stays
             aside = False
-        new = Node(tag, open_.nodes[-1], aside, main)
+        new = Node(tag, open_.nodes[-1], aside, main, doubt)
+        doubts = doubts or doubt
         open_.nodes[-1].children.append(new)
         if tag in VOID:
             continue
@@ -191,9 +198,37 @@ def parse(text: str) -> Node:
             at = close.end() if close else len(text)
             continue
         open_.push(new)
+    if doubts:
+        _settle(root)
     return root
 
 
+def _settle(root: Node) -> None:
+    """Put doubtful parts aside unless half of their text or more is prose: blocks of 80 characters or more outside links."""
+    order: list[tuple[Node, bool]] = []
+    stack = [(root, False)]
+    while stack:
+        node, linked = stack.pop()
+        order.append((node, linked))
+        stack += [(c, linked or c.tag == "a") for c in node.children if not isinstance(c, str) and not c.aside]
+    sums = {id(node): [0, 0, 0] for node, _ in order}  # all characters, those of the open block outside links, prose
+    for node, linked in reversed(order):
+        mine = sums[id(node)]
+        own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
+        mine[0] += own
+        mine[1] += 0 if linked else own
+        if node.tag in BLOCK:
+            mine[2] += mine[1] if mine[1] >= 80 else 0
+            mine[1] = 0
+        if node.doubt:
+            node.aside = 2 * mine[2] < max(mine[0], 1)
+        if node.parent is not None and not node.aside:
+            for k in range(3):
+                sums[id(node.parent)][k] += mine[k]
+
+
+
+
 def _blocks(node: Node, out: list[list[str]]) -> None:
     """Runs of text under node, a new run at every block's edge; out's last run is open."""
     stack: list = [(node, iter(node.children))]
@@ -269,6 +304,51 @@ def _final(node: Node) -> float:
     return node.points * (1 - node.link_chars / max(node.chars, 1))
 
 
+def _with_bare_text(row: list[Node | str], stays: list[int]) -> list[Node]:
+    """The siblings that stay, and what stands between them outside any block, unless most of it is links."""
+    kept: list[Node] = []
+    for k, nearest in zip(stays, [None, *stays], strict=False):
+        between = [] if nearest is None else row[nearest + 1 : k]
+        at = 0
+        while at < len(between):
+            bare = Node("#text", None)
+            while at < len(between) and (isinstance(between[at], str) or between[at].tag not in BLOCK):
+                if isinstance(between[at], str):
+                    bare.chars += len(" ".join(between[at].split()))
+                elif not between[at].aside:
+                    bare.chars += between[at].chars
+                    bare.link_chars += between[at].chars if between[at].tag == "a" else between[at].link_chars
+                bare.children.append(between[at])
+                at += 1
+            if bare.chars and 2 * bare.link_chars < bare.chars:
+                kept.append(bare)
+            at += 1
+        kept.append(row[k])
+    return kept
+
+
+def _has_title(node: Node) -> bool:
+    stack = [node]
+    while stack:
+        top = stack.pop()
+        if top.tag == "h1":
+            return True
+        stack += [c for c in top.children if not isinstance(c, str) and not c.aside]
+    return False
+
+
+def _title_above(best: Node) -> Node | None:
+    """The one h1 that stands beside an ancestor of the best container, before it and level with no other h1."""
+    up = best.parent
+    while up is not None and up.parent is not None and not up.main:
+        titles = [(k, c) for k, c in enumerate(up.parent.children) if not isinstance(c, str) and not c.aside and c.tag == "h1" and c.chars]
+        if titles:
+            place = next(k for k, c in enumerate(up.parent.children) if c is up)
+            return titles[0][1] if len(titles) == 1 and titles[0][0] < place else None
+        up = up.parent
+    return None
+
+
 def main_text(page: str | None) -> str:
     """The article's text: blocks in page order, one line each; empty if there is none or page is null.
 
@@ -283,14 +363,19 @@ def main_text(page: str | None) -> str:
         kept: list[Node] = [best]
         if best.parent is not None:
             least = max(2.0, 0.2 * _final(best))
-            kept = []
-            for s in best.parent.children:
+            row = best.parent.children
+            stays = []
+            for k, s in enumerate(row):
                 if isinstance(s, str) or s.aside:
                     continue
                 density = s.link_chars / max(s.chars, 1)
                 prose = s.tag in HEADINGS or s.tag == "p" and (s.chars > 80 and density < 0.25 or s.chars and not density)
                 if s is best or prose or s.tag in BLOCK and _final(s) >= least and density < 0.5:
-                    kept.append(s)
+                    stays.append(k)
+            kept = _with_bare_text(row, stays)
+        title = _title_above(best)
+        if title is not None and not any(map(_has_title, kept)):
+            kept.insert(0, title)
     else:
         kept = [root]
     runs: list[list[str]] = [[]]

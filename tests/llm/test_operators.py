@@ -501,6 +501,41 @@ def test_extraction_of_odd_rows(spark):
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
 
 
+PROSE = "<p>{}, a long paragraph of an article, with commas, and more than eighty characters of prose in all, surely.</p>"
+
+
+@pytest.mark.parametrize(
+    "part, stays",
+    [
+        ('<section id="search">{}</section>', True), ('<section id="form">{}</section>', True), ('<section class="related">{}</section>', True), ('<div class="text-block global-tags">{}</div>', True),
+        ('<section class="comments">{}</section>', False), ('<div class="notice">{}</div>', False), ('<div class="advert">{}</div>', False), ('<div class="related"><ul><li><a href=x>{}</a></ul></div>', False),
+        ('<div class="tags">{}</div>'.format("<div class='share'><a href=x>Third</a></div>" * 3), False),
+    ],
+)
+def test_doubtful_parts_of_an_article(part, stays):
+    page = "<body><article>" + PROSE.format("First") + PROSE.format("Second") + part.format(PROSE.format("Third")) + "</article>"
+    got = html_text.main_text(page).split("\n")
+    assert [g.split(",")[0] for g in got] == ["First", "Second", "Third"][: 3 if stays else 2]
+
+
+def test_bare_text_between_containers_and_titles_above():
+    block = '<div class="content">{}</div>'
+    page = "<body>" + block.format(PROSE.format("One")) + "Bare text of the <b>article</b><br>goes on" + block.format(PROSE.format("Two")) + "<a href=x>only a link</a>" + block.format(PROSE.format("Three"))
+    assert [g.split(",")[0] for g in html_text.main_text(page).split("\n")] == ["One", "Bare text of the article goes on", "Two", "Three"]
+    deep = "<div>{}<div>{}</div></div>"
+    assert html_text.main_text(deep.format("<h1>Title</h1>", block.format(PROSE.format("A")))).split("\n")[0] == "Title"
+    assert html_text.main_text(deep.format("<h1>Site</h1>", block.format("<h1>Title</h1>" + PROSE.format("A")))).split("\n")[0] == "Title"
+    many = html_text.main_text("<div class=related><div class=tags>" * 5000 + "<article>" + "<section class=search>" * 5000 + PROSE.format("A"))
+    assert many == "" or many.startswith("A,")
+
+
+def test_many_long_blanks_are_found_in_linear_time():
+    text = ("x" + " " * 9_999) * 50
+    started = time.perf_counter()
+    assert not packing._LONG_BLANK.search(text) and packing._LONG_BLANK.search("x" + " " * 10_000)
+    assert time.perf_counter() - started < 1
+
+
 def test_main_text():
     page = """<html><head><title>T</title><style>p{}</style></head><body><header><p>Site name, and, more, words</p></header><nav><ul><li><a href=x>Home</a></ul></nav>
     <div class="cookie-notice"><p>We use cookies, really, many of them.</p></div><main><article><h1>A  Title</h1><p>First &amp; foremost,\n a paragraph<br>with a break, long enough to count.
