@@ -34,7 +34,7 @@ PIECES = pa.schema(
 
 #: From so much white space on, the fast pattern matcher may run out of stack.
 LONG_BLANK = 10_000
-_LONG_BLANK = re.compile(rf"\s{{{LONG_BLANK}}}")
+_LONG_BLANK = re.compile(rf"(?<!\s)\s{{{LONG_BLANK}}}")
 
 _tokenizers: dict[str, object] = {}
 
