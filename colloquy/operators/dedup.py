@@ -35,19 +35,32 @@ def duplicate_groups(rows: DataFrame, key: Column, ident: str) -> DataFrame:
 def contained_runs(texts: DataFrame, group: list[str], n: int) -> DataFrame:
     """(*group, short_id, short, long_id, long) of rows (*group, id, t), t being different tokens within a group: short stands in long.
 
-    A run stands in another only if each of its n-grams does, so each row meets those that hold its rarest n-gram in the group.
-    Rows have at least n tokens.
+    A run stands in another only if each of its n-grams does, so each row meets those that hold its rarest n-gram in the group, and is out
+    if nothing else holds that. Candidates must leave room on both sides of the place where they meet and have the same tokens next to it; only then
+    are token lists fetched. Rows have at least n tokens.
     """
-    cut = F.transform(F.sequence(F.lit(1), F.size("t") - n + 1), lambda i: F.xxhash64(F.slice("t", i, n)))
-    grams = texts.select(*group, "id", F.size("t").alias("len"), F.explode(F.array_distinct(cut)).alias("_gram"))
-    often = grams.groupBy(*group, "_gram").agg(F.count("*").alias("_rows"))
-    rarest = grams.join(often, [*group, "_gram"]).groupBy(*group, "id", "len").agg(F.min(F.struct("_rows", "_gram")).alias("x"))
-    short = rarest.select(*group, F.col("x._gram").alias("_gram"), F.col("id").alias("short_id"), F.col("len").alias("short_len"))
-    long = grams.select(*group, "_gram", F.col("id").alias("long_id"), "len")
-    pairs = short.join(long, [*group, "_gram"]).where("short_len < len").select(*group, "short_id", "long_id")
+    size = F.size("t")
+
+    def around(i: Column) -> list[Column]:
+        before = F.when(i > 1, F.hash(F.get("t", i - 2)))
+        after = F.when(i + n <= F.size("t"), F.hash(F.get("t", i + n - 1)))
+        return [before.alias("before"), after.alias("after")]
+
+    cut = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.struct(F.xxhash64(F.slice("t", i, n)).alias("_gram"), i.alias("place"), *around(i)))
+    grams = texts.select(*group, "id", size.alias("len"), F.inline(cut))
+    often = grams.groupBy(*group, "_gram").agg(F.min("id").alias("_a"), F.max("id").alias("_z"), F.count("*").alias("_rows"))
+    seen = F.min(F.struct("_rows", "_gram", "place", "before", "after")).alias("x")
+    rarest = grams.join(often, [*group, "_gram"]).groupBy(*group, "id", "len").agg(seen, F.bool_or(F.col("_a") == F.col("_z")).alias("alone")).where("not alone")
+    short = rarest.select(*group, "x._gram", F.col("id").alias("short_id"), F.col("len").alias("short_len"), F.col("x.place").alias("p"), F.col("x.before").alias("b"), F.col("x.after").alias("a"))
+    start = F.col("place") - F.col("p")
+    fits = (F.col("short_len") < F.col("len")) & (start >= 0) & (start + F.col("short_len") <= F.col("len"))
+    beside = (F.col("b").isNull() | (F.col("b") == F.col("before"))) & (F.col("a").isNull() | (F.col("a") == F.col("after")))
+    pairs = short.join(grams.withColumnRenamed("id", "long_id"), [*group, "_gram"]).where(fits & beside)
+    pairs = pairs.groupBy(*group, "short_id", "long_id").agg(F.collect_set(start).alias("starts"))
     pairs = pairs.join(texts.select(*group, F.col("id").alias("short_id"), F.col("t").alias("short")), [*group, "short_id"])
     pairs = pairs.join(texts.select(*group, F.col("id").alias("long_id"), F.col("t").alias("long")), [*group, "long_id"])
-    return pairs.where(T.contains_run(F.col("long"), F.col("short")))
+    stands = F.exists("starts", lambda k: F.slice("long", k + 1, F.size("short")) == F.col("short"))
+    return pairs.where(stands).select(*group, "short_id", "short", "long_id", "long")
 
 
 def contained_rows(rows: DataFrame, group: list[str], ident: str, tokens: str) -> DataFrame:

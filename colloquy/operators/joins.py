@@ -100,10 +100,25 @@ def shingles(tokens: Column, size: int) -> Column:
 
 
 def shingle_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: int) -> DataFrame:
-    """(left_id, right_id, shared): how many distinct runs of size tokens two rows share; both have tokens."""
-    a = left.select(left_id, F.explode(F.array_distinct(shingles(F.col("tokens"), size))).alias("_s"))
-    b = right.select(right_id, F.explode(F.array_distinct(shingles(F.col("tokens"), size))).alias("_s"))
-    return a.join(b, "_s").groupBy(left_id, right_id).agg(F.count("*").alias("shared"))
+    """(left_id, right_id, shared): how many distinct runs of size tokens two rows share; both have tokens.
+
+    Equal token lists of left are one text until the end, so that a text repeated a million times meets right once. Runs meet
+    as two 64-bit hashes; no run is spelt out. Rows with fewer tokens, none or null share nothing.
+    """
+
+    def runs(tokens: Column) -> Column:
+        last = F.size(tokens) - size
+        at = F.when(last >= 0, F.sequence(F.lit(1), last + 1)).otherwise(F.array().cast("array<int>"))
+        cut = F.transform(at, lambda k: F.slice(tokens, k, size))
+        return F.array_distinct(F.transform(cut, lambda t: F.struct(F.xxhash64(t).alias("h"), F.xxhash64(F.lit(size), F.reverse(t)).alias("g"))))
+
+    enough = F.size("tokens") >= size
+    named = left.where(enough).select(left_id, F.sha2(F.to_json(F.array("tokens")), 256).alias("_text"), "tokens")
+    texts = named.groupBy("_text").agg(F.first("tokens").alias("tokens"))
+    a = texts.select("_text", F.inline(runs(F.col("tokens"))))
+    b = right.where(enough).select(right_id, F.inline(runs(F.col("tokens"))))
+    shared = a.join(b, ["h", "g"]).groupBy("_text", right_id).agg(F.count("*").alias("shared"))
+    return named.select(left_id, "_text").join(shared, "_text").select(left_id, right_id, "shared")
 
 
 def status_merge(old: DataFrame, new: DataFrame, key: str, ranks: dict[str, list[str]], unions: list[str]) -> DataFrame:

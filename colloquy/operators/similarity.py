@@ -29,22 +29,49 @@ def longest_run(a: Column, b: Column) -> Column:
     return F.pandas_udf(_longest, "long")(a, b)
 
 
-def jaccard_join(rows: DataFrame, ident: str, tokens: str, threshold: float) -> DataFrame:
-    """(a, b, jaccard): pairs a < b of rows whose token sets reach the threshold.
+def jaccard_classes(rows: DataFrame, ident: str, tokens: str) -> DataFrame:
+    """(id, class_id) of rows with tokens: the smallest id that has the same set of tokens."""
+    named = rows.where(F.size(tokens) > 0).select(F.col(ident).alias("id"), _set_name(tokens).alias("_set"))
+    return named.join(named.groupBy("_set").agg(F.min("id").alias("class_id")), "_set").select("id", "class_id")
+
+
+def _set_name(tokens: str) -> Column:
+    return F.sha2(F.to_json(F.array_sort(F.array_distinct(tokens))), 256)
+
+
+def jaccard_links(rows: DataFrame, ident: str, tokens: str, threshold: float) -> DataFrame:
+    """(a, b, jaccard): pairs a < b of jaccard_classes() whose sets reach the threshold; a set that many rows have is compared once.
 
     Tokens are ordered by rarity; two sets can reach the threshold only if their prefixes of
     n - ceil(threshold * n) + 1 tokens meet, and if their sizes are in proportion, so only those
     are joined, and the sets of the candidates are then compared in full.
     """
-    sets = rows.select(F.col(ident).alias("id"), F.col(tokens).alias("t")).where(F.size("t") > 0)
+    named = rows.where(F.size(tokens) > 0).select(F.col(ident).alias("id"), _set_name(tokens).alias("_set"), F.array_distinct(tokens).alias("t"))
+    sets = named.groupBy("_set").agg(F.min("id").alias("id"), F.first("t").alias("t")).drop("_set")
     each = sets.select("id", F.size("t").alias("n"), F.explode("t").alias("tok"))
     rarity = each.groupBy("tok").agg(F.count("*").alias("df"))
     place = F.row_number().over(W.partitionBy("id").orderBy("df", "tok"))
     prefix = each.join(rarity, "tok").withColumn("p", place).where(F.col("p") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1)
-    x = prefix.select("tok", F.col("id").alias("a"), F.col("n").alias("na"))
-    y = prefix.select("tok", F.col("id").alias("b"), F.col("n").alias("nb"))
+    x = prefix.select("tok", F.col("id").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
+    y = prefix.select("tok", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
     sized = (F.col("na") >= threshold * F.col("nb")) & (F.col("nb") >= threshold * F.col("na"))
-    pairs = x.join(y, "tok").where((F.col("a") < F.col("b")) & sized).select("a", "b").distinct()
+    least = threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-9
+    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    first = x.join(y, "tok").where((F.col("a") < F.col("b")) & sized).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"), F.max(F.struct("pa", "pb")).alias("last"))
+    pairs = first.withColumns({"pa": F.col("last.pa"), "pb": F.col("last.pb")}).where(F.col("met") + left >= least).select("a", "b")
     full = pairs.join(sets.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(sets.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
     both = F.size(F.array_intersect("ta", "tb"))
     return full.select("a", "b", (both / (F.size("ta") + F.size("tb") - both)).alias("jaccard")).where(F.col("jaccard") >= threshold)
+
+
+def jaccard_join(rows: DataFrame, ident: str, tokens: str, threshold: float) -> DataFrame:
+    """(a, b, jaccard): all pairs a < b of rows whose token sets reach the threshold, those of equal sets too.
+
+    Found by jaccard_links(); where many rows may have one set, use that and jaccard_classes(), as the pairs here grow with the square of the copies.
+    """
+    members = jaccard_classes(rows, ident, tokens)
+    links = jaccard_links(rows, ident, tokens, threshold)
+    one, other = members.select(F.col("class_id").alias("a"), F.col("id").alias("x")), members.select(F.col("class_id").alias("b"), F.col("id").alias("y"))
+    far = links.join(one, "a").join(other, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+    near = one.join(other.withColumnRenamed("b", "a"), "a").where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(1.0).alias("jaccard"))
+    return far.unionByName(near)
