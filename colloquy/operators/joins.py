@@ -106,18 +106,15 @@ def shingle_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     as two 64-bit hashes; no run is spelt out. Rows with fewer tokens, none or null share nothing.
     """
 
-    def runs(tokens: Column) -> Column:
-        last = F.size(tokens) - size
-        at = F.when(last >= 0, F.sequence(F.lit(1), last + 1)).otherwise(F.array().cast("array<int>"))
-        cut = F.transform(at, lambda k: F.slice(tokens, k, size))
-        return F.array_distinct(F.transform(cut, lambda t: F.struct(F.xxhash64(t).alias("h"), F.xxhash64(F.lit(size), F.reverse(t)).alias("g"))))
+    def runs(rows: DataFrame, ident: str) -> DataFrame:
+        cut = F.transform(F.sequence(F.lit(1), F.size("tokens") - size + 1), lambda k: F.slice("tokens", k, size))
+        return rows.select(ident, F.explode(cut).alias("_run")).select(ident, F.xxhash64("_run").alias("h"), F.xxhash64(F.lit(size), F.reverse("_run")).alias("g"))
 
     enough = F.size("tokens") >= size
-    named = left.where(enough).select(left_id, F.sha2(F.to_json(F.array("tokens")), 256).alias("_text"), "tokens")
-    texts = named.groupBy("_text").agg(F.first("tokens").alias("tokens"))
-    a = texts.select("_text", F.inline(runs(F.col("tokens"))))
-    b = right.where(enough).select(right_id, F.inline(runs(F.col("tokens"))))
-    shared = a.join(b, ["h", "g"]).groupBy("_text", right_id).agg(F.count("*").alias("shared"))
+    named = left.where(enough).select(left_id, F.sha2(F.array_join("tokens", " "), 256).alias("_text"), "tokens")
+    first = named.groupBy("_text").agg(F.first("tokens").alias("tokens"))
+    met = runs(first, "_text").join(runs(right.where(enough), right_id).distinct(), ["h", "g"])
+    shared = met.distinct().groupBy("_text", right_id).agg(F.count("*").alias("shared"))
     return named.select(left_id, "_text").join(shared, "_text").select(left_id, right_id, "shared")
 
 
