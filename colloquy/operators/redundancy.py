@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from colloquy.functions import text as T
 from colloquy.operators.dedup import contained_runs
 from colloquy.operators.similarity import jaccard_join
+from colloquy.session import Scratch
 
 NEAR = 0.7
 
@@ -64,14 +65,15 @@ def near_duplicate_ledger(rows: DataFrame, most: int = 500) -> DataFrame:
     )
     full = full.withColumn("tokens", F.concat("context", "target")).where(F.size("tokens") > 0).withColumn("_text", F.sha2(F.to_json(F.array("tokens")), 256))
     best = full.groupBy("family", "_text").agg(F.min("rank").alias("best"))
-    ranked = full.join(best, ["family", "_text"]).drop("_text")
+    scratch = Scratch(rows.sparkSession, "near-duplicates")
+    ranked = scratch.save(full.join(best, ["family", "_text"]).drop("_text"))
     copies = ranked.where(F.col("id") != F.col("best.id")).select(F.col("id").alias("removed_id"), F.col("best.id").alias("kept_id"), F.lit("COPY").alias("reason"))
     firsts = ranked.where(F.col("id") == F.col("best.id")).drop("best")
 
     def side(name: str) -> DataFrame:
         return firsts.select("family", F.col("id").alias(name), F.struct("source", "start_ms", "end_ms", "context", "target", "target_ids", "tokens", "rank").alias(name + name))
 
-    pairs = near_candidates(firsts, most=most).join(side("a"), ["family", "a"]).join(side("b"), ["family", "b"])
+    pairs = scratch.save(near_candidates(firsts, most=most)).join(side("a"), ["family", "a"]).join(side("b"), ["family", "b"])
     x, y = F.col("aa"), F.col("bb")
     shorter, longer = F.least(F.size(x["tokens"]), F.size(y["tokens"])), F.greatest(F.size(x["tokens"]), F.size(y["tokens"]))
     stands = T.contains_run(x["tokens"], y["tokens"]) | T.contains_run(y["tokens"], x["tokens"])

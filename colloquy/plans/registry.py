@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from colloquy.plans import (  # noqa: F401
-    aggregates, dedup, evidence, graphs, joins, names, recovery, reviews, samples, scans, sinks, states, streams, texts, topology, turns, validators, vectors, windows,
+    aggregates, attestation, dedup, evidence, graphs, joins, names, recovery, reviews, samples, scans, sinks, states, streams, texts, topology, turns, validators, vectors, windows,
 )
 from colloquy.plans.base import ORACLES, QUERIES  # noqa: F401
