@@ -16,14 +16,17 @@ from colloquy.session import Scratch
 NEAR = 0.7
 
 
-def _text_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    near = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0
-    return pd.Series([near(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def text_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Ratcliff-Obershelp ratio of two strings, characters that are common in a long one being no anchors; 0 if either is empty or null, or if the ratio is below least."""
 
+    def one(x: str | None, y: str | None) -> float:
+        if not x or not y or 2 * min(len(x), len(y)) < least * (len(x) + len(y)):
+            return 0.0
+        found = difflib.SequenceMatcher(None, x, y)
+        ratio = found.ratio() if not least or found.quick_ratio() >= least else 0.0
+        return ratio if ratio >= least else 0.0
 
-def text_ratio(a: Column, b: Column) -> Column:
-    """Ratcliff-Obershelp ratio of two strings, characters that are common in a long one being no anchors; 0 if either is empty or null."""
-    return F.pandas_udf(_text_ratio, "double")(a, b)
+    return F.pandas_udf(lambda v, w: pd.Series(list(map(one, v, w)), dtype="float64"), "double")(a, b)
 
 
 def near_candidates(rows: DataFrame, size: int = 3, most: int = 500) -> DataFrame:
@@ -81,13 +84,17 @@ def near_duplicate_ledger(rows: DataFrame, most: int = 500) -> DataFrame:
     pairs = pairs.withColumn("held", F.when(stands, shorter / longer).otherwise(0.0)).withColumn("jaccard", both / F.size(F.array_union(x["tokens"], y["tokens"])))
     spelt = lambda part: [F.array_join(side[part], " ") for side in (x, y)]
     known = F.greatest("held", "jaccard") >= NEAR
-    seq = text_ratio(*[F.when(~known, t) for t in spelt("tokens")])
-    near = pairs.withColumn("seq", seq).where(known | (F.col("seq") >= NEAR))
-    overlap = F.coalesce(F.least(x["end_ms"], y["end_ms"]) > F.greatest(x["start_ms"], y["start_ms"]), F.lit(False)) & F.coalesce(x["end_ms"] + y["end_ms"] + x["start_ms"] + y["start_ms"], F.lit(None)).isNotNull()
+    timed = (x["end_ms"] + y["end_ms"] + x["start_ms"] + y["start_ms"]).isNotNull()
+    overlap = timed & (F.least(x["end_ms"], y["end_ms"]) > F.greatest(x["start_ms"], y["start_ms"]))
     same = (F.col("held") >= 0.9) | F.arrays_overlap(x["target_ids"], y["target_ids"]) | overlap
-    asked = near.withColumn("same", F.coalesce(same, F.lit(False))).withColumn("open", ~F.col("same") & ~x["source"].eqNullSafe(y["source"]))
-    asked = asked.withColumn("ts", text_ratio(*[F.when(F.col("open"), t) for t in spelt("target")])).withColumn("cs", text_ratio(*[F.when(F.col("open"), t) for t in spelt("context")]))
+    asked = pairs.withColumn("same", F.coalesce(same, F.lit(False))).withColumn("open", ~F.col("same") & ~x["source"].eqNullSafe(y["source"]))
+    # The ratio of whole texts costs most, so it is asked only of pairs that would be redundant if they are near.
+    asked = asked.withColumn("ts", text_ratio(*[F.when(F.col("open"), t) for t in spelt("target")], NEAR))
+    asked = asked.withColumn("cs", text_ratio(*[F.when(F.col("ts") >= NEAR, t) for t in spelt("context")], 0.55))
     mirror = F.col("open") & ((F.col("ts") >= 0.9) & (F.col("cs") >= 0.55) | (F.col("ts") >= 0.7) & (F.col("cs") >= 0.8))
+    asked = asked.withColumn("mirror", mirror)
+    asked = asked.withColumn("seq", text_ratio(*[F.when(~known & (F.col("same") | F.col("mirror")), t) for t in spelt("tokens")], NEAR)).where(known | (F.col("seq") >= NEAR))
+    mirror = F.col("mirror")
     reason = F.when(F.col("same"), "SAME_RECORDING").when(mirror, "MIRROR")
     loses = asked.select(F.greatest(x["rank"], y["rank"])["id"].alias("removed_id"), F.struct(F.least(x["rank"], y["rank"]).alias("rank"), reason.alias("reason")).alias("to")).where("to.reason is not null")
     lost = loses.groupBy("removed_id").agg(F.min("to").alias("to")).select("removed_id", F.col("to.rank.id").alias("kept_id"), F.col("to.reason").alias("reason"))
