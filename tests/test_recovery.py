@@ -137,3 +137,12 @@ def test_components_with_hubs_apart(spark, monkeypatch):
     got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     want = {5000: 1, **dict.fromkeys(range(1, 401), 1), **dict.fromkeys([*range(6000, 6021), *range(7000, 7301)], 6000)}
     assert got == want
+
+
+def test_noise_in_a_gap_of_just_the_limit_makes_it_no_longer(spark):
+    """12.3 - 10.3 is a little more than 2 in doubles."""
+    schema = "context array<struct<id:string,role:string,state:string,text:string,end:double>>, text string, start double"
+    rows = [([("u", "user", "SETTLED", "what is it", end)], "it is so", start) for end, start in [(10.3, 12.3), (10.3, 12.301)]]
+    judged = recovery.context_sufficiency(F.col("context"), F.col("text"), F.col("start"), 2.0)
+    got = [r["reason"] for r in spark.createDataFrame(rows, schema).coalesce(1).select(judged.alias("j")).select("j.reason").collect()]
+    assert got == ["VISIBLE_IMMEDIATE_USER_TRIGGER", "LARGE_PRE_TARGET_GAP"]
