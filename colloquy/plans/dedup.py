@@ -29,8 +29,8 @@ def dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH k AS (SELECT doc_id, source, {NORM}[1:60] AS head, (n_chars / 30)::BIGINT AS size FROM documents) SELECT source, head, size, count(*) AS n FROM k GROUP BY 1, 2, 3 HAVING count(*) > 1""")
 def metadata_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near keys of metadata: source, the start of the text and its rounded length."""
-    rows = table(spark, sf_dir, "documents").select("source", F.substring(T.norm(F.col("text")), 1, 60).alias("head"), F.round(F.col("n_chars") / 30).cast("long").alias("size"))
+    """Near keys of metadata: source, the start of the text and its rounded length, halves to the even number."""
+    rows = table(spark, sf_dir, "documents").select("source", F.substring(T.norm(F.col("text")), 1, 60).alias("head"), F.bround(F.col("n_chars") / 30).cast("long").alias("size"))
     return rows.groupBy("source", "head", "size").agg(F.count("*").alias("n")).where("n > 1")
 
 

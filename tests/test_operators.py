@@ -187,3 +187,10 @@ def test_merge_fragments(spark):
     rows = pd.DataFrame({"grp": ["g"] * 3, "id": [1, 2, 3], "start": [0.0, 1.1, 9.0], "end": [0.8, 1.8, 9.5], "cluster": ["c"] * 3, "text": ["and then", "we left.", "Later"]})
     got = fold.merge_fragments(spark.createDataFrame(rows)).collect()
     assert [(r["first_id"], r["text"], r["n"]) for r in got] == [(1, "and then we left.", 2), (3, "Later", 1)]
+
+
+def test_metadata_key_rounds_halves_to_even(spark, tmp_path):
+    rows = [(k, "Same Text", "en", "s", n) for k, n in enumerate([45, 60, 75, 15, 0])]  # 1.5, 2 and 2.5 are 2, 0.5 and 0 are 0
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["size"], r["n"]) for r in registry.QUERIES["metadata_key"](spark, str(tmp_path)).collect()}
+    assert got == {(2, 3), (0, 2)}
