@@ -194,3 +194,18 @@ def test_metadata_key_rounds_halves_to_even(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     got = {(r["size"], r["n"]) for r in registry.QUERIES["metadata_key"](spark, str(tmp_path)).collect()}
     assert got == {(2, 3), (0, 2)}
+
+
+def test_prefix_pairs_against_plain_loops_and_send_no_text_for_each_length(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 12))) for _ in range(150)]
+    texts += [t + rng.choice(["", " more", " \U0001f600", "x" * 40]) for t in texts[:80]]
+    frame = [(rng.choice(["g", "h", None]), k, t) for k, t in enumerate(texts)]
+    want = set()
+    for g, k, t in frame:
+        own = [(len(s), j) for h, j, s in frame if h == g and t.startswith(s) and (len(s) < len(t) or j < k)]
+        want |= {(max(own)[1], k)} if own else set()
+    df = spark.createDataFrame(frame, "g string, id long, v string")
+    got = dedup.prefix_pairs(df, ["g"], "id", "v")
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 100
+    assert "startswith" not in got._jdf.queryExecution().executedPlan().toString().lower()  # no text is carried along for each length to be compared
