@@ -59,3 +59,35 @@ def test_jaccard_over_classes_of_equal_sets(spark, threshold):
     assert classes == {i: min(j for j, t in full if t == s) for i, s in full}
     links = {(r.a, r.b) for r in similarity.jaccard_links(frame, "id", "tokens", threshold).collect()}
     assert links == {(classes[i], classes[j]) for i, j in want if classes[i] != classes[j] and classes[i] < classes[j]} | {(classes[j], classes[i]) for i, j in want if classes[j] < classes[i]}
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_long_runs_meet_in_what_they_have_least_in_common(spark, copies):
+    """Runs of all lengths about the window, with copies, cut out of, or edited in, one another."""
+    rng = random.Random(copies)
+    frame, full = [], []
+    for k in range(160):
+        t = [rng.choice("abcdefgh") for _ in range(rng.randint(1, 40))]
+        if full and rng.random() < 0.6:
+            base = rng.choice(full)
+            i, j = sorted(rng.sample(range(len(base) + 1), 2))
+            t = base[i:j] if rng.random() < 0.5 else [*t[:3], *base, *t[:2]]
+            if rng.random() < 0.3:
+                t[rng.randrange(len(t))] = "x"
+        full.append(t)
+        frame += [("gh"[k % 2] if k % 9 else None, 1000 * c + k, t) for c in range(copies)]
+    want = {}
+    for g, j, b in frame:
+        own = [i for h, i, a in frame if h == g and g and a and b and i < j and (within(a, b) or within(b, a))]
+        want |= {j: min(own)} if own else {}
+    df = spark.createDataFrame(frame, "g string, id long, t array<string>")
+    assert {r.removed_id: r.kept_id for r in dedup.contained_rows(df, ["g"], "id", "t").collect()} == want and len(want) > 50
+
+
+def test_few_keys_of_a_text_travel(spark):
+    from colloquy.operators import grams
+
+    rng = random.Random(1)
+    frame = [(0, k, [f"w{rng.randrange(5000)}" for _ in range(600)]) for k in range(20)]
+    keyed = grams.keyed_runs(spark.createDataFrame(frame, "group long, name long, t array<string>"), 1)
+    assert 0 < keyed.count() < 20 * 600 * 0.4  # a minimizer for about three tokens, where each token had a row
