@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.operators.dedup import contained_runs
+from colloquy.operators.dedup import contained_names, named_runs
+from colloquy.session import Scratch
 
 
 def ordered_fold(rows: DataFrame, group: list[str], order: list[str], step: Callable[[pd.DataFrame], Iterable[tuple]], schema: str) -> DataFrame:
@@ -37,16 +38,21 @@ def containment_fold(rows: DataFrame, least: int = 5) -> DataFrame:
     """
     if least < 3:
         raise ValueError("least must be 3 or more")
-    used = rows.where(F.size("tokens") >= least).select("grp", "id", F.col("tokens").alias("t"))
-    firsts = used.groupBy("grp", "t").agg(F.min("id").alias("first"))
-    held = contained_runs(firsts.select("grp", F.col("first").alias("id"), "t"), ["grp"], 3)
-    bare = held.select("grp", F.col("long_id").alias("short_id")).distinct()
-    starts = F.transform(F.sequence(F.lit(1), F.size("long") - 2), lambda i: F.slice("long", i, 3))
-    place = F.array_position(starts, F.slice("short", 1, 3))
-    best = held.join(bare, ["grp", "short_id"], "left_anti").groupBy("grp", F.col("long_id").alias("first"))
-    best = best.agg(F.min(F.struct(place.alias("place"), F.size("short").alias("n"), F.col("short_id").alias("id"))).alias("best"))
-    classes = firsts.join(best, ["grp", "first"], "left").select("grp", "t", "first", F.col("best.id").alias("by"))
-    found = used.join(classes, ["grp", "t"]).select("grp", "id", F.coalesce("by", F.when(F.col("id") != F.col("first"), F.col("first"))).alias("kept_id"))
+    scratch = Scratch(rows.sparkSession, "fold")
+    used = named_runs(rows.where(F.size("tokens") >= least).select("grp", "id", F.col("tokens").alias("t")), ["grp"], "t")
+    ids = scratch.save(used.select("grp", "id", F.col("_name").alias("name")))
+    firsts = ids.groupBy("name").agg(F.min("id").alias("first"))
+    held = scratch.save(contained_names(used, "t", least, scratch))
+    bare = held.join(held.select(F.col("long").alias("short")).distinct(), "short", "left_anti")
+    asked = bare.select(F.col("short").alias("_name")).union(bare.select("long")).distinct()
+    texts = used.join(asked, "_name", "left_semi").select("_name", "t").dropDuplicates(["_name"])
+    short = texts.select(F.col("_name").alias("short"), F.slice("t", 1, 3).alias("opening"), F.size("t").alias("n"))
+    starts = F.transform(F.sequence(F.lit(1), F.size("t") - 2), lambda i: F.slice("t", i, 3))
+    met = bare.join(short, "short").join(texts.withColumnRenamed("_name", "long"), "long").select("short", "long", "n", F.array_position(starts, F.col("opening")).alias("place"))
+    met = met.join(firsts.withColumnRenamed("name", "short"), "short")
+    best = met.groupBy(F.col("long").alias("name")).agg(F.min(F.struct("place", "n", F.col("first").alias("id"))).alias("best"))
+    classes = firsts.join(best, "name", "left").select("name", "first", F.col("best.id").alias("by"))
+    found = ids.join(classes, "name").select("grp", "id", F.coalesce("by", F.when(F.col("id") != F.col("first"), F.col("first"))).alias("kept_id"))
     rest = rows.where(F.coalesce(F.size("tokens"), F.lit(0)) < least).select("grp", "id", F.lit(None).cast("long").alias("kept_id"))
     return found.unionByName(rest)
 

@@ -209,3 +209,10 @@ def test_prefix_pairs_against_plain_loops_and_send_no_text_for_each_length(spark
     got = dedup.prefix_pairs(df, ["g"], "id", "v")
     assert {tuple(r) for r in got.collect()} == want and len(want) > 100
     assert "startswith" not in got._jdf.queryExecution().executedPlan().toString().lower()  # no text is carried along for each length to be compared
+
+
+def test_containment_fold_groups_no_texts(spark):
+    frame = [("g", 1, "a b c d e".split()), ("g", 2, "z a b c d e".split()), ("g", 3, "a b c d e".split()), (None, 4, "a b c d e".split())]
+    got = fold.containment_fold(spark.createDataFrame(frame, "grp string, id long, tokens array<string>"))
+    assert {r["id"]: r["kept_id"] for r in got.collect()} == {1: None, 2: 1, 3: 1, 4: None}
+    assert "hashpartitioning(grp" not in got._jdf.queryExecution().executedPlan().toString()  # copies meet by name, not by their tokens
