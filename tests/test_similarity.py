@@ -91,3 +91,35 @@ def test_few_keys_of_a_text_travel(spark):
     frame = [(0, k, [f"w{rng.randrange(5000)}" for _ in range(600)]) for k in range(20)]
     keyed = grams.keyed_runs(spark.createDataFrame(frame, "group long, name long, t array<string>"), 1)
     assert 0 < keyed.count() < 20 * 600 * 0.4  # a minimizer for about three tokens, where each token had a row
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.8])
+def test_jaccard_of_long_sets_of_common_words(spark, threshold):
+    """Families of edited copies, cuts and a few words that all have, beyond what bits of parity can tell apart."""
+    rng = random.Random(int(threshold * 10))
+    words = [f"w{k}" for k in range(1500)]
+    full = []
+    for k in range(12):
+        base = rng.sample(words, rng.choice([3, 10, 60, 300, 900]))
+        for c in range(8):
+            full.append((k * 8 + c, sorted({"the", "of", *rng.sample(base, rng.randint(int(0.8 * len(base)), len(base))), *rng.sample(words, rng.randint(0, len(base) // 20))})))
+    want = {(i, j): len(set(s) & set(t)) / len(set(s) | set(t)) for i, s in full for j, t in full if i < j}
+    want = {k: v for k, v in want.items() if v >= threshold}
+    got = {(r.a, r.b): r.jaccard for r in similarity.jaccard_join(spark.createDataFrame(full, "id long, tokens array<string>"), "id", "tokens", threshold).collect()}
+    assert got == pytest.approx(want) and len(want) > 50
+
+
+def test_jaccard_reads_its_rows_once_and_sends_no_set_with_each_pair(spark):
+    """A family of n near sets sends each set to the family's block, not to each of its n - 1 partners."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(t):
+        calls.add(1)
+        return t
+
+    from pyspark.sql import functions as F
+
+    full = [(k, [f"w{j}" for j in range(60) if j != k % 60]) for k in range(40)]
+    frame = spark.createDataFrame(full, "id long, tokens array<string>").withColumn("tokens", F.udf(seen, "array<string>").asNondeterministic()("tokens"))
+    assert similarity.jaccard_join(frame, "id", "tokens", 0.8).count() == 40 * 39 // 2
+    assert calls.value == 40
