@@ -14,6 +14,7 @@ from colloquy.plans.base import query
 from colloquy.plans.texts import TOKENS
 from colloquy.plans.vectors import MARGIN, _margins
 from colloquy.plans.windows import SPANS, spans
+from colloquy.session import Scratch
 from colloquy.tables import table
 
 _STATE = "CASE WHEN decided = 0 THEN 'NOT_CHECKED' WHEN broken = 0 THEN 'PASS' ELSE 'FAIL' END"
@@ -97,10 +98,12 @@ q AS (SELECT a, b, x.w = y.w AS same, k / greatest(1, least(na, nb)) AS part FRO
 SELECT a AS kept_id, b AS removed_id, CASE WHEN same THEN 'MIRROR' ELSE 'CONTAINED' END AS reason FROM q WHERE same OR part >= 0.9""")
 def adjudicated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near pairs of documents and which of them goes: mirrors and contained texts of one source."""
-    words = T.tokens(F.col("text"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", words.alias("w"), F.array_distinct(words).alias("s"))
-    near = jaccard_join(rows, "doc_id", "s", 0.7).select("a", "b")
-    side = lambda x: rows.select(F.col("doc_id").alias(x), F.col("source").alias(f"family_{x}"), F.col("w").alias(f"t{x}"))
+    scratch = Scratch(spark, "adjudicated")
+    rows = scratch.save(table(spark, sf_dir, "documents").select("doc_id", "source", T.tokens(F.col("text")).alias("w")))
+    rows = rows.withColumn("s", F.array_distinct("w"))
+    near = jaccard_join(rows, "doc_id", "s", 0.7)
+    known = scratch.save(rows.select("doc_id", "source", F.sha2(F.to_json(F.array("w")), 256).alias("name"), F.size("s").alias("n")))
+    side = lambda x: known.select(F.col("doc_id").alias(x), F.col("source").alias(f"family_{x}"), F.col("name").alias(f"text_{x}"), F.col("n").alias(f"n_{x}"))
     return O.adjudicated(near.join(side("a"), "a").join(side("b"), "b"))
 
 
