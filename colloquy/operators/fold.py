@@ -7,7 +7,7 @@ by nature, and a group that is not should be split by a finer key first.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -97,25 +97,33 @@ def span_units(rows: DataFrame, gap: int, longest: int, least: int) -> DataFrame
 
 def repeated_segments(rows: DataFrame, overlap: float, drift: float) -> DataFrame:
     """(grp, id, kept_id) of rows (grp, id, start, end, text) by start: a row repeats the last kept one if it begins no later than overlap
-    before that one's end, within drift of its start, and their texts are equal or one holds the other; the longer text stays."""
-
-    def step(part: pd.DataFrame) -> Iterable[tuple]:
-        last: list | None = None
-        out: dict = {}
-        for ident, start, end, text in zip(part["id"], part["start"], part["end"], part["text"], strict=True):
-            same = last and last[2] - start >= overlap and abs(start - last[1]) <= drift and (text in last[3] or last[3] in text)
-            if not same:
-                out[ident] = None
-                last = [ident, start, end, text]
-            elif len(text) > len(last[3]):
-                out[last[0]], out[ident] = ident, None
-                last = [ident, start, end, text]
-            else:
-                out[ident] = last[0]
-        for ident in part["id"]:
-            yield part["grp"].iloc[0], ident, out[ident]
-
-    return ordered_fold(rows, ["grp"], ["start", "id"], step, "grp string, id long, kept_id long")
+    before that one's end, within drift of its start, and their texts are equal or one holds the other; the longer text stays. Groups are read as a sorted stream that holds one row, so many small ones cost no more than one large one."""
+
+    dealt = rows.select("grp", "id", "start", "end", "text").repartition("grp").sortWithinPartitions("grp", "start", "id")
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at: object = None
+        last: list | None = None  # the last kept row, whose own line waits for what becomes of it
+        for frame in frames:
+            out: list[tuple] = []
+            for grp, ident, start, end, text in zip(*(frame[c].tolist() for c in ("grp", "id", "start", "end", "text")), strict=True):
+                if last is None or grp != at or not (last[2] - start >= overlap and abs(start - last[1]) <= drift and (text in last[3] or last[3] in text)):
+                    if last:
+                        out.append((at, last[0], None))
+                    at, last = grp, [ident, start, end, text]
+                elif len(text) > len(last[3]):
+                    out.append((grp, last[0], ident))
+                    last = [ident, start, end, text]
+                else:
+                    out.append((grp, ident, last[0]))
+            yield framed(out)
+        if last:
+            yield framed([(at, last[0], None)])
+
+    def framed(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({"grp": [x[0] for x in out], "id": [x[1] for x in out], "kept_id": pd.array([x[2] for x in out], dtype="Int64")})
+
+    return dealt.mapInPandas(run, "grp string, id long, kept_id long")
 
 
 def merge_fragments(rows: DataFrame, gap: float = 1.5) -> DataFrame:
