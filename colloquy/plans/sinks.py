@@ -106,13 +106,14 @@ def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH b AS (SELECT user_id, epoch_us(ts) // 3600000000 AS h FROM events), w AS (SELECT user_id, h - k AS h0 FROM b, generate_series(0, 11) AS g(k))
 SELECT user_id, h0 * 3600000000 AS start_us, count(*) AS n FROM w GROUP BY 1, 2""")
 def stream_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of twelve hours, every hour, in update mode; a window's last value counts."""
+    """Counts of twelve hours, every hour: the stream counts hours in update mode, of which the last values make up the windows."""
     base = Scratch(spark, "trailing").base
     _quarters(spark, sf_dir, f"{base}/in", (0, 1, 2, 3))
-    out = S.trailing_counts(_stream(spark, f"{base}/in"), "user_id", late="400 days")
+    out = S.trailing_counts(_stream(spark, f"{base}/in"), "user_id", "1 hour", "1 hour", late="400 days")
     S.run_available(out, lambda batch, k: batch.withColumn("batch", F.lit(k)).write.mode("overwrite").parquet(f"{base}/out/b={k}"), f"{base}/checkpoint", "update")
     rows = spark.read.schema(f"{out.schema.toDDL()}, batch int").parquet(f"{base}/out/*")
-    return latest(rows, ["user_id", "start"], F.col("batch")).select("user_id", F.unix_micros("start").alias("start_us"), "n")
+    hours = latest(rows, ["user_id", "start"], F.col("batch"))
+    return S.spread_steps(hours, "user_id", 12).select("user_id", F.unix_micros("start").alias("start_us"), "n")
 
 
 @query("""WITH d AS (SELECT user_id, event_id, epoch_us(ts) AS t FROM events), q AS (SELECT *, event_id // (SELECT count(*) // 4 + 1 FROM events) AS k FROM d),

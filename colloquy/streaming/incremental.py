@@ -27,6 +27,12 @@ def trailing_counts(events: DataFrame, key: str, length: str = "12 hours", step:
     return out.select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
+def spread_steps(counts: DataFrame, key: str, steps: int, step: str = "1 hour") -> DataFrame:
+    """(key, start, n) of the windows of so many steps, one beginning at each step, from final counts (key, start, n) of single steps: what trailing_counts() gives, with one state a step instead of one a window."""
+    begins = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda k: F.col("start") - k * F.expr(f"interval {step}"))
+    return counts.select(key, F.explode(begins).alias("start"), "n").groupBy(key, "start").agg(F.sum("n").alias("n"))
+
+
 def drop_repeats(events: DataFrame, keys: list[str], late: str = "1 hour") -> DataFrame:
     """The first row of every key within the watermark."""
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)

@@ -1,6 +1,9 @@
 """Steps that must not grow faster than their input: what they read, keep and hand to Python."""
 
+from pyspark.sql import functions as F
+
 from colloquy.operators import fold
+from colloquy.streaming import incremental
 
 
 def test_repeated_segments_read_small_groups_as_one_stream(spark):
@@ -14,3 +17,10 @@ def test_repeated_segments_read_small_groups_as_one_stream(spark):
         assert "FlatMapGroups" not in found._jdf.queryExecution().toString()  # no call of Python for each group
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_windows_from_counts_of_steps(spark):
+    events = spark.sql("SELECT id % 3 AS user, timestamp_seconds(1700000000 + id * 1234) AS ts FROM range(100)")
+    length = lambda of: events.groupBy(F.window("ts", of, "1 hour").alias("w"), "user").agg(F.count("*").alias("n")).select("user", F.col("w.start").alias("start"), "n")
+    got = incremental.spread_steps(length("1 hour"), "user", 12)
+    assert sorted(map(tuple, got.select("user", "start", "n").collect())) == sorted(map(tuple, length("12 hours").collect()))
