@@ -20,8 +20,8 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON document a user, each in a file of its own, read back with the file's name."""
     path = f"{Scratch(spark, 'documents').base}/users"
     rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list("event_id")).alias("events"))
-    rows.withColumn("folder", F.col("user_id")).repartition("folder").write.partitionBy("folder").json(path)
-    read = A.read_json_documents(spark, f"{path}/*/*.json", "user_id long, events array<long>")
+    A.write_json_documents(rows.withColumn("folder", F.col("user_id")), path, "folder")
+    read = A.read_json_documents(spark, path, "user_id long, events array<long>")
     total = F.aggregate("events", F.lit(0).cast("long"), lambda a, x: a + x)
     named = F.col("file").contains(F.concat(F.lit("folder="), F.col("user_id").cast("string"), F.lit("/")))
     return read.select("user_id", F.size("events").cast("long").alias("n"), total.alias("ids"), named.alias("named"))

@@ -11,8 +11,15 @@ CUE = r"((?:\d+:)?\d{1,2}:\d{2}[.,]\d{3})\s+-->\s+((?:\d+:)?\d{1,2}:\d{2}[.,]\d{
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One object a file; file names the file that it came from."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("file", F.input_file_name())
+    """One object a file, at any depth below path; file names the file that it came from. Folders are listed by tasks where they are many."""
+    return spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path).withColumn("file", F.input_file_name())
+
+
+def write_json_documents(rows: DataFrame, path: str, folder: str) -> None:
+    """One object a row, in a folder for each value of folder. Small files cost by number, not by size, so rows are dealt to all cores
+    by a hash that no exchange before has (it would be taken for this one and merged by size), and tasks move their own files into place."""
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+    rows.repartition(parts, F.xxhash64(folder)).write.partitionBy(folder).option("mapreduce.fileoutputcommitter.algorithm.version", "2").json(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True, header: str | None = "manifest_header") -> DataFrame:

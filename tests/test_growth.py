@@ -1,8 +1,13 @@
 """Steps that must not grow faster than their input: what they read, keep and hand to Python."""
 
+import glob
+import os
+import tempfile
+
 from pyspark.sql import functions as F
 
 from colloquy.operators import fold
+from colloquy.sources import artifacts
 from colloquy.streaming import incremental
 
 
@@ -24,3 +29,14 @@ def test_windows_from_counts_of_steps(spark):
     length = lambda of: events.groupBy(F.window("ts", of, "1 hour").alias("w"), "user").agg(F.count("*").alias("n")).select("user", F.col("w.start").alias("start"), "n")
     got = incremental.spread_steps(length("1 hour"), "user", 12)
     assert sorted(map(tuple, got.select("user", "start", "n").collect())) == sorted(map(tuple, length("12 hours").collect()))
+
+
+def test_documents_are_written_by_all_tasks_one_file_each(spark):
+    path = tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/docs"
+    rows = spark.range(200).groupBy("id").agg(F.array_sort(F.collect_list("id")).alias("events"))  # its exchange could stand for the one by folder
+    artifacts.write_json_documents(rows.withColumn("folder", F.col("id")), path, "folder")
+    files = glob.glob(f"{path}/*/*.json")
+    assert len(files) == len({os.path.dirname(f) for f in files}) == 200
+    assert len({os.path.basename(f).split("-")[1] for f in files}) >= 4  # tasks
+    read = artifacts.read_json_documents(spark, path, "id long, events array<long>")
+    assert sorted((r.id, r.events, f"folder={r.id}/" in r.file) for r in read.collect()) == [(k, [k], True) for k in range(200)]
