@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from colloquy.operators import fold
+from colloquy.operators import fold, validation
 from colloquy.sources import artifacts
 from colloquy.streaming import incremental
 
@@ -40,3 +40,12 @@ def test_documents_are_written_by_all_tasks_one_file_each(spark):
     assert len({os.path.basename(f).split("-")[1] for f in files}) >= 4  # tasks
     read = artifacts.read_json_documents(spark, path, "id long, events array<long>")
     assert sorted((r.id, r.events, f"folder={r.id}/" in r.file) for r in read.collect()) == [(k, [k], True) for k in range(200)]
+
+
+def test_near_pairs_are_decided_without_their_texts(spark):
+    texts = {1: "a b c d e f g h i j", 2: "a b c d e f g h i j", 3: "a b c d e f g h i", 4: "b a c d e f g h i j k", 5: "a b c d e f g x y", 6: "a b c d e f g h i j"}
+    sets = {k: set(v.split()) for k, v in texts.items()}
+    pairs = [(a, b, "s" if a < 6 else "t", "s" if b < 6 else "t", texts[a], texts[b], len(sets[a]), len(sets[b]), len(sets[a] & sets[b]) / len(sets[a] | sets[b])) for a in texts for b in texts if a < b]
+    frame = spark.createDataFrame(pairs, "a long, b long, family_a string, family_b string, text_a string, text_b string, n_a int, n_b int, jaccard double")
+    want = {(a, b): "MIRROR" if texts[a] == texts[b] else "CONTAINED" for a in range(1, 6) for b in range(a + 1, 6) if len(sets[a] & sets[b]) >= 0.9 * min(len(sets[a]), len(sets[b]))}
+    assert {(r.kept_id, r.removed_id): r.reason for r in validation.adjudicated(frame).collect()} == want and len(want) == 6
