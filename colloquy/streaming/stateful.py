@@ -6,10 +6,12 @@ executors with the checkpoint, and leaves the store by event time or age.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,7 +26,9 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 TURNS = "source_id string, turn long, segments long, start_ms long, end_ms long, speaker string, turn_boundary string, text string"
-_WAITING = "start_ms long, segment_id long, end_ms long, speaker string, text string, terminal boolean, fragment boolean"
+_TURN = Row(*(c.split()[0] for c in TURNS.split(", ")))
+_WAITING = ("start_ms", "segment_id", "end_ms", "speaker", "text", "terminal", "fragment")
+_CHUNK = 1_000  # segments of one entry, as JSON: an entry of its own for each would cost more than all the rest
 _OPEN = "turn long, segments long, start_ms long, end_ms long, speaker string, reason string"
 _LAST = "turn long, start_ms long, end_ms long, speaker string, terminal boolean"
 
@@ -37,7 +41,7 @@ class _NaturalTurns(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _WAITING)
+        self.waiting = handle.getListState("waiting", "segments string")
         self.open = handle.getValueState("open", _OPEN)
         self.texts = handle.getListState("texts", "text string")
         self.last = handle.getValueState("last", _LAST)
@@ -50,13 +54,12 @@ class _NaturalTurns(StatefulProcessor):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(at)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         first = None
-        for frame in rows:
-            new = [tuple(r) for r in zip(*(frame[c.split()[0]].tolist() for c in _WAITING.split(", ")), strict=True)]
-            if new:
-                self.waiting.appendList(new)
-                first = min(r[0] for r in new) if first is None else min(first, min(r[0] for r in new))
+        while new := [tuple(row[c] for c in _WAITING) for row in islice(rows, _CHUNK)]:
+            self.waiting.appendValue((json.dumps(new),))
+            earliest = min(r[0] for r in new)
+            first = earliest if first is None else min(first, earliest)
         if first is not None:
             self._wake(first)
         yield from ()
@@ -75,42 +78,48 @@ class _NaturalTurns(StatefulProcessor):
             return "asr_fragment_merge"
         return "same_speaker_adaptive_pause" if gap <= self.pause_ms and (not terminal or fragment) else "pause_and_punctuation"
 
-    def _close(self, key: tuple) -> tuple:
-        turn, segments, start, end, speaker, reason = self.open.get()
-        text = " ".join(t for (t,) in self.texts.get())
-        self.open.clear()
-        self.texts.clear()
-        return key[0], turn, segments, start, end, speaker, reason, text
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        """Take what the watermark has passed. A turn that begins and ends here never meets the store: each call of it is a message to the JVM."""
         now, fired = timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()
-        rows = sorted(self.waiting.get()) if self.waiting.exists() else []
+        rows = sorted(tuple(r) for (chunk,) in self.waiting.get() for r in json.loads(chunk)) if self.waiting.exists() else []
         ready, wait = [r for r in rows if r[0] <= now], [r for r in rows if r[0] > now]
-        last = self.last.get() if self.last.exists() else None
-        unit = list(self.open.get()) if self.open.exists() else None
-        done, new = [], []
+        last, unit = self.last.get(), self.open.get()
+        stored = unit is not None  # its texts, too, lie in the store; those of texts come after them
+        unit, texts, done = list(unit or ()), [], []
+
+        def close() -> None:
+            before = [t for (t,) in self.texts.get()] if stored else []
+            done.append(_TURN(key[0], *unit, " ".join(before + texts)))
+
         for row in ready:
             start, _, end, speaker, text, terminal, _ = row
             last = None if last and start - last[2] > self.idle_ms else last
             reason = self._reason(last, row)
             if unit and reason in ("asr_fragment_merge", "same_speaker_adaptive_pause"):
                 unit[1], unit[3] = unit[1] + 1, max(unit[3], end)
-                new.append((text,))
+                texts.append(text)
             else:
                 if unit:
-                    self._keep(unit, new)
-                    done.append(self._close(key))
-                    new = []
-                unit = [last[0] + 1 if last else 0, 1, start, end, speaker, reason]
-                new = [(text,)]
+                    close()
+                    if stored:
+                        self.texts.clear()
+                        self.open.clear()
+                        stored = False
+                unit, texts = [last[0] + 1 if last else 0, 1, start, end, speaker, reason], [text]
             last = (unit[0], start, end, speaker, bool(terminal))
-        if unit:
-            self._keep(unit, new)
-            if not wait and now > last[2] + self.pause_ms:  # what comes now begins after the longest pause
-                done.append(self._close(key))
-                unit = None
+        if unit and not wait and now > last[2] + self.pause_ms:  # what comes now begins after the longest pause
+            close()
+            if stored:
+                self.texts.clear()
+                self.open.clear()
+            unit = None
+        elif unit and texts:
+            self.open.update(tuple(unit))
+            self.texts.appendList([(t,) for t in texts])
         if ready:
-            self.waiting.put(wait) if wait else self.waiting.clear()
+            self.waiting.clear()
+            for at in range(0, len(wait), _CHUNK):
+                self.waiting.appendValue((json.dumps(wait[at : at + _CHUNK]),))
             self.last.update(last)
         if wait:
             self._wake(wait[0][0], fired)
@@ -120,14 +129,7 @@ class _NaturalTurns(StatefulProcessor):
             self._wake(last[2] + self.idle_ms + 1, fired)
         else:
             self.last.clear()
-        if done:
-            yield pd.DataFrame(done, columns=[c.split()[0] for c in TURNS.split(", ")])
-
-    def _keep(self, unit: list, new: list[tuple]) -> None:
-        self.open.update(tuple(unit))
-        if new:
-            self.texts.appendList(new)
-            new.clear()
+        yield from done
 
     def close(self) -> None:
         pass
@@ -146,7 +148,7 @@ def natural_turns(segments: DataFrame, late: str = "1 minute", max_ms: int = 45_
         turns.ends_sentence(F.col("text")).alias("terminal"), turns.is_fragment(F.col("text")).alias("fragment"),
     )
     rule = _NaturalTurns(max_ms, tight_ms, pause_ms, idle_ms)
-    return rows.withWatermark("ts", late).groupBy("source_id").transformWithStateInPandas(rule, outputStructType=TURNS, outputMode="Append", timeMode="EventTime")
+    return rows.withWatermark("ts", late).groupBy("source_id").transformWithState(rule, outputStructType=TURNS, outputMode="Append", timeMode="EventTime")
 
 
 class _SingleFlight(StatefulProcessor):

@@ -115,3 +115,72 @@ def test_a_result_expires_by_the_clock(spark):
         stream.feed([(k, key, key, at)])
     stream.run()
     assert [r[3] for r in sorted(stream.rows())] == [True, False, True, True, False]
+
+
+class Store:
+    """A state of a processor's handle, or the handle itself, that counts its calls."""
+
+    def __init__(self):
+        self.rows, self.calls, self.states = [], 0, {}
+
+    def getListState(self, name, schema):
+        return self.states.setdefault(name, Store())
+
+    getValueState = getListState
+
+    def listTimers(self):
+        return iter(())
+
+    def registerTimer(self, at):
+        self.calls += 1
+
+    def exists(self):
+        return bool(self.rows)
+
+    def appendValue(self, row):
+        self.calls += 1
+        self.rows.append(row)
+
+    def update(self, row):
+        self.calls += 1
+        self.rows = [row]
+
+    def clear(self):
+        self.calls += 1
+        self.rows = []
+
+
+class Lists(Store):
+    def get(self):
+        return iter(self.rows)
+
+    def appendList(self, rows):
+        self.calls += 1
+        self.rows += rows
+
+
+class Value(Store):
+    def get(self):
+        return self.rows[0] if self.rows else None
+
+
+class Clock:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):
+        return self.at
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_turns_that_end_where_they_begin_do_not_meet_the_store():
+    handle = Store()
+    handle.states = {"waiting": Lists(), "texts": Lists(), "open": Value(), "last": Value()}
+    rule = stateful._NaturalTurns(45_000, 800, 2_500, 86_400_000)
+    rule.init(handle)
+    row = stateful.Row("start_ms", "segment_id", "end_ms", "speaker", "text", "terminal", "fragment")
+    list(rule.handleInputRows(("s",), iter([row(k * 10_000, k, k * 10_000 + 100, "A", f"t{k}", True, False) for k in range(2_500)]), Clock(0)))
+    out = list(rule.handleExpiredTimer(("s",), Clock(10**8), Clock(0)))
+    assert [r.text for r in out] == [f"t{k}" for k in range(2_500)]
+    assert sum(s.calls for s in handle.states.values()) < 10  # more than ten thousand when each turn went through the store
