@@ -10,7 +10,6 @@ import json
 from collections.abc import Callable, Iterator
 from itertools import islice
 
-import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -151,6 +150,10 @@ def natural_turns(segments: DataFrame, late: str = "1 minute", max_ms: int = 45_
     return rows.withWatermark("ts", late).groupBy("source_id").transformWithState(rule, outputStructType=TURNS, outputMode="Append", timeMode="EventTime")
 
 
+ANSWERS = "request_id long, key string, value string, computed boolean"
+_ANSWER = Row(*(c.split()[0] for c in ANSWERS.split(", ")))
+
+
 class _SingleFlight(StatefulProcessor):
     """The result of a key, until the clock passes its request's time by expiry_ms."""
 
@@ -161,22 +164,21 @@ class _SingleFlight(StatefulProcessor):
         self.handle = handle
         self.result = handle.getValueState("result", "value string, until long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        value, until = self.result.get() if self.result.exists() else (None, None)
-        known = self.result.exists() and (until is None or timerValues.getCurrentWatermarkInMs() <= until)
-        for frame in rows:
-            if not len(frame):
-                continue
-            computed = [False] * len(frame)
-            if not known:
-                value, known, computed[0] = self.compute(frame["payload"].iloc[0]), True, True
-                until = None if self.expiry_ms is None else int(frame["at"].iloc[0]) + self.expiry_ms
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        found = self.result.get()
+        value, until = found or (None, None)
+        known = found is not None and (until is None or timerValues.getCurrentWatermarkInMs() <= until)
+        for row in rows:
+            computed = not known
+            if computed:
+                value, known = self.compute(row["payload"]), True
+                until = None if self.expiry_ms is None else row["at"] + self.expiry_ms
                 self.result.update((value, until))
                 if until is not None:
                     self.handle.registerTimer(until + 1)
-            yield pd.DataFrame({"request_id": frame["request_id"], "key": key[0], "value": value, "computed": computed})
+            yield _ANSWER(row["request_id"], key[0], value, computed)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.result.exists() and self.result.get()[1] < timerValues.getCurrentWatermarkInMs():  # else computed anew since
             self.result.clear()
         yield from ()
@@ -197,6 +199,4 @@ def single_flight(requests: DataFrame, compute: Callable[[str], str], expiry_ms:
     mode = "None" if expiry_ms is None else "EventTime"
     rows = requests if expiry_ms is None else requests.withWatermark("ts", late)
     rows = rows.select(F.col("request_id").cast("long").alias("request_id"), "key", "payload", at.alias("at"), *(["ts"] if expiry_ms is not None else []))
-    return rows.groupBy("key").transformWithStateInPandas(
-        _SingleFlight(compute, expiry_ms), outputStructType="request_id long, key string, value string, computed boolean", outputMode="Append", timeMode=mode
-    )
+    return rows.groupBy("key").transformWithState(_SingleFlight(compute, expiry_ms), outputStructType=ANSWERS, outputMode="Append", timeMode=mode)

@@ -184,3 +184,17 @@ def test_turns_that_end_where_they_begin_do_not_meet_the_store():
     out = list(rule.handleExpiredTimer(("s",), Clock(10**8), Clock(0)))
     assert [r.text for r in out] == [f"t{k}" for k in range(2_500)]
     assert sum(s.calls for s in handle.states.values()) < 10  # more than ten thousand when each turn went through the store
+
+
+def test_a_key_of_many_requests_asks_the_store_once():
+    handle = Store()
+    handle.states = {"result": Value()}
+    asked = []
+    handle.states["result"].exists = lambda: asked.append(1)
+    rule = stateful._SingleFlight(str.upper, None)
+    rule.init(handle)
+    row = stateful.Row("request_id", "key", "payload", "at")
+    for first in (0, 50):
+        out = list(rule.handleInputRows(("k",), iter([row(n, "k", "x", 0) for n in range(first, first + 50)]), Clock(0)))
+        assert [tuple(r) for r in out] == [(n, "k", "X", n == 0) for n in range(first, first + 50)]
+    assert handle.states["result"].calls == 1 and not asked
