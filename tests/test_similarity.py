@@ -5,6 +5,7 @@ import random
 import pytest
 
 from colloquy.operators import dedup, joins, similarity
+from colloquy.session import Scratch
 
 
 def random_lists(seed, n, longest=9, words="abcd"):
@@ -123,3 +124,14 @@ def test_jaccard_reads_its_rows_once(spark):
     frame = spark.createDataFrame(full, "id long, tokens array<string>").withColumn("tokens", F.udf(seen, "array<string>").asNondeterministic()("tokens"))
     assert similarity.jaccard_join(frame, "id", "tokens", 0.8).count() == 40 * 39 // 2
     assert calls.value == 40
+
+
+def test_rows_of_pairs_travel_once_for_each_block(spark):
+    pairs = [(a, b) for a in range(40) for b in range(a + 1, 400) if (a + b) % 3 or a == 0] + [(900, 901), (901, 902)]
+    ids = sorted({x for p in pairs for x in p})
+    left = spark.createDataFrame([(x, f"l{x}") for x in ids], "a long, va string")
+    right = spark.createDataFrame([(x, f"r{x}") for x in ids], "b long, vb string")
+    out = similarity.side_by_side(spark.createDataFrame(pairs, "a long, b long"), left, right, Scratch(spark, "test"))
+    assert sorted((r.a, r.b, r.va, r.vb) for r in out.collect()) == sorted((a, b, f"l{a}", f"r{b}") for a, b in pairs)
+    sent = out.select("home", "block", "a").distinct().count() + out.select("home", "block", "b").distinct().count()
+    assert sent < len(pairs) / 10
