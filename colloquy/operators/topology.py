@@ -17,6 +17,7 @@ from colloquy.functions import text as T
 from colloquy.operators.joins import overlap_join
 from colloquy.operators.recovery import AMBIGUOUS, anchored_speakers, text_similarity
 from colloquy.operators.similarity import sequence_ratio
+from colloquy.session import Scratch
 
 
 def relation(left: Column, right: Column) -> Column:
@@ -88,15 +89,19 @@ def split_turns(assigned: DataFrame, anchors: DataFrame, least: int = 2) -> Data
     rows = assigned.withColumn("clusters", _clusters()).where(~F.coalesce("frozen", F.lit(False)) & (F.size("clusters") > 0))
     fresh = F.coalesce(relation(F.lag("clusters").over(order), F.col("clusters")) == "different", F.lit(False))
     numbered = rows.withColumn("fresh", fresh).withColumns({"part": F.sum(F.col("fresh").cast("long")).over(order), "place": F.row_number().over(order)})
+    # A turn of one part is not split; it leaves before words are joined and votes counted.
+    numbered = numbered.withColumn("last", F.max("part").over(W.partitionBy("recording", "turn_id"))).where("last > 0")
+    numbered = Scratch(assigned.sparkSession, "splits").save(numbered.select("recording", "turn_id", "part", "place", "start", "end", "text", "clusters"))
     by = ["recording", "turn_id", "part"]
     parts = numbered.groupBy(*by).agg(F.min_by("start", "place").alias("start"), F.max_by("end", "place").alias("end"), _joined_text().alias("text"), F.count("*").alias("n_tokens"))
     parts = parts.join(cluster_keys(numbered, by, ties=True), by).withColumn("id", F.struct(*by))
     spoken = anchored_speakers(parts.select("id", _scoped(F.col("recording"), F.col("cluster_keys")).alias("keys")), anchors)
     told = parts.join(spoken, "id").drop("id", "basis")
     sound = (F.col("n_tokens") >= least) & (F.col("speaker_state") != AMBIGUOUS) & (F.col("text") != "") & ~T.is_sentinel(F.col("text"))
-    whole = told.groupBy("recording", "turn_id").agg(F.count("*").alias("parts"), F.min(sound.cast("int")).alias("sound"), F.count_distinct("speaker_state").alias("speakers"))
-    kept = whole.where("parts > 1 and sound = 1 and speakers > 1").select("recording", "turn_id")
-    return told.join(kept, ["recording", "turn_id"]).select("recording", "turn_id", "part", "start", "end", "text", "n_tokens", "speaker_state", "role", "cluster_keys")
+    turn = W.partitionBy("recording", "turn_id")
+    whole = {"parts": F.count("*").over(turn), "sound": F.min(sound.cast("int")).over(turn), "several": F.min("speaker_state").over(turn) < F.max("speaker_state").over(turn)}
+    kept = told.withColumns(whole).where("parts > 1 and sound = 1 and several")
+    return kept.select("recording", "turn_id", "part", "start", "end", "text", "n_tokens", "speaker_state", "role", "cluster_keys")
 
 
 def merge_turns(spans: DataFrame, turns: DataFrame, anchors: DataFrame, bin_width: float, least: float = 0.6, similarity: Callable[[Column, Column], Column] | None = None) -> DataFrame:
@@ -114,12 +119,13 @@ def merge_turns(spans: DataFrame, turns: DataFrame, anchors: DataFrame, bin_widt
         F.first("cluster_keys").alias("cluster_keys"), F.max(F.coalesce("frozen", F.lit(False))).alias("frozen"), F.count("*").alias("n"),
     ).where("n > 1 and not frozen")
     joined = F.trim(F.array_join(F.transform("old", lambda x: x["text"]), " "))
+    ids = F.transform("old", lambda x: x["turn_id"])
     held = held.withColumn("old_text", joined).withColumn("id", F.struct("recording", "span"))
     measure = similarity or (lambda a, b: text_similarity(a, b, sequence_ratio(T.tokens(a), T.tokens(b))))
-    held = held.where(measure(F.col("old_text"), F.col("text")) >= least)
+    held = Scratch(spans.sparkSession, "merges").save(held.where(measure(F.col("old_text"), F.col("text")) >= least).withColumn("turn_ids", ids).drop("text", "old", "n"))
     spoken = anchored_speakers(held.select("id", _scoped(F.col("recording"), F.col("cluster_keys")).alias("keys")), anchors).where(F.col("speaker_state") != AMBIGUOUS)
     return held.join(spoken, "id").select(
-        "recording", "span", F.transform("old", lambda x: x["turn_id"]).alias("turn_ids"), F.col("old_start").alias("start"), F.col("last.end_r").alias("end"),
+        "recording", "span", "turn_ids", F.col("old_start").alias("start"), F.col("last.end_r").alias("end"),
         F.col("old_text").alias("text"), "speaker_state", "role",
     )
 

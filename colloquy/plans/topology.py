@@ -12,6 +12,7 @@ from colloquy.operators.recovery import OTHER, TARGET
 from colloquy.plans.base import query
 from colloquy.plans.recovery import _overlap, _tok
 from colloquy.plans.turns import TURNS, _turns
+from colloquy.session import Scratch
 
 BIN_MS = 20_000
 
@@ -64,16 +65,20 @@ _ROLE = "CASE st WHEN 'CONFIRMED_TARGET' THEN 'assistant' ELSE 'user' END AS rol
 
 
 def timed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, idx = F.length("text"), F.col("idx")
+    n, m = F.length("text"), F.size("ws")
     words = F.filter(F.split(T.collapse(F.col("text")), " "), lambda x: x != "")
-    rows = _turns(spark, sf_dir).withColumn("ws", words).where(F.size("ws") > 0)
-    rows = rows.withColumn("d", F.greatest(F.lit(1), F.floor((F.col("end_ms") - F.col("start_ms")) / F.size("ws")))).select("*", F.posexplode("ws").alias("i", "word"))
-    label = F.when((n % 6 == 0) & (F.col("i") >= F.floor(F.size("ws") / 2)), "x").otherwise(F.col("speaker"))
-    w, v = F.concat(F.lit("w"), F.floor(idx / 4).cast("string")), F.concat(F.lit("v"), F.floor(idx / 3).cast("string"))
-    clusters = F.when((n % 13 == 0) & (F.col("i") % 3 == 0), F.lit(None)).when(F.col("i") % 2 == 1, F.create_map(w, label)).otherwise(F.create_map(w, label, v, label))
+    window = lambda name, turns: F.concat(F.lit(name), F.floor(F.col("idx") / turns).cast("string"))
+    rows = _turns(spark, sf_dir).withColumn("ws", words).where(m > 0)
+    # What tokens need of their turn is made before they come apart, so that no token carries its turn's text and words.
+    rows = rows.select(
+        "source_id", "turn_id", "speaker", F.col("start_ms"), F.greatest(F.lit(1), F.floor((F.col("end_ms") - F.col("start_ms")) / m)).alias("d"), window("w", 4).alias("w"), window("v", 3).alias("v"),
+        F.when(n % 6 == 0, F.floor(m / 2)).alias("half"), (n % 13 == 0).alias("gaps"), (n % 31 == 0).alias("overlap"), "ws",
+    ).select("source_id", "turn_id", "speaker", "start_ms", "d", "w", "v", "half", "gaps", "overlap", F.posexplode("ws").alias("i", "word"))
+    label = F.when(F.col("i") >= F.col("half"), "x").otherwise(F.col("speaker"))
+    clusters = F.when(F.col("gaps") & (F.col("i") % 3 == 0), F.lit(None)).when(F.col("i") % 2 == 1, F.create_map("w", label)).otherwise(F.create_map("w", label, "v", label))
     return rows.select(
         F.col("source_id").alias("recording"), F.format_string("%s:%05d", "turn_id", "i").alias("token_id"), (F.col("start_ms") + F.col("i") * F.col("d")).alias("start"),
-        (F.col("start_ms") + (F.col("i") + 1) * F.col("d")).alias("end"), F.col("word").alias("text"), clusters.alias("clusters"), ((n % 31 == 0) & (F.col("i") == 0)).alias("overlap"),
+        (F.col("start_ms") + (F.col("i") + 1) * F.col("d")).alias("end"), F.col("word").alias("text"), clusters.alias("clusters"), (F.col("overlap") & (F.col("i") == 0)).alias("overlap"),
     )
 
 
@@ -100,17 +105,22 @@ def cluster_anchors(tokens: DataFrame) -> DataFrame:
     return keys.select(F.concat_ws("|", "recording", F.concat_ws("::", "window", "cluster")).alias("key"), state.alias("speaker_state"), F.lit("ANCHOR").alias("basis"))
 
 
-def _splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = timed_tokens(spark, sf_dir)
+def _observed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Timed tokens and their anchors, each made once for all that reads them."""
+    scratch = Scratch(spark, "topology")
+    tokens = scratch.save(timed_tokens(spark, sf_dir))
+    return tokens, scratch.save(cluster_anchors(tokens))
+
+
+def _splits(spark: SparkSession, sf_dir: str, tokens: DataFrame, anchors: DataFrame) -> DataFrame:
     old = old_turns(spark, sf_dir).select("recording", "turn_id", "frozen", F.col("start").alias("start_r"), F.col("end").alias("end_r"))
     assigned = point_join(tokens.withColumn("mid", F.floor((F.col("start") + F.col("end")) / 2)), old, ["recording"], "mid", BIN_MS)
-    return O.split_turns(assigned, cluster_anchors(tokens))
+    return O.split_turns(assigned, anchors)
 
 
-def _merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = timed_tokens(spark, sf_dir)
+def _merges(spark: SparkSession, sf_dir: str, tokens: DataFrame, anchors: DataFrame) -> DataFrame:
     alike = lambda a, b: T.jaccard(F.array_distinct(T.tokens(a)), F.array_distinct(T.tokens(b)))
-    return O.merge_turns(O.candidate_spans(tokens, 1250), old_turns(spark, sf_dir), cluster_anchors(tokens), BIN_MS, similarity=alike)
+    return O.merge_turns(O.candidate_spans(tokens, 1250), old_turns(spark, sf_dir), anchors, BIN_MS, similarity=alike)
 
 
 @query(f"WITH {SPANS} SELECT source_id AS recording, span, s AS start, e AS \"end\", text, n_tokens, overlap, array_to_string(ks, ',') AS cluster_keys, CASE WHEN len(ks) = 1 THEN ks[1] END AS speaker_cluster FROM spans")
@@ -122,13 +132,13 @@ def token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {SPLITS} SELECT turn_id, part, s AS start, e AS \"end\", text, n_tokens, st AS speaker_state, {_ROLE}, array_to_string(ks, ',') AS cluster_keys FROM splits")
 def turn_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Children of old turns in which timed tokens show two speakers."""
-    return _splits(spark, sf_dir).drop("recording").withColumn("cluster_keys", F.array_join("cluster_keys", ","))
+    return _splits(spark, sf_dir, *_observed(spark, sf_dir)).drop("recording").withColumn("cluster_keys", F.array_join("cluster_keys", ","))
 
 
 @query(f"WITH {MERGES} SELECT source_id AS recording, span, array_to_string(ids, ',') AS turn_ids, s AS start, e AS \"end\", text, st AS speaker_state, {_ROLE} FROM merges")
 def turn_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old turns that one span of one speaker shows to be one."""
-    return _merges(spark, sf_dir).withColumn("turn_ids", F.array_join("turn_ids", ","))
+    return _merges(spark, sf_dir, *_observed(spark, sf_dir)).withColumn("turn_ids", F.array_join("turn_ids", ","))
 
 
 @query(f"""WITH {SPLITS}, {MERGES.removeprefix(TOKENS + ",")},
@@ -137,4 +147,5 @@ SELECT old.turn_id, CASE WHEN s.n IS NOT NULL THEN 'SPLIT_EXISTING' WHEN g.n IS
 FROM old LEFT JOIN s USING (turn_id) LEFT JOIN g USING (turn_id)""")
 def turn_topology(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the new segmentation makes of every old turn."""
-    return O.turn_topology(old_turns(spark, sf_dir), _splits(spark, sf_dir), _merges(spark, sf_dir)).drop("recording")
+    observed = _observed(spark, sf_dir)
+    return O.turn_topology(old_turns(spark, sf_dir), _splits(spark, sf_dir, *observed), _merges(spark, sf_dir, *observed)).drop("recording")

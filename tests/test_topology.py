@@ -135,3 +135,14 @@ def test_sentinels_are_not_artefacts(spark):
     state = recovery.resolve_target(F.col("t"), F.col("t"), F.lit(1.0), F.lit(True), F.lit(True), F.lit(False), F.lit(9))
     got = [r["s"]["state"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(state.alias("s")).collect()]
     assert got == ["UNRESOLVED", "UNRESOLVED", "AUDIO_CONFIRMED", "AUDIO_CONFIRMED", "AUDIO_CONFIRMED", "UNRESOLVED"]
+
+
+def test_turns_of_one_part_leave_early_and_held_spans_are_judged_once(spark):
+    tokens = make(random.Random(1))
+    df = spark.createDataFrame(tokens, f"{TOKEN}, turn_id string, frozen boolean")
+    anchors = spark.createDataFrame([("r0|w0::a", recovery.TARGET, "ANCHOR")], "key string, speaker_state string, basis string")
+    plan = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "frozen" not in plan(topology.split_turns(df, anchors))  # what comes after the cut reads parts, not all tokens again
+    turns = spark.createDataFrame([("r0", "t0", 0.0, 2.0, "a b", False), ("r0", "t1", 2.0, 4.0, "c d", False)], "recording string, turn_id string, start double, end double, text string, frozen boolean")
+    merged = topology.merge_turns(topology.candidate_spans(df), turns, anchors, 3)
+    assert "token_id" not in plan(merged)  # the spans' tokens are read once, for the spans that are held
