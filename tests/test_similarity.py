@@ -135,3 +135,34 @@ def test_rows_of_pairs_travel_once_for_each_block(spark):
     assert sorted((r.a, r.b, r.va, r.vb) for r in out.collect()) == sorted((a, b, f"l{a}", f"r{b}") for a, b in pairs)
     sent = out.select("home", "block", "a").distinct().count() + out.select("home", "block", "b").distinct().count()
     assert sent < len(pairs) / 10
+
+
+def test_sets_travel_for_near_pairs_only(spark, monkeypatch):
+    """Long sets that meet in rare tokens and differ in many more than a bit a class can tell are known by their counts, without being fetched."""
+    rng = random.Random(4)
+    common = [f"w{k}" for k in range(6000)]
+    full = []
+    for f in range(6):
+        rare = [f"r{f} {k}" for k in range(150)]
+        for c in range(12):
+            full.append((len(full), sorted({*rare, *rng.sample(common, 900)})))
+        full.append((len(full), full[-1][1][:-9]))
+    asked, whole = [], similarity.side_by_side
+    monkeypatch.setattr(similarity, "side_by_side", lambda pairs, *rest: asked.append(pairs.count()) or whole(pairs, *rest))
+    for names in (int, str):
+        frame = spark.createDataFrame([(names(k + 10), t) for k, t in full], f"id {'long' if names is int else 'string'}, tokens array<string>")
+        got = {(r.a, r.b) for r in similarity.jaccard_join(frame, "id", "tokens", 0.8).collect()}
+        assert got == {(names(f * 13 + 21), names(f * 13 + 22)) for f in range(6)}
+    assert max(asked) < 20  # every pair of a family, 468, was fetched
+
+
+def test_pairs_that_share_many_rare_tokens_meet_about_once(spark):
+    import numpy as np
+
+    base = [f"w{k}" for k in range(200)]
+    frame = spark.createDataFrame([(k, [w for j, w in enumerate(base) if j != k]) for k in range(30)], "id long, tokens array<string>")
+    named = similarity._named(frame, "id", "tokens", Scratch(spark, "test"))
+    prefix = similarity._prefixes(named.select("id", "h"), np.zeros(1 << 20, np.int64), 0.8)
+    met = similarity._meeting(prefix, 0.8)
+    assert met.distinct().count() == 30 * 29 // 2 and prefix.where("p <= head").groupBy("id").count().where("count > 10").count() == 30
+    assert met.count() <= 4 * 30 * 29 // 2  # a row for each token of two prefixes before
