@@ -100,10 +100,13 @@ def adjudicated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near pairs of documents and which of them goes: mirrors and contained texts of one source."""
     scratch = Scratch(spark, "adjudicated")
     rows = scratch.save(table(spark, sf_dir, "documents").select("doc_id", "source", T.tokens(F.col("text")).alias("w")))
-    rows = rows.withColumn("s", F.array_distinct("w"))
-    near = jaccard_join(rows, "doc_id", "s", 0.7)
-    known = scratch.save(rows.select("doc_id", "source", F.sha2(F.to_json(F.array("w")), 256).alias("name"), F.size("s").alias("n")))
-    side = lambda x: known.select(F.col("doc_id").alias(x), F.col("source").alias(f"family_{x}"), F.col("name").alias(f"text_{x}"), F.col("n").alias(f"n_{x}"))
+    named = scratch.save(rows.select("doc_id", "source", F.sha2(F.to_json(F.array("w")), 256).alias("name"), F.size(F.array_distinct("w")).alias("n")))
+    # Words carry their source, so that documents of two sources share none; a null source is one of its own.
+    near = jaccard_join(rows.select("doc_id", F.transform(F.array_distinct("w"), lambda x: F.concat_ws(" ", x, F.col("source"))).alias("s")), "doc_id", "s", 0.7)
+    scratch.drop(rows)
+    firsts = named.groupBy("name").agg(F.min("doc_id").alias("text"))
+    known = scratch.save(named.join(firsts, "name").select("doc_id", "source", "text", "n"))
+    side = lambda x: known.select(F.col("doc_id").alias(x), F.col("source").alias(f"family_{x}"), F.col("text").alias(f"text_{x}"), F.col("n").alias(f"n_{x}"))
     return O.adjudicated(near.join(side("a"), "a").join(side("b"), "b"))
 
 

@@ -166,3 +166,16 @@ def test_pairs_that_share_many_rare_tokens_meet_about_once(spark):
     met = similarity._meeting(prefix, 0.8)
     assert met.distinct().count() == 30 * 29 // 2 and prefix.where("p <= head").groupBy("id").count().where("count > 10").count() == 30
     assert met.count() <= 4 * 30 * 29 // 2  # a row for each token of two prefixes before
+
+
+def test_documents_of_two_sources_never_meet(spark, monkeypatch, tmp_path):
+    from colloquy.plans import validators
+
+    words = " ".join(f"w{k}" for k in range(60))
+    rows = [(k, words if k % 2 else words + " more", (None, "", "a", "b", "a b")[k // 4]) for k in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    met, whole = [], validators.jaccard_join
+    monkeypatch.setattr(validators, "jaccard_join", lambda *a: met.append(whole(*a)) or met[-1])
+    got = {(r.kept_id, r.removed_id): r.reason for r in validators.adjudicated_pairs(spark, str(tmp_path)).collect()}
+    assert got == {(i, j): "MIRROR" if (i - j) % 2 == 0 else "CONTAINED" for i in range(20) for j in range(i + 1, 20) if i // 4 == j // 4}
+    assert met[0].count() == len(got) == 30
